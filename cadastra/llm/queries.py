@@ -5,20 +5,45 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cadastra.llm import minhash
+from cadastra.llm import decontaminate, minhash, packing
 from cadastra.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def tokenizer_file() -> str:
+    """The byte-level vocabulary installed beside the public tokenizers."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op2_minhash(spark: SparkSession, folder: str) -> DataFrame:
     """Three-word shingles, 85 %: 28 bands of 5 rows miss such a link with a probability under 1e-7."""
     return minhash.near_duplicates(read(spark, folder, "documents"), n=3, percent=85, bands=28, rows=5)
 
 
+def op7_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    found = decontaminate.contamination(docs, read(spark, folder, "benchmark"), n=10, clean=False)
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(read(spark, folder, "documents"), tokenizer=tokenizer_file(), capacity=1024, end_id=0, with_ids=False)
+
+
 def queries() -> dict[str, Query]:
-    return {"op2_minhash": op2_minhash}
+    return {"op2_minhash": op2_minhash, "op7_decontaminate": op7_decontaminate, "op9_packing": op9_packing}
 
 
 def oracle_sql() -> dict[str, str]:
