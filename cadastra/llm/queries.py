@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadastra.llm import decontaminate, minhash, packing
+from cadastra.llm import decontaminate, minhash, packing, sharding, urls
 from cadastra.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,12 @@ def op2_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(read(spark, folder, "documents"), n=3, percent=85, bands=28, rows=5)
 
 
+def op4_hash_tree(spark: SparkSession, folder: str) -> DataFrame:
+    """Two regions of two racks of two shards; the ninth shard is a third region."""
+    tree = sharding.balanced(8)
+    return sharding.sharded(read(spark, folder, "documents"), tree, sharding.grown(tree, 8))
+
+
 def op7_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents").select("doc_id", "text")
     found = decontaminate.contamination(docs, read(spark, folder, "benchmark"), n=10, clean=False)
@@ -42,8 +48,16 @@ def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(read(spark, folder, "documents"), tokenizer=tokenizer_file(), capacity=1024, end_id=0, with_ids=False)
 
 
+#: (verdict, host, path)
+URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/")]
+
+
+def op10_urls(spark: SparkSession, folder: str) -> DataFrame:
+    return urls.filtered(read(spark, folder, "pages"), URL_RULES)
+
+
 def queries() -> dict[str, Query]:
-    return {"op2_minhash": op2_minhash, "op7_decontaminate": op7_decontaminate, "op9_packing": op9_packing}
+    return {"op2_minhash": op2_minhash, "op4_hash_tree": op4_hash_tree, "op7_decontaminate": op7_decontaminate, "op9_packing": op9_packing, "op10_urls": op10_urls}
 
 
 def oracle_sql() -> dict[str, str]:
