@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadastra.llm import decontaminate, minhash, packing, sharding, urls
+from cadastra.llm import decontaminate, minhash, packing, sharding, tiff, urls, warc
 from cadastra.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,11 @@ def tokenizer_file() -> str:
     return str(public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op1_warc(spark: SparkSession, folder: str) -> DataFrame:
+    found = warc.archived(read(spark, folder, "pages"))
+    return found.select(F.col("id").alias("page_id"), "payload_bytes", F.col("digest").alias("payload_digest"), "record_type", "refers_to")
+
+
 def op2_minhash(spark: SparkSession, folder: str) -> DataFrame:
     """Three-word shingles, 85 %: 28 bands of 5 rows miss such a link with a probability under 1e-7."""
     return minhash.near_duplicates(read(spark, folder, "documents"), n=3, percent=85, bands=28, rows=5)
@@ -31,6 +36,10 @@ def op4_hash_tree(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.sharded(read(spark, folder, "documents"), tree, sharding.grown(tree, 8))
 
 
+def op5_tiff(spark: SparkSession, folder: str) -> DataFrame:
+    return tiff.features(tiff.store_texts(read(spark, folder, "documents")))
+
+
 def op7_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents").select("doc_id", "text")
     found = decontaminate.contamination(docs, read(spark, folder, "benchmark"), n=10, clean=False)
@@ -57,7 +66,7 @@ def op10_urls(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"op2_minhash": op2_minhash, "op4_hash_tree": op4_hash_tree, "op7_decontaminate": op7_decontaminate, "op9_packing": op9_packing, "op10_urls": op10_urls}
+    return {"op1_warc": op1_warc, "op2_minhash": op2_minhash, "op4_hash_tree": op4_hash_tree, "op5_tiff": op5_tiff, "op7_decontaminate": op7_decontaminate, "op9_packing": op9_packing, "op10_urls": op10_urls}
 
 
 def oracle_sql() -> dict[str, str]:

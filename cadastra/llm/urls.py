@@ -16,7 +16,7 @@ from cadastra.llm.common import checkpoint
 #: Levels of the tree; what follows in longer paths is one segment of the last level.
 LEVELS = 4
 #: A segment stays literal with this share of its node's visits and this many visits.
-LITERAL_SHARE, LITERAL_VISITS = 0.02, 3
+LITERAL_SHARE, LITERAL_VISITS = 0.05, 3
 #: Neighbouring branches are merged below this z of their labelled shares, if both have so many labels.
 MERGE_Z, MERGE_LABELS = 1.96, 3
 #: Pages that the share of all labelled pages counts as, and the purity under which a template is rejected.
