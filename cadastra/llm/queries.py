@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadastra.llm import decontaminate, minhash, packing, sharding, tiff, urls, warc
+from cadastra.llm import decontaminate, minhash, packing, sharding, tiff, toxicity, urls, warc
 from cadastra.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,15 @@ def op2_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(read(spark, folder, "documents"), n=3, percent=85, bands=28, rows=5)
 
 
+def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Labels of held-out rows are left out before anything is learned."""
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    held = lambda: F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 3 == 1
+    model = toxicity.fit(docs, read(spark, folder, "labels").where(~held()))
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", held().alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op4_hash_tree(spark: SparkSession, folder: str) -> DataFrame:
     """Two regions of two racks of two shards; the ninth shard is a third region."""
     tree = sharding.balanced(8)
@@ -66,7 +75,7 @@ def op10_urls(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"op1_warc": op1_warc, "op2_minhash": op2_minhash, "op4_hash_tree": op4_hash_tree, "op5_tiff": op5_tiff, "op7_decontaminate": op7_decontaminate, "op9_packing": op9_packing, "op10_urls": op10_urls}
+    return {"op1_warc": op1_warc, "op2_minhash": op2_minhash, "op3_toxicity": op3_toxicity, "op4_hash_tree": op4_hash_tree, "op5_tiff": op5_tiff, "op7_decontaminate": op7_decontaminate, "op9_packing": op9_packing, "op10_urls": op10_urls}
 
 
 def oracle_sql() -> dict[str, str]:
