@@ -110,7 +110,8 @@ def dense(data: bytes, offsets: np.ndarray, lexicon: Lexicon, second: np.ndarray
     edge[offsets] = True
     same = np.zeros(len(array), bool)
     same[1:] = (array[1:] == array[:-1]) & ~edge[1:-1]
-    before = lambda x, k: np.concatenate([np.zeros(min(k, len(x)), bool), x[:-k]])
+    before = lambda x: np.append(False, x[:-1])[: len(x)] & ~edge[:-1]
+    after = lambda x: np.append(x[1:], False)[: len(x)] & ~edge[1:]
     rate = lambda x: _sums(x, offsets) / size
     out = np.empty((len(n), len(FEATURES)))
     hits, strongs, total = _sums(hit, first), _sums(strong & hit, first), _sums(weight, first)
@@ -118,8 +119,8 @@ def dense(data: bytes, offsets: np.ndarray, lexicon: Lexicon, second: np.ndarray
     columns = (
         np.log1p(np.diff(first)), np.log1p(strongs), strongs / n, np.log1p(hits), hits / n, np.log1p(total), total / n, kinds,
         np.log1p(nears), nears / np.maximum(hits, 1), _sums(you, first) / n,
-        rate(upper), rate(upper & before(upper, 1)), rate(array == 33), rate(array == 63), rate(mark), rate(mark & same),
-        rate(sign & before(letter, 1) & np.append(letter[1:], False)[: len(array)]), rate(letter & same & before(same, 1)), np.log1p(swapped),
+        rate(upper), rate(upper & before(upper)), rate(array == 33), rate(array == 63), rate(mark), rate(mark & same),
+        rate(sign & before(letter) & after(letter)), rate(letter & same & before(same)), np.log1p(swapped),
     )
     for k, c in enumerate(columns):
         out[:, k] = c
