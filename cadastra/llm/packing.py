@@ -11,12 +11,13 @@ exceeds its capacity, the window count rises and the group is partitioned anew.
 from __future__ import annotations
 
 import heapq
-import re
+import json
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,56 +28,52 @@ from cadastra.llm.common import text_slices
 GROUP_PIECES = 4096
 #: Tokens of a piece at most, unless it fills a window.
 PIECE_TOKENS = 256
-#: Words whose tokens a worker remembers; beyond it, it forgets them all.
-KNOWN_WORDS = 300_000
-#: A space next to other white space, where tokens can depend on more than one word.
-_UNEVEN = re.compile(r"\s | \Z")
+#: Fixed value: how byte-level tokenizers split a text before merging.
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
 class Encoder:
     """Token ids of texts, as bytes of little-endian unsigned 32-bit integers.
 
-    In a byte-level vocabulary whose pretokens hold a space only as their first character, a text can be cut
-    before each single space; the ids of such a part don't depend on its neighbours and are remembered. Texts
-    with other runs of white space are encoded whole.
+    The ids are those of the tokenizer file. Most of the time that its library takes goes into splitting a text
+    and describing tokens, not into merging. So where the file is a plain byte-level vocabulary whose ids follow
+    its merges, the same merges run in an engine that knows nothing but ids; texts that hold one of the file's
+    added tokens, and all texts of other files, go through the library.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
-        self.spaced = np.zeros(max(vocabulary.values()) + 1, bool)
-        for token, i in vocabulary.items():
-            self.spaced[i] = token.startswith("Ġ")
-        self.known: dict[str, bytes] = {}
+        with open(path, encoding="utf-8") as file:
+            described = json.load(file)
+        self.added = [t["content"] for t in described["added_tokens"]]
+        self.ranks = _ranks(described)
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def learn(self, parts: list[str]) -> None:
-        if len(self.known) + len(parts) > KNOWN_WORDS:
-            self.known = {}
-        ids = np.array(self.tokenizer.encode(" " + " ".join(parts), add_special_tokens=False).ids, "<u4")
-        starts = np.flatnonzero(self.spaced[ids])
-        if len(starts) == len(parts):
-            raw, ends = ids.tobytes(), [*(4 * starts[1:]).tolist(), 4 * len(ids)]
-            self.known.update((p, raw[a:b]) for p, a, b in zip(parts, (4 * starts).tolist(), ends))
-        else:
-            self.known.update((p, self.whole(" " + p)) for p in parts)
-
     def __call__(self, texts: list[str]) -> list[bytes]:
-        cut = [None if _UNEVEN.search(t) else t.split(" ") for t in texts]
-        wanted = set()
-        for parts in cut:
-            if parts:
-                wanted.update(parts[1:])
-        if missing := [p for p in wanted if p not in self.known]:
-            self.learn(missing)
-            if any(p not in self.known for p in wanted):  # the memory was emptied
-                self.learn([p for p in wanted if p not in self.known])
-        of = self.known.__getitem__
-        return [self.whole(t) if parts is None else (self.whole(parts[0]) if parts[0] else b"") + b"".join(map(of, parts[1:])) for t, parts in zip(texts, cut)]
+        if self.ranks is None:
+            return [self.whole(t) for t in texts]
+        by_rank = self.ranks.encode_to_numpy
+        return [self.whole(t) if any(a in t for a in self.added) else by_rank(t, disallowed_special=()).astype("<u4", copy=False).tobytes() for t in texts]
+
+
+def _ranks(described: dict):
+    """An engine with the merges of a tokenizer file, or None if their order doesn't say all about it."""
+    split, model = described["pre_tokenizer"] or {}, described["model"]
+    plain = split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space") and not described["normalizer"] and model["type"] == "BPE"
+    if not plain or any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges")):
+        return None
+    vocabulary = {t: i for t, i in model["vocab"].items() if t not in {a["content"] for a in described["added_tokens"]}}
+    merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+    if len(vocabulary) != 256 + len(merges) or any(vocabulary.get(a + b) != 256 + i for i, (a, b) in enumerate(merges)):
+        return None
+    # the format's letters: printable bytes stand for themselves, the others follow from 256 on
+    letters = {chr(b): b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b}
+    letters |= {chr(256 + i): b for i, b in enumerate(sorted(set(range(256)) - set(letters.values())))}
+    return tiktoken.Encoding("ranks", pat_str=_SPLIT, mergeable_ranks={bytes(letters[c] for c in t): i for t, i in vocabulary.items()}, special_tokens={})
 
 
 def differenced(sizes: np.ndarray, windows: int) -> tuple[np.ndarray, np.ndarray]:

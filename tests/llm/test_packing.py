@@ -53,7 +53,7 @@ def check(rows, docs, capacity):
     return sum(r.length for r in rows) / (capacity * len(by_sequence))
 
 
-def test_pack(spark, monkeypatch):
+def test_pack(spark):
     docs = [(i, " ".join(f"w{(i * j) % 97} the" for j in range(i * 7 % 900))) for i in range(300)]
     docs += [(1000, None), (1001, ""), (1002, "a  b\n c "), (1003, "long " * 30_000), (1004, "x" * 50_000)]
     frame = spark.createDataFrame([(i, t, 0) for i, t in docs], "doc_id long, text string, offset int").repartition(4)
@@ -63,6 +63,15 @@ def test_pack(spark, monkeypatch):
     assert packing.pack(frame.limit(0), tokenizer=tokenizer_file()).count() == 0
     twice = spark.createDataFrame([(None, "a b"), (None, "a b"), (3, "c"), (3, "c")], "doc_id long, text string")
     assert sum(r.length for r in packing.pack(twice, tokenizer=tokenizer_file()).collect()) == 10
-    monkeypatch.setattr(packing, "KNOWN_WORDS", 3)
-    small = packing.Encoder(tokenizer_file())
-    assert small([t for _, t in docs[:9] if t]) == [small.whole(t) for _, t in docs[:9] if t]
+
+
+def test_other_files_go_through_the_library(tmp_path):
+    import json
+
+    with open(tokenizer_file(), encoding="utf-8") as file:
+        described = json.load(file)
+    described["pre_tokenizer"]["add_prefix_space"] = True
+    (tmp_path / "other.json").write_text(json.dumps(described), encoding="utf-8")
+    other = packing.Encoder(str(tmp_path / "other.json"))
+    assert other.ranks is None and ENCODER.ranks is not None
+    assert other(["the cat"]) == [ENCODER.whole(" the cat")]
