@@ -1,7 +1,7 @@
 """WARC archives and an external merge of their index.
 
-Archives are plain WARC 1.1 files that Spark writes to the shared folder as UTF-8 text, records ended by an empty
-line as the format asks. Reading an archive gives its capture records, sorted: a run. Runs are dealt out by ranges
+Archives are gzipped WARC 1.1 files that Spark writes to the shared folder as UTF-8 text, records ended by an empty
+line as the format asks. Offsets and lengths in the index are those of the unpacked archive. Reading an archive gives its capture records, sorted: a run. Runs are dealt out by ranges
 of (URL key, timestamp, id), so that even one URL's captures spread over tasks, and each task merges its slices of
 all runs by a loser tree. Ranges in order, and rows in a range in order, are the global capture history.
 """
@@ -11,6 +11,7 @@ from __future__ import annotations
 import hashlib
 import re
 import uuid
+import zlib
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -107,7 +108,19 @@ def records(captures: DataFrame) -> DataFrame:
 
 
 def write_archives(captures: DataFrame, path: str) -> None:
-    records(captures).write.option("lineSep", "\r\n\r\n").option("maxRecordsPerFile", ARCHIVE_RECORDS).text(path)
+    records(captures).write.option("lineSep", "\r\n\r\n").option("maxRecordsPerFile", ARCHIVE_RECORDS).option("compression", "gzip").text(path)
+
+
+def unpacked(archive: bytes) -> bytes:
+    """An archive's bytes, whatever number of gzip members they come in; plain archives stay as they are."""
+    out = []
+    while archive[:2] == b"\x1f\x8b":
+        member = zlib.decompressobj(31)
+        out.append(member.decompress(archive))
+        if not member.eof:
+            raise ValueError("a gzip member is cut short")
+        archive = member.unused_data
+    return b"".join([*out, archive])
 
 
 def parse(archive: bytes) -> Iterator[dict]:
@@ -155,7 +168,7 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for path, content in zip(batch.column(0), batch.column(1)):
             name, rows = path.as_py(), []
-            for r in parse(content.as_py()):
+            for r in parse(unpacked(content.as_py())):
                 h = r["headers"]
                 digest = h["warc-payload-digest"].removeprefix("sha1:")
                 if h["warc-type"] == "response" and hashlib.sha1(r["payload"]).hexdigest() != digest:

@@ -61,11 +61,15 @@ def test_records_are_read_back_whole(spark, tmp_path):
     frame = spark.createDataFrame([(1, "http://a.b/é", 1_600_000_000, "é\r\n\r\nb")], "id long, url string, taken long, payload string")
     warc.write_archives(frame, f"{tmp_path}/w")
     (file,) = (tmp_path / "w").glob("part-*")
-    (record,) = warc.parse(file.read_bytes())
-    assert record["payload"].decode() == "é\r\n\r\nb" and record["length"] == file.stat().st_size
+    raw = warc.unpacked(file.read_bytes())
+    (record,) = warc.parse(raw)
+    assert record["payload"].decode() == "é\r\n\r\nb" and record["length"] == len(raw)
     assert record["headers"]["warc-target-uri"] == "http://a.b/é" and record["headers"]["warc-date"] == "2020-09-13T12:26:40Z"
     with pytest.raises(ValueError):
-        list(warc.parse(file.read_bytes()[:-3]))
+        list(warc.parse(raw[:-3]))
+    with pytest.raises(ValueError):
+        warc.unpacked(file.read_bytes()[:-3])
+    assert warc.unpacked(file.read_bytes() * 2) == raw * 2 and warc.unpacked(raw) == raw
 
 
 def test_empty(spark):
