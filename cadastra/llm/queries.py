@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadastra.llm import decontaminate, minhash, packing, sharding, tiff, toxicity, urls, warc
+from cadastra.llm import decontaminate, minhash, packing, quality, sharding, tiff, toxicity, urls, warc
 from cadastra.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,6 +62,13 @@ def op7_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Trusted are the documents that ``labels`` calls good."""
+    docs = read(spark, folder, "documents").select("doc_id", "lang", "text")
+    model = quality.fit(docs, read(spark, folder, "labels").where("quality = 1"))
+    return quality.score(docs, model).drop("text")
+
+
 def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(read(spark, folder, "documents"), tokenizer=tokenizer_file(), capacity=1024, end_id=0, with_ids=False)
 
@@ -75,7 +82,7 @@ def op10_urls(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"op1_warc": op1_warc, "op2_minhash": op2_minhash, "op3_toxicity": op3_toxicity, "op4_hash_tree": op4_hash_tree, "op5_tiff": op5_tiff, "op7_decontaminate": op7_decontaminate, "op9_packing": op9_packing, "op10_urls": op10_urls}
+    return {"op1_warc": op1_warc, "op2_minhash": op2_minhash, "op3_toxicity": op3_toxicity, "op4_hash_tree": op4_hash_tree, "op5_tiff": op5_tiff, "op7_decontaminate": op7_decontaminate, "op8_quality": op8_quality, "op9_packing": op9_packing, "op10_urls": op10_urls}
 
 
 def oracle_sql() -> dict[str, str]:
