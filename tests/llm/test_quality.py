@@ -72,7 +72,7 @@ def test_perplexities_are_those_of_the_book(spark, monkeypatch):
     monkeypatch.setattr(quality, "OWN_MODEL_TEXTS", 30)
     rows, docs, trusted = frames(spark)
     model = quality.fit(docs, trusted, quantile=0.99)
-    assert set(model.languages) == {"en", "fr", "xx", "*"} - {"*"} or "en" in model.languages
+    assert {"en", "fr"} <= set(model.languages)
     good = trusted.join(docs, "doc_id").selectExpr("coalesce(lang, '*') AS lang", "text", "pmod(xxhash64(doc_id, 3), 4) AS part").collect()
     own = {number: Brute([r.text for r in good if r.part != 0 and (lang is None or r.lang == lang)]) for lang, number in [*model.languages.items(), (None, 0)]}
     found = quality.score(docs, model)
@@ -87,7 +87,8 @@ def test_perplexities_are_those_of_the_book(spark, monkeypatch):
             assert math.isclose(r.perplexity, 2**bits, rel_tol=1e-6)
             assert r.kept_ == (math.log2(r.perplexity) <= limit + 1e-12)
         (wrong if r.doc_id is not None and r.doc_id % 10 == 9 and r.doc_id < 9000 else kept).append(r.kept_)
-    assert sum(kept) / len(kept) > 0.95 and sum(wrong) / len(wrong) < 0.05
+    # about ten texts set each limit here, so that one in eleven exceeds it by chance
+    assert sum(kept) / len(kept) > 0.85 and sum(wrong) / len(wrong) < 0.05
 
 
 def test_sharded_form_gives_the_same(spark, monkeypatch):
