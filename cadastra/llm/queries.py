@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadastra.llm import decontaminate, minhash, packing, quality, sharding, tiff, toxicity, urls, warc
+from cadastra.llm import decontaminate, minhash, packing, passages, quality, sharding, tiff, toxicity, urls, warc
 from cadastra.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,6 +49,11 @@ def op5_tiff(spark: SparkSession, folder: str) -> DataFrame:
     return tiff.features(tiff.store_texts(read(spark, folder, "documents")))
 
 
+def op6_compact_windows(spark: SparkSession, folder: str) -> DataFrame:
+    """Passages of at least fifty words; documents without one have no row."""
+    return passages.repeated(read(spark, folder, "documents"), n=5, words=50, percent=80)
+
+
 def op7_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents").select("doc_id", "text")
     found = decontaminate.contamination(docs, read(spark, folder, "benchmark"), n=10, clean=False)
@@ -82,7 +87,7 @@ def op10_urls(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"op1_warc": op1_warc, "op2_minhash": op2_minhash, "op3_toxicity": op3_toxicity, "op4_hash_tree": op4_hash_tree, "op5_tiff": op5_tiff, "op7_decontaminate": op7_decontaminate, "op8_quality": op8_quality, "op9_packing": op9_packing, "op10_urls": op10_urls}
+    return {"op1_warc": op1_warc, "op2_minhash": op2_minhash, "op3_toxicity": op3_toxicity, "op4_hash_tree": op4_hash_tree, "op5_tiff": op5_tiff, "op6_compact_windows": op6_compact_windows, "op7_decontaminate": op7_decontaminate, "op8_quality": op8_quality, "op9_packing": op9_packing, "op10_urls": op10_urls}
 
 
 def oracle_sql() -> dict[str, str]:
