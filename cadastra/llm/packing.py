@@ -110,7 +110,7 @@ def near_equal(sizes: np.ndarray, capacity: int) -> list[list[int]]:
 
 
 def _kernel(path: str, capacity: int, end_id: int, with_ids: bool):
-    types = {"doc_id": pa.int64(), "start": pa.int64(), "length": pa.int64(), "ids_crc32": pa.int64(), "doc_tokens": pa.int64(), "sequence_id": pa.int64(), "offset": pa.int64()} | ({"ids": pa.list_(pa.int64())} if with_ids else {})
+    types = {"doc_id": pa.int64(), "start": pa.int64(), "length": pa.int64(), "ids_crc32": pa.int64(), "doc_tokens": pa.int64(), "sequence_id": pa.int64(), "offset": pa.int64()} | ({"ids": pa.list_(pa.int32())} if with_ids else {})
     schema = pa.schema(list(types.items()))
     end = np.array([end_id], "<u4").tobytes()
 
@@ -133,10 +133,12 @@ def _kernel(path: str, capacity: int, end_id: int, with_ids: bool):
         def table() -> pa.RecordBatch:
             columns = [list(x) for x in zip(*done)]
             crcs = [zlib.crc32(x) for x in columns[3]]
-            ids = [[np.frombuffer(x, "<u4").astype(np.int64) for x in columns[3]]] if with_ids else []
-            out = [columns[0], columns[1], columns[2], crcs, columns[4], columns[5], columns[6], *ids]
+            out = [pa.array(x, pa.int64()) for x in (columns[0], columns[1], columns[2], crcs, columns[4], columns[5], columns[6])]
+            if with_ids:
+                values = np.frombuffer(b"".join(columns[3]), "<u4").view(np.int32)
+                out.append(pa.ListArray.from_arrays(np.cumsum([0, *columns[2]]).astype(np.int32), values))
             done.clear()
-            return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(out, schema)], schema=schema)
+            return pa.RecordBatch.from_arrays(out, schema=schema)
 
         for batch in batches:
             names = batch.column(0).to_pylist()
@@ -163,7 +165,7 @@ def _kernel(path: str, capacity: int, end_id: int, with_ids: bool):
         if done:
             yield table()
 
-    return kernel, ", ".join(f"{k} {'array<long>' if k == 'ids' else 'long'}" for k in types)
+    return kernel, ", ".join(f"{k} {'array<int>' if k == 'ids' else 'long'}" for k in types)
 
 
 def pack(documents: DataFrame, *, tokenizer: str, capacity: int = 1024, end_id: int = 0, with_ids: bool = True, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

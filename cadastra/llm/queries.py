@@ -7,19 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from cadastra.llm import decontaminate, minhash, packing, passages, quality, sharding, tiff, toxicity, urls, warc
-from cadastra.llm.common import read
+from cadastra.llm.common import read, tokenizer_file
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def tokenizer_file() -> str:
-    """The byte-level vocabulary installed beside the public tokenizers."""
-    import public_tokenizers
-
-    return str(public_tokenizers.path("byte_bpe_50k.json"))
-
-
 def op1_warc(spark: SparkSession, folder: str) -> DataFrame:
     found = warc.archived(read(spark, folder, "pages"))
     return found.select(F.col("id").alias("page_id"), "payload_bytes", F.col("digest").alias("payload_digest"), "record_type", "refers_to")
@@ -87,8 +81,47 @@ def op10_urls(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"op1_warc": op1_warc, "op2_minhash": op2_minhash, "op3_toxicity": op3_toxicity, "op4_hash_tree": op4_hash_tree, "op5_tiff": op5_tiff, "op6_compact_windows": op6_compact_windows, "op7_decontaminate": op7_decontaminate, "op8_quality": op8_quality, "op9_packing": op9_packing, "op10_urls": op10_urls}
+    return {"op1_warc": op1_warc, "op2_minhash": op2_minhash, "op3_toxicity": op3_toxicity, "op4_hash_tree": op4_hash_tree, "op5_tiff": op5_tiff, "op6_compact_windows": op6_compact_windows, "op7_decontaminate": op7_decontaminate, "op8_quality": op8_quality, "op9_packing": op9_packing, "op10_urls": op10_urls, "pipeline": corpus_pipeline.run}
+
+
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLES = {
+    "op1_warc": """
+        WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS d FROM pages),
+             w AS (SELECT *, CASE WHEN n >= 1000 THEN max(page_id) OVER (PARTITION BY d) END AS best FROM p)
+        SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, d AS payload_digest,
+               CASE WHEN best <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN best <> page_id THEN best END AS refers_to
+        FROM w""",
+    "op2_minhash": f"""
+        WITH RECURSIVE words AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^ \\x09-\\x0D]+') AS w FROM documents),
+        sets AS (SELECT DISTINCT doc_id, CASE WHEN len(w) < 3 THEN array_to_string(w, ' ') ELSE array_to_string(w[i : i + 2], ' ') END AS s
+                 FROM words, unnest(range(1, greatest(len(w) - 1, 2))) AS t(i) WHERE len(w) > 0),
+        sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY 1),
+        common AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM sets a JOIN sets b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),
+        links AS (SELECT x, y FROM common JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE 100 * c >= 85 * (p.n + q.n - c)),
+        both_ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+        reached AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT a, y FROM reached JOIN both_ways ON b = x),
+        roots AS (SELECT a, min(b) AS root FROM reached GROUP BY 1)
+        SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, root AS component_id, root = doc_id AS kept
+        FROM documents JOIN roots ON a = doc_id LEFT JOIN sizes USING (doc_id)""",
+    "op7_decontaminate": f"""
+        WITH d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+        b AS (SELECT item_id, regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark),
+        items AS (SELECT DISTINCT item_id, least(len(w), 10) AS m, w[i : i + least(len(w), 10) - 1] AS win
+                  FROM b, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS t(i) WHERE len(w) > 0),
+        lengths AS (SELECT DISTINCT m FROM items),
+        windows AS (SELECT doc_id, i, m, w[i : i + m - 1] AS win FROM d, lengths, unnest(range(1, len(w) - m + 2)) AS t(i)),
+        hits AS (SELECT doc_id, i, m, item_id FROM windows JOIN items USING (m, win)),
+        marked AS (SELECT doc_id, count(DISTINCT k) AS n_hit FROM hits, unnest(range(i, i + m)) AS t(k) GROUP BY 1),
+        named AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS names FROM hits GROUP BY 1)
+        SELECT doc_id, CAST(coalesce(len(w), 0) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+               sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN marked USING (doc_id) LEFT JOIN named USING (doc_id)""",
+}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """For the queries that SQL can express; the others are tested against brute force in tests/llm."""
+    return ORACLES | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})

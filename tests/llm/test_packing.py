@@ -8,7 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from cadastra.llm import packing
-from cadastra.llm.queries import tokenizer_file
+from cadastra.llm.common import tokenizer_file
 
 ENCODER = packing.Encoder(tokenizer_file())
 
