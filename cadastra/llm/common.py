@@ -6,14 +6,19 @@ Texts reach Python as Arrow columns. ``text_slices`` hands out the UTF-8 bytes o
 
 from __future__ import annotations
 
+import gc
+import os
 import tempfile
 import uuid
 from collections.abc import Iterator
+from pathlib import Path
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 #: Bytes of text that a kernel holds in arrays at once; a longer single text is a slice of its own.
 SLICE_BYTES = 1 << 20
@@ -24,6 +29,11 @@ _MASK = (1 << 64) - 1
 
 
 def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table of ``folder``. Workers started from now on find this package where the driver has found it."""
+    root = str(Path(__file__).resolve().parents[2])
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
@@ -59,6 +69,39 @@ def written(frame: DataFrame) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark remove the shuffle files of finished phases now. It does so when the driver collects garbage,
+    which a driver with much memory may put off until the disks are full."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def squeezed(frame: DataFrame, text_col: str) -> DataFrame:
+    """``frame`` with its texts as zstd frames, for shuffles of whole texts; nulls are empty texts."""
+    at = frame.columns.index(text_col)
+    schema = StructType([StructField(f.name, BinaryType()) if k == at else f for k, f in enumerate(frame.schema)])
+
+    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=1).compress
+        for batch in batches:
+            out = []
+            for _, data, offsets in text_slices(batch.column(at)):
+                bounds = offsets.tolist()
+                out += [pack(data[a:b]) for a, b in zip(bounds, bounds[1:])]
+            columns = list(batch.columns)
+            columns[at] = pa.array(out, pa.binary())
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+
+    return frame.mapInArrow(kernel, schema)
+
+
+def unsqueezed(column: pa.Array) -> Iterator[bytes]:
+    """The UTF-8 texts of a column that ``squeezed`` has made."""
+    unpack = zstandard.ZstdDecompressor().decompress
+    for x in column:
+        yield unpack(x.as_py())
+
+
 def fresh(taken: list[str], wanted: str) -> str:
     """``wanted``, with underscores added until no column in ``taken`` (case ignored) has the name."""
     lower = {x.lower() for x in taken}
