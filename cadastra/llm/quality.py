@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadastra.llm.common import fresh, text_slices, written
+from cadastra.llm.common import SLICE_BYTES, fresh, release, squeezed, text_slices, unsqueezed, written
 
 #: Characters of an n-gram.
 ORDER = 5
@@ -64,6 +64,18 @@ def packed(texts: list[str], languages: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 def _texts(batch: pa.RecordBatch, text_at: int) -> Iterator[tuple[int, list[str]]]:
+    """(first row, texts) of a column of texts or of squeezed ones, some at a time."""
+    if pa.types.is_binary(batch.column(text_at).type):
+        row, held, size = 0, [], 0
+        for raw in unsqueezed(batch.column(text_at)):
+            held.append(raw.decode())
+            size += len(raw)
+            if size > SLICE_BYTES:
+                yield row, held
+                row, held, size = row + len(held), [], 0
+        if held:
+            yield row, held
+        return
     for row, data, offsets in text_slices(batch.column(text_at)):
         bounds = offsets.tolist()
         yield row, [data[a:b].decode() for a, b in zip(bounds, bounds[1:])]
@@ -95,6 +107,12 @@ class Model:
     seen: list[DataFrame]  # of each length from 1: (gram, p)
     backoff: list[DataFrame]  # of each length from 1: (context, gamma) of its contexts
     threshold: dict[int, tuple[float, float]]  # of each model: average bits a character, most bits
+    shared: object = None  # the broadcast tables, where they are small enough
+
+    def share(self, spark) -> None:
+        entries = sum(f.count() for f in (*self.seen, *self.backoff))
+        if entries <= BROADCAST_ENTRIES:
+            self.shared = spark.sparkContext.broadcast(Tables(_arrays(self.seen), _arrays(self.backoff)))
 
     def number(self, language) -> F.Column:
         """The number of a language's model; null and unknown languages have 0."""
@@ -198,14 +216,12 @@ def _arrays(frames: list[DataFrame]) -> list[tuple[np.ndarray, np.ndarray]]:
     return out
 
 
-def _scored(documents: DataFrame, seen: list[DataFrame], backoff: list[DataFrame], number, text_col: str, names: list[str]) -> DataFrame:
+def _scored(documents: DataFrame, model: Model, number, text_col: str, names: list[str]) -> DataFrame:
     """``documents`` with the number of the model, bits and characters."""
-    spark = documents.sparkSession
     rows = documents.withColumn(names[0], number).withColumn(names[1], F.lit(0.0)).withColumn(names[2], F.lit(0).cast("long"))
-    entries = sum(f.count() for f in (*seen, *backoff))
-    if entries > BROADCAST_ENTRIES:
-        return _sharded(rows, seen, backoff, text_col, names)
-    shared = spark.sparkContext.broadcast(Tables(_arrays(seen), _arrays(backoff)))
+    shared = model.shared
+    if shared is None:
+        return _sharded(rows, model.seen, model.backoff, text_col, names)
     model_at, text_at = rows.columns.index(names[0]), rows.columns.index(text_col)
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -233,7 +249,7 @@ def _block_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _sharded(rows: DataFrame, seen: list[DataFrame], backoff: list[DataFrame], text_col: str, names: list[str]) -> DataFrame:
     """The same for tables of any size: the lookup is a join on n-grams, distinct within blocks of texts."""
     spark = rows.sparkSession
-    size = rows.agg(F.coalesce(F.sum(F.length(text_col) + 1), F.lit(0))).first()[0]
+    size = rows.agg(F.coalesce(F.sum(F.coalesce(F.length(text_col), F.lit(0)) + 1), F.lit(0))).first()[0]
     blocks = max(1, -(-size // BLOCK_CHARACTERS))
     block = fresh(rows.columns, "block")
     dealt = written(rows.withColumn(block, F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(blocks))))
@@ -277,8 +293,10 @@ def fit(documents: DataFrame, trusted: DataFrame, *, quantile: float = 0.995, id
     """
     ids = trusted.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("trusted_id")).distinct()
     docs = documents.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(lang_col).cast("string"), F.lit(ALL)).alias("lang"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    good = docs.join(ids, docs["id"] == ids["trusted_id"], "left_semi")
+    # a join by hashes whatever the sizes: a broadcast of the ids would grow with the labels
+    good = squeezed(docs, "text").hint("merge").join(ids, F.col("id") == F.col("trusted_id"), "left_semi")
     good = written(good.select("lang", "text", (F.pmod(F.xxhash64("id", F.lit(3)), F.lit(CALIBRATION)) == 0).alias("kept_back")))
+    release(documents.sparkSession)
     many = good.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("kept_back").cast("int")).alias("back")).where((F.col("n") >= OWN_MODEL_TEXTS) & (F.col("back") >= 1))
     languages = {r.lang: k for k, r in enumerate(many.where(F.col("lang") != ALL).orderBy("lang").collect(), 1)}
     if len(languages) >= 1 << (62 - BITS * ORDER):
@@ -289,11 +307,13 @@ def fit(documents: DataFrame, trusted: DataFrame, *, quantile: float = 0.995, id
     both = train.select("model", "text").unionByName(train.where("model <> 0").select(F.lit(0).cast("long").alias("model"), "text"))
     counts = written(both.mapInArrow(_count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")))
     model.seen, model.backoff = _tables(counts)
+    release(documents.sparkSession)
+    model.share(documents.sparkSession)
     back = numbered.where("kept_back")
     names = ["number", "bits", "characters"]
     for every in (False, True):
         chosen = back if not every else back.withColumn("model", F.lit(0).cast("long"))
-        scored = _scored(chosen.select("model", "text"), model.seen, model.backoff, F.col("model"), "text", names)
+        scored = _scored(chosen.select("model", "text"), model, F.col("model"), "text", names)
         mean = written(scored.select("model", "bits", "characters"))
         average = {r.model: r.a for r in mean.groupBy("model").agg((F.sum("bits") / F.sum("characters")).alias("a")).collect()}
         for number, a in average.items():
@@ -313,7 +333,7 @@ def score(documents: DataFrame, model: Model, *, text_col: str = "text", lang_co
     taken = list(documents.columns)
     final = [fresh(taken, x) for x in ("perplexity", "threshold", "kept")]
     names = [fresh([*taken, *final], x) for x in ("number", "bits", "characters")]
-    scored = _scored(documents, model.seen, model.backoff, model.number(F.col(lang_col)), text_col, names)
+    scored = _scored(documents, model, model.number(F.col(lang_col)), text_col, names)
     limits = model.threshold or {0: (0.0, None)}
     pick = lambda k: F.create_map(*(F.lit(x).cast(t) for n, v in limits.items() for x, t in ((n, "long"), (v[k], "double"))))[F.col(names[0])]
     mean = (F.col(names[1]) + PRIOR_CHARACTERS * F.coalesce(pick(0), F.lit(0.0))) / (F.col(names[2]) + PRIOR_CHARACTERS)

@@ -97,6 +97,9 @@ def test_sharded_form_gives_the_same(spark, monkeypatch):
     one = {r.doc_id: round(r.perplexity, 9) for r in quality.score(docs, model).collect()}
     monkeypatch.setattr(quality, "BROADCAST_ENTRIES", 0)
     monkeypatch.setattr(quality, "BLOCK_CHARACTERS", 2000)
+    limits, model = model.threshold, quality.fit(docs, trusted)
+    assert model.shared is None and model.threshold.keys() == limits.keys()
+    assert all(np.allclose(model.threshold[k], limits[k]) for k in limits)
     assert {r.doc_id: round(r.perplexity, 9) for r in quality.score(docs, model).collect()} == one
 
 
