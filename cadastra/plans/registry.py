@@ -1,41 +1,601 @@
-"""The engine's own queries, each with the SQL that gives the same rows."""
+"""The engine's own queries over the harness tables, each with the SQL that gives the same rows.
+
+Regions stand for provinces, nations for districts, customers for municipalities, orders and events for dated texts,
+documents and conversations for printed lines. Results are flat, so that any engine can compare them.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from cadastra.functions import text as T
+from cadastra.operators import checks, events, joins, layout, nest, schema, sequence
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+ORACLES: dict[str, str] = {}
+
+
+def query(oracle: str | None = None):
+    def register(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        if oracle:
+            ORACLES[f.__name__] = oracle
+        return f
+
+    return register
+
+
+def _read(spark: SparkSession, folder: str, *names: str):
+    frames = [spark.read.parquet(f"{folder}/{n}.parquet") for n in names]
+    return frames[0] if len(frames) == 1 else frames
+
+
+# -- publication ---------------------------------------------------------------------------------------------------
+
+
+@query("""
+    SELECT r_regionkey, r_name, count(*) AS nations, CAST(sum(coalesce(n, 0)) AS BIGINT) AS customers, string_agg(n_name, ',' ORDER BY n_nationkey) AS names
+    FROM region JOIN nation ON n_regionkey = r_regionkey LEFT JOIN (SELECT c_nationkey, count(*) AS n FROM customer GROUP BY 1) ON c_nationkey = n_nationkey
+    WHERE r_name = 'EUROPE' GROUP BY 1, 2""")
+def point_lookup_nested(spark, folder):
+    """One region with its nations in order and the number of their customers."""
+    region, nation, customer = _read(spark, folder, "region", "nation", "customer")
+    nations = nest.counted(nation, customer, "n_nationkey", "c_nationkey", "n")
+    found = nest.with_children(region.where("r_name = 'EUROPE'"), nations, "r_regionkey", "n_regionkey", ["n_nationkey"], F.struct("n_name", "n"), "nations")
+    total = F.aggregate("nations", F.lit(0).cast("long"), lambda s, x: s + x["n"])
+    return found.select("r_regionkey", "r_name", F.size("nations").cast("long").alias("nations"), total.alias("customers"), F.array_join(F.transform("nations", lambda x: x["n_name"]), ",").alias("names"))
+
+
+@query("""
+    SELECT n_nationkey, n_name, CAST((SELECT count(*) FROM supplier WHERE s_nationkey = n_nationkey AND s_acctbal > 9000) AS BIGINT) AS suppliers,
+           CAST((SELECT count(*) FROM customer WHERE c_nationkey = n_nationkey) AS BIGINT) AS customers FROM nation""")
+def hierarchy_counts(spark, folder):
+    """Counts per group, zeros kept."""
+    nation, supplier, customer = _read(spark, folder, "nation", "supplier", "customer")
+    rich = nest.counted(nation, supplier.where("s_acctbal > 9000"), "n_nationkey", "s_nationkey", "suppliers")
+    return nest.counted(rich, customer, "n_nationkey", "c_nationkey", "customers").select("n_nationkey", "n_name", "suppliers", "customers")
+
+
+@query("SELECT (SELECT count(*) FROM region) AS regions, (SELECT count(*) FROM nation) AS nations, (SELECT count(*) FROM customer) AS customers, (SELECT count(*) FROM orders) AS changes")
+def index_counts(spark, folder):
+    """Global counts of all tables, one row."""
+    parts = [_read(spark, folder, t).agg(F.count(F.lit(1)).alias(n)) for t, n in (("region", "regions"), ("nation", "nations"), ("customer", "customers"), ("orders", "changes"))]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.crossJoin(p)
+    return out
+
+
+@query("""
+    SELECT c_custkey, o_orderkey AS last_order, o_orderpriority AS priority FROM customer LEFT JOIN
+    (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn FROM orders) ON o_custkey = c_custkey AND rn = 1""")
+def left_lookup_last_wins(spark, folder):
+    """Left join to the last of several rows with a key."""
+    customer, orders = _read(spark, folder, "customer", "orders")
+    last = joins.last_wins(orders.select("o_custkey", "o_orderkey", "o_orderdate", "o_orderpriority"), ["o_custkey"], ["o_orderdate", "o_orderkey"])
+    return customer.join(last, F.col("o_custkey") == F.col("c_custkey"), "left").select("c_custkey", F.col("o_orderkey").alias("last_order"), F.col("o_orderpriority").alias("priority"))
+
+
+@query("""
+    SELECT n_nationkey, coalesce(string_agg(s_name, ',' ORDER BY s_suppkey), '') AS suppliers, count(s_suppkey) AS n
+    FROM nation LEFT JOIN supplier ON s_nationkey = n_nationkey AND s_acctbal > 5000 GROUP BY 1""")
+def one_to_many_default(spark, folder):
+    """Left join to an ordered list, empty by default."""
+    nation, supplier = _read(spark, folder, "nation", "supplier")
+    found = nest.with_children(nation, supplier.where("s_acctbal > 5000"), "n_nationkey", "s_nationkey", ["s_suppkey"], F.col("s_name"), "names")
+    return found.select("n_nationkey", F.array_join("names", ",").alias("suppliers"), F.size("names").cast("long").alias("n"))
+
+
+@query("""
+    SELECT coalesce(CASE WHEN c_custkey % 5 = 0 THEN (c_nationkey + 1) % 25 END, c_nationkey) AS nation, count(*) AS members FROM customer GROUP BY 1""")
+def asof_projection(spark, folder):
+    """Members counted where they were before they moved."""
+    customer = _read(spark, folder, "customer").select(F.col("c_nationkey").alias("nation"), F.when(F.col("c_custkey") % 5 == 0, (F.col("c_nationkey") + 1) % 25).alias("before"))
+    return events.as_of_before(customer, "nation", "before")
+
+
+@query("""
+    SELECT o_orderkey, '{"text":"' || o_orderpriority || '","article":"' || o_custkey || '"' || CASE WHEN o_orderstatus <> 'F' THEN ',"item":"' || o_orderstatus || '"' ELSE '' END || '}' AS cited FROM orders""")
+def cite_optional(spark, folder):
+    """Citations in which an empty item is absent."""
+    orders = _read(spark, folder, "orders")
+    item = F.when(F.col("o_orderstatus") != "F", F.col("o_orderstatus")).otherwise("")
+    return orders.select("o_orderkey", nest.cite(F.col("o_orderpriority"), F.col("o_custkey"), item).alias("cited"))
+
+
+@query("""
+    SELECT n_nationkey, '{"code":' || n_nationkey || ',"name":"' || n_name || '","parent":' || CASE WHEN n_regionkey > 1 THEN '"' || n_regionkey || '"' ELSE 'null' END
+           || ',"by":' || CASE WHEN n_regionkey > 2 THEN '{"text":"t' || n_regionkey || '","article":"1"}' ELSE 'null' END || '}' AS body FROM nation""")
+def json_documents(spark, folder):
+    """JSON in which nulls are kept, but for the items of citations."""
+    nation = _read(spark, folder, "nation")
+    parent = F.when(F.col("n_regionkey") > 1, F.col("n_regionkey").cast("string"))
+    by = F.when(F.col("n_regionkey") > 2, nest.cite(F.concat(F.lit("t"), "n_regionkey"), F.lit("1"), F.lit("")))
+    return nation.select("n_nationkey", nest.json_object({"code": F.col("n_nationkey"), "name": F.col("n_name"), "parent": parent}, {"by": by}).alias("body"))
+
+
+_CSV_ORACLE = """
+    SELECT 'regions/' || n_regionkey || '/nations.csv' AS path, 'csv' AS kind,
+           'code,name,note' || chr(10) || string_agg(n_nationkey || ',' || n_name || ',' || CASE n_nationkey % 3 WHEN 0 THEN '"a, b"' WHEN 1 THEN '' ELSE '"say ""x""' || '"' END || chr(10), '' ORDER BY n_nationkey) AS body
+    FROM nation GROUP BY n_regionkey"""
+
+
+@query(_CSV_ORACLE)
+def csv_documents(spark, folder):
+    """One CSV document for each region, with the least quoting."""
+    note = F.when(F.col("n_nationkey") % 3 == 0, "a, b").when(F.col("n_nationkey") % 3 == 1, F.lit(None)).otherwise('say "x"')
+    rows = _read(spark, folder, "nation").select("n_regionkey", F.col("n_nationkey").alias("code"), F.col("n_name").alias("name"), note.alias("note"))
+    return nest.csv_documents(rows, ["n_regionkey"], F.concat(F.lit("regions/"), "n_regionkey", F.lit("/nations.csv")), ["code", "name", "note"], ["code"])
+
+
+@query(f"SELECT * FROM ({_CSV_ORACLE}) WHERE path = 'regions/3/nations.csv'")
+def document_lookup(spark, folder):
+    """One document by its path."""
+    return nest.lookup(csv_documents(spark, folder), "/regions/3/nations.csv")
+
+
+@query("""
+    SELECT lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS code, CASE WHEN n_nationkey < 49 THEN CAST(n_nationkey + 4 AS VARCHAR) END AS article,
+           CASE WHEN n_nationkey <= 20 THEN 'XX-' || lpad(CAST(n_nationkey AS VARCHAR), 2, '0') END AS iso, CASE WHEN n_nationkey > 20 THEN 'transition' END AS administered_by FROM nation""")
+def enriched_codes(spark, folder):
+    """Padded codes, computed articles, fields that only some codes have."""
+    n = F.col("n_nationkey")
+    code = T.zero_padded(n)
+    return _read(spark, folder, "nation").select(code.alias("code"), schema.article_of(n).alias("article"), F.when(n <= 20, F.concat(F.lit("XX-"), code)).alias("iso"), F.when(n > 20, "transition").alias("administered_by"))
+
+
+@query("SELECT n_nationkey, n_name, CASE n_regionkey WHEN 3 THEN 0 WHEN 0 THEN 1 ELSE 2 END AS kind_rank, row_number() OVER (ORDER BY CASE n_regionkey WHEN 3 THEN 0 WHEN 0 THEN 1 ELSE 2 END, n_name) AS place FROM nation")
+def custom_order(spark, folder):
+    """Rows in an order of their own kinds, then by name."""
+    rank = F.when(F.col("n_regionkey") == 3, 0).when(F.col("n_regionkey") == 0, 1).otherwise(2)
+    nation = _read(spark, folder, "nation").withColumn("kind_rank", rank)  # a dimension of fixed size, numbered as a whole
+    return nation.withColumn("place", F.row_number().over(Window.orderBy("kind_rank", "n_name"))).select("n_nationkey", "n_name", "kind_rank", "place")
+
+
+# -- text ----------------------------------------------------------------------------------------------------------
+
+_LETTERS = "replace(lower(strip_accents(replace(text, '’', ''''))), 'ß', 'ss')"
+
+
+@query("SELECT doc_id, sha256(trim(regexp_replace(lower(strip_accents(text)), '[^a-z0-9]+', '-', 'g'), '-')) AS slug FROM documents")
+def slugs(spark, folder):
+    """Slugs of whole texts, by their digest."""
+    return _read(spark, folder, "documents").select("doc_id", F.sha2(T.slug(F.col("text")), 256).alias("slug"))
+
+
+@query(f"SELECT doc_id, sha256({_LETTERS}) AS loose, sha256(regexp_replace({_LETTERS}, '[-'' ,]', '', 'g')) AS name_key FROM documents")
+def folded_names(spark, folder):
+    """Loose forms and name keys of whole texts, by their digest."""
+    text = F.col("text")
+    return _read(spark, folder, "documents").select("doc_id", F.sha2(T.loose_latin(text), 256).alias("loose"), F.sha2(F.coalesce(T.latin_key(text), F.lit("")), 256).alias("name_key"))
+
+
+@query("""
+    SELECT doc_id, CAST(length(regexp_replace(text, '[^\\p{L}]', '', 'g')) AS INTEGER) AS letters, CAST(length(regexp_replace(text, '[^\\p{Lu}]', '', 'g')) AS INTEGER) AS capitals,
+           length(regexp_replace(text, '[^\\p{L}]', '', 'g')) >= 2 AND length(regexp_replace(text, '[^\\p{Lu}]', '', 'g')) >= 0.8 * length(regexp_replace(text, '[^\\p{L}]', '', 'g')) AS in_capitals FROM documents""")
+def capital_texts(spark, folder):
+    """Letters, capitals, and whether four fifths are capitals."""
+    text = F.col("text")
+    count = lambda p: F.length(F.regexp_replace(text, p, ""))
+    return _read(spark, folder, "documents").select("doc_id", count(r"[^\p{L}]").alias("letters"), count(r"[^\p{Lu}]").alias("capitals"), T.in_capitals(text).alias("in_capitals"))
+
+
+@query("""
+    SELECT page_id, count(*) AS links, count(*) FILTER (x LIKE '/%') AS inner_links, min(x) AS first_link
+    FROM (SELECT page_id, unnest(regexp_extract_all(html, 'href="([^"]*)"', 1)) AS x FROM pages) GROUP BY 1""")
+def extracted_references(spark, folder):
+    """References that a pattern extracts, one row each, counted."""
+    found = _read(spark, folder, "pages").select("page_id", F.explode(F.regexp_extract_all("html", F.lit('href="([^"]*)"'), F.lit(1))).alias("x"))
+    return found.groupBy("page_id").agg(F.count(F.lit(1)).alias("links"), F.count(F.when(F.col("x").startswith("/"), 1)).alias("inner_links"), F.min("x").alias("first_link"))
+
+
+@query("""
+    SELECT c_custkey, c_name, CASE c_mktsegment WHEN 'BUILDING' THEN 'Bâtiment' WHEN 'MACHINERY' THEN 'Machines' ELSE c_mktsegment END AS segment FROM customer""")
+def respelled_names(spark, folder):
+    """A constant map of spellings, identity elsewhere."""
+    segment = joins.respelled(F.col("c_mktsegment"), {"BUILDING": "Bâtiment", "MACHINERY": "Machines"})
+    return _read(spark, folder, "customer").select("c_custkey", "c_name", segment.alias("segment"))
+
+
+# -- matching ------------------------------------------------------------------------------------------------------
+
+_PARTS = "SELECT p_partkey AS id, p_name || p_size AS fr, CASE WHEN p_partkey % 7 > 0 THEN p_brand || p_type || p_size END AS ar FROM part"
+
+
+def _parts(spark, folder):
+    ar = F.when(F.col("p_partkey") % 7 > 0, F.concat("p_brand", "p_type", "p_size"))
+    return _read(spark, folder, "part").select(F.col("p_partkey").alias("id"), F.concat("p_name", "p_size").alias("fr"), ar.alias("ar"))
+
+
+@query(f"WITH p AS ({_PARTS}) SELECT a.id AS a_id, count(DISTINCT b.id) AS n, min(b.id) AS least FROM p a JOIN p b ON (a.fr = b.fr OR a.ar = b.ar) AND a.id <> b.id GROUP BY 1")
+def either_key_matches(spark, folder):
+    """Rows that agree in one name or the other, without a nested loop."""
+    p = _parts(spark, folder)
+    pairs = joins.either_key(p.withColumnRenamed("id", "a_id"), p.withColumnRenamed("id", "b_id"), "a_id", "b_id", [("fr", "fr"), ("ar", "ar")])
+    return pairs.where("a_id <> b_id").groupBy("a_id").agg(F.count(F.lit(1)).alias("n"), F.min("b_id").alias("least"))
+
+
+@query(f"""
+    WITH p AS ({_PARTS}), l AS (SELECT * FROM p WHERE id % 3 = 0), r AS (SELECT * FROM p WHERE id % 3 = 1)
+    SELECT l.id AS a_id, count(DISTINCT r.id) AS matches, CASE WHEN count(DISTINCT r.id) = 1 THEN min(r.id) END AS match FROM l LEFT JOIN r ON l.fr = r.fr OR l.ar = r.ar GROUP BY 1""")
+def exactly_one_matches(spark, folder):
+    """The one partner of each row; none and several are told apart."""
+    p = _parts(spark, folder)
+    return joins.match_counts(p.where("id % 3 = 0").withColumnRenamed("id", "a_id"), p.where("id % 3 = 1").withColumnRenamed("id", "b_id"), "a_id", "b_id", [("fr", "fr"), ("ar", "ar")])
+
+
+@query("SELECT n_nationkey AS a_id, n_nationkey AS b_id FROM nation")
+def bijection_of_codes(spark, folder):
+    """Names and codes paired one to one; anything else fails."""
+    nation = _read(spark, folder, "nation")
+    left = nation.select(F.col("n_nationkey").alias("a_id"), F.lower("n_name").alias("fr"), F.lit(None).cast("string").alias("ar"))
+    right = nation.select(F.col("n_nationkey").alias("b_id"), F.lower("n_name").alias("fr"), F.upper("n_name").alias("ar"))
+    return joins.bijection(left, right, "a_id", "b_id", [("fr", "fr"), ("ar", "ar")], "nations")
+
+
+@query("""
+    SELECT doc_id, CASE WHEN quality IS NOT NULL AND source <> 'src3' THEN 'q' || quality ELSE lang END AS lang, CASE WHEN quality IS NOT NULL AND source <> 'src3' THEN 'eye' ELSE '' END AS "check"
+    FROM documents LEFT JOIN labels USING (doc_id)""")
+def overridden_values(spark, folder):
+    """A reading replaces a value where there is one that isn't blank."""
+    docs, labels = _read(spark, folder, "documents", "labels")
+    readings = docs.select("doc_id", "source").join(labels, "doc_id").select("doc_id", F.when(F.col("source") == "src3", "").otherwise(F.concat(F.lit("q"), "quality")).alias("reading"))
+    return joins.overridden(docs.select("doc_id", "lang"), readings, ["doc_id"], "lang", "reading")
+
+
+@query("""
+    SELECT user_id, min(k) AS agreed FROM (SELECT user_id, event_type AS k FROM events WHERE value > 60) GROUP BY 1 HAVING min(k) = max(k) AND min(k) IN ('view', 'click', 'error')""")
+def unanimous_votes(spark, folder):
+    """Values on which a group agrees and that are known."""
+    rows = _read(spark, folder, "events").where("value > 60")
+    known = spark.createDataFrame([("view",), ("click",), ("error",)], "known string")
+    return sequence.unanimous(rows, ["user_id"], F.col("event_type"), known)
+
+
+@query("SELECT c_custkey, c_name FROM customer WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 400000)")
+def semi_join(spark, folder):
+    """Rows with a partner."""
+    customer, orders = _read(spark, folder, "customer", "orders")
+    return customer.join(orders.where("o_totalprice > 400000"), F.col("o_custkey") == F.col("c_custkey"), "left_semi").select("c_custkey", "c_name")
+
+
+@query("SELECT c_custkey, c_name FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 400000)")
+def anti_join(spark, folder):
+    """Rows without one."""
+    customer, orders = _read(spark, folder, "customer", "orders")
+    return customer.join(orders.where("o_totalprice > 400000"), F.col("o_custkey") == F.col("c_custkey"), "left_anti").select("c_custkey", "c_name")
+
+
+@query("""
+    WITH a AS (SELECT o_orderpriority AS p, o_orderstatus AS s FROM orders WHERE o_orderkey % 2 = 0), b AS (SELECT o_orderpriority AS p, o_orderstatus AS s FROM orders WHERE o_orderkey % 3 = 0),
+    c AS (SELECT p, s, CAST(sum(n) AS BIGINT) AS n FROM (SELECT p, s, 1 AS n FROM a UNION ALL SELECT p, s, -1 FROM b) GROUP BY 1, 2)
+    SELECT p, s, CASE WHEN n > 0 THEN 'left' ELSE 'right' END AS side, abs(n) AS n FROM c WHERE n <> 0""")
+def multiset_differences(spark, folder):
+    """What either side has more often."""
+    rows = _read(spark, folder, "orders").select("o_orderkey", F.col("o_orderpriority").alias("p"), F.col("o_orderstatus").alias("s"))
+    return checks.multiset_difference(rows.where("o_orderkey % 2 = 0").select("p", "s"), rows.where("o_orderkey % 3 = 0").select("p", "s"))
+
+
+@query("""
+    WITH a AS (SELECT doc_id, text FROM documents WHERE doc_id % 5 <> 0), b AS (SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN text || '.' ELSE text END AS text FROM documents WHERE doc_id % 7 <> 0)
+    SELECT coalesce(a.doc_id, b.doc_id) AS doc_id, CASE WHEN a.doc_id IS NULL THEN 'added' WHEN b.doc_id IS NULL THEN 'removed' ELSE 'changed' END AS change
+    FROM a FULL JOIN b ON a.doc_id = b.doc_id WHERE a.text IS DISTINCT FROM b.text""")
+def dataset_differences(spark, folder):
+    """Documents added, removed and changed between two builds."""
+    docs = _read(spark, folder, "documents").select("doc_id", "text")
+    new = docs.where("doc_id % 7 <> 0").withColumn("text", F.when(F.col("doc_id") % 4 == 0, F.concat("text", F.lit("."))).otherwise(F.col("text")))
+    return checks.dataset_difference(docs.where("doc_id % 5 <> 0"), new, ["doc_id"], "text")
+
+
+@query("""
+    WITH a AS (SELECT o_custkey, o_orderkey AS ar, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS position FROM orders),
+         b AS (SELECT o_custkey, o_orderkey AS fr, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice, o_orderkey) AS position FROM orders)
+    SELECT o_custkey, CAST(position AS INTEGER) AS position, ar, fr FROM a JOIN b USING (o_custkey, position)""")
+def positional_pairs(spark, folder):
+    """Two editions side by side by position."""
+    orders = _read(spark, folder, "orders")
+    left = orders.select("o_custkey", F.col("o_orderkey").alias("ar"))
+    right = orders.select("o_custkey", F.col("o_orderkey").alias("fr"), "o_totalprice")
+    return joins.positional(left, right, ["o_custkey"], ["ar"], ["o_totalprice", "fr"]).select("o_custkey", "position", "ar", "fr")
+
+
+@query(None)
+def similar_names(spark, folder):
+    """The most similar part name of the same brand, of another size; similarity has no form in SQL."""
+    parts = _read(spark, folder, "part").select(F.col("p_partkey").alias("id"), "p_brand", "p_name")
+    right = parts.where("id % 2 = 0")
+    return joins.most_similar(parts.where("id % 2 = 1"), right.withColumnRenamed("p_name", "other"), ["p_brand"], "p_name", "other", 0.5)
+
+
+@query("SELECT s_suppkey, min(p_name || ' ' || p_partkey) AS entry FROM supplier LEFT JOIN part ON p_size = s_suppkey GROUP BY 1")
+def prefix_lookup(spark, folder):
+    """Entries that begin with a code."""
+    supplier, part = _read(spark, folder, "supplier", "part")
+    entries = part.select(F.concat_ws(" ", F.col("p_size").cast("string"), "p_name", F.col("p_partkey").cast("string")).alias("line"))
+    found = joins.prefixed(supplier.select("s_suppkey", F.col("s_suppkey").cast("string").alias("code")), entries, "code", "line")
+    return found.select("s_suppkey", F.regexp_replace("line", "^[0-9]+ ", "").alias("entry"))
+
+
+# -- sequences -----------------------------------------------------------------------------------------------------
+
+_RULES = "SELECT user_id, CAST(epoch_us(ts) / 1000000 AS DOUBLE) AS y FROM events WHERE event_type = 'signup'"
+
+
+#: Microseconds of a time without zone, whatever the session's zone is.
+def _micros():
+    return F.expr("timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', CAST(ts AS timestamp_ntz))")
+
+
+def _seconds(frame):
+    return frame.withColumn("y", (_micros() / 1_000_000).cast("double"))
+
+
+@query(f"""
+    WITH r AS ({_RULES} UNION ALL SELECT DISTINCT user_id, 0.0 FROM events WHERE event_type = 'signup'),
+    b AS (SELECT user_id, row_number() OVER w - 1 AS band, y AS top, coalesce(lead(y) OVER w, 2e9) AS bottom FROM r WINDOW w AS (PARTITION BY user_id ORDER BY y))
+    SELECT user_id, CAST(band AS INTEGER) AS band, top, bottom FROM b WHERE bottom - top > 3600""")
+def bands_between_rules(spark, folder):
+    """Bands between a page's rules; narrow ones are left out."""
+    rules = _seconds(_read(spark, folder, "events").where("event_type = 'signup'"))
+    return joins.bands(rules, ["user_id"], "y", low=0.0, high=2e9, least=3600)
+
+
+@query("""
+    SELECT e.event_id, e.user_id, s.event_id AS event_id_as_of, s.value AS value_as_of FROM (SELECT * FROM events WHERE event_type <> 'signup') e
+    ASOF LEFT JOIN (SELECT * FROM events WHERE event_type = 'signup') s ON e.user_id = s.user_id AND e.ts >= s.ts""")
+def asof_lookup(spark, folder):
+    """The last row before each, in one shuffle."""
+    rows = _read(spark, folder, "events")
+    left = rows.where("event_type <> 'signup'").select("event_id", "user_id", "ts")
+    return joins.as_of(left, rows.where("event_type = 'signup'").select("event_id", "user_id", "ts", "value"), "ts", ["user_id"], ["event_id", "value"]).select("event_id", "user_id", "event_id_as_of", "value_as_of")
+
+
+@query(f"""
+    WITH r AS ({_RULES} UNION ALL SELECT DISTINCT user_id, 0.0 FROM events WHERE event_type = 'signup'),
+    b AS (SELECT user_id, row_number() OVER w - 1 AS band, y AS top, coalesce(lead(y) OVER w, 2e9) AS bottom FROM r WINDOW w AS (PARTITION BY user_id ORDER BY y))
+    SELECT event_id, CAST(band AS INTEGER) AS band FROM (SELECT event_id, user_id, CAST(epoch_us(ts) / 1000000 AS DOUBLE) AS y FROM events WHERE event_type = 'click') e
+    LEFT JOIN b ON b.user_id = e.user_id AND e.y >= top AND e.y < bottom AND bottom - top > 3600""")
+def boxes_in_bands(spark, folder):
+    """The band that holds each box's middle."""
+    clicks = _seconds(_read(spark, folder, "events").where("event_type = 'click'")).select("event_id", "user_id", "y")
+    return joins.into_bands(clicks, bands_between_rules(spark, folder), ["user_id"], "y").select("event_id", "band")
+
+
+@query("""
+    WITH p AS (SELECT *, CASE WHEN event_type = 'view' THEN event_id END AS partner FROM events)
+    SELECT event_id, last_value(partner IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS low,
+           first_value(partner IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS high FROM p""")
+def neighbours_partners(spark, folder):
+    """The partners of the nearest rows before and after."""
+    rows = _read(spark, folder, "events").withColumn("partner", F.when(F.col("event_type") == "view", F.col("event_id")))
+    return joins.between_neighbours(rows, ["user_id"], "ts", "partner").select("event_id", "low", "high")
+
+
+@query("""
+    WITH s AS (SELECT event_id, user_id, ts, CASE WHEN epoch_us(ts) - epoch_us(lag(ts) OVER w) <= 7200000000 THEN 0 ELSE 1 END AS b FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts))
+    SELECT event_id, CAST(sum(b) OVER (PARTITION BY user_id ORDER BY ts) AS BIGINT) AS session FROM s""")
+def sessionized(spark, folder):
+    """Groups of rows with small steps between them."""
+    rows = _read(spark, folder, "events").withColumn("us", _micros())
+    return rows.select("event_id", sequence.sessions(["user_id"], "us", 7_200_000_000).alias("session"))
+
+
+@query("""
+    WITH RECURSIVE o AS (SELECT event_id, user_id, value, row_number() OVER (PARTITION BY user_id ORDER BY value, event_id) AS rn FROM events),
+    c AS (SELECT event_id, user_id, rn, value AS base, 0 AS cluster FROM o WHERE rn = 1
+          UNION ALL SELECT o.event_id, o.user_id, o.rn, CASE WHEN abs(o.value - base) >= 5 THEN o.value ELSE base END, cluster + CASE WHEN abs(o.value - base) >= 5 THEN 1 ELSE 0 END
+          FROM c JOIN o ON o.user_id = c.user_id AND o.rn = c.rn + 1)
+    SELECT user_id, CAST(cluster AS BIGINT) AS cluster, count(*) AS n, min(event_id) AS least FROM c GROUP BY 1, 2""")
+def clustered_by_first(spark, folder):
+    """Lines of a cluster lie near its first."""
+    found = sequence.clustered(_read(spark, folder, "events").select("event_id", "user_id", "value"), ["user_id"], "value", 5.0, "first")
+    return found.groupBy("user_id", "cluster").agg(F.count(F.lit(1)).alias("n"), F.min("event_id").alias("least"))
+
+
+@query(None)
+def clustered_by_mean(spark, folder):
+    """Lines of a cluster lie near its running mean; tested against brute force, as sums of floats depend on the engine."""
+    return sequence.clustered(_read(spark, folder, "events").select("event_id", "user_id", "value"), ["user_id"], "value", 5.0, "mean")
+
+
+@query("""
+    WITH m AS (SELECT event_id, user_id, ts, event_type, sum(CASE WHEN event_type IN ('signup', 'error') THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts) AS g FROM events)
+    SELECT event_id, max(CASE WHEN event_type = 'signup' THEN event_id END) OVER (PARTITION BY user_id, g) AS heading FROM m""")
+def headings_forward(spark, folder):
+    """The heading above each line; an end mark closes its reach."""
+    rows = _read(spark, folder, "events").withColumn("mark", F.when(F.col("event_type") == "signup", F.col("event_id")))
+    return rows.select("event_id", sequence.filled_forward(rows, ["user_id"], ["ts"], "mark", F.col("event_type") == "error").alias("heading"))
+
+
+@query("""
+    WITH e AS (SELECT user_id, min(event_id) AS stop FROM events WHERE event_type = 'error' GROUP BY 1)
+    SELECT user_id, count(*) AS n FROM events LEFT JOIN e USING (user_id) WHERE stop IS NULL OR event_id < stop GROUP BY 1""")
+def ahead_of_end(spark, folder):
+    """Lines ahead of a page's first end mark."""
+    return sequence.until_marker(_read(spark, folder, "events"), ["user_id"], "event_id", F.col("event_type") == "error").groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("""
+    WITH n AS (SELECT event_id, user_id, ts, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events),
+    f AS (SELECT *, max(k) OVER (PARTITION BY user_id ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM n WHERE k <= 80)
+    SELECT event_id, user_id, k FROM f WHERE before IS NULL OR k > before""")
+def rising_numbers(spark, folder):
+    """Items whose number rises, none above what was announced."""
+    rows = _read(spark, folder, "events").select("event_id", "user_id", "ts", F.get_json_object("props", "$.k").cast("int").alias("k"))
+    return sequence.rising(rows, ["user_id"], "ts", "k", F.lit(80)).select("event_id", "user_id", "k")
+
+
+@query("""
+    WITH h AS (SELECT DISTINCT user_id, CAST(epoch_us(ts) // 3600000000 AS BIGINT) AS hour FROM events), r AS (SELECT *, hour - row_number() OVER (PARTITION BY user_id ORDER BY hour) AS run FROM h)
+    SELECT user_id, min(hour) AS first, max(hour) AS last, count(*) AS size FROM r GROUP BY user_id, run""")
+def runs_of_hours(spark, folder):
+    """Islands of consecutive hours."""
+    rows = _read(spark, folder, "events").select("user_id", F.floor(_micros() / 3_600_000_000).alias("hour"))
+    return sequence.islands(rows, ["user_id"], "hour")
+
+
+@query("""
+    WITH g AS (SELECT conv_id, turn, text, sum(CASE WHEN role = 'user' THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY turn) AS entry FROM conversations)
+    SELECT conv_id, CAST(entry AS BIGINT) AS entry, sha256(string_agg(text, ' ' ORDER BY turn)) AS text FROM g GROUP BY 1, 2""")
+def continued_lines(spark, folder):
+    """Lines that continue an entry are joined to it."""
+    found = sequence.continued(_read(spark, folder, "conversations"), ["conv_id"], "turn", "text", F.col("role") == "user")
+    return found.select("conv_id", "entry", F.sha2("text", 256).alias("text"))
+
+
+@query("SELECT event_id, user_id, lead(ts) OVER (PARTITION BY user_id ORDER BY ts) AS \"end\" FROM events WHERE event_type = 'signup'")
+def section_ends(spark, folder):
+    """A section ends where the next begins."""
+    return sequence.sections(_read(spark, folder, "events").where("event_type = 'signup'"), ["user_id"], "ts").select("event_id", "user_id", "end")
+
+
+@query("SELECT event_type, user_id, min(event_id) AS event_id FROM events GROUP BY 1, 2")
+def first_occurrences(spark, folder):
+    """The first of equal rows, in the order of occurrence."""
+    return sequence.first_of_each(_read(spark, folder, "events").select("event_type", "user_id", "event_id"), ["event_type", "user_id"], ["event_id"])
+
+
+@query("SELECT user_id, median(value) AS middle, min(value) AS x, max(value + 1) - min(value) AS w, arg_max(event_id, value * 1000000 + event_id) AS top FROM events GROUP BY 1")
+def medians_and_hulls(spark, folder):
+    """Exact medians, hulls and arguments of the maximum."""
+    rows = _read(spark, folder, "events").withColumn("x", F.col("value")).withColumn("w", F.lit(1)).withColumn("y", F.lit(0)).withColumn("h", F.lit(0))
+    box = layout.hull(rows, ["user_id"]).select("user_id", "x", "w")
+    return rows.groupBy("user_id").agg(F.median("value").alias("middle"), F.max_by("event_id", F.col("value") * 1_000_000 + F.col("event_id")).alias("top")).join(box, "user_id")
+
+
+@query(None)
+def aligned_turns(spark, folder):
+    """Turns of two versions of a conversation, aligned in order by number and similarity."""
+    rows = _read(spark, folder, "conversations").select("conv_id", F.col("turn").alias("place"), F.length("role").alias("number"), F.substring("text", 1, 400).alias("line"))
+    return sequence.aligned(rows, rows.where("place <> 1"), ["conv_id"], "place", "line")
+
+
+# -- layout --------------------------------------------------------------------------------------------------------
+
+_BOXES = "SELECT event_id AS id, event_type, (event_id % 97) / 100.0 AS x, (event_id % 89) / 90.0 AS y, 0.05 + (event_id % 5) / 50.0 AS w, 0.02 + (event_id % 3) / 100.0 AS h FROM events WHERE user_id < 15"
+
+
+def _boxes(spark, folder):
+    k = F.col("event_id")
+    return _read(spark, folder, "events").where("user_id < 15").select(k.alias("id"), "event_type", (k % 97 / 100.0).alias("x"), (k % 89 / 90.0).alias("y"), (F.lit(0.05) + k % 5 / 50.0).alias("w"), (F.lit(0.02) + k % 3 / 100.0).alias("h"))
+
+
+@query(f"""
+    WITH b AS (SELECT id, event_type, CAST(x AS DOUBLE) AS x, CAST(y AS DOUBLE) AS y, CAST(w AS DOUBLE) AS w, CAST(h AS DOUBLE) AS h FROM ({_BOXES}))
+    SELECT event_type, p.id AS a_id, q.id AS b_id FROM b p JOIN b q USING (event_type) WHERE p.id < q.id
+    AND least(p.y + p.h, q.y + q.h) - greatest(p.y, q.y) > 0.5 * least(p.h, q.h) + 1e-9 AND least(p.x + p.w, q.x + q.w) - greatest(p.x, q.x) > 0.3 * least(p.w, q.w) + 1e-9""")
+def overlapping_boxes(spark, folder):
+    """Boxes of a page that cover each other."""
+    boxes = _boxes(spark, folder)
+    slack = joins.overlapping(boxes, boxes, ["event_type"], high=0.5, wide=0.3).where("a_id < b_id")
+    near = {c: boxes.select(F.col("id").alias(f"{c}_id"), *(F.col(k).alias(f"{c}{k}") for k in "xywh")) for c in "ab"}
+    rows = slack.join(near["a"], "a_id").join(near["b"], "b_id")  # edges that only touch depend on rounding
+    dy = F.least(F.col("ay") + F.col("ah"), F.col("by") + F.col("bh")) - F.greatest("ay", "by")
+    dx = F.least(F.col("ax") + F.col("aw"), F.col("bx") + F.col("bw")) - F.greatest("ax", "bx")
+    return rows.where((dy > 0.5 * F.least("ah", "bh") + 1e-9) & (dx > 0.3 * F.least("aw", "bw") + 1e-9)).select("event_type", "a_id", "b_id")
+
+
+@query("""
+    WITH e AS (SELECT event_id AS id, event_type, value FROM events WHERE user_id < 40)
+    SELECT a.event_type, a.id AS l_id, count(*) AS n FROM e a JOIN e b ON a.event_type = b.event_type AND abs(a.value - b.value) < 0.5 GROUP BY 1, 2""")
+def near_lines(spark, folder):
+    """Lines at nearly the same height, found over cells."""
+    rows = _read(spark, folder, "events").where("user_id < 40").select(F.col("event_id").alias("id"), "event_type", "value")
+    return joins.nearest_within(rows, rows, ["event_type"], "value", 0.5).groupBy("event_type", "l_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(None)
+def gutters(spark, folder):
+    """The gutter between two columns of boxes."""
+    return layout.gutter(_boxes(spark, folder), ["event_type"])
+
+
+def _bitmaps(spark, folder):
+    bits = F.bin(F.pmod(F.xxhash64("event_id", F.lit(1)), F.lit(1 << 48)))
+    line = F.translate(F.lpad(bits, 48, "0"), "01", ".#")
+    rows = F.transform(F.sequence(F.lit(0), F.lit(5)), lambda k: F.substring(line, k * 8 + 1, F.lit(8)))
+    return _read(spark, folder, "events").select(F.col("event_id").alias("id"), rows.alias("rows"))
+
+
+@query(None)
+def bitmap_shapes(spark, folder):
+    """Connected shapes of bitmaps."""
+    return layout.components(_bitmaps(spark, folder))
+
+
+# -- texts applied to a hierarchy ----------------------------------------------------------------------------------
+
+
+@query("""
+    WITH s AS (SELECT o_custkey AS uid, o_orderdate, o_orderkey, o_orderpriority AS fr FROM orders)
+    SELECT uid, arg_max(fr, (o_orderdate, o_orderkey)) AS fr, count(*) AS printed FROM s GROUP BY 1""")
+def latest_names(spark, folder):
+    """The name that the last text prints, of an append-only history."""
+    orders = _read(spark, folder, "orders").select(F.col("o_custkey").alias("uid"), F.struct("o_orderdate", "o_orderkey").alias("seq"), F.lit("t").alias("text"), F.col("o_orderpriority").alias("fr"), F.lit(None).cast("string").alias("ar"), F.lit("c").alias("cite"))
+    return events.latest_names(orders).select("uid", "fr").join(orders.groupBy("uid").agg(F.count(F.lit(1)).alias("printed")), "uid")
+
+
+@query("""
+    WITH b AS (SELECT c_custkey AS uid, CAST(c_nationkey AS VARCHAR) AS province FROM customer), a AS (SELECT c_custkey AS uid, CASE WHEN c_custkey % 11 = 0 AND c_nationkey < 12 THEN 'new' || (c_nationkey // 4)
+             WHEN c_custkey % 13 = 0 THEN '3' ELSE CAST(c_nationkey AS VARCHAR) END AS province FROM customer), m AS (SELECT a.uid, b.province AS "from", a.province AS "to" FROM a JOIN b USING (uid) WHERE a.province <> b.province)
+    SELECT '2026-01-01' AS date, 'province_created' AS type, "to" AS subject, min("from") AS "from", "to" FROM m WHERE "to" NOT IN (SELECT province FROM b) GROUP BY "to"
+    UNION ALL SELECT '2026-01-01', 'member_moved', CAST(uid AS VARCHAR), "from", "to" FROM m""")
+def change_feed(spark, folder):
+    """What changed between two snapshots: provinces created, members moved."""
+    customer = _read(spark, folder, "customer")
+    key, nation = F.col("c_custkey"), F.col("c_nationkey")
+    province = F.when((key % 11 == 0) & (nation < 12), F.concat(F.lit("new"), F.floor(nation / 4))).when(key % 13 == 0, "3").otherwise(nation.cast("string"))
+    return events.changes(customer.select(key.alias("uid"), nation.cast("string").alias("province")), customer.select(key.alias("uid"), province.alias("province")), F.lit("2026-01-01"))
+
+
+@query("SELECT 'new' || (c_nationkey % 5) AS province, CAST(c_nationkey % 5 AS VARCHAR) AS parent FROM customer WHERE c_nationkey < 5 AND c_custkey % 2 = 0 GROUP BY 1, 2")
+def parents_of_new(spark, folder):
+    """The one province from which all members of a new one come."""
+    customer = _read(spark, folder, "customer").where("c_nationkey < 5")
+    old = F.col("c_nationkey").cast("string")
+    origin = customer.select(F.col("c_custkey").alias("uid"), F.when(F.col("c_custkey") % 2 == 0, F.concat(F.lit("new"), old)).otherwise(old).alias("province"), old.alias("old"))
+    return events.parents(origin)
+
+
+@query("""
+    WITH p AS (SELECT o_custkey AS id, o_orderkey AS seq, o_orderstatus AS text, CASE WHEN o_orderkey % 3 = 0 THEN upper(o_orderpriority) ELSE lower(o_orderpriority) END AS name,
+                      CASE o_orderstatus WHEN 'F' THEN '1984' WHEN 'O' THEN '1991' ELSE '2026' END AS date FROM orders),
+    k AS (SELECT id, lower(name) AS key, arg_min(name, (date, seq)) AS name FROM p WHERE lower(name) <> '1-urgent' GROUP BY 1, 2),
+    t AS (SELECT id, lower(name) AS key, text, min(date) AS date FROM p GROUP BY 1, 2, 3)
+    SELECT id, 'fr' AS lang, k.name, string_agg(text, ' ' ORDER BY date) AS texts FROM k JOIN t USING (id, key) GROUP BY id, k.key, k.name""")
+def alias_spellings(spark, folder):
+    """Other spellings of a name as the oldest text prints them, with the texts that do."""
+    key, name = F.col("o_orderkey"), F.col("o_orderpriority")
+    printed = _read(spark, folder, "orders").select(F.col("o_custkey").alias("id"), key.alias("seq"), F.col("o_orderstatus").alias("text"), F.when(key % 3 == 0, F.upper(name)).otherwise(F.lower(name)).alias("fr"), F.lit(None).cast("string").alias("ar"))
+    own = printed.select("id").distinct().select("id", F.lit("1-Urgent").alias("fr"), F.lit(None).cast("string").alias("ar"))
+    dates = spark.createDataFrame([("F", "1984"), ("O", "1991"), ("P", "2026")], "text string, date string")
+    return events.aliases(printed, own, dates, ["id"])
+
 
-def _read(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+@query("""
+    SELECT name FROM (VALUES ('index'), ('counts'), ('alias'), ('name'), ('cite')) AS t(name)""")
+def schema_closure(spark, folder):
+    """What a record's schema refers to, directly or not."""
+    edges = spark.createDataFrame([("index", "counts"), ("index", "alias"), ("alias", "name"), ("name", "cite"), ("cite", "name"), ("other", "index"), ("text", "cite")], "name string, ref string")
+    return schema.closure(spark, edges, "index")
 
 
-def point_lookup_nested(spark: SparkSession, folder: str) -> DataFrame:
-    """One region with its nations and the number of their customers, zero counts kept."""
-    region = _read(spark, folder, "region").where("r_name = 'EUROPE'")
-    nation, customer = _read(spark, folder, "nation"), _read(spark, folder, "customer")
-    per_nation = customer.groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("n"))
-    joined = region.join(nation, F.col("n_regionkey") == F.col("r_regionkey")).join(per_nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
-    kept = F.array_sort(F.collect_list(F.struct("n_nationkey", "n_name")))
-    return joined.groupBy("r_regionkey", "r_name").agg(
-        F.count(F.lit(1)).alias("nations"),
-        F.coalesce(F.sum("n"), F.lit(0)).alias("customers"),
-        F.array_join(F.transform(kept, lambda x: x["n_name"]), ",").alias("names"),
-    )
+@query("""
+    SELECT c_custkey, concat_ws(',', CASE WHEN NOT regexp_matches(c_name, '^Customer#0000000[0-9]{2}$') THEN 'c_name pattern' END,
+           CASE WHEN c_mktsegment NOT IN ('BUILDING', 'MACHINERY', 'FURNITURE') THEN 'c_mktsegment enum' END) AS broken FROM customer""")
+def validated_fields(spark, folder):
+    """The rules of a record's schema that its fields break."""
+    rules = schema.predicates({"c_name": {"pattern": "^Customer#0000000[0-9]{2}$"}, "c_mktsegment": {"enum": ["BUILDING", "MACHINERY", "FURNITURE"]}})
+    return checks.flagged(_read(spark, folder, "customer"), rules).select("c_custkey", F.array_join("broken", ",").alias("broken"))
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"point_lookup_nested": point_lookup_nested}
+def queries() -> dict[str, Query]:
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {
-        "point_lookup_nested": """
-            SELECT r_regionkey, r_name, count(*) AS nations, CAST(sum(coalesce(n, 0)) AS BIGINT) AS customers,
-                   string_agg(n_name, ',' ORDER BY n_nationkey) AS names
-            FROM region JOIN nation ON n_regionkey = r_regionkey
-            LEFT JOIN (SELECT c_nationkey, count(*) AS n FROM customer GROUP BY 1) ON c_nationkey = n_nationkey
-            WHERE r_name = 'EUROPE' GROUP BY 1, 2""",
-    }
+    return dict(ORACLES)
