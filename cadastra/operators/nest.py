@@ -35,11 +35,11 @@ def cite(text: Column, article: Column, item: Column | None = None) -> Column:
 
 def json_object(fields: dict[str, Column], raw: dict[str, Column] | None = None) -> Column:
     """A JSON object with all ``fields``, nulls included, and ``raw`` members that are JSON already; null is null."""
-    shown = F.to_json(F.struct(*(c.alias(n) for n, c in fields.items())), {"ignoreNullFields": "false"}) if fields else F.lit("{}")
-    for name, value in (raw or {}).items():
-        glue = F.when(shown == "{}", "").otherwise(",")
-        shown = F.concat(F.substring(shown, 1, 1 << 30).substr(F.lit(1), F.length(shown) - 1), glue, F.lit(f'"{name}":'), F.coalesce(value, F.lit("null")), F.lit("}"))
-    return shown
+    parts = []
+    if fields:
+        parts.append(F.regexp_replace(F.to_json(F.struct(*(c.alias(n) for n, c in fields.items())), {"ignoreNullFields": "false"}), r"^\{|\}$", ""))
+    parts += [F.concat(F.lit(f'"{name}":'), F.coalesce(value, F.lit("null"))) for name, value in (raw or {}).items()]
+    return F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}"))
 
 
 def csv_line(columns: list[Column]) -> Column:

@@ -248,10 +248,10 @@ def overridden_values(spark, folder):
 
 
 @query("""
-    SELECT user_id, min(k) AS agreed FROM (SELECT user_id, event_type AS k FROM events WHERE value > 60) GROUP BY 1 HAVING min(k) = max(k) AND min(k) IN ('view', 'click', 'error')""")
+    SELECT user_id, min(k) AS agreed FROM (SELECT user_id, event_type AS k FROM events WHERE value > 120) GROUP BY 1 HAVING min(k) = max(k) AND min(k) IN ('view', 'click', 'error')""")
 def unanimous_votes(spark, folder):
     """Values on which a group agrees and that are known."""
-    rows = _read(spark, folder, "events").where("value > 60")
+    rows = _read(spark, folder, "events").where("value > 120")
     known = spark.createDataFrame([("view",), ("click",), ("error",)], "known string")
     return sequence.unanimous(rows, ["user_id"], F.col("event_type"), known)
 
