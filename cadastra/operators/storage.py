@@ -10,6 +10,6 @@ from pyspark.sql import DataFrame
 def kept(frame: DataFrame) -> DataFrame:
     """``frame`` computed once, in the folder that spark.checkpoint.dir names; a folder of this machine if unset."""
     context = frame.sparkSession.sparkContext
-    if not frame.sparkSession.conf.get("spark.checkpoint.dir", None) and not context._jsc.sc().getCheckpointDir().isDefined():
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="cadastra-"))
+    if not context._jsc.sc().getCheckpointDir().isDefined():
+        context.setCheckpointDir(frame.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="cadastra-"))
     return frame.checkpoint()
