@@ -46,13 +46,10 @@ def tokenizer_file() -> str:
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that all executors share; where none is named (tests), one is made on this machine."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    context = spark.sparkContext
+    named, context = spark.conf.get("spark.checkpoint.dir", None), spark.sparkContext
     if not context._jsc.sc().getCheckpointDir().isDefined():
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="cadastra-"))
-    return context._jsc.sc().getCheckpointDir().get()
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="cadastra-"))
+    return named.rstrip("/") if named else context._jsc.sc().getCheckpointDir().get()
 
 
 def checkpoint(frame: DataFrame) -> DataFrame:
