@@ -228,6 +228,13 @@ def exactly_one_matches(spark, folder):
     return joins.match_counts(p.where("id % 3 = 0").withColumnRenamed("id", "a_id"), p.where("id % 3 = 1").withColumnRenamed("id", "b_id"), "a_id", "b_id", [("fr", "fr"), ("ar", "ar")])
 
 
+@query(None)
+def whole_exactly_one_matches(spark, folder):
+    """``exactly_one_matches`` of all parts with all parts: a row whose names no other has is its own one partner."""
+    p = _parts(spark, folder)
+    return joins.match_counts(p.withColumnRenamed("id", "a_id"), p.withColumnRenamed("id", "b_id"), "a_id", "b_id", [("fr", "fr"), ("ar", "ar")])
+
+
 @query("SELECT n_nationkey AS a_id, n_nationkey AS b_id FROM nation")
 def bijection_of_codes(spark, folder):
     """Names and codes paired one to one; anything else fails."""
@@ -481,7 +488,7 @@ _BOXES = "SELECT event_id AS id, event_type, (event_id % 97) / 100.0 AS x, (even
 
 def _boxes(spark, folder):
     k = F.col("event_id")
-    return _read(spark, folder, "events").where("user_id < 15").select(k.alias("id"), "event_type", (k % 97 / 100.0).alias("x"), (k % 89 / 90.0).alias("y"), (F.lit(0.05) + k % 5 / 50.0).alias("w"), (F.lit(0.02) + k % 3 / 100.0).alias("h"))
+    return _read(spark, folder, "events").select(k.alias("id"), "user_id", "event_type", (k % 97 / 100.0).alias("x"), (k % 89 / 90.0).alias("y"), (F.lit(0.05) + k % 5 / 50.0).alias("w"), (F.lit(0.02) + k % 3 / 100.0).alias("h"))
 
 
 @query(f"""
@@ -490,13 +497,22 @@ def _boxes(spark, folder):
     AND least(p.y + p.h, q.y + q.h) - greatest(p.y, q.y) > 0.5 * least(p.h, q.h) + 1e-9 AND least(p.x + p.w, q.x + q.w) - greatest(p.x, q.x) > 0.3 * least(p.w, q.w) + 1e-9""")
 def overlapping_boxes(spark, folder):
     """Boxes of a page that cover each other."""
-    boxes = _boxes(spark, folder)
-    slack = joins.overlapping(boxes, boxes, ["event_type"], high=0.5, wide=0.3).where("a_id < b_id")
+    return _overlapping(_boxes(spark, folder).where("user_id < 15"), "event_type")
+
+
+@query(None)
+def whole_overlapping_boxes(spark, folder):
+    """``overlapping_boxes`` of all events; a page is a user's."""
+    return _overlapping(_boxes(spark, folder), "user_id")
+
+
+def _overlapping(boxes, page):
+    slack = joins.overlapping(boxes, boxes, [page], high=0.5, wide=0.3).where("a_id < b_id")
     near = {c: boxes.select(F.col("id").alias(f"{c}_id"), *(F.col(k).alias(f"{c}{k}") for k in "xywh")) for c in "ab"}
     rows = slack.join(near["a"], "a_id").join(near["b"], "b_id")  # edges that only touch depend on rounding
     dy = F.least(F.col("ay") + F.col("ah"), F.col("by") + F.col("bh")) - F.greatest("ay", "by")
     dx = F.least(F.col("ax") + F.col("aw"), F.col("bx") + F.col("bw")) - F.greatest("ax", "bx")
-    return rows.where((dy > 0.5 * F.least("ah", "bh") + 1e-9) & (dx > 0.3 * F.least("aw", "bw") + 1e-9)).select("event_type", "a_id", "b_id")
+    return rows.where((dy > 0.5 * F.least("ah", "bh") + 1e-9) & (dx > 0.3 * F.least("aw", "bw") + 1e-9)).select(page, "a_id", "b_id")
 
 
 @query("""
@@ -508,6 +524,13 @@ def near_lines(spark, folder):
     return joins.nearest_within(rows, rows, ["event_type"], "value", 0.5).groupBy("event_type", "l_id").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query(None)
+def whole_near_lines(spark, folder):
+    """``near_lines`` of all events; a page is a user's."""
+    rows = _read(spark, folder, "events").select(F.col("event_id").alias("id"), "user_id", "value")
+    return joins.nearest_within(rows, rows, ["user_id"], "value", 0.5).groupBy("user_id", "l_id").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query(None)
 def gutters(spark, folder):
     """The gutter between two columns of boxes."""
@@ -555,7 +578,16 @@ def change_feed(spark, folder):
 @query("SELECT 'new' || (c_nationkey % 5) AS province, CAST(c_nationkey % 5 AS VARCHAR) AS parent FROM customer WHERE c_nationkey < 5 AND c_custkey % 2 = 0 GROUP BY 1, 2")
 def parents_of_new(spark, folder):
     """The one province from which all members of a new one come."""
-    customer = _read(spark, folder, "customer").where("c_nationkey < 5")
+    return _parents(_read(spark, folder, "customer").where("c_nationkey < 5"))
+
+
+@query(None)
+def whole_parents_of_new(spark, folder):
+    """``parents_of_new`` of all customers."""
+    return _parents(_read(spark, folder, "customer"))
+
+
+def _parents(customer):
     old = F.col("c_nationkey").cast("string")
     origin = customer.select(F.col("c_custkey").alias("uid"), F.when(F.col("c_custkey") % 2 == 0, F.concat(F.lit("new"), old)).otherwise(old).alias("province"), old.alias("old"))
     return events.parents(origin)
