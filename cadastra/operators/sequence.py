@@ -117,12 +117,23 @@ def aligned(left: DataFrame, right: DataFrame, by: list[str], order: str, text:
 
     keys = ", ".join(f"`{c}` {left.schema[c].dataType.simpleString()}" for c in by)
 
+    def alike(matcher: difflib.SequenceMatcher, other: str) -> bool:
+        if other == matcher.b:
+            return cutoff <= 1.0
+        matcher.set_seq1(other)  # bounds of the ratio first
+        return matcher.real_quick_ratio() >= cutoff and matcher.quick_ratio() >= cutoff and matcher.ratio() >= cutoff
+
     def align(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         if a.empty or b.empty:
             return pd.DataFrame(columns=[*by, "l_order", "r_order"])
         a, b = a.sort_values(order), b.sort_values(order)
         rows, columns = list(a.itertuples(index=False)), list(b.itertuples(index=False))
-        same = [[x.number == y.number and difflib.SequenceMatcher(None, getattr(x, text), getattr(y, text)).ratio() >= cutoff for y in columns] for x in rows]
+        same = [[False] * len(columns) for _ in rows]
+        for j, y in enumerate(columns):
+            matcher = difflib.SequenceMatcher(None, "", getattr(y, text))  # keeps what it knows of its second text
+            for i, x in enumerate(rows):
+                if x.number == y.number:
+                    same[i][j] = alike(matcher, getattr(x, text))
         best = [[0] * (len(columns) + 1) for _ in range(len(rows) + 1)]
         for i in range(len(rows) - 1, -1, -1):
             for j in range(len(columns) - 1, -1, -1):

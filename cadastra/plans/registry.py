@@ -477,7 +477,7 @@ def medians_and_hulls(spark, folder):
 @query(None)
 def aligned_turns(spark, folder):
     """Turns of two versions of a conversation, aligned in order by number and similarity."""
-    rows = _read(spark, folder, "conversations").select("conv_id", F.col("turn").alias("place"), F.length("role").alias("number"), F.substring("text", 1, 400).alias("line"))
+    rows = _read(spark, folder, "conversations").select("conv_id", F.col("turn").alias("place"), F.length("role").alias("number"), F.col("text").alias("line"))
     return sequence.aligned(rows, rows.where("place <> 1"), ["conv_id"], "place", "line")
 
 
