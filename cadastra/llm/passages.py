@@ -9,7 +9,9 @@ Windows of equal hash nominate pairs of texts: within a hash's group each text i
 least id, never all with all. A pair's windows are joined as intervals over all hash functions and give the
 ranges to look at, if ``ENOUGH`` functions agree; there, the texts' tokens are aligned and a passage counts if its token sets reach the
 similarity. Windows that no verified passage covers try again without that least text, first with keys made
-narrower by a token at a distance, so that a frequent token's group falls apart.
+narrower by a token at a distance, so that a frequent token's group falls apart. Each further round compares four times
+as many of a group's least texts with the others and takes them out, until no group has two texts: every two texts of
+a narrowed group are compared, unless a passage with another one explains a window.
 
 A passage of which a copy has the same tokens is nominated for certain. One of fifty words with a changed word is
 missed if fewer than ``ENOUGH`` of ``HASHES`` functions agree on it, in under one of a hundred cases; longer ones
@@ -18,12 +20,13 @@ hold more windows.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cadastra.llm.common import SLICE_BYTES, SPACED, Words, checkpoint, fresh, grams, mix32, mix64, release, squeezed, text_slices, unsqueezed, words_of, written
@@ -37,8 +40,6 @@ ASIDE = 22
 GAP = 14
 #: Members of a group that one task compares with the least text.
 TASK_MEMBERS = 64
-#: Rounds of nominations; each takes the least text out of every group that still has unexplained windows.
-MOST_ROUNDS = 6
 
 
 def _doubled(values: np.ndarray, most: int, pick) -> list[np.ndarray]:
@@ -376,12 +377,15 @@ def passages(documents: DataFrame, *, n: int = 5, words: int = 50, percent: int
     release(spark)
     found: DataFrame | None = None
     held = docs
-    for round_ in range(MOST_ROUNDS):
-        heads = rows.groupBy("key").agg(F.min(F.struct("id", "l", "r")).alias("head"))
-        met = rows.join(heads, "key").where("id <> head.id").withColumn("hub", F.col("head.id"))
+    for round_ in itertools.count():
+        # a key's 1, 1, 4, 16 ... least ids are hubs: rounds grow with the logarithm of the largest group
+        ranks = rows.groupBy("key", "id").agg(F.min("l").alias("hub_l"), F.max("r").alias("hub_r"))
+        ranks = ranks.withColumn("rank", F.row_number().over(Window.partitionBy("key").orderBy("id")))
+        heads = written(ranks.where(F.col("rank") <= 4 ** max(0, round_ - 1)).select("key", F.col("id").alias("hub"), "hub_l", "hub_r"))
+        met = rows.join(heads, "key").where("id > hub")
         # the interval join: what the windows of all hash functions say about a pair
         pairs = met.groupBy("hub", "id").agg(
-            F.bit_count(F.bit_or(F.call_function("shiftleft", F.lit(1), F.col("key").bitwiseAND(F.lit(7)).cast("int")))).alias("hashes"), F.min("l").alias("from"), F.max("r").alias("to"), F.min("head.l").alias("hub_from"), F.max("head.r").alias("hub_to")
+            F.bit_count(F.bit_or(F.call_function("shiftleft", F.lit(1), F.col("key").bitwiseAND(F.lit(7)).cast("int")))).alias("hashes"), F.min("l").alias("from"), F.max("r").alias("to"), F.min("hub_l").alias("hub_from"), F.max("hub_r").alias("hub_to")
         )
         pairs = checkpoint(pairs.where(F.col("hashes") >= (ENOUGH if round_ == 0 else 1)))
         parts = pairs.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / TASK_MEMBERS).alias("parts"))
@@ -400,9 +404,10 @@ def passages(documents: DataFrame, *, n: int = 5, words: int = 50, percent: int
         spans = written(dealt.mapInArrow(*_verified(n, least, percent)))
         release(spark)
         found = spans if found is None else found.unionByName(spans)
-        # windows that no passage explains, without their least text; from the second round under narrower keys
+        # windows that no passage explains, without the hubs' own; from the second round under narrower keys
         covered = spans.where("NOT first").select("hub", "id", "begin", "end").distinct()
-        left = met.join(covered, (met["hub"] == covered["hub"]) & (met["id"] == covered["id"]) & (met["c"] >= covered["begin"]) & (met["c"] < covered["end"]), "left_anti").drop("head", "hub")
+        explained = met.join(covered, ["hub", "id"]).where("c >= begin AND c < end").select("key", "id", "c").distinct()
+        left = rows.join(heads.select("key", F.col("hub").alias("id")), ["key", "id"], "left_anti").join(explained, ["key", "id", "c"], "left_anti")
         left = written(left.join(_several(left.select("key", "id")), "key", "left_semi"))
         if round_ == 0:
             number = F.col("key").bitwiseAND(F.lit(7))

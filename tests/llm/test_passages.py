@@ -108,6 +108,17 @@ def test_a_frequent_token_hides_no_passage(spark, monkeypatch):
     assert found == {1000: 1000, 1001: 1000, 1002: 1000}
 
 
+def test_many_partial_quotes_hide_no_passage(spark):
+    """Parts of 40 words hold two tokens 22 apart, so that lesser ids stay in the groups under narrowed keys as well."""
+    _, _, (first, _) = corpus()
+    rng = random.Random(4)
+    noise = lambda n: ["n%d" % rng.randrange(10**9) for _ in range(n)]
+    rows = [(i, " ".join(noise(60) + first[i % 5 * 5 : i % 5 * 5 + 40] + noise(60))) for i in range(150)]
+    rows += [(1000 + i, " ".join(noise(40) + first + noise(40))) for i in range(3)]
+    found = {r.doc_id: r.class_id for r in passages.repeated(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found == {1000: 1000, 1001: 1000, 1002: 1000}
+
+
 def test_repeated_ids_long_texts_and_empty(spark):
     docs, _, _ = corpus()
     long_ = " ".join(f"v{i}" for i in range(60_000))
