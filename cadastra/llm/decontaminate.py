@@ -9,13 +9,14 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadastra.llm.common import ALPHANUMERIC, Words, fresh, mix64, text_slices, words_of
+from cadastra.llm.common import ALPHANUMERIC, Words, fresh, mix64, text_slices, words_of, written
 
 #: UTF-8 bytes of benchmark text up to which its windows are collected and broadcast.
 BROADCAST_BYTES = 16 << 20
@@ -146,7 +147,7 @@ def contamination(documents: DataFrame, benchmark: DataFrame, *, n: int = 10, te
     items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(item_text_col).cast("string").alias("text"))
     size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.count(F.lit(1))).first()
     if size[0] + 64 * size[1] > BROADCAST_BYTES:
-        return _joined(documents, items, n, text_col, names)
+        return _joined(documents, items, n, text_col, names, clean)
     tests = TestSet([(r.item, r.text) for r in items.collect()], n)
     frame = documents
     for name, kind in zip(names, ADDED.values()):
@@ -181,17 +182,12 @@ def _windows(n: int, shorter: bool, lengths: list[int]):
     return kernel
 
 
-def _joined(documents: DataFrame, items: DataFrame, n: int, text_col: str, names: list[str]) -> DataFrame:
-    """The same columns for a benchmark of any size: windows meet in a join by hash, answers by text."""
+def _answered(texts: DataFrame, known: DataFrame, n: int) -> DataFrame:
+    """(key_, text) -> key_, words, hit words, items, spans and the text without its spans, null where nothing is hit."""
     shape = "string, hash long, other long, at long, size long"
-    lengths = list(range(1, n + 1))
-    key = fresh(documents.columns, "text_key")
-    keyed = documents.withColumn(key, F.sha2(F.coalesce(F.col(text_col).cast("string"), F.lit("")), 256))
-    texts = keyed.groupBy(key).agg(F.first(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("text"))
-    known = items.mapInArrow(_windows(n, True, lengths), f"key {shape}").select(F.col("key").alias("item"), "hash", "other", "size").distinct()
-    found = texts.select(key, "text").mapInArrow(_windows(n, False, lengths), f"key {shape}").join(known, ["hash", "other", "size"])
+    found = texts.mapInArrow(_windows(n, False, list(range(1, n + 1))), f"key {shape}").join(known, ["hash", "other", "size"])
     hits = found.groupBy("key").agg(F.collect_set(F.struct("at", "size")).alias("at"), F.array_sort(F.collect_set("item")).alias("items"))
-    every = texts.join(hits, texts[key] == hits["key"], "left").select(key, "text", "at", F.coalesce("items", F.array().cast("array<string>")).alias("items"))
+    every = texts.join(hits, texts["key_"] == hits["key"], "left").select("key_", "text", "at", F.coalesce("items", F.array().cast("array<string>")).alias("items"))
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -207,7 +203,29 @@ def _joined(documents: DataFrame, items: DataFrame, n: int, text_col: str, names
                     schema=pa.schema([("key_", pa.string()), ("w", pa.int64()), ("h", pa.int64()), ("i", pa.list_(pa.string())), ("s", pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))), ("t", pa.string())]),
                 )
 
-    answers = every.mapInArrow(kernel, "key_ string, w long, h long, i array<string>, s array<struct<begin:long,end:long>>, t string")
+    return every.mapInArrow(kernel, "key_ string, w long, h long, i array<string>, s array<struct<begin:long,end:long>>, t string")
+
+
+def _joined(documents: DataFrame, items: DataFrame, n: int, text_col: str, names: list[str], clean: bool) -> DataFrame:
+    """The same columns for a benchmark of any size: windows meet in a join by hash, answers by text."""
+    shape = "string, hash long, other long, at long, size long"
+    lengths = list(range(1, n + 1))
+    key = fresh(documents.columns, "text_key")
+    keyed = documents.withColumn(key, F.sha2(F.coalesce(F.col(text_col).cast("string"), F.lit("")), 256))
+    texts = keyed.groupBy(key).agg(F.first(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("text"))
+    known = items.mapInArrow(_windows(n, True, lengths), f"key {shape}").select(F.col("key").alias("item"), "hash", "other", "size").distinct()
+    texts = texts.select(F.col(key).alias("key_"), "text")
+    if not clean:
+        answers = _answered(texts, known, n).withColumn("t", F.lit(None).cast("string"))
+    else:
+        known = written(known)
+        answers = written(_answered(texts, known, n))
+        cuts = [answers.where("t IS NOT NULL").select("key_", "t", F.lit(0).alias("round"))]
+        while not cuts[-1].isEmpty():  # what a removal brings together may be a window again
+            again = _answered(cuts[-1].select("key_", F.col("t").alias("text")), known, n).where("t IS NOT NULL")
+            cuts.append(written(again.select("key_", "t", F.lit(len(cuts)).alias("round"))))
+        last = reduce(DataFrame.unionByName, cuts).groupBy("key_").agg(F.max_by("t", "round").alias("t"))
+        answers = answers.drop("t").join(last, "key_", "left").select("key_", *"whist")
     joined = keyed.join(answers, keyed[key] == answers["key_"])
     return joined.select(*(keyed[f"`{c}`"] for c in documents.columns), *(F.col(a).alias(b) for a, b in zip("whist", names)))
 

@@ -73,6 +73,17 @@ def test_removals(spark):
     assert left == {k for k, (_, hit, _) in brute(docs, items).items() if not hit}
 
 
+@pytest.mark.parametrize("limit", [1 << 24, 0])
+def test_windows_that_removals_form(spark, monkeypatch, limit):
+    monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", limit)
+    k = [f"k{i}" for i in range(10)]
+    nested = [*k[:5], *k[:3], *k, *k[3:], *k[5:], "tail"]
+    frame = spark.createDataFrame([(1, " ".join(nested)), (2, "a b"), (3, " ".join([*k, "end"])), (4, None)], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, " ".join(k))], "item_id long, text string")
+    left = {r.doc_id: r.text and r.text.split() for r in decontaminate.remove_spans(frame, bench).collect()}
+    assert left == {1: ["tail"], 2: ["a", "b"], 3: ["end"], 4: None}
+
+
 def test_empty_tables(spark):
     docs, items = corpus()
     frame = spark.createDataFrame(docs, "doc_id long, text string")
