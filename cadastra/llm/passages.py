@@ -5,17 +5,20 @@ for each position c, whose range [l, r] is where c holds the least hash: all sub
 l <= i <= c <= j <= r share that min-hash. Nodes with a range of at least a passage's tokens are compact windows;
 they are found without building the tree's other nodes, from sliding minima and nearest smaller values.
 
-Windows of equal hash nominate pairs of texts: within a hash's group each text is compared with the one of the
-least id, never all with all. A pair's windows are joined as intervals over all hash functions and give the
-ranges to look at, if ``ENOUGH`` functions agree; there, the texts' tokens are aligned and a passage counts if its token sets reach the
-similarity. Windows that no verified passage covers try again without that least text, first with keys made
-narrower by a token at a distance, so that a frequent token's group falls apart. Each further round compares four times
-as many of a group's least texts with the others and takes them out, until no group has two texts: every two texts of
-a narrowed group are compared, unless a passage with another one explains a window.
-
-A passage of which a copy has the same tokens is nominated for certain. One of fifty words with a changed word is
-missed if fewer than ``ENOUGH`` of ``HASHES`` functions agree on it, in under one of a hundred cases; longer ones
-hold more windows.
+Windows of equal hash nominate pairs of texts in two phases:
+
+1. Within a hash's group each text meets the one of the least id. A pair's windows are joined as intervals over
+   all hash functions and give the ranges to look at, if ``ENOUGH`` functions agree; there, the texts' tokens are
+   aligned, and a passage counts if its token sets reach the similarity. Most copies are explained that way.
+2. A window that no verified passage covers, or that is covered by passages of another class than a member of its
+   group, meets all members of its group, narrowed by a second token ``ASIDE`` tokens away. Members come with their
+   tokens around the window, equal ones count once, and a task compares the others by their numbers of common tokens
+   before it aligns them. Groups beyond ``BLOCK`` members first lose those whose tokens no other member shares (what
+   is left of partial quotes), then they are dealt into blocks of which every two meet. No group is cut.
+
+Two passages with the same tokens have the same windows, so they meet for certain in phase 2 at the latest. One of
+fifty words with a changed word is missed if no function has its window and the token aside within what is alike, in
+under one of a hundred cases; longer ones hold more windows.
 """
 
 from __future__ import annotations
@@ -26,20 +29,22 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cadastra.llm.common import SLICE_BYTES, SPACED, Words, checkpoint, fresh, grams, mix32, mix64, release, squeezed, text_slices, unsqueezed, words_of, written
 from cadastra.llm.graph import components
 
-#: Hash functions, and how many must nominate a pair.
+#: Hash functions, and how many must nominate a pair in the first phase.
 HASHES, ENOUGH = 5, 2
 #: Tokens from a window's least one to those that narrow its key.
 ASIDE = 22
-#: Tokens that two aligned tokens may lie apart within a passage.
+#: Diagonals that neighbours of an alignment may lie apart, unless more than one token follows there.
 GAP = 14
 #: Members of a group that one task compares with the least text.
 TASK_MEMBERS = 64
+#: Members of a narrowed group that one task compares with each other.
+BLOCK = 512
 
 
 def _doubled(values: np.ndarray, most: int, pick) -> list[np.ndarray]:
@@ -70,31 +75,33 @@ def _centres(levels: list[np.ndarray], owner: np.ndarray, least: int) -> np.ndar
 def compact_windows(values: np.ndarray, bounds: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(l, c, r) of the nodes with at least ``least`` tokens in the Cartesian trees of texts end to end.
 
-    Of equal values the first is the upper node. ``values`` are unsigned and above 0. Ranges are followed for
-    2 ** 16 tokens from c at least, 2 ** 10 in very long texts; a wider one is cut.
+    Of equal values the first is the upper node. ``values`` are unsigned and above 0. The nearest smaller value beside
+    such a node is least in a run that reaches over the node's range, so ranges follow from the centres alone.
     """
     empty = (np.empty(0, np.int64),) * 3
     if len(values) < least:
         return empty
     owner = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
-    most = min(int(np.diff(bounds).max()).bit_length(), 10 if len(values) > 2_000_000 else 15)
-    levels = _doubled(values, max(most, least.bit_length() - 1), np.minimum)
-    centre = _centres(levels, owner, least)
+    centre = _centres(_doubled(values, least.bit_length() - 1, np.minimum), owner, least)
     if not len(centre):
         return empty
-    low, high = bounds[owner[centre]], bounds[owner[centre] + 1]
-    own, left, right = values[centre], centre.copy(), centre.copy()
+    of, own = owner[centre], values[centre]
+    texts = np.searchsorted(of, np.arange(len(bounds)))
+    low, high = texts[of], texts[of + 1]  # each text's centres
+    levels = _doubled(own, int(np.diff(texts).max()).bit_length(), np.minimum)
+    left, right = np.arange(len(centre)), np.arange(len(centre))
     for k in range(len(levels) - 1, -1, -1):
-        for _ in range(2 if k == len(levels) - 1 else 1):
-            step = 1 << k
-            ok = left - step >= low
-            ok[ok] = levels[k][left[ok] - step] > own[ok]
-            left[ok] -= step
-            ok = right + step < high
-            ok[ok] = levels[k][right[ok] + 1] >= own[ok]
-            right[ok] += step
-    wide = right - left + 1 >= least
-    return left[wide], centre[wide], right[wide]
+        step = 1 << k
+        ok = left - step >= low
+        ok[ok] = levels[k][left[ok] - step] > own[ok]
+        left[ok] -= step
+        ok = right + step < high
+        ok[ok] = levels[k][right[ok] + 1] >= own[ok]
+        right[ok] += step
+    l = np.where(left > low, centre[np.maximum(left, 1) - 1] + 1, bounds[of])
+    r = np.where(right + 1 < high, centre[np.minimum(right + 1, len(centre) - 1)] - 1, bounds[of + 1] - 1)
+    wide = r - l + 1 >= least
+    return l[wide], centre[wide], r[wide]
 
 
 def tokens_of(words: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -199,8 +206,7 @@ def shared_passages(a: np.ndarray, b: np.ndarray, least: int, percent: int) -> l
         return _aligned(a, b, at, place, least, percent)
     place = _continued(a, b, at, place)
     found = _aligned(a, b, at, place, least, percent)
-    step = np.diff(place)
-    if np.any((np.diff(at) <= GAP) & ((step < 0) | (step > GAP))):
+    if np.any(np.diff(place) < 0):
         # a token that recurs more often in one text leads the places astray; from the other end they meet again
         last = len(a) - 1 - np.unique(a[::-1], return_index=True)[1]
         back = len(a) - 1 - _continued(a[::-1], b[::-1], len(b) - 1 - at[::-1], len(a) - 1 - last[near[at]][::-1])[::-1]
@@ -210,42 +216,56 @@ def shared_passages(a: np.ndarray, b: np.ndarray, least: int, percent: int) -> l
 
 def _aligned(a: np.ndarray, b: np.ndarray, at: np.ndarray, place: np.ndarray, least: int, percent: int) -> list[tuple[int, int, int, int]]:
     """``shared_passages`` where the tokens of ``b`` at ``at`` are those of ``a`` at ``place``."""
-    step = np.diff(place)
-    cut = np.flatnonzero((np.diff(at) > GAP) | (step < 0) | (step > GAP)) + 1
-    out = []
-    for i, j in zip([0, *cut.tolist()], [*cut.tolist(), len(at)]):
-        begin, end = int(at[i]), int(at[j - 1]) + 1
+    diagonal = place - at
+    if len(at) > 2:  # a token by itself on a far diagonal is no part of what is around it
+        jump = np.abs(np.diff(diagonal)) > GAP
+        stray = np.append(jump, True) & np.insert(jump, 0, True)
+        at, place = at[~stray], place[~stray]
+    cut = np.flatnonzero(np.diff(place) < 0) + 1
+    out: list[tuple[int, int, int, int]] = []
+    parts = list(zip([0, *cut.tolist()], [*cut.tolist(), len(at)]))
+    while parts:
+        i, j = parts.pop()
+        if j - i < 2:
+            continue
+        x, y, begin, end = int(place[i]), int(place[j - 1]) + 1, int(at[i]), int(at[j - 1]) + 1
+        if end - begin >= least and y - x >= least and _alike(a[x:y], b[begin:end], percent):
+            out.append((x, y, begin, end))
+            continue
+        # matches u to v reach the similarity if score[v] >= score[u] + percent - 100; of each v the first such u
+        score = (100 + percent) * np.arange(j - i) - percent * (place[i:j] + at[i:j])
+        u = np.searchsorted(-np.minimum.accumulate(score), -(score + 100 - percent))
+        v = int(np.argmax(np.arange(j - i) - u))
+        u, v = i + int(u[v]), i + v
+        x, y = _widened(int(place[u]), int(place[v]) + 1, least, len(a))
+        begin, end = _widened(int(at[u]), int(at[v]) + 1, least, len(b))
         if end - begin < least:
-            if end - begin < 0.8 * least:
-                continue
-            spare = least - (end - begin)  # a change near an edge: the passage goes on for a few tokens
-            end = min(len(b), end + spare)
-            begin = max(0, end - least)
-            if end - begin < least:
-                continue
-        x, y = int(place[i]), int(place[j - 1]) + 1
-        own = np.unique(b[begin:end])
-        while x > 0 and y - x < end - begin and np.any(own == a[x - 1]):
-            x -= 1
-        while y < len(a) and y - x < end - begin and np.any(own == a[y]):
-            y += 1
-        x, y = _widened(x, y, least, len(a))
+            continue
         if _alike(a[x:y], b[begin:end], percent):
             out.append((x, y, begin, end))
-            continue
-        # not as a whole; its parts of the least length may be. Where tokens recur, the counts are a first guess
-        starts = np.arange(begin, end - least + 1)
-        low, high = np.searchsorted(at[i:j], starts) + i, np.searchsorted(at[i:j], starts + least) + i
-        common = high - low
-        span = np.maximum(place[np.maximum(high, 1) - 1] - place[np.minimum(low, len(at) - 1)] + 1, least)
-        guess = starts[(common > 0) & (100 * common >= percent * (least + span - common))]
-        for p, q in _merged(guess, least):
-            for p_, q_ in [(p, q)] if _check(a, b, at, place, i, j, p, q, least, percent) else _merged(
-                np.array([k for k in range(p, q - least + 1) if _check(a, b, at, place, i, j, k, k + least, least, percent)], np.int64), least
-            ):
-                inner = np.searchsorted(at[i:j], [p_, q_]) + i
-                u, v = _widened(int(place[inner[0]]), int(place[inner[1] - 1]) + 1, least, len(a))
-                out.append((u, v, p_, q_))
+            parts += [(i, u), (v + 1, j)]
+        else:
+            out += _by_windows(a, b, at, place, i, j, least, percent)
+    return out
+
+
+def _by_windows(a, b, at, place, i: int, j: int, least: int, percent: int) -> list[tuple[int, int, int, int]]:
+    """The passages of ``least`` tokens among matches i to j, adjoining ones as one: where tokens recur, positions that
+    match are no measure of sets that do."""
+    begin, end = int(at[i]), int(at[j - 1]) + 1
+    starts = np.arange(begin, end - least + 1)
+    low, high = np.searchsorted(at[i:j], starts) + i, np.searchsorted(at[i:j], starts + least) + i
+    common = high - low
+    span = np.maximum(place[np.maximum(high, 1) - 1] - place[np.minimum(low, len(at) - 1)] + 1, least)
+    guess = starts[(common > 0) & ((100 + percent) * common >= percent * (least + span))]
+    out = []
+    for p, q in _merged(guess, least):
+        for p_, q_ in [(p, q)] if _check(a, b, at, place, i, j, p, q, least, percent) else _merged(
+            np.array([k for k in range(p, q - least + 1) if _check(a, b, at, place, i, j, k, k + least, least, percent)], np.int64), least
+        ):
+            inner = np.searchsorted(at[i:j], [p_, q_]) + i
+            u, v = _widened(int(place[inner[0]]), int(place[inner[1] - 1]) + 1, least, len(a))
+            out.append((u, v, p_, q_))
     return out
 
 
@@ -375,50 +395,234 @@ def passages(documents: DataFrame, *, n: int = 5, words: int = 50, percent: int
     release(spark)
     rows = written(docs.mapInArrow(*_windows(n, least)).join(keys, "key"))
     release(spark)
-    found: DataFrame | None = None
-    held = docs
-    for round_ in itertools.count():
-        # a key's 1, 1, 4, 16 ... least ids are hubs: rounds grow with the logarithm of the largest group
-        ranks = rows.groupBy("key", "id").agg(F.min("l").alias("hub_l"), F.max("r").alias("hub_r"))
-        ranks = ranks.withColumn("rank", F.row_number().over(Window.partitionBy("key").orderBy("id")))
-        heads = written(ranks.where(F.col("rank") <= 4 ** max(0, round_ - 1)).select("key", F.col("id").alias("hub"), "hub_l", "hub_r"))
-        met = rows.join(heads, "key").where("id > hub")
-        # the interval join: what the windows of all hash functions say about a pair
-        pairs = met.groupBy("hub", "id").agg(
-            F.bit_count(F.bit_or(F.call_function("shiftleft", F.lit(1), F.col("key").bitwiseAND(F.lit(7)).cast("int")))).alias("hashes"), F.min("l").alias("from"), F.max("r").alias("to"), F.min("hub_l").alias("hub_from"), F.max("hub_r").alias("hub_to")
-        )
-        pairs = checkpoint(pairs.where(F.col("hashes") >= (ENOUGH if round_ == 0 else 1)))
-        parts = pairs.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / TASK_MEMBERS).alias("parts"))
-        tasks = checkpoint(pairs.join(parts, "hub").withColumn("task", F.xxhash64("hub", F.pmod(F.xxhash64("id", F.lit(5)), F.col("parts")))))
-        if tasks.isEmpty():
-            break
-        ids = written(tasks.select("id").unionByName(tasks.select(F.col("hub").alias("id"))).distinct())
-        if round_ == 0:
-            held = squeezed(docs.withColumn("text_hash", F.xxhash64("text")), "text")
-        texts = written(held.join(ids, "id", "left_semi"))
-        release(spark)
-        members = tasks.join(texts, "id").select("task", F.lit(1).alias("role"), "hub", "id", "text_hash", "from", "to", "text")
-        ahead = tasks.groupBy("task", "hub").agg(F.min("hub_from").alias("from"), F.max("hub_to").alias("to")).join(texts.withColumnRenamed("id", "hub"), "hub")
-        ahead = ahead.select("task", F.lit(0).alias("role"), "hub", F.col("hub").alias("id"), "text_hash", "from", "to", "text")
-        dealt = members.unionByName(ahead).mapInArrow(*_cut(n)).repartition("task").sortWithinPartitions("task", "role", "hub", "id")
-        spans = written(dealt.mapInArrow(*_verified(n, least, percent)))
-        release(spark)
-        found = spans if found is None else found.unionByName(spans)
-        # windows that no passage explains, without the hubs' own; from the second round under narrower keys
-        covered = spans.where("NOT first").select("hub", "id", "begin", "end").distinct()
-        explained = met.join(covered, ["hub", "id"]).where("c >= begin AND c < end").select("key", "id", "c").distinct()
-        left = rows.join(heads.select("key", F.col("hub").alias("id")), ["key", "id"], "left_anti").join(explained, ["key", "id", "c"], "left_anti")
-        left = written(left.join(_several(left.select("key", "id")), "key", "left_semi"))
-        if round_ == 0:
-            number = F.col("key").bitwiseAND(F.lit(7))
-            sides = F.array(*(F.when(F.col(s) != 0, F.xxhash64("key", F.lit(s), s).bitwiseAND(F.lit(~7)).bitwiseOR(number)) for s in ("left", "right")))
-            left = left.withColumn("key", F.explode(F.array_compact(sides)))
-            left = written(left.join(_several(left.select("key", "id")), "key", "left_semi"))
-            held = written(held.join(written(left.select("id").distinct()), "id", "left_semi"))  # later rounds need no others
-        rows = left
-    if found is None:
-        return spark.createDataFrame([], "hub long, id long, text_hash long, begin long, end long, first boolean")
-    return found.distinct()
+    # the least id of a key is its hub
+    heads = written(rows.groupBy("key").agg(F.min("id").alias("hub")))
+    ranges = rows.join(heads, "key").where("id = hub").groupBy("key").agg(F.min("l").alias("hub_l"), F.max("r").alias("hub_r"))
+    met = rows.join(heads.join(ranges, "key"), "key").where("id > hub")
+    # the interval join: what the windows of all hash functions say about a pair
+    function = F.col("key").bitwiseAND(F.lit(7)).cast("int")
+    pairs = met.groupBy("hub", "id").agg(
+        F.bit_count(F.bit_or(F.call_function("shiftleft", F.lit(1), function))).alias("hashes"), F.min("l").alias("from"), F.max("r").alias("to"), F.min("hub_l").alias("hub_from"), F.max("hub_r").alias("hub_to")
+    )
+    pairs = checkpoint(pairs.where(F.col("hashes") >= ENOUGH))
+    parts = pairs.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / TASK_MEMBERS).alias("parts"))
+    tasks = checkpoint(pairs.join(parts, "hub").withColumn("task", F.xxhash64("hub", F.pmod(F.xxhash64("id", F.lit(5)), F.col("parts")))))
+    ids = written(tasks.select("id").unionByName(tasks.select(F.col("hub").alias("id"))).distinct())
+    held = squeezed(docs.withColumn("text_hash", F.xxhash64("text")), "text")
+    texts = written(held.join(ids, "id", "left_semi"))
+    release(spark)
+    members = tasks.join(texts, "id").select("task", F.lit(1).alias("role"), "hub", "id", "text_hash", "from", "to", "text")
+    ahead = tasks.groupBy("task", "hub").agg(F.min("hub_from").alias("from"), F.max("hub_to").alias("to")).join(texts.withColumnRenamed("id", "hub"), "hub")
+    ahead = ahead.select("task", F.lit(0).alias("role"), "hub", F.col("hub").alias("id"), "text_hash", "from", "to", "text")
+    dealt = members.unionByName(ahead).mapInArrow(*_cut(n)).repartition("task").sortWithinPartitions("task", "role", "hub", "id")
+    spans = written(dealt.mapInArrow(*_verified(n, least, percent)))
+    release(spark)
+    return spans.unionByName(_second_phase(docs, rows, heads, spans, n, least, percent)).distinct()
+
+
+def _second_phase(docs: DataFrame, rows: DataFrame, heads: DataFrame, spans: DataFrame, n: int, least: int, percent: int) -> DataFrame:
+    """Spans of the pairs of texts in a narrowed group that ``spans`` leaves open: a window of one is in no span, or
+    the texts belong to different classes."""
+    spark = docs.sparkSession
+    links = checkpoint(spans.where("NOT first").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct())
+    roots = components(links).select(F.col("node").alias("id"), "root")
+    covered = spans.where("NOT first").select("id", "begin", "end").distinct()
+    explained = rows.select("id", "c").distinct().join(covered, "id").where("c >= begin AND c < end").select("id", "c", F.lit(True).alias("known")).distinct()
+    flagged = rows.join(heads, "key").join(explained, ["id", "c"], "left").join(roots, "id", "left")
+    sides = F.array(*(F.when(F.col(s) != 0, F.struct(F.xxhash64("key", F.lit(s), s).alias("sub"), F.lit(s == "right").alias("after"))) for s in ("left", "right")))
+    flagged = flagged.select("key", "id", "c", (F.col("known").isNotNull() | (F.col("id") == F.col("hub"))).alias("known"), F.coalesce("root", "id").alias("root"), F.explode(F.array_compact(sides)).alias("side"))
+    flagged = written(flagged.select("side.sub", "side.after", "key", "id", "c", "known", "root"))
+    groups = flagged.groupBy("sub").agg(F.count(F.lit(1)).alias("size"), F.bool_and("known").alias("all_known"), *(f(x).alias(f"{x}_{k}") for x in ("id", "root") for k, f in enumerate((F.min, F.max))))
+    groups = groups.where("id_0 <> id_1 AND (NOT all_known OR root_0 <> root_1)").select("sub", F.ceil(F.col("size") / BLOCK).alias("parts"))
+    live = written(flagged.join(groups, "sub"))
+    texts = written(squeezed(docs.withColumn("text_hash", F.xxhash64("text")), "text").join(live.select("id").distinct(), "id", "left_semi"))
+    release(spark)
+
+    def contexts(asked: DataFrame) -> DataFrame:
+        lists = asked.groupBy("id").agg(F.collect_list(F.struct("sub", "after", "key", "c", "known", "root", "parts")).alias("asked"))
+        return texts.join(lists, "id").select("id", "text_hash", "text", "asked").mapInArrow(*_contexts(n, least))
+
+    dealt = contexts(live.where("parts = 1")).withColumn("task", F.col("sub"))
+    if not (large := live.where("parts > 1")).isEmpty():
+        dealt = dealt.unionByName(_blocks(written(contexts(large)), least, percent))
+    dealt = dealt.select("task", "sub", "id", "text_hash", "at", "known", "root", "tokens").repartition("task").sortWithinPartitions("task", "sub", "id", "at")
+    found = written(dealt.mapInArrow(*_resolved(n, least, percent)))
+    release(spark)
+    return found
+
+
+def _blocks(rows: DataFrame, least: int, percent: int) -> DataFrame:
+    """Members of large groups, without those that share too few tokens with the rest of their group to be a passage,
+    in tasks for every two blocks of the group."""
+    each = rows.select("sub", "id", "at", "text_hash", F.explode(F.array_distinct(F.filter("tokens", lambda x: x != 0))).alias("token"))
+    common = each.groupBy("sub", "token").agg(F.min("id").alias("least_id"), F.max("id").alias("last_id")).where("least_id <> last_id").select("sub", "token")
+    # a stretch of ``least`` tokens of which only k differ shares at least its share of these k
+    enough = each.join(common, ["sub", "token"]).groupBy("sub", "id", "at", "text_hash").agg(F.count(F.lit(1)).alias("shared"))
+    kept = rows.join(enough, ["sub", "id", "at", "text_hash"]).where(F.col("shared") * 100 >= F.col("fewest") * percent)
+    counts = kept.groupBy("sub").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    kept = kept.join(counts, "sub").withColumn("own", F.pmod(F.xxhash64("id", "at"), F.col("blocks")).cast("int"))
+    kept = kept.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return kept.withColumn("task", F.xxhash64("sub", F.least("own", "other"), F.greatest("own", "other"))).drop("own", "other", "blocks", "shared")
+
+
+def _folded(tokens: np.ndarray) -> np.ndarray:
+    """Tokens in 32 bits, above 0."""
+    return np.maximum((tokens ^ (tokens >> np.uint64(32))).astype(np.uint32), 1)
+
+
+def _fewest(contexts: np.ndarray, least: int) -> np.ndarray:
+    """Of each row: the least number of distinct tokens in ``least`` tokens in a row that lie in the text."""
+    ordered = np.sort(contexts, axis=1)
+    simple = ~((ordered[:, 1:] == ordered[:, :-1]) & (ordered[:, 1:] != 0)).any(axis=1)
+    out = np.full(len(contexts), least, np.int32)
+    for i in np.flatnonzero(~simple):
+        row = contexts[i][contexts[i] != 0]
+        out[i] = min((len(np.unique(row[k : k + least])) for k in range(len(row) - least + 1)), default=len(np.unique(row)))
+    return out
+
+
+def _contexts(n: int, least: int):
+    """(id, text_hash, squeezed text, asked windows) -> a row for each window with the tokens around it.
+
+    A window narrowed by the token after it looks at the passages that hold both. ``at`` is the place of the first token,
+    0 stands for places beyond the text, ``fewest`` for the distinct tokens that a passage there has at least.
+    """
+    reach = least - 1
+    offsets = {True: np.arange(ASIDE - reach, reach + 1), False: np.arange(-reach, reach - ASIDE + 1)}
+    names = ["sub", "id", "text_hash", "at", "known", "root", "fewest", "tokens"]
+
+    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            asked = batch.column(3)
+            bounds = asked.offsets.to_numpy()
+            fields = {f.name: asked.values.field(f.name).to_numpy(zero_copy_only=False) for f in asked.type.value_type}
+            ids, prints = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            for i, tokens in enumerate(_batched(unsqueezed(batch.column(2)), n)):
+                ask = np.arange(bounds[i], bounds[i + 1])
+                c, key = fields["c"][ask].astype(np.int64), fields["key"][ask]
+                inside = c < len(tokens)
+                own = np.zeros(len(ask), np.int64)
+                for k in range(HASHES):
+                    of = inside & (key & 7 == k)
+                    own[of] = _keyed(tokens[c[of]], k)
+                good = inside & (own == key)  # else it is a window of another text with this id
+                padded = np.concatenate([np.zeros(reach, np.uint32), _folded(tokens), np.zeros(reach, np.uint32)])
+                for after, around in offsets.items():
+                    some = ask[good & (fields["after"][ask] == after)]
+                    if not len(some):
+                        continue
+                    places = fields["c"][some].astype(np.int64)
+                    contexts = padded[places[:, None] + (around + reach)]
+                    size = len(some)
+                    lists = pa.ListArray.from_arrays(pa.array(np.arange(0, contexts.size + 1, contexts.shape[1], dtype=np.int32)), pa.array(contexts.reshape(-1).view(np.int32)))
+                    columns = [fields["sub"][some], np.full(size, ids[i]), np.full(size, prints[i]), (places + around[0]).astype(np.int32), fields["known"][some], fields["root"][some], _fewest(contexts, least)]
+                    yield pa.RecordBatch.from_arrays([*map(pa.array, columns), lists], names=names)
+
+    return kernel, "sub long, id long, text_hash long, at int, known boolean, root long, fewest int, tokens array<int>"
+
+
+def _resolved(n: int, least: int, percent: int):
+    """Rows of ``_contexts`` with their task, a task's rows in a row, to passages in words."""
+
+    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in itertools.chain(batches, [None]):
+            if batch is not None:
+                held.append(batch)
+                if sum(map(len, held)) < 16 * BLOCK:
+                    continue
+            if not held:
+                continue
+            rows = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            tasks = rows.column(0).to_numpy()
+            whole = len(rows) if batch is None else int(np.flatnonzero(np.diff(tasks, prepend=tasks[0] ^ 1))[-1])  # the last task may go on
+            held = [rows.slice(whole)]
+            if whole and (out := _compared(rows.slice(0, whole), n, least, percent)):
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), _SPAN)], schema=_SPAN)
+
+    return kernel, "hub long, id long, text_hash long, begin long, end long, first boolean"
+
+
+def _compared(rows: pa.RecordBatch, n: int, least: int, percent: int) -> list[tuple]:
+    """The passages that members of a group (task) share: for each open pair, unless others link the two already and
+    cover their windows. Pairs with most in common come first, so that few are aligned in vain."""
+    ids, prints, at, known, root = (rows.column(k).to_numpy(zero_copy_only=False) for k in range(2, 7))
+    contexts = rows.column(7).flatten().to_numpy().view(np.uint32).reshape(len(ids), -1)
+    tasks = rows.column(0).to_numpy()
+    begins = np.concatenate([[0], np.flatnonzero(np.diff(tasks)) + 1])
+    group = np.repeat(np.arange(len(begins)), np.diff(begins, append=len(tasks)))
+    following = np.append(begins[1:], len(tasks))[group] - np.arange(len(tasks)) - 1
+    a = np.repeat(np.arange(len(tasks)), following)
+    b = a + 1 + np.arange(len(a)) - np.repeat(np.cumsum(following) - following, following)
+    keep = (ids[a] != ids[b]) & ~(known[a] & known[b] & (root[a] == root[b]))
+    a, b = a[keep], b[keep]
+    if not len(a):
+        return []
+    a, b, common = _fitting(contexts, group, begins, a, b, least, percent)
+    parent: dict[tuple, tuple] = {}
+
+    def top(x: tuple) -> tuple:
+        while (y := parent.get(x, x)) != x:
+            parent[x] = parent.get(y, y)
+            x = y
+        return x
+
+    out: list[tuple] = []
+    covered, roots, names, groups = known.tolist(), root.tolist(), ids.tolist(), group.tolist()
+    for k in np.argsort(-common, kind="stable").tolist():
+        i, j = sorted((int(a[k]), int(b[k])), key=names.__getitem__)
+        one, two = top((groups[i], roots[i])), top((groups[j], roots[j]))
+        if covered[i] and covered[j] and one == two:
+            continue
+        x, y = np.flatnonzero(contexts[i]), np.flatnonzero(contexts[j])
+        found = shared_passages(contexts[i][x], contexts[j][y], least, percent)
+        for p, q, begin, end in found:
+            for m, first, low, high, is_first in ((i, x, p, q, True), (j, y, begin, end, False)):
+                shift = int(at[m]) + int(first[0])
+                out.append((names[i], names[m], int(prints[m]), low + shift, high + shift + n - 1, is_first))
+        if found:
+            covered[i] = covered[j] = True
+            parent[max(one, two)] = min(one, two)
+    return out
+
+
+def _fitting(contexts: np.ndarray, group: np.ndarray, begins: np.ndarray, a: np.ndarray, b: np.ndarray, least: int, percent: int):
+    """Those of the pairs (a, b) of members that can have a passage, and how much they share: each has some stretch of
+    ``least`` tokens or more of which enough are anywhere in the other. Members with a token twice can always."""
+    width = contexts.shape[1]
+    values, codes = np.unique(group.astype(np.uint64)[:, None] << np.uint64(32) | contexts, return_inverse=True)
+    lows = np.searchsorted(values, np.arange(len(begins) + 1, dtype=np.uint64) << np.uint64(32))
+    codes = codes.reshape(contexts.shape) - lows[group][:, None]  # a group's tokens are numbered from 0
+    sizes = np.diff(lows)[group]
+    base = np.cumsum(sizes) - sizes
+    has = np.zeros(int(sizes.sum()), bool)
+    has[(base[:, None] + codes)[contexts != 0]] = True
+    fewest = _fewest(contexts, least)
+    simple = fewest == least
+    order = np.argsort(codes, 1, kind="stable")
+    first = np.ones(contexts.shape, bool)  # of equal tokens of a member, one counts
+    np.put_along_axis(first, order[:, 1:], np.diff(np.take_along_axis(codes, order, 1), axis=1) != 0, 1)
+    spare = width * (100 - percent) // (100 + percent) + 1  # what the longest stretch may have of its own
+    starts, ends = np.array([(i, j) for i in range(width + 1) for j in range(i + least, width + 1)]).T
+    enough = -(-2 * percent * (ends - starts) // (100 + percent))
+
+    def holds(one: np.ndarray, other: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        fits, total = np.zeros(len(one), bool), np.zeros(len(one), np.int16)
+        for low in range(0, len(one), 1 << 14):
+            of = slice(low, low + (1 << 14))
+            sums = np.zeros((len(one[of]), width + 1), np.int16)
+            inside = has[base[one[of]][:, None] + codes[other[of]]]
+            np.cumsum(inside, 1, out=sums[:, 1:])
+            total[of] = (inside & first[other[of]]).sum(1)
+            some = np.flatnonzero((sums[:, least:] - sums[:, : width + 1 - least]).max(1) >= least - spare)
+            fits[low + some] = (sums[some][:, ends] - sums[some][:, starts] >= enough).any(1)
+        both = simple[one] & simple[other]
+        return np.where(both, fits, (100 + percent) * total >= percent * (fewest[one] + fewest[other])), total
+
+    for _ in range(2):
+        fits, total = holds(a, b)
+        a, b, common = b[fits], a[fits], total[fits]
+    return a, b, common
 
 
 def _covered(spans):
