@@ -54,7 +54,7 @@ def test_long_lzw():
 
 
 @pytest.mark.parametrize("compression", [tiff.NONE, tiff.LZW, tiff.DEFLATE, tiff.PACKBITS])
-@pytest.mark.parametrize("predictor,tile", [(1, 0), (2, 0), (1, 16), (2, 32)])
+@pytest.mark.parametrize("predictor,tile", [(1, None), (2, None), (1, (16, 16)), (2, (16, 32))])
 def test_pages(compression, predictor, tile):
     rng = np.random.default_rng(3)
     pages = [rng.integers(0, 9, (h, w), np.uint8) for h, w in ((1, 1), (70, 33), (40, 64))]
@@ -94,6 +94,76 @@ def test_bad_files():
             list(tiff.read(bad))
 
 
+def plain_payload(data: bytes) -> tuple[bytes, int]:
+    """An independent reader of little-endian 8-bit grey TIFFs, by the format's description, a bit at a time for LZW."""
+
+    def unpack(raw, coding):
+        if coding == 8:
+            return zlib.decompress(raw)
+        out = bytearray()
+        if coding == 32773:
+            it = iter(raw)
+            for n in it:
+                if n < 128:
+                    out += bytes(next(it) for _ in range(n + 1))
+                elif n > 128:
+                    out += bytes([next(it)]) * (257 - n)
+            return bytes(out)
+        bits = int.from_bytes(raw, "big")
+        left, width, table, old = 8 * len(raw), 9, {}, None
+        while True:
+            left -= width
+            code = bits >> left & (1 << width) - 1
+            if code == 257:
+                return bytes(out)
+            if code == 256:
+                width, table, old = 9, {i: bytes([i]) for i in range(256)}, None
+                following = 258
+                continue
+            if old is not None:
+                table[following] = old + (table[code] if code in table else old)[:1]
+                following += 1
+                width = 9 if following < 511 else 10 if following < 1023 else 11 if following < 2047 else 12
+            old = table[code]
+            out += old
+
+    payload, at, coding = b"", struct.unpack_from("<I", data, 4)[0], None
+    while at:
+        (count,) = struct.unpack_from("<H", data, at)
+        tags = {}
+        for k in range(count):
+            tag, kind, n = struct.unpack_from("<HHI", data, at + 2 + 12 * k)
+            form = f"<{n}{'H' if kind == 3 else 'I'}"
+            place = at + 10 + 12 * k
+            tags[tag] = struct.unpack_from(form, data, place if struct.calcsize(form) <= 4 else struct.unpack_from("<I", data, place)[0])
+        at = struct.unpack_from("<I", data, at + 2 + 12 * count)[0]
+        coding = coding or tags[259][0]
+        offsets, sizes = (tags[324], tags[325]) if 322 in tags else (tags[273], tags[279])
+        assert tags[256] == (64,) and tags.get(322, (64,)) == (64,)
+        page = b"".join(unpack(data[a : a + n], tags[259][0]) for a, n in zip(offsets, sizes))
+        if tags[317][0] == 2:
+            rows = [list(page[k : k + 64]) for k in range(0, len(page), 64)]
+            for r in rows:
+                for x in range(1, 64):
+                    r[x] = (r[x] + r[x - 1]) % 256
+            page = b"".join(map(bytes, rows))
+        payload += page[: 64 * tags[257][0]]
+    return payload, coding
+
+
+def test_damaged_and_null_media(spark):
+    good = tiff.write([np.full((4, 64), 7, np.uint8), np.zeros((9, 64), np.uint8)], tiff.LZW)
+    circle = bytearray(good)
+    circle[-4:] = good[4:8]
+    rows = [("a", 0, good), ("b", 0, None), ("c", 0, b"no"), ("d", 0, bytes(circle)), ("e", 0, good[:-60]), ("f", 0, good)]
+    frame = spark.createDataFrame(rows, "doc_id string, PAGE int, media binary").coalesce(1)
+    found = [(r.doc_id, r.page_, r.error is None) for r in tiff.pages(frame).collect()]
+    assert found == [("a", 0, True), ("a", 1, True), ("b", 0, False), ("c", 0, False), ("d", 0, True), ("d", 1, True), ("d", 2, False), ("e", 0, True), ("e", 1, False), ("f", 0, True), ("f", 1, True)]
+    taken = {r.doc_id: r for r in tiff.features(frame.selectExpr("doc_id", "7L AS n_bytes", "media")).collect()}
+    assert {k for k, r in taken.items() if r.feature is not None} == {"a", "f"} and len(taken) == 6
+    assert taken["a"].payload_bytes == 13 * 64 and taken["b"].media_bytes is None and taken["c"].media_bytes == 2
+
+
 def test_query(spark):
     texts = [None, "", "a", "é" * 32, "x" * 63, "y" * 64, "z" * 65, "word " * 300, "long " * 200_000] + [f"text {i} " * (i * 9) for i in range(1, 40)]
     rows = [*enumerate(texts), (100, "word " * 300), (None, "n"), (5, "again")]
@@ -110,5 +180,13 @@ def test_query(spark):
     same = [tuple(r)[1:] for r in found if r.doc_id in (7, 100)]
     assert same[0] == same[1]
     assert {r.feature.split(";codec=")[1].split(";")[0] for r in found} == {"5", "8", "32773"}
+    kept = {(r.doc_id, r.media_sha256): (bytes(r.media), r.n_bytes) for r in media.selectExpr("doc_id", "sha2(media, 256) AS media_sha256", "media", "n_bytes").collect()}
+    for r in found:
+        raw, n_bytes = kept[r.doc_id, r.media_sha256]
+        payload, coding = plain_payload(raw)
+        assert hashlib.sha256(payload).hexdigest() == r.payload_sha256 and r.media_bytes == len(raw) and r.n_bytes == n_bytes
+        number = -(-len(payload) // (64 * 4096))
+        mode = max(range(256), key=lambda v: (payload.count(v), -v))
+        assert r.feature == f"pages={number};rows={len(payload) // 64};codec={coding};mean={sum(payload) * 1000 // len(payload)};levels={len(set(payload))};mode={mode}"
     assert tiff.pages(media).where("doc_id = 8").count() == 4
     assert tiff.features(tiff.store_texts(frame.limit(0))).count() == 0
