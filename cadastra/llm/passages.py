@@ -12,9 +12,10 @@ Windows of equal hash nominate pairs of texts in two phases:
    aligned, and a passage counts if its token sets reach the similarity. Most copies are explained that way.
 2. A window that no verified passage covers, or that is covered by passages of another class than a member of its
    group, meets all members of its group, narrowed by a second token ``ASIDE`` tokens away. Members come with their
-   tokens around the window, equal ones count once, and a task compares the others by their numbers of common tokens
-   before it aligns them. Groups beyond ``BLOCK`` members first lose those whose tokens no other member shares (what
-   is left of partial quotes), then they are dealt into blocks of which every two meet. No group is cut.
+   tokens around the window, and a task compares the others by their numbers of common tokens
+   before it aligns them. Groups beyond ``BLOCK`` members are dealt into blocks of which every two meet. Those of many
+   blocks first lose members that share too few tokens with the rest, as partial quotes do, which changes nothing but
+   their cost. No group is cut.
 
 Two passages with the same tokens have the same windows, so they meet for certain in phase 2 at the latest. One of
 fifty words with a changed word is missed if no function has its window and the token aside within what is alike, in
@@ -43,8 +44,10 @@ ASIDE = 22
 GAP = 14
 #: Members of a group that one task compares with the least text.
 TASK_MEMBERS = 64
-#: Members of a narrowed group that one task compares with each other.
-BLOCK = 512
+#: Members of a narrowed group that one task compares with each other, and pairs of them that it holds at once.
+BLOCK, PAIRS = 2048, 1 << 20
+#: Blocks of a group from which on members without a partner are looked for ahead of it.
+MANY_BLOCKS = 16
 
 
 def _doubled(values: np.ndarray, most: int, pick) -> list[np.ndarray]:
@@ -396,9 +399,9 @@ def passages(documents: DataFrame, *, n: int = 5, words: int = 50, percent: int
     rows = written(docs.mapInArrow(*_windows(n, least)).join(keys, "key"))
     release(spark)
     # the least id of a key is its hub
-    heads = written(rows.groupBy("key").agg(F.min("id").alias("hub")))
-    ranges = rows.join(heads, "key").where("id = hub").groupBy("key").agg(F.min("l").alias("hub_l"), F.max("r").alias("hub_r"))
-    met = rows.join(heads.join(ranges, "key"), "key").where("id > hub")
+    heads = rows.groupBy("key").agg(F.min(F.struct("id", "l")).alias("low"), F.min(F.struct("id", -F.col("r"))).alias("high"))
+    heads = written(heads.select("key", F.col("low.id").alias("hub"), F.col("low.l").alias("hub_l"), (-F.col("high").getField("col2")).alias("hub_r")))
+    met = rows.join(heads, "key").where("id > hub")
     # the interval join: what the windows of all hash functions say about a pair
     function = F.col("key").bitwiseAND(F.lit(7)).cast("int")
     pairs = met.groupBy("hub", "id").agg(
@@ -424,16 +427,24 @@ def _second_phase(docs: DataFrame, rows: DataFrame, heads: DataFrame, spans: Dat
     """Spans of the pairs of texts in a narrowed group that ``spans`` leaves open: a window of one is in no span, or
     the texts belong to different classes."""
     spark = docs.sparkSession
-    links = checkpoint(spans.where("NOT first").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct())
-    roots = components(links).select(F.col("node").alias("id"), "root")
-    covered = spans.where("NOT first").select("id", "begin", "end").distinct()
-    explained = rows.select("id", "c").distinct().join(covered, "id").where("c >= begin AND c < end").select("id", "c", F.lit(True).alias("known")).distinct()
-    flagged = rows.join(heads, "key").join(explained, ["id", "c"], "left").join(roots, "id", "left")
+    # a text's class is known by the least text it leads to in a few steps; two names for one class cost comparisons only
+    texts = spans.where("NOT first").groupBy("id").agg(F.min("hub").alias("root"), F.collect_set(F.struct("begin", "end")).alias("spans"))
+    for _ in range(2):
+        up = texts.select(F.col("id").alias("root"), F.col("root").alias("above"))
+        texts = checkpoint(texts.join(up, "root", "left").select("id", F.coalesce("above", "root").alias("root"), "spans"))
+    inside = F.coalesce(F.exists("spans", lambda s: (F.col("c") >= s["begin"]) & (F.col("c") < s["end"])), F.lit(False))
+    flagged = rows.join(heads.select("key", "hub"), "key").join(texts, "id", "left")
+    flagged = written(flagged.select("key", "id", "c", "left", "right", (inside | (F.col("id") == F.col("hub"))).alias("known"), F.coalesce("root", "id").alias("root")))
+
+    def open_(by: str, frame: DataFrame) -> DataFrame:
+        groups = frame.groupBy(by).agg(F.count(F.lit(1)).alias("size"), F.bool_and("known").alias("all_known"), *(f(x).alias(f"{x}_{k}") for x in ("id", "root") for k, f in enumerate((F.min, F.max))))
+        return groups.where("id_0 <> id_1 AND (NOT all_known OR root_0 <> root_1)").select(by, "size")
+
+    flagged = flagged.join(open_("key", flagged).select("key"), "key")
     sides = F.array(*(F.when(F.col(s) != 0, F.struct(F.xxhash64("key", F.lit(s), s).alias("sub"), F.lit(s == "right").alias("after"))) for s in ("left", "right")))
-    flagged = flagged.select("key", "id", "c", (F.col("known").isNotNull() | (F.col("id") == F.col("hub"))).alias("known"), F.coalesce("root", "id").alias("root"), F.explode(F.array_compact(sides)).alias("side"))
+    flagged = flagged.select("key", "id", "c", "known", "root", F.explode(F.array_compact(sides)).alias("side"))
     flagged = written(flagged.select("side.sub", "side.after", "key", "id", "c", "known", "root"))
-    groups = flagged.groupBy("sub").agg(F.count(F.lit(1)).alias("size"), F.bool_and("known").alias("all_known"), *(f(x).alias(f"{x}_{k}") for x in ("id", "root") for k, f in enumerate((F.min, F.max))))
-    groups = groups.where("id_0 <> id_1 AND (NOT all_known OR root_0 <> root_1)").select("sub", F.ceil(F.col("size") / BLOCK).alias("parts"))
+    groups = open_("sub", flagged).select("sub", F.ceil(F.col("size") / BLOCK).alias("parts"))
     live = written(flagged.join(groups, "sub"))
     texts = written(squeezed(docs.withColumn("text_hash", F.xxhash64("text")), "text").join(live.select("id").distinct(), "id", "left_semi"))
     release(spark)
@@ -442,27 +453,30 @@ def _second_phase(docs: DataFrame, rows: DataFrame, heads: DataFrame, spans: Dat
         lists = asked.groupBy("id").agg(F.collect_list(F.struct("sub", "after", "key", "c", "known", "root", "parts")).alias("asked"))
         return texts.join(lists, "id").select("id", "text_hash", "text", "asked").mapInArrow(*_contexts(n, least))
 
-    dealt = contexts(live.where("parts = 1")).withColumn("task", F.col("sub"))
-    if not (large := live.where("parts > 1")).isEmpty():
-        dealt = dealt.unionByName(_blocks(written(contexts(large)), least, percent))
+    dealt = _blocks(contexts(live.where(F.col("parts") <= MANY_BLOCKS)))
+    if not (large := live.where(F.col("parts") > MANY_BLOCKS)).isEmpty():
+        dealt = dealt.unionByName(_blocks(_able(written(contexts(large)), percent)))
     dealt = dealt.select("task", "sub", "id", "text_hash", "at", "known", "root", "tokens").repartition("task").sortWithinPartitions("task", "sub", "id", "at")
     found = written(dealt.mapInArrow(*_resolved(n, least, percent)))
     release(spark)
     return found
 
 
-def _blocks(rows: DataFrame, least: int, percent: int) -> DataFrame:
-    """Members of large groups, without those that share too few tokens with the rest of their group to be a passage,
-    in tasks for every two blocks of the group."""
-    each = rows.select("sub", "id", "at", "text_hash", F.explode(F.array_distinct(F.filter("tokens", lambda x: x != 0))).alias("token"))
+def _blocks(rows: DataFrame) -> DataFrame:
+    """Members of groups in tasks: a group of one block is one, else every two blocks of it."""
+    own = F.pmod(F.xxhash64("id", "at"), F.col("parts")).cast("int")
+    pairs = F.transform(F.sequence(F.lit(0), F.col("parts").cast("int") - 1), lambda k: F.xxhash64("sub", F.least(own, k), F.greatest(own, k)))
+    return rows.withColumn("task", F.explode(F.when(F.col("parts") == 1, F.array("sub")).otherwise(pairs)))
+
+
+def _able(rows: DataFrame, percent: int) -> DataFrame:
+    """Members of large groups that share as many tokens with the rest of their group as a passage asks for."""
+    member = ["sub", "id", "at", "text_hash"]
+    each = rows.select(*member, F.explode(F.array_distinct(F.filter("tokens", lambda x: x != 0))).alias("token"))
     common = each.groupBy("sub", "token").agg(F.min("id").alias("least_id"), F.max("id").alias("last_id")).where("least_id <> last_id").select("sub", "token")
-    # a stretch of ``least`` tokens of which only k differ shares at least its share of these k
-    enough = each.join(common, ["sub", "token"]).groupBy("sub", "id", "at", "text_hash").agg(F.count(F.lit(1)).alias("shared"))
-    kept = rows.join(enough, ["sub", "id", "at", "text_hash"]).where(F.col("shared") * 100 >= F.col("fewest") * percent)
-    counts = kept.groupBy("sub").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    kept = kept.join(counts, "sub").withColumn("own", F.pmod(F.xxhash64("id", "at"), F.col("blocks")).cast("int"))
-    kept = kept.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    return kept.withColumn("task", F.xxhash64("sub", F.least("own", "other"), F.greatest("own", "other"))).drop("own", "other", "blocks", "shared")
+    shared = each.join(common, ["sub", "token"]).groupBy(*member).agg(F.count(F.lit(1)).alias("shared"))
+    kept = rows.join(shared, member).where(F.col("shared") * 100 >= F.col("fewest") * percent).drop("shared")
+    return kept.drop("parts").join(kept.groupBy("sub").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("parts")), "sub").select(*rows.columns)
 
 
 def _folded(tokens: np.ndarray) -> np.ndarray:
@@ -489,7 +503,7 @@ def _contexts(n: int, least: int):
     """
     reach = least - 1
     offsets = {True: np.arange(ASIDE - reach, reach + 1), False: np.arange(-reach, reach - ASIDE + 1)}
-    names = ["sub", "id", "text_hash", "at", "known", "root", "fewest", "tokens"]
+    names = ["sub", "id", "text_hash", "at", "known", "root", "parts", "fewest", "tokens"]
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -515,10 +529,10 @@ def _contexts(n: int, least: int):
                     contexts = padded[places[:, None] + (around + reach)]
                     size = len(some)
                     lists = pa.ListArray.from_arrays(pa.array(np.arange(0, contexts.size + 1, contexts.shape[1], dtype=np.int32)), pa.array(contexts.reshape(-1).view(np.int32)))
-                    columns = [fields["sub"][some], np.full(size, ids[i]), np.full(size, prints[i]), (places + around[0]).astype(np.int32), fields["known"][some], fields["root"][some], _fewest(contexts, least)]
+                    columns = [fields["sub"][some], np.full(size, ids[i]), np.full(size, prints[i]), (places + around[0]).astype(np.int32), *(fields[f][some] for f in ("known", "root", "parts")), _fewest(contexts, least)]
                     yield pa.RecordBatch.from_arrays([*map(pa.array, columns), lists], names=names)
 
-    return kernel, "sub long, id long, text_hash long, at int, known boolean, root long, fewest int, tokens array<int>"
+    return kernel, "sub long, id long, text_hash long, at int, known boolean, root long, parts long, fewest int, tokens array<int>"
 
 
 def _resolved(n: int, least: int, percent: int):
@@ -529,7 +543,7 @@ def _resolved(n: int, least: int, percent: int):
         for batch in itertools.chain(batches, [None]):
             if batch is not None:
                 held.append(batch)
-                if sum(map(len, held)) < 16 * BLOCK:
+                if sum(map(len, held)) < 8192:
                     continue
             if not held:
                 continue
@@ -552,13 +566,23 @@ def _compared(rows: pa.RecordBatch, n: int, least: int, percent: int) -> list[tu
     begins = np.concatenate([[0], np.flatnonzero(np.diff(tasks)) + 1])
     group = np.repeat(np.arange(len(begins)), np.diff(begins, append=len(tasks)))
     following = np.append(begins[1:], len(tasks))[group] - np.arange(len(tasks)) - 1
-    a = np.repeat(np.arange(len(tasks)), following)
-    b = a + 1 + np.arange(len(a)) - np.repeat(np.cumsum(following) - following, following)
-    keep = (ids[a] != ids[b]) & ~(known[a] & known[b] & (root[a] == root[b]))
-    a, b = a[keep], b[keep]
-    if not len(a):
-        return []
-    a, b, common = _fitting(contexts, group, begins, a, b, least, percent)
+    can = _Contexts(contexts, group, len(begins), least, percent)
+    kept = []
+    totals = np.concatenate([[0], np.cumsum(following)])
+    row = 0
+    while row < len(tasks):  # some rows at a time, with those after them in their group
+        to = max(row + 1, int(np.searchsorted(totals, totals[row] + PAIRS, "right")) - 1)
+        many = following[row:to]
+        a = np.repeat(np.arange(row, to), many)
+        b = a + 1 + np.arange(len(a)) - np.repeat(np.cumsum(many) - many, many)
+        keep = (ids[a] != ids[b]) & ~(known[a] & known[b] & (root[a] == root[b]))
+        a, b = a[keep], b[keep]
+        for _ in range(2):
+            fits, common = can.hold(a, b)
+            a, b, common = b[fits], a[fits], common[fits]
+        kept.append((a, b, common))
+        row = to
+    a, b, common = (np.concatenate(x) for x in zip(*kept))
     parent: dict[tuple, tuple] = {}
 
     def top(x: tuple) -> tuple:
@@ -586,43 +610,45 @@ def _compared(rows: pa.RecordBatch, n: int, least: int, percent: int) -> list[tu
     return out
 
 
-def _fitting(contexts: np.ndarray, group: np.ndarray, begins: np.ndarray, a: np.ndarray, b: np.ndarray, least: int, percent: int):
-    """Those of the pairs (a, b) of members that can have a passage, and how much they share: each has some stretch of
-    ``least`` tokens or more of which enough are anywhere in the other. Members with a token twice can always."""
-    width = contexts.shape[1]
-    values, codes = np.unique(group.astype(np.uint64)[:, None] << np.uint64(32) | contexts, return_inverse=True)
-    lows = np.searchsorted(values, np.arange(len(begins) + 1, dtype=np.uint64) << np.uint64(32))
-    codes = codes.reshape(contexts.shape) - lows[group][:, None]  # a group's tokens are numbered from 0
-    sizes = np.diff(lows)[group]
-    base = np.cumsum(sizes) - sizes
-    has = np.zeros(int(sizes.sum()), bool)
-    has[(base[:, None] + codes)[contexts != 0]] = True
-    fewest = _fewest(contexts, least)
-    simple = fewest == least
-    order = np.argsort(codes, 1, kind="stable")
-    first = np.ones(contexts.shape, bool)  # of equal tokens of a member, one counts
-    np.put_along_axis(first, order[:, 1:], np.diff(np.take_along_axis(codes, order, 1), axis=1) != 0, 1)
-    spare = width * (100 - percent) // (100 + percent) + 1  # what the longest stretch may have of its own
-    starts, ends = np.array([(i, j) for i in range(width + 1) for j in range(i + least, width + 1)]).T
-    enough = -(-2 * percent * (ends - starts) // (100 + percent))
-
-    def holds(one: np.ndarray, other: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        fits, total = np.zeros(len(one), bool), np.zeros(len(one), np.int16)
+class _Contexts:
+    """Which tokens each member has, to tell what two members of a group have in common."""
+
+    def __init__(self, contexts: np.ndarray, group: np.ndarray, groups: int, least: int, percent: int):
+        self.least, self.percent, self.width = least, percent, contexts.shape[1]
+        values, codes = np.unique(group.astype(np.uint64)[:, None] << np.uint64(32) | contexts, return_inverse=True)
+        lows = np.searchsorted(values, np.arange(groups + 1, dtype=np.uint64) << np.uint64(32))
+        self.codes = codes.reshape(contexts.shape) - lows[group][:, None]  # a group's tokens are numbered from 0
+        sizes = np.diff(lows)[group]
+        self.base = np.cumsum(sizes) - sizes
+        self.has = np.zeros(int(sizes.sum()), bool)
+        self.has[(self.base[:, None] + self.codes)[contexts != 0]] = True
+        self.fewest = _fewest(contexts, least)
+        order = np.argsort(self.codes, 1, kind="stable")
+        self.first = np.ones(contexts.shape, bool)  # of equal tokens of a member, one counts
+        np.put_along_axis(self.first, order[:, 1:], np.diff(np.take_along_axis(self.codes, order, 1), axis=1) != 0, 1)
+        self.starts, self.ends = np.array([(i, j) for i in range(self.width + 1) for j in range(i + least, self.width + 1)]).T
+        self.enough = -(-2 * percent * (self.ends - self.starts) // (100 + percent))
+
+    def hold(self, one: np.ndarray, other: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of pairs of members: whether they can have a passage, and how many distinct tokens of ``other`` ``one`` has.
+
+        They can if ``other`` has a stretch of ``least`` tokens or more of which enough are anywhere in ``one``; where a member has
+        a token twice, if they have enough in common at all.
+        """
+        least, width, part = self.least, self.width, 100 + self.percent
+        spare = width * (100 - self.percent) // part + 1  # what the longest stretch may have of its own
+        fits, total = np.zeros(len(one), bool), np.zeros(len(one), np.int64)
         for low in range(0, len(one), 1 << 14):
             of = slice(low, low + (1 << 14))
             sums = np.zeros((len(one[of]), width + 1), np.int16)
-            inside = has[base[one[of]][:, None] + codes[other[of]]]
+            inside = self.has[self.base[one[of]][:, None] + self.codes[other[of]]]
             np.cumsum(inside, 1, out=sums[:, 1:])
-            total[of] = (inside & first[other[of]]).sum(1)
+            total[of] = (inside & self.first[other[of]]).sum(1)
             some = np.flatnonzero((sums[:, least:] - sums[:, : width + 1 - least]).max(1) >= least - spare)
-            fits[low + some] = (sums[some][:, ends] - sums[some][:, starts] >= enough).any(1)
-        both = simple[one] & simple[other]
-        return np.where(both, fits, (100 + percent) * total >= percent * (fewest[one] + fewest[other])), total
-
-    for _ in range(2):
-        fits, total = holds(a, b)
-        a, b, common = b[fits], a[fits], total[fits]
-    return a, b, common
+            fits[low + some] = (sums[some][:, self.ends] - sums[some][:, self.starts] >= self.enough).any(1)
+        fewest = self.fewest
+        simple = (fewest[one] == least) & (fewest[other] == least)
+        return np.where(simple, fits, part * total >= self.percent * (fewest[one] + fewest[other])), total
 
 
 def _covered(spans):
