@@ -13,7 +13,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StringType
+from pyspark.sql.types import BooleanType, DoubleType, StringType
 
 
 def _latin() -> tuple[str, str]:
@@ -173,3 +173,23 @@ def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
         return matcher.ratio()
 
     return pd.Series([ratio(x, y) for x, y in zip(a, b)], dtype="float64")
+
+
+def at_least_similar(cutoff: float):
+    """Whether the ``similarity`` of two strings reaches ``cutoff``; upper bounds of it are looked at first."""
+
+    @F.pandas_udf(BooleanType())
+    def reaches(a: pd.Series, b: pd.Series) -> pd.Series:
+        matcher = difflib.SequenceMatcher()
+
+        def one(x, y):
+            if x is None or y is None:
+                return False
+            if x == y:
+                return cutoff <= 1
+            matcher.set_seqs(x, y)
+            return matcher.real_quick_ratio() >= cutoff and matcher.quick_ratio() >= cutoff and matcher.ratio() >= cutoff
+
+        return pd.Series([one(x, y) for x, y in zip(a, b)], dtype="bool")
+
+    return reaches

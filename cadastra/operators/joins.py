@@ -104,9 +104,21 @@ def overlapping(a: DataFrame, b: DataFrame, by: list[str], *, high: float = 0.5,
 
 
 def within(inner: Column, outer: Column, slack: float = 0.004, high: float = 0.7) -> Column:
-    """Whether a box (a struct of x, y, w, h) lies in another, by a small slack, and is clearly less high."""
-    side = lambda p, s: (inner[p] >= outer[p] - slack) & (inner[p] + inner[s] <= outer[p] + outer[s] + slack)
-    return side("x", "w") & side("y", "h") & (inner["h"] < high * outer["h"])
+    """Whether a box (a struct of x, y, w, h) lies in another's height, by a small slack, is clearly less high, and has its
+    middle between the other's sides."""
+    middle = inner["x"] + inner["w"] / 2
+    tall = (inner["y"] >= outer["y"] - slack) & (inner["y"] + inner["h"] <= outer["y"] + outer["h"] + slack) & (inner["h"] < high * outer["h"])
+    return tall & (middle > outer["x"]) & (middle < outer["x"] + outer["w"])
+
+
+def boxes_within(inner: DataFrame, outer: DataFrame, by: list[str], *, slack: float = 0.004, high: float = 0.7, cell: float = 0.05) -> DataFrame:
+    """Pairs (inner_id, outer_id) of a page's boxes of which one lies ``within`` the other; they meet in strips."""
+    top = F.floor(F.col("y") / cell)
+    small = inner.select(*by, F.struct("id", "x", "y", "w", "h").alias("_in"), top.alias("_cell"))
+    strips = F.sequence(F.floor((F.col("y") - slack) / cell), F.floor((F.col("y") + F.col("h") + slack) / cell))
+    large = outer.select(*by, F.struct("id", "x", "y", "w", "h").alias("_out"), F.explode(strips).alias("_cell"))
+    met = small.join(large, [*by, "_cell"]).where(within(F.col("_in"), F.col("_out"), slack, high))
+    return met.select(F.col("_in.id").alias("inner_id"), F.col("_out.id").alias("outer_id"))
 
 
 def nearest_within(left: DataFrame, right: DataFrame, by: list[str], at: str, reach: float) -> DataFrame:

@@ -57,45 +57,61 @@ def stem_like(widths: DataFrame, *, least_height: int = 22, most_width: int = 15
     return size.join(stem, "id", "left").select("id", F.when(ok, F.col("stem")).alias("stem"))
 
 
-def gutter(boxes: DataFrame, by: list[str], *, low: float = 0.4, high: float = 0.6, steps: int = 200, most_width: float = 0.6) -> DataFrame:
-    """by and ``gutter``: the middle of the widest run of places that fewest boxes (x, w) cover, nearest the centre."""
-    place = lambda k: F.lit(low) + k * F.lit((high - low) / steps)
-    pages = boxes.select(*by).distinct().select(*by, F.explode(F.sequence(F.lit(0), F.lit(steps))).alias("k"))
-    narrow = boxes.where(F.col("w") < most_width)
-    first = F.greatest(F.ceil((F.col("x") - low) * steps / (high - low)), F.lit(0))
-    last = F.least(F.floor((F.col("x") + F.col("w") - low) * steps / (high - low)), F.lit(steps))
-    covered = narrow.where(first <= last).select(*by, F.explode(F.sequence(first, last)).alias("k")).groupBy(*by, "k").agg(F.count(F.lit(1)).alias("n"))
-    counts = pages.join(covered.withColumn("k", F.col("k").cast("int")), [*by, "k"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
-    free = counts.withColumn("least", F.min("n").over(Window.partitionBy(*by))).where("n = least")
+def gutter(boxes: DataFrame, by: list[str], *, low: int = 400, high: int = 600, per: int = 1000, most_width: float = 0.6) -> DataFrame:
+    """by and ``gutter``: the place between two columns of boxes (x, w).
+
+    Places are ``low`` to ``high``, in parts of 1 / ``per`` of the page. Of the runs of places that fewest boxes cover, edges not
+    counted, the one whose middle lies nearest the centre is the gutter, of two as near the left one. Boxes of
+    ``most_width`` and more, as headings are, don't count. Groups without boxes have no row.
+    """
+    place = lambda k: k / F.lit(float(per))
+    pages = boxes.select(*by).distinct().select(*by, F.explode(F.sequence(F.lit(low), F.lit(high))).alias("k"))
+    # two places more on either side than the edges say, then exactly those strictly inside
+    first = F.greatest(F.floor(F.col("x") * per).cast("int") - 1, F.lit(low))
+    last = F.least(F.ceil((F.col("x") + F.col("w")) * per).cast("int") + 1, F.lit(high))
+    near = boxes.where(F.col("w") < most_width).where(first <= last).select(*by, "x", "w", F.explode(F.sequence(first, last)).alias("k"))
+    covered = near.where((place(F.col("k")) > F.col("x")) & (place(F.col("k")) < F.col("x") + F.col("w"))).groupBy(*by, "k").agg(F.count(F.lit(1)).alias("n"))
+    counts = pages.join(covered, [*by, "k"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    free = counts.join(counts.groupBy(*by).agg(F.min("n").alias("least")), by).where("n = least")
     run = free.withColumn("run", F.col("k") - F.row_number().over(Window.partitionBy(*by).orderBy("k")))
     runs = run.groupBy(*by, "run").agg(F.min("k").alias("a"), F.max("k").alias("b"))
-    middle = place((F.col("a") + F.col("b")) / 2)
-    best = F.max_by(middle, F.struct(F.col("b") - F.col("a"), -F.abs(middle - 0.5), -F.col("a")))
-    return runs.groupBy(*by).agg(best.alias("gutter"))
+    middle = F.col("a") + F.col("b")  # twice, in parts
+    return runs.groupBy(*by).agg((F.min_by(middle, F.struct(F.abs(middle - per), middle)) / (2.0 * per)).alias("gutter"))
 
 
 def side(x: Column, w: Column, middle: Column | float = 0.5) -> Column:
     return F.when(x + w / 2 < middle, "left").otherwise("right")
 
 
+#: Letters of the two editions.
+ARABIC_LETTERS, LATIN_LETTERS = "\u0621-\u064A", "A-Za-z\u00C0-\u00FF\u0152\u0153"
+
+
 def plausible(text: Column, h: Column, arabic: bool, least_height: float = 0.008) -> Column:
-    """Whether a reading may be text of its script: high enough, at least two letters, none of the other script."""
-    other = r"[A-Za-z]" if arabic else r"\p{IsArabic}"
-    return (h >= least_height) & (F.length(F.regexp_replace(text, r"[^\p{L}]", "")) >= 2) & ~text.rlike(other)
+    """Whether a reading may be text of its edition: high enough, with two letters or more, all of the edition's own."""
+    letters = F.regexp_replace(text, r"[^\p{L}]", "")
+    return (h >= least_height) & letters.rlike(f"^[{ARABIC_LETTERS if arabic else LATIN_LETTERS}]{{2,}}$")
 
 
-def merged_passes(passes: list[DataFrame], by: list[str]) -> DataFrame:
+def merged_passes(passes: list[DataFrame], by: list[str], arabic: bool) -> DataFrame:
     """Readings (by, id, x, y, w, h, text) of the first pass, gaps filled from later ones, with ``alt``: the texts that
-    later passes read at the same place."""
-    from cadastra.operators.joins import overlapping
+    later passes read at the same place.
+
+    A box around two or more boxes of a later pass goes, as that pass reads its lines one by one. What a later pass alone
+    has is taken if it is plausible. Ids are unique over all passes.
+    """
+    from cadastra.operators.joins import boxes_within, overlapping
 
-    merged = passes[0].withColumn("alt", F.array().cast("array<string>"))
+    none = F.array().cast("array<string>")
+    merged = passes[0].withColumn("alt", none)
     for later in passes[1:]:
+        around = boxes_within(later, merged, by).groupBy(F.col("outer_id").alias("id")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        merged = merged.join(around, "id", "left_anti").select(*merged.columns)
         met = overlapping(merged, later, by)
         texts = met.join(later.select(F.col("id").alias("b_id"), "text"), "b_id").groupBy("a_id").agg(F.array_sort(F.collect_list("text")).alias("_more"))
-        filled = later.join(met.select(F.col("b_id").alias("id")).distinct(), "id", "left_anti").withColumn("alt", F.array().cast("array<string>"))
+        alone = later.where(plausible(F.col("text"), F.col("h"), arabic)).join(met.select(F.col("b_id").alias("id")).distinct(), "id", "left_anti")
         joined = merged.join(texts, merged["id"] == texts["a_id"], "left").drop("a_id")
-        merged = joined.withColumn("alt", F.concat("alt", F.coalesce("_more", F.array().cast("array<string>")))).drop("_more").unionByName(filled.select(passes[0].columns + ["alt"]))
+        merged = joined.withColumn("alt", F.concat("alt", F.coalesce("_more", none))).drop("_more").unionByName(alone.withColumn("alt", none).select(passes[0].columns + ["alt"]))
     return merged
 
 

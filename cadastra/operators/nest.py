@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import os
+import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -64,15 +66,48 @@ def lookup(documents: DataFrame, path: str, base: str = "") -> DataFrame:
     return documents.where(F.col("path") == wanted)
 
 
-def published(documents: DataFrame, folder: str) -> int:
-    """Writes each document to a file below ``folder``, from the tasks; ``folder`` is one that all of them reach."""
-    def write(rows) -> None:
-        for r in rows:
-            target = os.path.join(folder, r.path)
-            os.makedirs(os.path.dirname(target), exist_ok=True)
-            with open(f"{target}.part", "w", encoding="utf-8", newline="") as file:
-                file.write(r.body)
-            os.replace(f"{target}.part", target)
-
-    documents.select("path", "body").foreachPartition(write)
-    return documents.count()
+def answered(requests: DataFrame, documents: DataFrame, *, base: str = "") -> DataFrame:
+    """``requests`` (method, path) with status, location and body, as a server of ``documents`` under ``base`` answers.
+
+    Only GET and HEAD are allowed (405 otherwise); the base without its last slash leads to the index with it (302); a
+    path without a document is not found (404). A HEAD, and all but 200, has no body.
+    """
+    root = "/" + base.strip("/") + ("/" if base.strip("/") else "")
+    inside = F.col("path").startswith(root)
+    wanted = F.when(inside, F.expr(f"substring(path, {len(root) + 1})"))
+    rows = requests.withColumn("_wanted", F.when(wanted == "", "index.json").otherwise(wanted))
+    joined = rows.join(documents.select(F.col("path").alias("_wanted"), F.col("body").alias("_body")), "_wanted", "left")
+    bare = F.lit(root != "/") & (F.col("path") == root.rstrip("/"))
+    status = F.when(~F.coalesce(F.col("method").isin("GET", "HEAD"), F.lit(False)), 405).when(bare, 302).when(F.col("_body").isNull(), 404).otherwise(200)
+    full = joined.withColumn("status", status).withColumn("location", F.when(F.col("status") == 302, F.lit(root)))
+    return full.withColumn("body", F.when((F.col("status") == 200) & (F.col("method") == "GET"), F.col("_body"))).drop("_wanted", "_body")
+
+
+def published(documents: DataFrame, folder: str, *, wipe: bool = False) -> int:
+    """Writes each document to a file below ``folder``, a path or URI that all tasks reach, and returns their number.
+
+    ``wipe`` empties the folder first, so that no file of an earlier run stays. Files appear whole: each is written
+    under another name and moved, so a task that runs again does no harm.
+    """
+    from pyarrow import fs
+
+    uri = folder if "://" in folder else os.path.abspath(folder)
+    system, root = fs.FileSystem.from_uri(uri)
+    system.create_dir(root, recursive=True)
+    if wipe:
+        system.delete_dir_contents(root)
+
+    def write(batches):
+        system, root = fs.FileSystem.from_uri(uri)
+        for batch in batches:
+            paths, bodies = (batch.column(k).to_pylist() for k in (0, 1))
+            for path, body in zip(paths, bodies):
+                target = f"{root}/{path}"
+                system.create_dir(target.rsplit("/", 1)[0], recursive=True)
+                part = f"{target}.{uuid.uuid4().hex}.part"
+                with system.open_output_stream(part) as file:
+                    file.write((body or "").encode())
+                system.move(part, target)
+            yield pa.RecordBatch.from_arrays([pa.array([len(paths)], pa.int64())], names=["n"])
+
+    return documents.select("path", "body").mapInArrow(write, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]

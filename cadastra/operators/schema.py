@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cadastra.operators.storage import kept
+
 
 def edges_of(definitions: dict) -> list[tuple[str, str]]:
     """(definition, definition it refers to)."""
@@ -20,13 +22,18 @@ def edges_of(definitions: dict) -> list[tuple[str, str]]:
     return [(name, r) for name, body in definitions.items() for r in sorted(refs(body))]
 
 
-def closure(spark: SparkSession, edges: DataFrame, start: str) -> DataFrame:
-    """(name): ``start`` and all that it refers to, directly or not. ``edges``: name, ref."""
-    edges.createOrReplaceTempView("_schema_edges")
-    return spark.sql(
-        "WITH RECURSIVE reached(name, depth) AS (SELECT :start, 0 UNION ALL SELECT ref, depth + 1 FROM reached JOIN _schema_edges USING (name) WHERE depth < 32) SELECT DISTINCT name FROM reached",
-        args={"start": start},
-    )
+def closure(edges: DataFrame, start: DataFrame) -> DataFrame:
+    """(name): what ``start`` (name) has and all that it refers to, directly or not. ``edges``: name, ref.
+
+    Each round follows only what the last one has found, until it finds nothing new: chains of any length end, and
+    circles as well. Null names are left out.
+    """
+    links = edges.select("name", "ref").where("name IS NOT NULL AND ref IS NOT NULL").distinct()
+    reached = found = kept(start.select("name").where("name IS NOT NULL").distinct())
+    while not found.isEmpty():
+        found = kept(found.join(links, "name").select(F.col("ref").alias("name")).distinct().join(reached, "name", "left_anti"))
+        reached = kept(reached.unionByName(found))
+    return reached
 
 
 def with_definitions(definitions: dict, root: dict) -> dict:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import bisect
 from collections.abc import Iterator
 
 import pandas as pd
@@ -108,47 +109,47 @@ def unanimous(frame: DataFrame, by: list[str], value: Column, known: DataFrame |
     return agreed if known is None else agreed.join(known.select(F.col(known.columns[0]).alias("agreed")), "agreed", "left_semi").select(*by, "agreed")
 
 
-def aligned(left: DataFrame, right: DataFrame, by: list[str], order: str, text: str, cutoff: float = 0.8) -> DataFrame:
-    """by, l_order, r_order: the longest alignment in order of rows that have an equal ``number`` and similar texts.
+def longest_chain(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Of ``pairs`` as many as rise in both numbers; of chains as long, the one whose pairs come first.
 
-    Dynamic programming over a group's two lists, which must fit a task: lists of a document, not of a corpus.
+    Patience from the last pair back: ``tails[k]`` has the largest second number that begins a chain of k + 1 pairs.
     """
-    import difflib
-
-    keys = ", ".join(f"`{c}` {left.schema[c].dataType.simpleString()}" for c in by)
-
-    def alike(matcher: difflib.SequenceMatcher, other: str) -> bool:
-        if other == matcher.b:
-            return cutoff <= 1.0
-        matcher.set_seq1(other)  # bounds of the ratio first
-        return matcher.real_quick_ratio() >= cutoff and matcher.quick_ratio() >= cutoff and matcher.ratio() >= cutoff
-
-    def align(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        if a.empty or b.empty:
-            return pd.DataFrame(columns=[*by, "l_order", "r_order"])
-        a, b = a.sort_values(order), b.sort_values(order)
-        rows, columns = list(a.itertuples(index=False)), list(b.itertuples(index=False))
-        same = [[False] * len(columns) for _ in rows]
-        for j, y in enumerate(columns):
-            matcher = difflib.SequenceMatcher(None, "", getattr(y, text))  # keeps what it knows of its second text
-            for i, x in enumerate(rows):
-                if x.number == y.number:
-                    same[i][j] = alike(matcher, getattr(x, text))
-        best = [[0] * (len(columns) + 1) for _ in range(len(rows) + 1)]
-        for i in range(len(rows) - 1, -1, -1):
-            for j in range(len(columns) - 1, -1, -1):
-                best[i][j] = max(best[i + 1][j], best[i][j + 1], best[i + 1][j + 1] + 1 if same[i][j] else 0)
-        out, i, j = [], 0, 0
-        while i < len(rows) and j < len(columns):
-            if same[i][j] and best[i][j] == best[i + 1][j + 1] + 1:
-                out.append((*(getattr(rows[i], c) for c in by), getattr(rows[i], order), getattr(columns[j], order)))
-                i, j = i + 1, j + 1
-            elif best[i + 1][j] >= best[i][j + 1]:
-                i += 1
-            else:
-                j += 1
-        return pd.DataFrame(out, columns=[*by, "l_order", "r_order"])
-
-    kept = [*by, order, "number", text]
-    renamed = right.select(*(F.col(c).alias(c) for c in kept))  # both sides may come from one frame
-    return left.select(*kept).groupBy(*by).cogroup(renamed.groupBy(*by)).applyInPandas(align, f"{keys}, l_order long, r_order long")
+    tails: list[int] = []  # negated, so that they rise
+    length: dict[tuple[int, int], int] = {}
+    for l, r in sorted(set(pairs), key=lambda p: (-p[0], p[1])):
+        k = bisect.bisect_left(tails, -r)
+        tails[k : k + 1] = [-r]
+        length[l, r] = k + 1
+    chain: list[tuple[int, int]] = []
+    for l, r in sorted(length):
+        if length[l, r] == len(tails) - len(chain) and (not chain or (l > chain[-1][0] and r > chain[-1][1])):
+            chain.append((l, r))
+    return chain
+
+
+def aligned(left: DataFrame, right: DataFrame, by: list[str], order: str, text: str, *, cutoff: float) -> DataFrame:
+    """by, l_order, r_order: the longest alignment in order of rows with an equal ``number`` whose texts, blanks left
+    out, have a ratio of at least ``cutoff``.
+
+    Rows meet in a join by group and number, those whose lengths rule the ratio out are dropped before they are
+    compared, and each group's longest chain is found over the pairs that are left, by patience. A null text is
+    empty, two empty ones are alike; rows with a null number or order are left out. No pairs give no rows.
+    """
+    from cadastra.functions.text import at_least_similar
+
+    def side(frame: DataFrame, name: str) -> DataFrame:
+        bare = F.regexp_replace(F.coalesce(text, F.lit("")), r"\s+", "")
+        return frame.where(F.col(order).isNotNull()).select(*by, "number", F.col(order).cast("long").alias(f"{name}_order"), bare.alias(f"_{name}"))
+
+    met = side(left, "l").join(side(right, "r"), [*by, "number"])
+    a, b = F.length("_l"), F.length("_r")
+    near = met.where((a + b == 0) | (2 * F.least(a, b) >= cutoff * (a + b)))
+    alike = near.where(at_least_similar(cutoff)(F.col("_l"), F.col("_r")))
+    pairs = alike.select(*by, "l_order", "r_order").distinct()
+    schema = pairs.schema
+
+    def chain(pdf: pd.DataFrame) -> pd.DataFrame:
+        kept = longest_chain(list(zip(pdf["l_order"].tolist(), pdf["r_order"].tolist())))
+        return pd.DataFrame([(*pdf[by].iloc[0], l, r) for l, r in kept], columns=[*by, "l_order", "r_order"])
+
+    return pairs.groupBy(*by).applyInPandas(chain, schema)

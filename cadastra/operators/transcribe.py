@@ -8,18 +8,16 @@ from pyspark.sql import functions as F
 from cadastra.functions.text import letters_only, squeezed
 from cadastra.operators.checks import require_none, require_unique
 
-#: Heights are shares of a page: where the foot begins, how far characters of a line and words of a line lie apart.
-FOOT, LINE, GAP = 0.9, 0.006, 0.003
-
-
-def lines_of(characters: DataFrame, *, foot: float = FOOT, line: float = LINE) -> DataFrame:
-    """Characters (page, i, x, y, w, h, c) with ``line``: those whose middles follow each other closely. A character that
-    is there twice, as ligatures are, counts once; the running foot is left out."""
-    rows = characters.withColumn("mid", F.col("y") + F.col("h") / 2).where(F.col("mid") < foot)
-    once = rows.withColumn("_n", F.row_number().over(Window.partitionBy("page", "x", "y", "w", "h", "c").orderBy("mid", "i"))).where("_n = 1").drop("_n")
-    w = Window.partitionBy("page").orderBy("mid", "i")
+def lines_of(characters: DataFrame, by: list[str], *, foot: float, line: float) -> DataFrame:
+    """Characters (by, page, i, x, y, w, h, c) with ``line``: those whose middles follow each other within ``line``. A
+    character that is there twice, as ligatures are, counts once; what lies from ``foot`` on, the running foot, is left
+    out. Heights are shares of a page."""
+    page = [*by, "page"]
+    middle = F.col("y") + F.col("h") / 2
+    shown = characters.where(middle < foot).groupBy(*page, "x", "y", "w", "h", "c").agg(F.min("i").alias("i")).withColumn("mid", middle)
+    w = Window.partitionBy(*page).orderBy("mid", "i")
     begins = F.coalesce(F.col("mid") - F.lag("mid").over(w) >= line, F.lit(True))
-    return once.withColumn("line", F.sum(begins.cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    return shown.withColumn("line", F.sum(begins.cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
 
 
 def _word(characters: DataFrame, by: list[str], rtl: bool, name: str, gap: float) -> DataFrame:
@@ -31,37 +29,46 @@ def _word(characters: DataFrame, by: list[str], rtl: bool, name: str, gap: float
     return rows.groupBy(*by).agg(F.trim(F.regexp_replace(text, "ـ", "")).alias(name))
 
 
-def code_rows(characters: DataFrame, *, furniture: str = "suite|Commune", gap: float = GAP) -> DataFrame:
-    """(page, line, province, code, fr, ar) of a printed table of codes.
+def code_rows(characters: DataFrame, by: list[str], *, furniture: str, foot: float, line: float, gap: float) -> DataFrame:
+    """(by, page, line, province, code, fr, ar) of printed tables of codes, one for each document (``by``).
 
     One or two digits on a line are a heading, four are a row: its code, the French name to the left of the digits and
-    the Arabic one to the right. A row under another heading, and a code printed twice, are errors.
+    the Arabic one to the right; characters more than ``gap`` apart are words. Lines like ``furniture`` are no part of the
+    table. A row under another heading, and a code that a document prints twice, are errors.
     """
-    rows = lines_of(characters)
-    digit = F.col("c").rlike("^[0-9]$")
-    ordered = lambda what: F.array_join(F.transform(F.array_sort(F.collect_list(what)), lambda s: s["c"]), "")
-    place = F.struct("x", "c")
-    lines = rows.groupBy("page", "line").agg(ordered(place).alias("text"), ordered(F.when(digit, place)).alias("digits"), F.min(F.when(digit, F.col("x"))).alias("left"), F.max(F.when(digit, F.col("x") + F.col("w"))).alias("right"))
-    lines = lines.where(~F.col("text").rlike(furniture))
-    heading = F.when(F.length("digits").isin(1, 2), F.lpad("digits", 2, "0"))
-    pages = Window.orderBy("page", "line").rowsBetween(Window.unboundedPreceding, 0)  # one printed list, its lines in one order
-    found = lines.withColumn("province", F.last(heading, ignorenulls=True).over(pages)).where(F.length("digits") == 4)
-    require_none(found.where("province IS NULL OR substring(digits, 1, 2) <> province").select("page", "digits", "province"), "a code under the heading of another province")
-    require_unique(found, ["digits"], "a code is printed twice")
-    names = rows.where(~digit).join(found.select("page", "line", "left", "right"), ["page", "line"])
-    fr = _word(names.where("x < left"), ["page", "line"], False, "fr", gap)
-    ar = _word(names.where("x >= right"), ["page", "line"], True, "ar", gap)
-    joined = found.join(fr, ["page", "line"], "left").join(ar, ["page", "line"], "left")
-    return joined.select("page", "line", "province", F.col("digits").alias("code"), F.coalesce("fr", F.lit("")).alias("fr"), F.coalesce("ar", F.lit("")).alias("ar"))
+    rows = lines_of(characters, by, foot=foot, line=line).withColumn("digit", F.col("c").rlike("^[0-9]$"))
+    place, where = F.struct("x", "c"), [*by, "page", "line"]
+    text = lambda items: F.array_join(F.array_sort(items).getField("c"), "")
+    numbers = F.when(F.col("digit"), place)
+    lines = rows.groupBy(*where).agg(F.collect_list(place).alias("every"), F.collect_list(numbers).alias("numbers"), F.min(numbers).alias("first"), F.max(F.when(F.col("digit"), F.col("x") + F.col("w"))).alias("right"))
+    lines = lines.select(*where, text(F.col("every")).alias("text"), text(F.col("numbers")).alias("digits"), F.col("first.x").alias("left"), "right")
+    shown = lines.where(~F.col("text").rlike(furniture))
+    heading = F.when(F.length("digits").between(1, 2), F.lpad("digits", 2, "0"))
+    so_far = Window.partitionBy(*by).orderBy("page", "line").rowsBetween(Window.unboundedPreceding, 0)
+    found = shown.withColumn("province", F.last(heading, ignorenulls=True).over(so_far)).where(F.length("digits") == 4)
+    require_none(found.where("province IS NULL OR NOT startswith(digits, province)").select("page", "digits", "province"), "a code under the heading of another province")
+    require_unique(found, [*by, "digits"], "a code is printed twice")
+    names = rows.where(~F.col("digit")).join(found.select(*where, "left", "right"), where)
+    fr = _word(names.where("x < left"), where, False, "fr", gap)
+    ar = _word(names.where("x >= right"), where, True, "ar", gap)
+    joined = found.join(fr, where, "left").join(ar, where, "left")
+    return joined.select(*where, "province", F.col("digits").alias("code"), F.coalesce("fr", F.lit("")).alias("fr"), F.coalesce("ar", F.lit("")).alias("ar"))
 
 
 def numbered_items(frame: DataFrame, body: str) -> DataFrame:
-    """``frame`` with a row for each item of ``body`` ("1. A ; 2 B ; 3. C."): number and name; other parts are left out."""
-    end = r"\.\s*»|»\s*\.|\.\s*(?=«|Art\b)|\.\s*$|(?<!\d)\.(?=\s)"
-    parts = F.split(F.split(F.trim(body), end, 2)[0], ";")
-    item = r"^\s*(\d{1,2})\s*\.?\s+(.+?)\s*$"
-    rows = frame.withColumn("_part", F.explode(parts)).where(F.col("_part").rlike(item))
-    return rows.withColumn("number", F.regexp_extract("_part", item, 1).cast("int")).withColumn("name", F.regexp_extract("_part", item, 2)).drop("_part")
+    """``frame`` with a row for each item of ``body`` ("1. A ; 2 B ; 3. C."): number and name; other parts are left out.
+
+    As printed, semicolons part the items, an item is a number of one or two digits, with or without a full stop, and a
+    name, and the list ends with a full stop: one that no digit precedes and a blank follows, or one ahead of a
+    guillemet, of the next article or of the end, or one after a guillemet. What follows the list is left out.
+    """
+    stop = r"(?<=»)\s*\.|\.(?=\s*(?:[«»]|Art\b|\z))|(?<![0-9])\.(?=\s)"
+    listed = F.regexp_extract(F.trim(body), rf"(?s)\A(.*?)(?:{stop}|\z)", 1)
+    parts = F.transform(F.split(listed, ";"), lambda p: F.trim(F.regexp_replace(p, r"\s+", " ")))
+    rows = frame.withColumn("_part", F.explode(parts))
+    number, name = F.regexp_extract("_part", "^[0-9]+", 0), F.regexp_replace("_part", r"^[0-9]+ ?\.? ", "")
+    rows = rows.withColumn("number", F.when(F.length(number).between(1, 2), number).cast("int")).withColumn("name", F.when(name != F.col("_part"), name))
+    return rows.where("number IS NOT NULL AND name <> ''").drop("_part")
 
 
 def incomplete(items: DataFrame, lists: DataFrame, by: list[str]) -> DataFrame:
@@ -129,8 +136,16 @@ def neighbourhoods(rows: DataFrame, by: list[str], order: str, value: str) -> Da
     return rows.withColumn("before", F.lag(value).over(w)).withColumn("after", F.lead(value).over(w))
 
 
+#: Kinds of changes that ask for a release (fixed values of the convention for titles).
+RELEASED = ("feat", "fix", "perf", "revert")
+
+
 def releases(title: Column) -> Column:
-    """Whether a change of this title asks for a release: a feature, a fix, a speed-up, a revert, or a breaking change."""
-    shape = r"^(\w+)(?:\([\w./-]+\))?(!)?: \S.*$"
-    kind, breaking = F.regexp_extract(F.trim(title), shape, 1), F.regexp_extract(F.trim(title), shape, 2)
-    return (kind != "") & (kind.isin("feat", "fix", "perf", "revert") | (breaking == "!"))
+    """Whether a change of this title ("kind(scope)!: what it does") asks for a release: a kind that does, or a mark of
+    a breaking change. Titles of another form don't."""
+    head = F.substring_index(F.trim(title), ": ", 1)
+    named = F.trim(title).startswith(F.concat(head, F.lit(": "))) & (F.length(F.trim(title)) > F.length(head) + 2)
+    breaking = head.endswith("!")
+    plain = F.regexp_replace(head, "!$", "")
+    kind = F.regexp_replace(plain, r"\([A-Za-z0-9_./-]+\)$", "")
+    return named & kind.rlike("^[A-Za-z0-9_]+$") & (breaking | kind.isin(*RELEASED))

@@ -4,6 +4,8 @@ import random
 from bisect import bisect_right
 
 import pytest
+from hypothesis import given
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from cadastra.operators import checks, joins, layout, nest, schema, sequence
@@ -73,8 +75,8 @@ def test_boxes_and_nearest_against_all_pairs(spark):
     assert rows(joins.overlapping(frame, frame, ["page"])) == sorted(wanted, key=repr)
     near = [(a[1], a[0], b[0]) for a in boxes for b in boxes if a[1] == b[1] and abs(a[3] - b[3]) < 0.03]
     assert rows(joins.nearest_within(frame, frame, ["page"], "y", 0.03)) == sorted(near, key=repr)
-    one = spark.createDataFrame([((0.1, 0.1, 0.1, 0.05), (0.098, 0.1, 0.2, 0.1)), ((0.1, 0.1, 0.3, 0.05), (0.1, 0.1, 0.2, 0.1))], "a struct<x:double,y:double,w:double,h:double>, b struct<x:double,y:double,w:double,h:double>")
-    assert [r[0] for r in one.select(joins.within(F.col("a"), F.col("b"))).collect()] == [True, False]
+    one = spark.createDataFrame([((0.1, 0.1, 0.1, 0.05), (0.098, 0.1, 0.2, 0.1)), ((0.1, 0.1, 0.3, 0.05), (0.1, 0.1, 0.2, 0.1)), ((0.2, 0.1, 0.3, 0.05), (0.1, 0.1, 0.2, 0.1))], "a struct<x:double,y:double,w:double,h:double>, b struct<x:double,y:double,w:double,h:double>")
+    assert [r[0] for r in one.select(joins.within(F.col("a"), F.col("b"))).collect()] == [True, True, False]  # the middle counts, not the sides
 
 
 def test_positions_and_gaps(spark):
@@ -136,8 +138,20 @@ def test_sequences(spark):
 def test_alignment(spark):
     left = spark.createDataFrame([("d", 1, 1, "Adrar"), ("d", 2, 2, "Chlef"), ("d", 3, 3, "Batna"), ("e", 1, 1, "x")], "doc string, o int, number int, t string")
     right = spark.createDataFrame([("d", 1, 1, "Adrrar"), ("d", 2, 3, "Batna"), ("d", 3, 2, "Chlef")], "doc string, o int, number int, t string")
-    found = rows(sequence.aligned(left, right, ["doc"], "o", "t"))
-    assert len(found) == 2 and ("d", 1, 1) in found
+    found = rows(sequence.aligned(left, right, ["doc"], "o", "t", cutoff=0.8))
+    assert found == [("d", 1, 1), ("d", 2, 3)]
+    blanks = left.withColumn("t", F.concat(F.lit(" "), F.col("t"), F.lit("\t ")))
+    assert rows(sequence.aligned(blanks, right, ["doc"], "o", "t", cutoff=0.8)) == found
+    assert rows(sequence.aligned(left.limit(0), right, ["doc"], "o", "t", cutoff=0.8)) == []
+
+
+@given(st.lists(st.tuples(st.integers(0, 6), st.integers(0, 6)), max_size=14))
+def test_longest_chain(pairs):
+    best = [()]
+    for p in sorted(set(pairs)):
+        best += [c + (p,) for c in best if not c or (p[0] > c[-1][0] and p[1] > c[-1][1])]
+    most = max(map(len, best))
+    assert tuple(sequence.longest_chain(pairs)) == min(c for c in best if len(c) == most)
 
 
 def test_checks(spark):
@@ -159,6 +173,12 @@ def test_documents(spark, tmp_path):
     docs = nest.csv_documents(items, ["code"], F.concat("code", F.lit("/list.csv")), ["name", "note"], ["name"])
     assert nest.lookup(docs, "/v1/01/list.csv", "/v1").first().body == 'name,note\nAdrar,"a, ""b"""\nAoulef,\n'
     assert nest.lookup(docs, "/nothing").count() == 0
+    (tmp_path / "old.csv").write_text("stale")
+    assert nest.published(docs, str(tmp_path)) == 2 and (tmp_path / "old.csv").exists()
+    assert nest.published(docs, str(tmp_path), wipe=True) == 2 and not (tmp_path / "old.csv").exists()
+    asked = spark.createDataFrame([("GET", "/v1/01/list.csv"), ("HEAD", "/v1/01/list.csv"), ("GET", "/v1"), ("GET", "/v1/none"), ("POST", "/v1/01/list.csv"), (None, None), ("GET", "/v1/")], "method string, path string")
+    given = nest.answered(asked, docs, base="/v1").collect()
+    assert sorted((r.method or "", r.path or "", r.status, r.location, r.body is not None) for r in given) == sorted([("GET", "/v1/01/list.csv", 200, None, True), ("HEAD", "/v1/01/list.csv", 200, None, False), ("GET", "/v1", 302, "/v1/", False), ("GET", "/v1/none", 404, None, False), ("POST", "/v1/01/list.csv", 405, None, False), ("", "", 405, None, False), ("GET", "/v1/", 404, None, False)])
     assert nest.published(docs, str(tmp_path)) == 2 and (tmp_path / "02/list.csv").read_text() == "name,note\nChlef,\n"
     shown = items.select(nest.json_object({"name": F.col("name"), "note": F.col("note")}, {"by": nest.cite(F.lit("t"), F.lit("1"), F.lit(""))}).alias("j")).where("name = 'Aoulef'")
     assert shown.first().j == '{"name":"Aoulef","note":null,"by":{"text":"t","article":"1"}}'
@@ -175,15 +195,23 @@ def test_layout(spark):
     stem = spark.createDataFrame([(1, ["..###.."] * 30), (2, ["#######"] * 5)], "id long, rows array<string>")
     assert {r.id: r.stem for r in layout.stem_like(layout.profile(stem)).collect()} == {1: 3.0, 2: None}
     boxes = spark.createDataFrame([(1, 0.05, 0.4), (1, 0.54, 0.4), (1, 0.0, 1.0)], "page int, x double, w double")
-    assert abs(layout.gutter(boxes, ["page"]).first().gutter - 0.495) < 0.006
+    assert layout.gutter(boxes, ["page"]).first().gutter == 0.495
+    assert layout.gutter(boxes.limit(0), ["page"]).count() == 0
+    # the run nearest the centre, not the widest, and edges don't cover
+    apart = spark.createDataFrame([(1, 0.0, 0.495), (1, 0.505, 0.045)], "page int, x double, w double")
+    assert layout.gutter(apart, ["page"]).first().gutter == 0.5
     first = spark.createDataFrame([(1, 1, 0.1, 0.1, 0.2, 0.02, "Adrar")], "page int, id int, x double, y double, w double, h double, text string")
     second = spark.createDataFrame([(1, 2, 0.1, 0.1, 0.2, 0.02, "Adrer"), (1, 3, 0.1, 0.5, 0.2, 0.02, "Chlef")], first.schema)
-    assert rows(layout.merged_passes([first, second], ["page"]).select("text", "alt")) == [("Adrar", ["Adrer"]), ("Chlef", [])]
+    assert rows(layout.merged_passes([first, second], ["page"], False).select("text", "alt")) == [("Adrar", ["Adrer"]), ("Chlef", [])]
+    tall = spark.createDataFrame([(1, 1, 0.1, 0.1, 0.2, 0.05, "two lines"), (1, 5, 0.6, 0.1, 0.2, 0.05, "kept")], first.schema)
+    parts = spark.createDataFrame([(1, 2, 0.1, 0.1, 0.19, 0.02, "two"), (1, 3, 0.1, 0.13, 0.19, 0.02, "lines"), (1, 4, 0.1, 0.4, 0.2, 0.02, "Çİ·O"), (1, 6, 0.6, 0.11, 0.1, 0.02, "one")], first.schema)
+    assert rows(layout.merged_passes([tall, parts], ["page"], False).select("text", "alt")) == [("kept", ["one"]), ("lines", []), ("two", [])]
     lines = spark.createDataFrame([(1, 0.05), (1, 0.3), (1, 0.7)], "page int, y double")
     starts = spark.createDataFrame([(1, 0.1, "a"), (1, 0.6, "b")], "page int, y double, entry string")
     assert rows(layout.owners(lines, starts, ["page"], "y")) == [(1, 0.05, "a"), (1, 0.3, "a"), (1, 0.7, "b")]
-    texts = spark.createDataFrame([("Adrar", 0.01), ("A", 0.01), ("أدرار", 0.01), ("Adrar", 0.001)], "t string, h double")
-    assert [r[0] for r in texts.select(layout.plausible(F.col("t"), F.col("h"), False)).collect()] == [True, False, False, False]
+    texts = spark.createDataFrame([("Adrar", 0.01), ("A", 0.01), ("أدرار", 0.01), ("Adrar", 0.001), ("Çİ·O", 0.01), ("Œu 3", 0.01)], "t string, h double")
+    assert [r[0] for r in texts.select(layout.plausible(F.col("t"), F.col("h"), False)).collect()] == [True, False, False, False, False, True]
+    assert [r[0] for r in texts.select(layout.plausible(F.col("t"), F.col("h"), True)).collect()] == [False, False, True, False, False, False]
 
 
 def test_schemas(spark):

@@ -15,23 +15,29 @@ def characters(spark, lines):
                 if c != " ":
                     rows.append((page, i, x + k * 0.01, y + (i % 3) * 0.001, 0.01, 0.01, c))
                     i += 1
-    return spark.createDataFrame(rows + rows[:1], "page int, i int, x double, y double, w double, h double, c string")
+    return spark.createDataFrame(rows + rows[:1], "page int, i int, x double, y double, w double, h double, c string").withColumn("doc", F.lit("d"))
+
+
+CODES = {"by": ["doc"], "furniture": "suite|Commune", "foot": 0.9, "line": 0.006, "gap": 0.003}
 
 
 def test_code_rows(spark):
     lines = [(1, 0.1, [(0.1, "Wilaya"), (0.4, "1")]), (1, 0.2, [(0.1, "AIN DEFLA"), (0.5, "0101"), (0.7, "أب")]), (1, 0.3, [(0.1, "suite"), (0.5, "0109")]), (2, 0.1, [(0.1, "B"), (0.5, "0102"), (0.7, "ج")]), (2, 0.95, [(0.1, "foot"), (0.5, "9999")])]
-    found = [(r.code, r.fr, r.ar) for r in T.code_rows(characters(spark, lines)).orderBy("code").collect()]
+    found = [(r.code, r.fr, r.ar) for r in T.code_rows(characters(spark, lines), **CODES).orderBy("code").collect()]
     assert found == [("0101", "AIN DEFLA", "بأ"), ("0102", "B", "ج")]
     with pytest.raises(IntegrityError, match="another province"):
-        T.code_rows(characters(spark, [*lines, (3, 0.1, [(0.5, "0201")])]))
+        T.code_rows(characters(spark, [*lines, (3, 0.1, [(0.5, "0201")])]), **CODES)
     with pytest.raises(IntegrityError, match="twice"):
-        T.code_rows(characters(spark, [*lines, (3, 0.1, [(0.5, "0101")])]))
+        T.code_rows(characters(spark, [*lines, (3, 0.1, [(0.5, "0101")])]), **CODES)
 
 
 def test_numbered_items(spark):
     frame = spark.createDataFrame([("a", "1. Laghouat ; 2 Ksar El Hirane ; x ; 12. Hadj Mechri. Art. 3")], "article string, body string")
     items = T.numbered_items(frame, "body")
     assert [(r.number, r.name) for r in items.collect()] == [(1, "Laghouat"), (2, "Ksar El Hirane"), (12, "Hadj Mechri")]
+    more = ["1. A ; 2. B. ; 3. C", "1 A ; 2 Bir El Arch » . 3 C", "10. X;11 Y 2 ;", None, "", "1. A ; 222. B ; 3. ; 4 D.E ; 5 F"]
+    found = T.numbered_items(spark.createDataFrame(list(enumerate(more)), "k int, body string"), "body")
+    assert sorted((r.k, r.number, r.name) for r in found.collect()) == [(0, 1, "A"), (0, 2, "B"), (1, 1, "A"), (1, 2, "Bir El Arch »"), (2, 10, "X"), (2, 11, "Y 2"), (5, 1, "A"), (5, 4, "D.E"), (5, 5, "F")]
     lists = spark.createDataFrame([("a", 3), ("b", 0), ("c", 1)], "article string, announced int")
     assert [tuple(r) for r in T.incomplete(items, lists, ["article"]).orderBy("article").collect()] == [("a", 3, 3), ("c", 1, 0)]
 
