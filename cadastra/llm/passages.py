@@ -122,9 +122,9 @@ def _hashed(tokens: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         yield k, np.maximum(mix32(folded + np.uint32(0x1B873593 * (k + 1) & 0xFFFFFFFF)), 1)
 
 
-def _keyed(tokens: np.ndarray, k: int) -> np.ndarray:
-    """Keys of the tokens under hash function k; its number is in the lowest bits."""
-    return (mix64(tokens + np.uint64(k)) & ~np.uint64(7) | np.uint64(k)).view(np.int64)
+def _keyed(tokens: np.ndarray, k) -> np.ndarray:
+    """Keys of the tokens under hash function k (one, or one for each); its number is in the lowest bits."""
+    return (mix64(tokens + np.asarray(k, np.uint64)) & ~np.uint64(7) | np.asarray(k, np.uint64)).view(np.int64)
 
 
 def _keys(n: int, least: int):
@@ -411,7 +411,7 @@ def passages(documents: DataFrame, *, n: int = 5, words: int = 50, percent: int
     parts = pairs.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / TASK_MEMBERS).alias("parts"))
     tasks = checkpoint(pairs.join(parts, "hub").withColumn("task", F.xxhash64("hub", F.pmod(F.xxhash64("id", F.lit(5)), F.col("parts")))))
     ids = written(tasks.select("id").unionByName(tasks.select(F.col("hub").alias("id"))).distinct())
-    held = squeezed(docs.withColumn("text_hash", F.xxhash64("text")), "text")
+    held = written(squeezed(docs.withColumn("text_hash", F.xxhash64("text")), "text"))
     texts = written(held.join(ids, "id", "left_semi"))
     release(spark)
     members = tasks.join(texts, "id").select("task", F.lit(1).alias("role"), "hub", "id", "text_hash", "from", "to", "text")
@@ -420,13 +420,13 @@ def passages(documents: DataFrame, *, n: int = 5, words: int = 50, percent: int
     dealt = members.unionByName(ahead).mapInArrow(*_cut(n)).repartition("task").sortWithinPartitions("task", "role", "hub", "id")
     spans = written(dealt.mapInArrow(*_verified(n, least, percent)))
     release(spark)
-    return spans.unionByName(_second_phase(docs, rows, heads, spans, n, least, percent)).distinct()
+    return spans.unionByName(_second_phase(held, rows, heads, spans, n, least, percent)).distinct()
 
 
-def _second_phase(docs: DataFrame, rows: DataFrame, heads: DataFrame, spans: DataFrame, n: int, least: int, percent: int) -> DataFrame:
+def _second_phase(held: DataFrame, rows: DataFrame, heads: DataFrame, spans: DataFrame, n: int, least: int, percent: int) -> DataFrame:
     """Spans of the pairs of texts in a narrowed group that ``spans`` leaves open: a window of one is in no span, or
     the texts belong to different classes."""
-    spark = docs.sparkSession
+    spark = held.sparkSession
     # a text's class is known by the least text it leads to in a few steps; two names for one class cost comparisons only
     texts = spans.where("NOT first").groupBy("id").agg(F.min("hub").alias("root"), F.collect_set(F.struct("begin", "end")).alias("spans"))
     for _ in range(2):
@@ -446,7 +446,7 @@ def _second_phase(docs: DataFrame, rows: DataFrame, heads: DataFrame, spans: Dat
     flagged = written(flagged.select("side.sub", "side.after", "key", "id", "c", "known", "root"))
     groups = open_("sub", flagged).select("sub", F.ceil(F.col("size") / BLOCK).alias("parts"))
     live = written(flagged.join(groups, "sub"))
-    texts = written(squeezed(docs.withColumn("text_hash", F.xxhash64("text")), "text").join(live.select("id").distinct(), "id", "left_semi"))
+    texts = written(held.join(live.select("id").distinct(), "id", "left_semi"))
     release(spark)
 
     def contexts(asked: DataFrame) -> DataFrame:
@@ -501,8 +501,7 @@ def _contexts(n: int, least: int):
     A window narrowed by the token after it looks at the passages that hold both. ``at`` is the place of the first token,
     0 stands for places beyond the text, ``fewest`` for the distinct tokens that a passage there has at least.
     """
-    reach = least - 1
-    offsets = {True: np.arange(ASIDE - reach, reach + 1), False: np.arange(-reach, reach - ASIDE + 1)}
+    reach, width = least - 1, 2 * least - 1 - ASIDE
     names = ["sub", "id", "text_hash", "at", "known", "root", "parts", "fewest", "tokens"]
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -510,27 +509,32 @@ def _contexts(n: int, least: int):
             asked = batch.column(3)
             bounds = asked.offsets.to_numpy()
             fields = {f.name: asked.values.field(f.name).to_numpy(zero_copy_only=False) for f in asked.type.value_type}
-            ids, prints = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            some, first, tokens_, print_ = [], [], [], []
+            prints = batch.column(1).to_numpy()
             for i, tokens in enumerate(_batched(unsqueezed(batch.column(2)), n)):
                 ask = np.arange(bounds[i], bounds[i + 1])
                 c, key = fields["c"][ask].astype(np.int64), fields["key"][ask]
-                inside = c < len(tokens)
-                own = np.zeros(len(ask), np.int64)
-                for k in range(HASHES):
-                    of = inside & (key & 7 == k)
-                    own[of] = _keyed(tokens[c[of]], k)
-                good = inside & (own == key)  # else it is a window of another text with this id
+                inside = np.minimum(c, len(tokens) - 1)
+                if not len(tokens):
+                    continue
+                number = (key & 7).astype(np.uint64)
+                good = (c < len(tokens)) & (_keyed(tokens[inside], number) == key)  # else it is a window of another text with this id
+                ask, c = ask[good], c[good]
+                begin = np.where(fields["after"][ask], c + ASIDE - reach, c - reach)
                 padded = np.concatenate([np.zeros(reach, np.uint32), _folded(tokens), np.zeros(reach, np.uint32)])
-                for after, around in offsets.items():
-                    some = ask[good & (fields["after"][ask] == after)]
-                    if not len(some):
-                        continue
-                    places = fields["c"][some].astype(np.int64)
-                    contexts = padded[places[:, None] + (around + reach)]
-                    size = len(some)
-                    lists = pa.ListArray.from_arrays(pa.array(np.arange(0, contexts.size + 1, contexts.shape[1], dtype=np.int32)), pa.array(contexts.reshape(-1).view(np.int32)))
-                    columns = [fields["sub"][some], np.full(size, ids[i]), np.full(size, prints[i]), (places + around[0]).astype(np.int32), *(fields[f][some] for f in ("known", "root", "parts")), _fewest(contexts, least)]
-                    yield pa.RecordBatch.from_arrays([*map(pa.array, columns), lists], names=names)
+                some.append(ask)
+                first.append(begin)
+                tokens_.append(padded[begin[:, None] + (np.arange(width) + reach)])
+                print_.append(np.full(len(ask), prints[i]))
+            if not some:
+                continue
+            rows, contexts = np.concatenate(some), np.concatenate(tokens_)
+            ids = np.repeat(batch.column(0).to_numpy(), np.diff(bounds))[rows - bounds[0]]
+            columns = [fields["sub"][rows], ids, np.concatenate(print_), np.concatenate(first).astype(np.int32), *(fields[f][rows] for f in ("known", "root", "parts")), _fewest(contexts, least)]
+            for low in range(0, len(rows), 8192):
+                part = contexts[low : low + 8192]
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(0, part.size + 1, width, dtype=np.int32)), pa.array(part.reshape(-1).view(np.int32)))
+                yield pa.RecordBatch.from_arrays([*(pa.array(x[low : low + 8192]) for x in columns), lists], names=names)
 
     return kernel, "sub long, id long, text_hash long, at int, known boolean, root long, parts long, fewest int, tokens array<int>"
 
