@@ -84,12 +84,22 @@ def _signed(n: int, bands: int, rows: int):
 
 def linked(ids: list[int], sets: list[np.ndarray], percent: int) -> Iterator[tuple[int, int]]:
     """Edges of a forest with the components of the graph in which sets are linked that have
-    100 * intersection >= percent * union. Breadth first; each comparison is with all sets not yet reached."""
+    100 * intersection >= percent * union.
+
+    Breadth first; a set is compared with those not yet reached that share one of its rarest tokens. Linked sets
+    share so many tokens that both have one in common among their first ``size - least common + 1`` by rarity.
+    """
     sizes = np.array([len(s) for s in sets])
-    _, tokens = np.unique(np.concatenate(sets), return_inverse=True)
-    bounds = np.concatenate([[0], np.cumsum(sizes)])
+    _, tokens, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    rank = np.empty(len(times), np.int64)
+    rank[np.argsort(times, kind="stable")] = np.arange(len(times))
     owner = np.repeat(np.arange(len(sets)), sizes)
-    open_ = np.ones(len(sets), bool)
+    tokens = rank[tokens]
+    tokens = tokens[np.lexsort((tokens, owner))]  # each set's tokens, the rarest first
+    bounds = np.concatenate([[0], np.cumsum(sizes)])
+    heads = sizes - -(-percent * sizes // 100) + 1
+    ahead = np.arange(len(tokens)) - bounds[owner] < heads[owner]
+    open_, marked = np.ones(len(sets), bool), np.zeros(len(times), bool)
     left, indexed = len(sets), 0
     queue: list[int] = []
     nxt = 0
@@ -103,25 +113,31 @@ def linked(ids: list[int], sets: list[np.ndarray], percent: int) -> Iterator[tup
         if not left:
             break
         if not indexed or left < indexed // 2:  # the index holds the sets not yet reached
-            keep = open_[owner]
+            keep = np.flatnonzero(ahead & open_[owner])
             order = np.argsort(tokens[keep], kind="stable")
             by_token, holder = tokens[keep][order], owner[keep][order]
-            posting = np.searchsorted(by_token, np.arange(tokens.max() + 2))
+            posting = np.searchsorted(by_token, np.arange(len(times) + 1))
             indexed = left
         node = queue.pop()
         mine = tokens[bounds[node] : bounds[node + 1]]
-        low, many = posting[mine], posting[mine + 1] - posting[mine]
-        total = int(many.sum())
-        if not total:
+        some = np.concatenate([holder[posting[t] : posting[t + 1]] for t in mine[: heads[node]].tolist()])
+        some = np.unique(some[open_[some]])
+        some = some[100 * np.minimum(sizes[some], len(mine)) >= percent * np.maximum(sizes[some], len(mine))]
+        if not len(some):
             continue
-        at = np.repeat(low - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(total)
-        common = np.bincount(holder[at], minlength=len(sets))
-        reached = np.flatnonzero(open_ & (common > 0) & (100 * common >= percent * (sizes[node] + sizes - common)))
-        open_[reached] = False
-        left -= len(reached)
-        queue.extend(reached.tolist())
-        for other in reached.tolist():
-            yield ids[node], ids[other]
+        marked[mine] = True
+        for low in range(0, len(some), 4096):
+            part = some[low : low + 4096]
+            many = sizes[part]
+            starts = np.cumsum(many) - many
+            common = np.add.reduceat(marked[tokens[np.repeat(bounds[part] - starts, many) + np.arange(int(many.sum()))]], starts, dtype=np.int64)
+            reached = part[100 * common >= percent * (len(mine) + many - common)]
+            open_[reached] = False
+            left -= len(reached)
+            queue.extend(reached.tolist())
+            for other in reached.tolist():
+                yield ids[node], ids[other]
+        marked[mine] = False
 
 
 def _checked(n: int, percent: int):

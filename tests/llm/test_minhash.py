@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -85,3 +86,21 @@ def test_long_text_and_signature():
     (found,) = shingle_sets(words_of(text, np.array([0, len(text)]), SPACED), 3)
     assert len(found) == 5000
     assert len(minhash.signature([found, np.empty(0, np.uint64)], 8)) == 2
+
+
+def test_linked_against_all_pairs_and_many_small_sets():
+    rng = random.Random(8)
+    for _ in range(300):
+        sets = [np.unique(np.array(rng.choices(range(14), k=rng.randint(1, 12)), np.uint64)) for _ in range(rng.randint(2, 14))]
+        percent = rng.choice([50, 80, 85, 100])
+        like = {(i, j) for i, a in enumerate(sets) for j, b in enumerate(sets) if i != j and 100 * len(set(a.tolist()) & set(b.tolist())) >= percent * len(set(a.tolist()) | set(b.tolist()))}
+        root = list(range(len(sets)))
+        for i, j in minhash.linked(list(range(len(sets))), sets, percent):
+            assert (i, j) in like
+            root = [root[i] if r == root[j] else r for r in root]
+        assert all(root[i] == root[j] for i, j in like)
+    numbers = np.random.default_rng(1)
+    small = [np.unique(np.append(numbers.integers(10, 1 << 40, 2), 5)).astype(np.uint64) for _ in range(64_000)]
+    began = time.perf_counter()
+    assert list(minhash.linked(list(range(len(small))), small, 85)) == []
+    assert time.perf_counter() - began < 20  # quadratic: minutes
