@@ -1,9 +1,12 @@
 """URL filter: explicit rules first, then a tree of path templates for each host.
 
-Level by level, a path segment that only a small share of its node's visits has is variable and becomes a
-wildcard; the others stay and are branches. Branches of a node whose labelled shares don't differ significantly
-are merged. The leaves are templates; a template is rejected if its labelled purity, smoothed towards that of all
-labelled pages, is low. All levels are joins and aggregations over (host, path) with counts, never single visits.
+Level by level, a path segment with little support is variable and becomes a wildcard; the others stay and are
+branches. The support asked for is a share of the node's visits, but never more than ``ENOUGH_VISITS``, so that the
+sections of a very large host stay apart. Branches of a node whose labelled shares don't differ significantly are
+merged. Levels go on until all paths end: one segment each at first, then two, four ..., so that a path of a
+thousand segments takes a few levels more. The leaves are templates; a template is rejected if its labelled purity,
+smoothed towards that of all labelled pages, is low. All levels are joins and aggregations over (host, path) with
+counts, never single visits.
 """
 
 from __future__ import annotations
@@ -13,10 +16,10 @@ from pyspark.sql import functions as F
 
 from cadastra.llm.common import checkpoint
 
-#: Levels of the tree; what follows in longer paths is one segment of the last level.
-LEVELS = 4
-#: A segment stays literal with this share of its node's visits and this many visits.
-LITERAL_SHARE, LITERAL_VISITS = 0.05, 3
+#: Levels of one segment; the levels after them take twice as many segments each.
+SINGLE_LEVELS = 8
+#: A segment stays literal with this share of its node's visits, and at least so many, or with enough visits of its own.
+LITERAL_SHARE, LITERAL_VISITS, ENOUGH_VISITS = 0.05, 3, 16
 #: Neighbouring branches are merged below this z of their labelled shares, if both have so many labels.
 MERGE_Z, MERGE_LABELS = 1.96, 3
 #: Pages that the share of all labelled pages counts as, and the purity under which a template is rejected.
@@ -44,14 +47,15 @@ def rule_of(host: Column, path: Column, rules: list[tuple[str, str, str]]) -> Co
     return out if out is not None else F.lit(None).cast("struct<rule:string,verdict:string>")
 
 
-def _level(rows: DataFrame, depth: int) -> DataFrame:
-    """``rows`` with ``template`` one segment longer."""
-    segment = F.get("segments", F.lit(depth)) if depth < LEVELS - 1 else F.array_join(F.slice("segments", depth + 1, F.greatest(F.size("segments"), F.lit(1))), "/")
-    rows = rows.withColumn("segment", F.coalesce(segment, F.lit("")))
+def _level(rows: DataFrame, at: int, width: int) -> DataFrame:
+    """``rows`` with ``template`` ``width`` segments longer, from segment ``at`` on, where paths go so far."""
+    ended = rows.where(F.size("segments") <= at)
+    rows = rows.where(F.size("segments") > at).withColumn("segment", F.array_join(F.slice("segments", at + 1, width), "/"))
     node = ["host", "template"]
     children = rows.groupBy(*node, "segment").agg(*(F.sum(c).alias(c) for c in ("visits", "good", "bad")))
     nodes = children.groupBy(*node).agg(F.sum("visits").alias("all_visits"))
-    literal = children.join(nodes, node).where((F.col("visits") >= LITERAL_VISITS) & (F.col("visits") >= LITERAL_SHARE * F.col("all_visits")) & (F.col("segment") != ""))
+    support = F.least(F.lit(float(ENOUGH_VISITS)), F.greatest(F.lit(float(LITERAL_VISITS)), LITERAL_SHARE * F.col("all_visits")))
+    literal = children.join(nodes, node).where(F.col("visits") >= support)
     labelled = F.col("good") + F.col("bad")
     share = F.col("good") / F.greatest(labelled, F.lit(1))
     order = Window.partitionBy(*node).orderBy(F.when(labelled >= MERGE_LABELS, share).otherwise(F.lit(2.0)), "segment")
@@ -59,10 +63,14 @@ def _level(rows: DataFrame, depth: int) -> DataFrame:
     z = F.abs(share - F.lag(share).over(order)) / F.sqrt(pooled * (1 - pooled) * (1 / labelled + 1 / F.lag(labelled).over(order)))
     alike = (F.least(labelled, F.lag(labelled).over(order)) >= MERGE_LABELS) & ((pooled * (1 - pooled) == 0) | (z < MERGE_Z))
     grouped = literal.withColumn("branch", F.sum(F.when(F.coalesce(alike, F.lit(False)), 0).otherwise(1)).over(order))
-    merged = grouped.withColumn("label", F.array_join(F.array_sort(F.collect_set("segment").over(Window.partitionBy(*node, "branch"))), "|"))
-    found = rows.join(merged.select(*node, "segment", "label"), [*node, "segment"], "left")
-    label = F.when(F.col("segment") == "", "").otherwise(F.concat(F.lit("/"), F.coalesce("label", F.lit("*"))))
-    return found.select("host", "path", "segments", "visits", "good", "bad", F.concat("template", label).alias("template"))
+    # a merged branch is named after its first segment: names of all would grow with the host
+    branch = Window.partitionBy(*node, "branch")
+    names = grouped.withColumn("others", F.count(F.lit(1)).over(branch) - 1).withColumn("label", F.min("segment").over(branch))
+    names = names.withColumn("label", F.when(F.col("others") == 0, F.col("label")).otherwise(F.concat("label", F.lit("|+"), "others")))
+    found = rows.join(names.select(*node, "segment", "label"), [*node, "segment"], "left")
+    label = F.concat(F.lit("/"), F.coalesce("label", F.lit("*" if width == 1 else "**")))
+    longer = found.select("host", "path", "segments", "visits", "good", "bad", F.concat("template", label).alias("template"))
+    return longer.unionByName(ended.select(longer.columns))
 
 
 def templates(visits: DataFrame) -> DataFrame:
@@ -70,8 +78,12 @@ def templates(visits: DataFrame) -> DataFrame:
     good = F.coalesce(F.sum("good"), F.lit(0)).alias("good")
     rows = visits.groupBy("host", "path").agg(F.count(F.lit(1)).alias("visits"), good, (F.count("good") - F.coalesce(F.sum("good"), F.lit(0))).alias("bad"))
     rows = rows.withColumn("segments", F.filter(F.split("path", "/"), lambda s: s != "")).withColumn("template", F.lit(""))
-    for depth in range(LEVELS):
-        rows = checkpoint(_level(rows, depth))
+    rows = checkpoint(rows)
+    longest, at, depth = rows.agg(F.max(F.size("segments"))).first()[0] or 0, 0, 0
+    while at < longest:
+        width = 1 << max(0, depth - SINGLE_LEVELS + 1)
+        rows = checkpoint(_level(rows, at, width))
+        at, depth = at + width, depth + 1
     base = rows.agg(((F.coalesce(F.sum("good"), F.lit(0)) + 1) / (F.coalesce(F.sum(F.col("good") + F.col("bad")), F.lit(0)) + 1)).alias("p")).first()["p"]
     leaves = rows.groupBy("host", "template").agg(F.sum("good").alias("g"), F.sum("bad").alias("b"))
     leaves = leaves.select("host", "template", ((F.col("g") + SMOOTHING * base) / (F.col("g") + F.col("b") + SMOOTHING)).alias("purity"))
