@@ -22,8 +22,8 @@ from cadastra.llm.common import Words, fresh, mix64, text_slices, words_of
 
 #: Labelled rows that the model is fitted on, at most.
 MOST_LABELLED = 12_000
-#: Lexicon entries at most, the surest first.
-MOST_TERMS = 2_000
+#: What makes a term of the lexicon: so many toxic texts, or this share of them, so large log odds, and how sure they are.
+LEAST_TEXTS, LEAST_SHARE, LEAST_ODDS, LEAST_SURE = 3, 0.004, 1.5, 2.2
 #: Bytes of the stems beside whole words.
 STEMS = (5, 6)
 #: Words before and after a lexicon word in which a second-person word counts as near.
@@ -223,17 +223,12 @@ def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), *(pa.array(counts[:, k]) for k in range(4))], names=["term", "t0", "c0", "t1", "c1"])
 
 
-def _lexicon(counts: list, t: str, c: str, toxic: int, clean: int) -> Lexicon:
-    """Terms far more frequent in toxic texts than in others."""
-    scored = []
-    for r in counts:
-        a, b = r[t], r[c]
-        odds = np.log((a + 0.5) / (toxic + 1)) - np.log((b + 0.5) / (clean + 1))
-        if a >= max(3, 0.004 * toxic) and odds > 1.5:
-            sure = odds / np.sqrt(1 / (a + 0.5) + 1 / (b + 0.5))
-            if sure > 2.2:
-                scored.append((sure, r["term"] & (1 << 64) - 1, odds))
-    return Lexicon({term: odds for _, term, odds in sorted(scored, reverse=True)[:MOST_TERMS]})
+def _scored(t: str, c: str, toxic: int, clean: int) -> tuple[F.Column, F.Column]:
+    """Log odds of a term that ``t`` of the toxic and ``c`` of the clean texts have, and whether it is one of the lexicon."""
+    a, b = F.col(t), F.col(c)
+    odds = F.log((a + 0.5) / (toxic + 1)) - F.log((b + 0.5) / (clean + 1))
+    sure = odds / F.sqrt(1 / (a + 0.5) + 1 / (b + 0.5))
+    return odds, (a >= max(LEAST_TEXTS, LEAST_SHARE * toxic)) & (odds > LEAST_ODDS) & (sure > LEAST_SURE)
 
 
 def fit(documents: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
@@ -253,11 +248,12 @@ def fit(documents: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text
     t0, c0, t1, c1 = (size.get(k, 0) for k in ((0, 1), (0, 0), (1, 1), (1, 0)))
     counted = halves.mapInArrow(_term_counts, "term long, t0 long, c0 long, t1 long, c1 long").groupBy("term").agg(*(F.sum(c).alias(c) for c in ("t0", "c0", "t1", "c1")))
     counted = counted.withColumn("t", F.col("t0") + F.col("t1")).withColumn("c", F.col("c0") + F.col("c1"))
-    # terms that no lexicon could take stay behind; of the rest at most those of MOST_TERMS * 50 leave
-    odds = F.log((F.col("t") + 0.5) / (t0 + t1 + 1)) - F.log((F.col("c") + 0.5) / (c0 + c1 + 1))
-    counts = counted.where((F.col("t") >= 3) & (odds > 1.0)).orderBy(F.desc("t"), "term").limit(50 * MOST_TERMS).collect()
-    lexicons = [_lexicon(counts, "t1", "c1", t1, c1), _lexicon(counts, "t0", "c0", t0, c0)]  # of each half: from the other
-    final = _lexicon(counts, "t", "c", t0 + t1, c0 + c1)
+    # for each half the lexicon of the other, and that of both. A term is in LEAST_SHARE of at most MOST_LABELLED texts,
+    # so that a lexicon has at most 1 / LEAST_SHARE times the terms of a text
+    each = [_scored("t1", "c1", t1, c1), _scored("t0", "c0", t0, c0), _scored("t", "c", t0 + t1, c0 + c1)]
+    weights = [F.when(taken, odds).alias(f"w{k}") for k, (odds, taken) in enumerate(each)]
+    rows = counted.select("term", *weights).where("w0 IS NOT NULL OR w1 IS NOT NULL OR w2 IS NOT NULL").collect()
+    *lexicons, final = (Lexicon({r["term"] & (1 << 64) - 1: r[f"w{k}"] for r in rows if r[f"w{k}"] is not None}) for k in range(3))
     shared, second = spark.sparkContext.broadcast(lexicons), _hashes(SECOND_PERSON.split())
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
