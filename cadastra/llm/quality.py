@@ -2,8 +2,10 @@
 
 Trusted texts are counted in full. Tasks count what they hold and Spark adds up; joins of the count tables, sharded
 by language and n-gram, give continuation counts, discounts, back-off weights and from them the interpolated
-probability of every n-gram seen. A text's probability is then looked up, longest n-gram first. Character models
-stay small next to their corpus, so tables of up to ``BROADCAST_ENTRIES`` are broadcast, after they are counted.
+probability of every n-gram seen. N-grams at the start of a text have no left neighbours and keep their plain counts.
+A language's alphabet is learned: its most frequent characters have codes of their own, as many as there are codes,
+and all others are one unknown character. A text's probability is then looked up, longest n-gram first. Character
+models stay small next to their corpus, so tables of up to ``BROADCAST_ENTRIES`` are broadcast, after they are counted.
 Beyond it the lookup is a sharded join as well (``_sharded``): texts are dealt into blocks, a block's distinct
 n-grams are joined with the tables, and each block reads its texts with the answers.
 
@@ -18,17 +20,19 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cadastra.llm.common import SLICE_BYTES, fresh, release, squeezed, text_slices, unsqueezed, written
 
 #: Characters of an n-gram.
 ORDER = 5
-#: Bits of a character in a packed n-gram; characters beyond the first 768 share the codes that are left.
-BITS = 10
-_PLAIN = 768
-_BEGIN, _END = 2, 3
+#: Bits of a character in a packed n-gram. The rest of 62 bits has the number of the language's model.
+BITS = 11
+#: Codes of unknown characters and of a text's start and end; those of an alphabet follow.
+_UNKNOWN, _BEGIN, _END, _FIRST = 0, 2, 3, 4
+#: Languages that can have models of their own: those with the most trusted texts.
+MOST_MODELS = (1 << (62 - BITS * ORDER)) - 1
 #: A language has a model of its own with so many trusted texts.
 OWN_MODEL_TEXTS = 40
 #: One trusted text in so many is kept from training and sets the threshold.
@@ -42,25 +46,48 @@ BLOCK_CHARACTERS = 16_000_000
 ALL = "*"
 
 
-def packed(texts: list[str], languages: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+class Alphabets:
+    """The characters that each model has codes for."""
+
+    def __init__(self, characters: dict[int, list[int]]):
+        self.characters = characters
+        self.tables: dict[int, np.ndarray] = {}
+
+    def __getstate__(self):
+        return self.characters
+
+    def __setstate__(self, characters):
+        self.__init__(characters)
+
+    def codes(self, characters: np.ndarray, model: int) -> np.ndarray:
+        if model not in self.tables:
+            table = np.zeros(0x110000, np.int64)
+            known = self.characters.get(model, [])
+            table[known] = np.arange(_FIRST, _FIRST + len(known))
+            self.tables[model] = table
+        return self.tables[model][characters]
+
+
+def packed(texts: list[str], languages: np.ndarray, alphabets: Alphabets) -> tuple[np.ndarray, np.ndarray]:
     """(n-grams, bounds): the n-gram that ends at each character and at the end of each text, with the number of
-    its language above it; bounds of the texts among them."""
-    pieces, sizes = [], []
-    for t in texts:
-        pieces += ["\x02" * (ORDER - 1), t, "\x03"]
-        sizes.append(len(t) + ORDER)
-    codes = np.frombuffer("".join(pieces).encode("utf-32-le", "surrogatepass"), np.uint32)
-    codes = np.where(codes < _PLAIN, codes, _PLAIN + codes % np.uint32((1 << BITS) - _PLAIN)).astype(np.int64)
-    bounds = np.concatenate([[0], np.cumsum(sizes)])
+    its model above it; bounds of the texts among them."""
+    lengths = np.array([len(t) for t in texts], np.int64)
+    characters = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+    owner = np.repeat(np.arange(len(texts)), lengths)
+    own = np.empty(len(characters), np.int64)
+    for model in np.unique(languages).tolist():
+        of = np.flatnonzero(languages[owner] == model) if len(characters) else np.empty(0, np.int64)
+        own[of] = alphabets.codes(characters[of], model)
+    bounds = np.concatenate([[0], np.cumsum(lengths + ORDER)])
+    codes = np.full(bounds[-1], _BEGIN, np.int64)
+    codes[bounds[1:] - 1] = _END
+    codes[np.arange(len(characters)) + (ORDER - 1) + owner * ORDER] = own
     grams = np.zeros(max(0, len(codes) - ORDER + 1), np.int64)
     for k in range(ORDER):
         grams = (grams << BITS) | codes[k : len(codes) - ORDER + 1 + k]
-    inner = np.ones(len(codes), bool)
-    for k in range(ORDER - 1):
-        inner[bounds[:-1] + k] = False
-    starts = np.cumsum([0, *(s - ORDER + 1 for s in sizes)])
-    out = grams[np.flatnonzero(inner) - ORDER + 1]
-    return out | (np.repeat(languages.astype(np.int64), np.diff(starts)) << (BITS * ORDER)), starts
+    starts = np.concatenate([[0], np.cumsum(lengths + 1)])
+    ends = np.arange(starts[-1]) + np.repeat(np.arange(len(texts)), lengths + 1) * (ORDER - 1)
+    return grams[ends] | (np.repeat(languages.astype(np.int64), lengths + 1) << (BITS * ORDER)), starts
 
 
 def _texts(batch: pa.RecordBatch, text_at: int) -> Iterator[tuple[int, list[str]]]:
@@ -81,24 +108,48 @@ def _texts(batch: pa.RecordBatch, text_at: int) -> Iterator[tuple[int, list[str]
         yield row, [data[a:b].decode() for a, b in zip(bounds, bounds[1:])]
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(language, text) -> (gram, n), added up in the task."""
-    held: list[tuple[np.ndarray, np.ndarray]] = []
+def _characters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(model, text) -> (model, character, n)."""
+    for batch in batches:
+        models = batch.column(0).to_numpy()
+        for row, texts in _texts(batch, 1):
+            own = models[row : row + len(texts)]
+            for model in np.unique(own).tolist():
+                text = "".join(t for t, m in zip(texts, own.tolist()) if m == model)
+                found, n = np.unique(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), model)), pa.array(found.astype(np.int64)), pa.array(n)], names=["model", "character", "n"])
+
+
+def _alphabets(texts: DataFrame) -> Alphabets:
+    """Of each model the most frequent characters of its (model, text), as many as there are codes."""
+    counts = texts.mapInArrow(_characters, "model long, character long, n long").groupBy("model", "character").agg(F.sum("n").alias("n"))
+    rank = F.row_number().over(Window.partitionBy("model").orderBy(F.desc("n"), "character"))
+    kept = counts.withColumn("rank", rank).where(F.col("rank") <= (1 << BITS) - _FIRST)
+    lists = kept.groupBy("model").agg(F.array_sort(F.collect_list("character")).alias("characters"))
+    return Alphabets({r.model: r.characters for r in lists.collect()})
+
+
+def _count(alphabets: Alphabets):
+    """(model, text) -> (gram, n), added up in the task."""
 
-    def merged() -> tuple[np.ndarray, np.ndarray]:
+    def merged(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
         found, inverse = np.unique(np.concatenate([g for g, _ in held]), return_inverse=True)
         return found, np.bincount(inverse, np.concatenate([n for _, n in held])).astype(np.int64)
 
-    for batch in batches:
-        languages = batch.column(0).to_numpy()
-        for row, texts in _texts(batch, 1):
-            held.append(np.unique(packed(texts, languages[row : row + len(texts)])[0], return_counts=True))
-            if len(held) >= 16:
-                held = [merged()]
-                if len(held[0][0]) > 1_000_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in held.pop()], names=["gram", "n"])
-    if held:
-        yield pa.RecordBatch.from_arrays([pa.array(c) for c in merged()], names=["gram", "n"])
+    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        for batch in batches:
+            models = batch.column(0).to_numpy()
+            for row, texts in _texts(batch, 1):
+                held.append(np.unique(packed(texts, models[row : row + len(texts)], alphabets)[0], return_counts=True))
+                if len(held) >= 16:
+                    held = [merged(held)]
+                    if len(held[0][0]) > 1_000_000:
+                        yield pa.RecordBatch.from_arrays([pa.array(c) for c in held.pop()], names=["gram", "n"])
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in merged(held)], names=["gram", "n"])
+
+    return kernel
 
 
 @dataclass
@@ -107,6 +158,7 @@ class Model:
     seen: list[DataFrame]  # of each length from 1: (gram, p)
     backoff: list[DataFrame]  # of each length from 1: (context, gamma) of its contexts
     threshold: dict[int, tuple[float, float]]  # of each model: average bits a character, most bits
+    alphabets: Alphabets
     shared: object = None  # the broadcast tables, where they are small enough
 
     def share(self, spark) -> None:
@@ -140,7 +192,9 @@ def _tables(counts: DataFrame) -> tuple[list[DataFrame], list[DataFrame]]:
     language = F.shiftrightunsigned("gram", BITS * ORDER).alias("language")
     levels = [counts]
     for n in range(ORDER, 1, -1):
-        levels.insert(0, written(levels[0].groupBy(_suffix(F.col("gram"), n).alias("gram")).agg(F.count(F.lit(1)).alias("n"))))
+        shorter = levels[0].groupBy(_suffix(F.col("gram"), n).alias("gram")).agg(F.count(F.lit(1)).alias("types"), F.sum("n").alias("times"))
+        at_start = F.shiftrightunsigned(F.col("gram").bitwiseAND(F.lit((1 << BITS * (n - 1)) - 1)), BITS * (n - 2)) == _BEGIN
+        levels.insert(0, written(shorter.select("gram", F.when(at_start, F.col("times")).otherwise(F.col("types")).alias("n"))))
     seen: list[DataFrame] = []
     backoff: list[DataFrame] = []
     for n, level in enumerate(levels, 1):
@@ -200,9 +254,9 @@ class Tables:
         return -np.log2(out)
 
 
-def _score_texts(lookup, texts: list[str], languages: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _score_texts(lookup, texts: list[str], languages: np.ndarray, alphabets: Alphabets) -> tuple[np.ndarray, np.ndarray]:
     """(bits, characters) of each text, its end counted as a character."""
-    grams, starts = packed(texts, languages)
+    grams, starts = packed(texts, languages, alphabets)
     distinct, inverse = np.unique(grams, return_inverse=True)
     bits = lookup(distinct)[inverse]
     return np.add.reduceat(bits, starts[:-1]), np.diff(starts)
@@ -221,39 +275,44 @@ def _scored(documents: DataFrame, model: Model, number, text_col: str, names: li
     rows = documents.withColumn(names[0], number).withColumn(names[1], F.lit(0.0)).withColumn(names[2], F.lit(0).cast("long"))
     shared = model.shared
     if shared is None:
-        return _sharded(rows, model.seen, model.backoff, text_col, names)
+        return _sharded(rows, model, text_col, names)
     model_at, text_at = rows.columns.index(names[0]), rows.columns.index(text_col)
+    alphabets = model.alphabets
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             languages = batch.column(model_at).to_numpy()
-            parts = [_score_texts(shared.value.bits, texts, languages[row : row + len(texts)]) for row, texts in _texts(batch, text_at)]
+            parts = [_score_texts(shared.value.bits, texts, languages[row : row + len(texts)], alphabets) for row, texts in _texts(batch, text_at)]
             if parts:
                 yield pa.RecordBatch.from_arrays([*batch.columns[:-2], *(pa.array(np.concatenate(x)) for x in zip(*parts))], names=batch.schema.names)
 
     return rows.mapInArrow(kernel, rows.schema)
 
 
-def _block_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _block_grams(alphabets: Alphabets):
     """(block, model, text) -> distinct (block, gram) of each slice."""
-    for batch in batches:
-        blocks, languages = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-        for row, texts in _texts(batch, 2):
-            own = blocks[row : row + len(texts)]
-            for b in np.unique(own):
-                at = np.flatnonzero(own == b)
-                found = np.unique(packed([texts[i] for i in at], languages[row : row + len(texts)][at])[0])
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), b)), pa.array(found)], names=["block", "gram"])
+
+    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            blocks, languages = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            for row, texts in _texts(batch, 2):
+                own = blocks[row : row + len(texts)]
+                for b in np.unique(own):
+                    at = np.flatnonzero(own == b)
+                    found = np.unique(packed([texts[i] for i in at], languages[row : row + len(texts)][at], alphabets)[0])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), b)), pa.array(found)], names=["block", "gram"])
+
+    return kernel
 
 
-def _sharded(rows: DataFrame, seen: list[DataFrame], backoff: list[DataFrame], text_col: str, names: list[str]) -> DataFrame:
+def _sharded(rows: DataFrame, model: Model, text_col: str, names: list[str]) -> DataFrame:
     """The same for tables of any size: the lookup is a join on n-grams, distinct within blocks of texts."""
-    spark = rows.sparkSession
+    spark, seen, backoff, alphabets = rows.sparkSession, model.seen, model.backoff, model.alphabets
     size = rows.agg(F.coalesce(F.sum(F.coalesce(F.length(text_col), F.lit(0)) + 1), F.lit(0))).first()[0]
     blocks = max(1, -(-size // BLOCK_CHARACTERS))
     block = fresh(rows.columns, "block")
     dealt = written(rows.withColumn(block, F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(blocks))))
-    grams = dealt.select(block, names[0], text_col).mapInArrow(_block_grams, "block long, gram long").distinct()
+    grams = dealt.select(block, names[0], text_col).mapInArrow(_block_grams(alphabets), "block long, gram long").distinct()
     grams = written(grams)
     open_ = grams.select("gram").distinct().select("gram", F.col("gram").alias("q"), F.lit(1.0).alias("factor"), F.lit(None).cast("double").alias("p"))
     for n in range(ORDER, 0, -1):
@@ -277,7 +336,7 @@ def _sharded(rows: DataFrame, seen: list[DataFrame], backoff: list[DataFrame], t
         out = []
         for batch in texts.to_batches():
             languages = batch.column(model_at).to_numpy()
-            parts = [_score_texts(lookup, t, languages[row : row + len(t)]) for row, t in _texts(batch, text_at)]
+            parts = [_score_texts(lookup, t, languages[row : row + len(t)], alphabets) for row, t in _texts(batch, text_at)]
             if parts:
                 out.append(pa.RecordBatch.from_arrays([*batch.columns[: width - 2], *(pa.array(np.concatenate(x)) for x in zip(*parts))], schema=arrow))
         return pa.Table.from_batches(out, schema=arrow)
@@ -298,14 +357,13 @@ def fit(documents: DataFrame, trusted: DataFrame, *, quantile: float = 0.995, id
     good = written(good.select("lang", "text", (F.pmod(F.xxhash64("id", F.lit(3)), F.lit(CALIBRATION)) == 0).alias("kept_back")))
     release(documents.sparkSession)
     many = good.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("kept_back").cast("int")).alias("back")).where((F.col("n") >= OWN_MODEL_TEXTS) & (F.col("back") >= 1))
-    languages = {r.lang: k for k, r in enumerate(many.where(F.col("lang") != ALL).orderBy("lang").collect(), 1)}
-    if len(languages) >= 1 << (62 - BITS * ORDER):
-        raise ValueError(f"{len(languages)} languages are more than a packed n-gram can tell apart")
-    model = Model(languages, [], [], {})
+    largest = many.where(F.col("lang") != ALL).orderBy(F.desc("n"), "lang").limit(MOST_MODELS).collect()
+    model = Model({r.lang: k for k, r in enumerate(sorted(largest, key=lambda r: r.lang), 1)}, [], [], {}, Alphabets({}))
     numbered = good.withColumn("model", model.number(F.col("lang")))
     train = numbered.where("NOT kept_back")
     both = train.select("model", "text").unionByName(train.where("model <> 0").select(F.lit(0).cast("long").alias("model"), "text"))
-    counts = written(both.mapInArrow(_count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")))
+    model.alphabets = _alphabets(both)
+    counts = written(both.mapInArrow(_count(model.alphabets), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")))
     model.seen, model.backoff = _tables(counts)
     release(documents.sparkSession)
     model.share(documents.sparkSession)

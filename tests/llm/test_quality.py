@@ -21,7 +21,12 @@ class Brute:
         top = Counter(tuple(s[i : i + ORDER]) for s in map(sequence, texts) for i in range(len(s) - ORDER + 1))
         self.counts = {ORDER: top}
         for n in range(ORDER - 1, 0, -1):
-            self.counts[n] = Counter(g[1:] for g in self.counts[n + 1])
+            plain = Counter(tuple(s[i : i + n]) for s in map(sequence, texts) for i in range(ORDER - n, len(s) - n + 1))
+            before = defaultdict(set)
+            for s in map(sequence, texts):
+                for i in range(ORDER - n, len(s) - n + 1):
+                    before[tuple(s[i : i + n])].add(s[i - 1])
+            self.counts[n] = Counter({g: plain[g] if g[0] == "\x02" else len(before[g]) for g in plain})
         self.cuts, self.contexts = {}, {}
         for n, counts in self.counts.items():
             few = Counter(counts.values())
@@ -112,6 +117,23 @@ def test_nothing_trusted_and_empty(spark):
 
 
 def test_packed_bounds():
-    grams, starts = quality.packed(["ab", "", "日"], np.array([1, 2, 1]))
+    alphabets = quality.Alphabets({1: [ord("a"), ord("日")], 2: [ord("a")]})
+    grams, starts = quality.packed(["ab", "", "日"], np.array([1, 2, 1]), alphabets)
     assert starts.tolist() == [0, 3, 4, 6] and len(grams) == 6
-    assert (grams >> 50).tolist() == [1, 1, 1, 2, 1, 1]
+    top = quality.BITS * ORDER
+    assert (grams >> top).tolist() == [1, 1, 1, 2, 1, 1]
+    last = (1 << quality.BITS) - 1
+    assert (grams & last).tolist() == [4, 0, 3, 3, 5, 3]  # b is unknown to model 1
+    assert [(g >> quality.BITS) & last for g in grams.tolist()] == [2, 4, 0, 2, 2, 5]
+
+
+def test_each_character_of_an_alphabet_is_told_apart(spark):
+    """Languages beyond the Latin script: a text in another order of the same script's characters is much less likely."""
+    rng = random.Random(6)
+    words = ["".join(chr(0x4E00 + rng.randrange(1500)) for _ in range(3)) for _ in range(60)]
+    rows = [(i, "".join(rng.choice(words) for _ in range(60)), "zh") for i in range(80)]
+    odd = [(1000 + i, "".join(rng.sample(r[1], len(r[1]))), "zh") for i, r in enumerate(rows[:20])]
+    docs = spark.createDataFrame(rows + odd, "doc_id long, text string, lang string")
+    model = quality.fit(docs, docs.where("doc_id < 1000"))
+    found = {r.doc_id: r.kept for r in quality.score(docs, model).collect()}
+    assert not any(found[i] for i, _, _ in odd) and sum(found[i] for i, _, _ in rows) >= 78
