@@ -9,6 +9,7 @@ from __future__ import annotations
 import gc
 import os
 import tempfile
+import time
 import uuid
 from collections.abc import Iterator
 from pathlib import Path
@@ -68,8 +69,11 @@ def written(frame: DataFrame) -> DataFrame:
 
 def release(spark: SparkSession) -> None:
     """Lets Spark remove the shuffle files of finished phases now. It does so when the driver collects garbage,
-    which a driver with much memory may put off until the disks are full."""
+    which a driver with much memory may put off until the disks are full. Spark refers to its last job until the next
+    one, and learns of Python's garbage a little later, so a small job and a pause come first."""
+    spark.range(1).count()
     gc.collect()
+    time.sleep(0.2)
     spark.sparkContext._jvm.System.gc()
 
 
