@@ -137,3 +137,65 @@ def test_runs_of_other_lengths():
     b = [x] * 22 + middle + [y] * 30 + [z] * 3
     found = passages.shared_passages(np.array(a, np.uint64), np.array(b, np.uint64), 46, 80)
     assert any(e - s >= 55 for *_, s, e in found)
+
+
+def alike_by_all_windows(a: list[str], b: list[str], least: int = 46, percent: int = 80) -> bool:
+    """Whether some ``least`` five-word tokens in a row of either text are alike, by comparing all with all."""
+    x, y = ([" ".join(t[i : i + 5]) for i in range(len(t) - 4)] for t in (a, b))
+    if min(len(x), len(y)) < least:
+        return False
+    same = (np.array(x)[:, None] == np.array(y)[None, :]).astype(np.int64)
+    sums = np.pad(same.cumsum(0).cumsum(1), ((1, 0), (1, 0)))
+    common = sums[least:, least:] - sums[:-least, least:] - sums[least:, :-least] + sums[:-least, :-least]
+    return bool(((100 + percent) * common >= 2 * percent * least).any())
+
+
+def test_recall_against_all_pairs(spark):
+    """Copies with and without changed words, and parts of them too short for a passage, in texts of lesser ids."""
+    rng = random.Random(21)
+    word = lambda: "w%d" % rng.randrange(10**9)
+    sources = [[word() for _ in range(80)] for _ in range(14)]
+    texts = []
+    for i in range(260):
+        body = [word() for _ in range(rng.randint(5, 60))]
+        source = rng.choice(sources)
+        if i < 120:
+            begin = rng.randrange(len(source) - 36)
+            piece = source[begin : begin + rng.randint(25, 43)]
+        else:
+            size = rng.choice((50, 50, 55, 70, 80))
+            begin = rng.randrange(len(source) - size + 1)
+            piece = source[begin : begin + size]
+            for _ in range(rng.choice((0, 0, 1, 1, 2))):
+                piece = list(piece)
+                piece[rng.randrange(len(piece))] = word()
+        at = rng.randrange(len(body) + 1)
+        texts.append(body[:at] + piece + body[at:])
+    frame = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    found = {r.doc_id: r.class_id for r in passages.repeated(frame).collect()}
+    links = [(i, j) for j in range(len(texts)) for i in range(j) if alike_by_all_windows(texts[i], texts[j])]
+    held = [found.get(i, -i - 1) == found.get(j, -j - 1) for i, j in links]
+    assert len(links) > 200 and sum(held) / len(held) >= 0.99, (len(links), sum(held))
+    linked = {k for pair in links for k in pair}
+    assert len(linked - found.keys()) <= 0.01 * len(linked) and min(found) >= 120
+    whole = {i: {" ".join(t[k : k + 50]) for k in range(len(t) - 49)} for i, t in enumerate(texts)}
+    copies = [(i, j) for i, j in links if whole[i] & whole[j]]
+    assert len(copies) > 50 and all(found.get(i) is not None and found.get(i) == found.get(j) for i, j in copies)
+
+
+def test_blocks_and_large_groups_give_the_same(spark, monkeypatch):
+    """A group dealt into blocks, and one that first loses members without a partner."""
+    _, _, (first, _) = corpus()
+    rng = random.Random(4)
+    noise = lambda n: ["n%d" % rng.randrange(10**9) for _ in range(n)]
+    rows = [(i, " ".join(noise(60) + first[i % 5 * 5 : i % 5 * 5 + 40] + noise(60))) for i in range(90)]
+    edited = lambda k: [*first[:k], "new%d" % k, *first[k + 1 :]]
+    rows += [(1000 + i, " ".join(noise(40) + edited(i * 4) + noise(40))) for i in range(14)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    wanted = None
+    for block, many in ((2048, 16), (9, 1000), (9, 2)):
+        monkeypatch.setattr(passages, "BLOCK", block)
+        monkeypatch.setattr(passages, "MANY_BLOCKS", many)
+        found = sorted((r.doc_id, r.class_id) for r in passages.repeated(frame).collect())
+        assert found == (wanted or found) and {c for _, c in found} == {1000} and len(found) == 14
+        wanted = found
