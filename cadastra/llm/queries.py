@@ -15,8 +15,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def op1_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """Pages written as WARC records and read back; ``urlkey`` is what the merged index is sorted by, before time and id."""
     found = warc.archived(read(spark, folder, "pages"))
-    return found.select(F.col("id").alias("page_id"), "payload_bytes", F.col("digest").alias("payload_digest"), "record_type", "refers_to")
+    return found.select(F.col("id").alias("page_id"), "payload_bytes", F.col("digest").alias("payload_digest"), "record_type", "refers_to", "urlkey")
 
 
 def op2_minhash(spark: SparkSession, folder: str) -> DataFrame:
@@ -40,6 +41,7 @@ def op4_hash_tree(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op5_tiff(spark: SparkSession, folder: str) -> DataFrame:
+    """Texts stored as TIFF, read back page by page; the feature sums up the pages."""
     return tiff.features(tiff.store_texts(read(spark, folder, "documents")))
 
 
@@ -49,6 +51,7 @@ def op6_compact_windows(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op7_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    """Windows of ten words of the benchmark, looked up in whole documents."""
     docs = read(spark, folder, "documents").select("doc_id", "text")
     found = decontaminate.contamination(docs, read(spark, folder, "benchmark"), n=10, clean=False)
     return found.select(
@@ -69,6 +72,7 @@ def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Pieces of documents in windows of 1024 tokens, each document ended by id 0."""
     return packing.pack(read(spark, folder, "documents"), tokenizer=tokenizer_file(), capacity=1024, end_id=0, with_ids=False)
 
 
@@ -77,6 +81,7 @@ URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow",
 
 
 def op10_urls(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page by the rules, or by the template that its path belongs to."""
     return urls.filtered(read(spark, folder, "pages"), URL_RULES)
 
 
@@ -88,11 +93,14 @@ _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvw
 
 ORACLES = {
     "op1_warc": """
-        WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS d FROM pages),
+        WITH p AS (SELECT page_id, coalesce(url, '') AS u, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS d FROM pages),
              w AS (SELECT *, CASE WHEN n >= 1000 THEN max(page_id) OVER (PARTITION BY d) END AS best FROM p)
         SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, d AS payload_digest,
                CASE WHEN best <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
-               CASE WHEN best <> page_id THEN best END AS refers_to
+               CASE WHEN best <> page_id THEN best END AS refers_to,
+               CASE WHEN NOT regexp_matches(u, '(?s)^[^:/?#]*://') THEN lower(u)
+                    ELSE array_to_string(list_reverse(string_split(regexp_replace(regexp_replace(lower(regexp_extract(u, '(?s)^[^:/?#]*://([^/?#]*)', 1)), '(?s)^.*@', ''), '^www[0-9]*\\.', ''), '.')), ',') || ')' ||
+                         CASE WHEN regexp_extract(u, '(?s)^[^:/?#]*://[^/?#]*([^#]*)', 1) = '' THEN '/' ELSE lower(regexp_extract(u, '(?s)^[^:/?#]*://[^/?#]*([^#]*)', 1)) END END AS urlkey
         FROM w""",
     "op2_minhash": f"""
         WITH RECURSIVE words AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^ \\x09-\\x0D]+') AS w FROM documents),

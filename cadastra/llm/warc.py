@@ -22,8 +22,8 @@ from cadastra.llm.common import shared_dir, written
 
 #: Payloads with fewer bytes are always stored anew.
 REVISIT_BYTES = 1000
-#: Records of one archive at most.
-ARCHIVE_RECORDS = 16_384
+#: Records of one archive at most, and the bytes of payload that its records have on average at most.
+ARCHIVE_RECORDS, ARCHIVE_BYTES = 16_384, 1 << 26
 #: Captures that one task merges, on average.
 RANGE_ROWS = 50_000
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -108,7 +108,9 @@ def records(captures: DataFrame) -> DataFrame:
 
 
 def write_archives(captures: DataFrame, path: str) -> None:
-    records(captures).write.option("lineSep", "\r\n\r\n").option("maxRecordsPerFile", ARCHIVE_RECORDS).option("compression", "gzip").text(path)
+    mean = captures.agg(F.avg(F.coalesce(F.octet_length("payload"), F.lit(0)))).first()[0] or 0
+    most = max(1, min(ARCHIVE_RECORDS, int(ARCHIVE_BYTES // max(1, mean))))
+    records(captures).write.option("lineSep", "\r\n\r\n").option("maxRecordsPerFile", most).option("compression", "gzip").text(path)
 
 
 def unpacked(archive: bytes) -> bytes:
@@ -185,15 +187,17 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     from pyspark import TaskContext
 
     part = TaskContext.get().partitionId()
-    runs: dict[str, list[tuple]] = {}
+    # a run's rows come in pieces; within a piece they are in order, so each piece is a run
+    pieces: dict[str, list[list[tuple]]] = {}
     for batch in batches:
         for row in zip(*(c.to_pylist() for c in batch.columns)):
-            runs.setdefault(row[4], []).append(row)
-    for rows in runs.values():
-        rows.sort(key=lambda r: r[3])  # a run's rows come in pieces; each piece is in order
+            own = pieces.setdefault(row[4], [])
+            if not own or row[3] < own[-1][-1][3]:
+                own.append([])
+            own[-1].append(row)
     schema = _ARROW.append(pa.field("range", pa.int64()))
     out = []
-    tree = LoserTree([((_key(r), k, r) for k, r in enumerate(rows)) for _, rows in sorted(runs.items())])
+    tree = LoserTree([((_key(r), r[3], r) for r in rows) for _, own in sorted(pieces.items()) for rows in sorted(own, key=lambda rows: rows[0][3])])
     for place, (_, _, r) in enumerate(tree):
         out.append((*r[:3], place, *r[4:], part))
         if len(out) == 10_000:
