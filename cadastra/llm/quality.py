@@ -344,7 +344,7 @@ def _sharded(rows: DataFrame, model: Model, text_col: str, names: list[str]) ->
     return dealt.groupBy(block).cogroup(known.groupBy("block")).applyInArrow(read, schema)
 
 
-def fit(documents: DataFrame, trusted: DataFrame, *, quantile: float = 0.995, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
+def fit(documents: DataFrame, trusted: DataFrame, *, quantile: float = 0.98, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
     """A model of the texts of ``documents`` whose ids are in ``trusted``, all of them.
 
     One in ``CALIBRATION`` of them, by a hash of the id, is not trained on; the ``quantile`` of its bits is the
