@@ -513,19 +513,17 @@ def near_lines(spark, folder):
     return joins.nearest_within(rows, rows, ["user_id"], "value", 0.5).groupBy("user_id", "l_id").agg(F.count(F.lit(1)).alias("n"))
 
 
-# places and edges are whole numbers of thousandths, so that no edge falls beside its place by rounding
 @query("""
-    WITH b AS (SELECT user_id, (event_id % 97) * 10 AS x, (event_id % 97) * 10 + 50 + (event_id % 5) * 20 AS z FROM events), k AS (SELECT unnest(range(400, 601)) AS k),
-    n AS (SELECT u.user_id, k.k, count(b.x) AS n FROM (SELECT DISTINCT user_id FROM b) u CROSS JOIN k LEFT JOIN b ON b.user_id = u.user_id AND b.x < k.k AND k.k < b.z GROUP BY 1, 2),
+    WITH b AS (SELECT user_id, CAST(event_id % 97 AS DOUBLE) / 100 AS x, CAST(5 + event_id % 5 * 2 AS DOUBLE) / 100 AS w FROM events), k AS (SELECT unnest(range(400, 601)) AS k),
+    n AS (SELECT u.user_id, k.k, count(b.x) AS n FROM (SELECT DISTINCT user_id FROM b) u CROSS JOIN k LEFT JOIN b ON b.user_id = u.user_id AND b.x < CAST(k.k AS DOUBLE) / 1000 AND CAST(k.k AS DOUBLE) / 1000 < b.x + b.w GROUP BY 1, 2),
     f AS (SELECT user_id, k, k - row_number() OVER (PARTITION BY user_id ORDER BY k) AS run FROM (SELECT *, min(n) OVER (PARTITION BY user_id) AS least FROM n) WHERE n = least),
     r AS (SELECT user_id, min(k) + max(k) AS middle FROM f GROUP BY user_id, run)
-    SELECT user_id, arg_min(middle, abs(middle - 1000) * 10000 + middle) / 2000.0 AS gutter FROM r GROUP BY 1""")
+    SELECT user_id, arg_min(middle, abs(middle - 1000) * 10000 + middle) / CAST(2000 AS DOUBLE) AS gutter FROM r GROUP BY 1""")
 def gutters(spark, folder):
     """The gutter between two columns of boxes; a page is a user's."""
     k = F.col("event_id")
-    boxes = _read(spark, folder, "events").select("user_id", (k % 97 * 10).cast("double").alias("x"), (50 + k % 5 * 20).cast("double").alias("w"))
-    found = layout.gutter(boxes, ["user_id"], low=400, high=600, per=1, most_width=600.0)
-    return found.select("user_id", ((F.col("gutter") + 0) / 1000).alias("gutter"))
+    boxes = _read(spark, folder, "events").select("user_id", ((k % 97).cast("double") / 100).alias("x"), ((5 + k % 5 * 2).cast("double") / 100).alias("w"))
+    return layout.gutter(boxes, ["user_id"])
 
 
 def _bitmaps(spark, folder):
@@ -541,6 +539,46 @@ def bitmap_shapes(spark, folder):
     return layout.components(_bitmaps(spark, folder))
 
 
+def publication(members: DataFrame) -> dict[str, DataFrame]:
+    """Result tables for members (code, province, district, name), all strings, that one text lists."""
+    none, text = F.lit(None).cast("string"), F.lit("base")
+    names = lambda name: (name.alias("name_fr"), F.lit("\u0627").alias("name_ar"))
+    count = F.count(F.lit(1)).cast("string").alias("municipalities")
+    listed = lambda article: (text.alias("listed_by"), article.alias("listed_article"))
+    municipalities = members.select("code", "province", "district", *names(F.col("name")), text.alias("name_fr_by"), text.alias("name_ar_by"), *listed(F.col("province")), F.lit("1").alias("listed_item"), none.alias("province_before"))
+    districts = members.groupBy(F.col("district").alias("code"), "province").agg(F.min("name").alias("name"), count)
+    districts = districts.select("code", "province", *names(F.col("name")), *listed(F.col("province")), F.lit("1").alias("listed_item"), "municipalities")
+    provinces = members.groupBy(F.col("province").alias("code")).agg(F.min("name").alias("name"), F.min("code").alias("seat"), F.countDistinct("district").cast("string").alias("districts"), count)
+    provinces = provinces.select("code", *names(F.col("name")), text.alias("named_by"), F.lit("1").alias("named_article"), F.lit("1").alias("named_item"), "seat", *(none.alias(c) for c in ("parent", "created", "created_by", "created_article")), *listed(F.col("code")), "districts", "municipalities")
+    moved = members.where(F.crc32("code") % 14 == 0)
+    changes = moved.select(F.lit("2026-01-01").alias("date"), F.lit("member_moved").alias("type"), F.col("code").alias("subject"), F.lit("01").alias("from"), F.col("province").alias("to"), text.alias("by"), F.lit("1").alias("article"), none.alias("item"))
+    aliases = moved.select(F.lit("municipality").alias("kind"), "code", F.lit("fr").alias("lang"), F.upper("name").alias("name"), text.alias("texts"))
+    texts = members.sparkSession.createDataFrame([("base", "law", "1")], "id string, kind string, jo_number string")
+    return {"provinces": provinces, "districts": districts, "municipalities": municipalities, "changes": changes, "aliases": aliases, "texts": texts}
+
+
+def published(members: DataFrame) -> DataFrame:
+    from cadastra.plans import publish
+
+    return publish.documents(publication(members), version="2026-01-01", base_text="base", country="XX", transition={"until": "2027-01-01", "text": "base", "article": "9"}, division="2019")
+
+
+@query("""
+    WITH m AS (SELECT lpad(CAST(c_custkey AS VARCHAR), 6, '0') AS code, lpad(CAST(c_nationkey + 1 AS VARCHAR), 2, '0') AS province, c_mktsegment AS s FROM customer),
+    p AS (SELECT DISTINCT province FROM m), d AS (SELECT DISTINCT province || substr(s, 1, 1) AS district FROM m)
+    SELECT 'municipalities/' || code || '.json' AS path, 'municipality' AS kind, code FROM m
+    UNION ALL SELECT 'districts/' || district || '.json', 'district', NULL FROM d
+    UNION ALL SELECT 'provinces/' || province || t.tail, t.kind, NULL FROM p, (VALUES ('.json', 'province'), ('/municipalities.json', 'municipality_list'), ('/districts.json', 'district_list'), ('/municipalities.csv', 'csv')) AS t(tail, kind)
+    UNION ALL SELECT path, kind, NULL FROM (VALUES ('provinces.json', 'provinces'), ('districts.json', 'districts'), ('municipalities.json', 'municipalities'), ('changes.json', 'changes'), ('texts.json', 'texts'),
+        ('divisions/2019/municipalities.json', 'division_municipalities'), ('divisions/2019/provinces.json', 'division_provinces'), ('provinces.csv', 'csv'), ('districts.csv', 'csv'), ('municipalities.csv', 'csv'), ('changes.csv', 'csv'), ('index.json', 'index')) AS t(path, kind)""")
+def published_documents(spark, folder):
+    """All documents of a publication: a path, a kind, and the code that a municipality's document holds."""
+    customer = _read(spark, folder, "customer")
+    province = F.lpad((F.col("c_nationkey") + 1).cast("string"), 2, "0")
+    members = customer.select(F.lpad(F.col("c_custkey").cast("string"), 6, "0").alias("code"), province.alias("province"), F.concat(province, F.substring("c_mktsegment", 1, 1)).alias("district"), F.col("c_name").alias("name"))
+    return published(members).select("path", "kind", F.get_json_object("body", "$.municipality.code").alias("code"))
+
+
 # -- texts applied to a hierarchy ----------------------------------------------------------------------------------
 
 # provinces are regions, a nation's customers lie in three districts, each with its least customer as its seat; in SQL:
