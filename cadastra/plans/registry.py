@@ -610,7 +610,18 @@ def _table(rows, seat: str = "seat"):
     return listed.unionByName(rows.groupBy("province", "number").agg(F.min(seat).alias("id")).select("province", "number", F.lit("seat").alias("item"), _name(F.col("id")).alias("fr"), none.alias("ar")))
 
 
+_CHAINS: dict[tuple[str, str], events.Chain] = {}
+
+
 def _chain(spark, folder) -> events.Chain:
+    """The chain over the tables of a folder; its states are checkpoints, so the queries of a session share them."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _CHAINS:
+        _CHAINS[key] = _applied_chain(spark, folder)
+    return _CHAINS[key]
+
+
+def _applied_chain(spark, folder) -> events.Chain:
     """Five steps: districts reprinted, members moved away, an emptied district, a snapshot, a province rewritten as two."""
     customer, nation = _read(spark, folder, "customer", "nation")
     rows = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select(F.col("c_custkey").alias("id"), F.col("n_regionkey").alias("region"), F.col("n_regionkey").cast("string").alias("province"), (F.col("c_custkey") % 3 + 1).alias("n"))
