@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from cadastra.llm import decontaminate, minhash, packing, passages, quality, sharding, tiff, toxicity, urls, warc
+from cadastra.llm import decontaminate, minhash, negatives, packing, passages, quality, ratio, sharding, spelling, tiff, toxicity, urls, warc
 from cadastra.llm.common import read, tokenizer_file
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -85,8 +85,23 @@ def op10_urls(spark: SparkSession, folder: str) -> DataFrame:
     return urls.filtered(read(spark, folder, "pages"), URL_RULES)
 
 
+def op11_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of six letters and more that occur five times and more, with the words one edit away that they stand for."""
+    return spelling.variants(read(spark, folder, "documents"), least_length=6, least_count=5, times=5)
+
+
+def op12_ratio(spark: SparkSession, folder: str) -> DataFrame:
+    """Trusted are the documents that ``labels`` calls good."""
+    return ratio.judged(read(spark, folder, "documents"), read(spark, folder, "labels").where("quality = 1")).drop("least")
+
+
+def op13_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Five negatives for each of five positives of every hundredth vector."""
+    return negatives.hard_negatives(read(spark, folder, "embeddings"))
+
+
 def queries() -> dict[str, Query]:
-    return {"op1_warc": op1_warc, "op2_minhash": op2_minhash, "op3_toxicity": op3_toxicity, "op4_hash_tree": op4_hash_tree, "op5_tiff": op5_tiff, "op6_compact_windows": op6_compact_windows, "op7_decontaminate": op7_decontaminate, "op8_quality": op8_quality, "op9_packing": op9_packing, "op10_urls": op10_urls, "pipeline": corpus_pipeline.run}
+    return {"op1_warc": op1_warc, "op2_minhash": op2_minhash, "op3_toxicity": op3_toxicity, "op4_hash_tree": op4_hash_tree, "op5_tiff": op5_tiff, "op6_compact_windows": op6_compact_windows, "op7_decontaminate": op7_decontaminate, "op8_quality": op8_quality, "op9_packing": op9_packing, "op10_urls": op10_urls, "op11_spelling": op11_spelling, "op12_ratio": op12_ratio, "op13_negatives": op13_negatives, "pipeline": corpus_pipeline.run}
 
 
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -127,6 +142,30 @@ ORACLES = {
         SELECT doc_id, CAST(coalesce(len(w), 0) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
                sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
         FROM d LEFT JOIN marked USING (doc_id) LEFT JOIN named USING (doc_id)""",
+    "op11_spelling": """
+        WITH RECURSIVE bits AS (SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)) AS t),
+        runs AS (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\u00C0-\u00FF]+')) AS run FROM documents),
+        counted AS (SELECT run, coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run AS named, count(*) AS n FROM runs WHERE length(run) >= 6 GROUP BY 1, 2),
+        bytes AS (SELECT run, n, list_transform(range(strlen(named)), lambda i: CAST('0x' || substr(hex(encode(named)), CAST(2 * i + 1 AS INT), 2) AS BIGINT)) AS b FROM counted),
+        hashed AS (SELECT run, n, xor(list_reduce(b, lambda c, x: xor(c >> 8, t[xor(c, x) % 256 + 1]), CAST(4294967295 AS BIGINT)), 4294967295) AS h FROM bytes, bits),
+        cut AS (SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM hashed),
+        words AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM cut WHERE length(word) >= 6 GROUP BY 1 HAVING sum(n) >= 5),
+        shorter AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS s FROM words, unnest(range(1, length(word) + 1)) AS u(i)),
+        pairs AS (SELECT DISTINCT a.word AS a, b.word AS b FROM shorter a JOIN shorter b ON a.s = b.s AND a.i = b.i AND a.word <> b.word
+                  UNION SELECT s.word, w.word FROM shorter s JOIN words w ON s.s = w.word UNION SELECT w.word, s.word FROM shorter s JOIN words w ON s.s = w.word),
+        near AS (SELECT a AS word, count(*) AS n_near, first(b ORDER BY n DESC, encode(b)) AS best, max(n) AS best_n FROM pairs JOIN words ON word = b GROUP BY 1),
+        forms AS (SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN best_n >= 5 * n THEN best END AS form, CASE WHEN best_n >= 5 * n THEN best_n END AS form_n FROM words LEFT JOIN near USING (word)),
+        steps AS (SELECT word, word AS root FROM forms UNION ALL SELECT steps.word, f.form FROM steps JOIN forms f ON f.word = steps.root WHERE f.form IS NOT NULL),
+        ends AS (SELECT steps.word, steps.root FROM steps JOIN forms f ON f.word = steps.root WHERE f.form IS NULL)
+        SELECT word, form, root, n, CAST(n_near AS BIGINT) AS n_near, form_n FROM forms JOIN ends USING (word)""",
+    "op13_negatives": """
+        WITH v AS (SELECT vec_id, CAST(CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS BIGINT) AS label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+                   FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: coalesce(NOT isfinite(x), true))) = 0),
+        scores AS (SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same, CAST(list_dot_product(a.e, b.e) AS BIGINT) AS score FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+        positives AS (SELECT anchor_id, other AS positive_id, score AS positive_score FROM scores WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5),
+        ranked AS (SELECT p.anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other) AS INT) AS rank, other AS negative_id, positive_score, score AS negative_score
+                   FROM positives p JOIN scores s ON s.anchor_id = p.anchor_id AND NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score)
+        SELECT * FROM ranked WHERE rank <= 5""",
 }
 
 
