@@ -70,12 +70,16 @@ def as_of(left: DataFrame, right: DataFrame, on: str, by: list[str], values: lis
 def bands(rules: DataFrame, by: list[str], at: str, *, low: float, high: float, least: float) -> DataFrame:
     """Bands (by, band, top, bottom) between the rules of a page, from ``low`` to ``high``; narrow ones are left out.
 
-    ``band`` counts all bands from 0, so it is the number of rules at or above a place.
+    ``band`` counts all bands from 0, so it is the number of rules at or above a place. A rule without a place is none, and
+    pages without rules have no bands. One shuffle by page: each rule ends a band, the last begins one as well.
     """
-    edges = rules.select(*by, F.col(at).cast("double").alias("_y")).unionByName(rules.select(*by).distinct().withColumn("_y", F.lit(low)))
-    order = Window.partitionBy(*by).orderBy("_y")
-    cut = edges.select(*by, (F.row_number().over(order) - 1).alias("band"), F.col("_y").alias("top"), F.coalesce(F.lead("_y").over(order), F.lit(high)).alias("bottom"))
-    return cut.where(F.col("bottom") - F.col("top") > least)
+    y, order = F.col(at).cast("double"), Window.partitionBy(*by).orderBy("_y")
+    rows = rules.where(F.col(at).isNotNull()).select(*by, y.alias("_y"))
+    rows = rows.select(*by, "_y", F.row_number().over(order).alias("_n"), F.coalesce(F.lag("_y").over(order), F.lit(float(low))).alias("_top"), F.lead("_y").over(order).isNull().alias("_last"))
+    band = lambda n, top, bottom: F.struct(n.alias("band"), top.alias("top"), bottom.alias("bottom"))
+    above, below = band(F.col("_n") - 1, F.col("_top"), F.col("_y")), band(F.col("_n"), F.col("_y"), F.lit(float(high)))
+    cut = rows.select(*by, F.explode(F.when(F.col("_last"), F.array(above, below)).otherwise(F.array(above))).alias("_b"))
+    return cut.select(*by, "_b.band", "_b.top", "_b.bottom").where(F.col("bottom") - F.col("top") > least)
 
 
 def into_bands(boxes: DataFrame, cut: DataFrame, by: list[str], middle: str) -> DataFrame:

@@ -6,6 +6,7 @@ import bisect
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,17 +37,24 @@ def clustered(frame: DataFrame, by: list[str], at: str, tolerance: float, rule:
     ``tolerance`` of its ``first`` row or of the ``mean`` of its rows.
 
     The rules depend on the cluster so far, so rows stream through Python in order; only a running mean is kept, and
-    a group of any size takes no memory.
+    a group of any size takes no memory. Null keys are a group like others. A row whose ``at`` is null or not a number
+    has no place and no cluster (null), and the rows around it don't see it. Equal places share a cluster.
     """
     if rule not in ("first", "mean"):
         raise ValueError(rule)
-    schema = frame.withColumn("cluster", F.lit(0).cast("long")).schema
+    if "cluster" in (c.lower() for c in frame.columns):
+        raise ValueError("there is a column cluster already")
+    schema = frame.withColumn("cluster", F.lit(None).cast("long")).schema
 
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        key, base, count, number = object(), 0.0, 0, -1
-        for pdf in batches:
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, base, count, number = None, 0.0, 0, -1
+        for batch in batches:
             out = []
-            for group, value in zip(zip(*(pdf[c] for c in by)), pdf[at]):
+            places = batch.column(at).cast(pa.float64(), safe=False).to_pylist()
+            for group, value in zip(zip(*(map(_comparable, batch.column(c).to_pylist()) for c in by)), places):
+                if value is None or value != value:
+                    out.append(None)
+                    continue
                 if group != key:
                     key, number, count = group, 0, 0
                 elif abs(value - base) >= tolerance:
@@ -54,10 +62,17 @@ def clustered(frame: DataFrame, by: list[str], at: str, tolerance: float, rule:
                 count += 1
                 base = value if count == 1 else base + (value - base) / count if rule == "mean" else base
                 out.append(number)
-            yield pdf.assign(cluster=pd.Series(out, dtype="int64", index=pdf.index))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.int64())], names=[*batch.schema.names, "cluster"])
 
     dealt = frame.repartition(*by).sortWithinPartitions(*by, at)
-    return dealt.mapInPandas(scan, schema)
+    return dealt.mapInArrow(scan, schema)
+
+
+def _comparable(value):
+    """A key's value by which equal keys are equal: not a number is one value, lists are tuples."""
+    if isinstance(value, float) and value != value:
+        return "NaN"
+    return tuple(map(_comparable, value)) if isinstance(value, list) else value
 
 
 def rising(frame: DataFrame, by: list[str], order: str, number: str, announced: Column | None = None) -> DataFrame:

@@ -6,13 +6,15 @@ documents and conversations for printed lines. Results are flat, so that any eng
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cadastra.functions import text as T
-from cadastra.operators import checks, events, joins, layout, nest, schema, sequence
+from cadastra.operators import checks, events, joins, layout, nest, schema, sequence, tables
+from cadastra.session import guarded
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -21,7 +23,7 @@ ORACLES: dict[str, str] = {}
 
 def query(oracle: str | None = None):
     def register(f: Query) -> Query:
-        QUERIES[f.__name__] = f
+        QUERIES[f.__name__] = functools.wraps(f)(lambda spark, folder: f(guarded(spark), folder))
         if oracle:
             ORACLES[f.__name__] = oracle
         return f
@@ -400,9 +402,15 @@ def clustered_by_first(spark, folder):
     return found.groupBy("user_id", "cluster").agg(F.count(F.lit(1)).alias("n"), F.min("event_id").alias("least"))
 
 
-@query(None)
+@query("""
+    WITH RECURSIVE o AS (SELECT event_id, user_id, value, row_number() OVER (PARTITION BY user_id ORDER BY value, event_id) AS rn FROM events),
+    c AS (SELECT event_id, user_id, value, rn, value AS base, 1 AS n, 0 AS cluster FROM o WHERE rn = 1
+          UNION ALL SELECT o.event_id, o.user_id, o.value, o.rn, CASE WHEN abs(o.value - base) >= 5 THEN o.value ELSE base + (o.value - base) / (n + 1) END,
+                           CASE WHEN abs(o.value - base) >= 5 THEN 1 ELSE n + 1 END, cluster + CASE WHEN abs(o.value - base) >= 5 THEN 1 ELSE 0 END
+          FROM c JOIN o ON o.user_id = c.user_id AND o.rn = c.rn + 1)
+    SELECT event_id, user_id, value, CAST(cluster AS BIGINT) AS cluster FROM c""")
 def clustered_by_mean(spark, folder):
-    """Lines of a cluster lie near its running mean; tested against brute force, as sums of floats depend on the engine."""
+    """Lines of a cluster lie near its running mean, which both engines add up in the same order."""
     return sequence.clustered(_read(spark, folder, "events").select("event_id", "user_id", "value"), ["user_id"], "value", 5.0, "mean")
 
 
@@ -526,6 +534,50 @@ def gutters(spark, folder):
     return layout.gutter(boxes, ["user_id"])
 
 
+PRINTED = tables.Layout(heading=r"^Province ([0-9]+)", end="^Next text", unchanged="unchanged", furniture="^$", line=0.0061, slack=0.004, head=0.02, least_band=0.015)
+
+
+def _printed(spark, folder):
+    """(parts, rules) of a user's pages, one in five of a user's events being a rule and one in sixty a heading."""
+    k = F.col("event_id")
+    rows = _read(spark, folder, "events").withColumn("page", (k % 3).cast("int")).withColumn("side", F.when((k % 97 * 10 + 25) < 500, "left").otherwise("right"))
+    text = F.when(k % 61 == 0, F.concat(F.lit("Province "), (k % 50).cast("string"))).when(k % 211 == 0, "Next text").when(k % 53 == 0, "unchanged")
+    text = text.when(k % 3 == 0, F.concat(F.lit("- "), "event_type", F.lit(" "), k.cast("string"))).otherwise(F.concat("event_type", F.lit("  "), k.cast("string")))
+    box = [(k % 97 / 100.0).alias("x"), (k * 7 % 997 / 1000.0).alias("y"), F.lit(0.05).alias("w"), F.lit(0.01).alias("h")]
+    parts = rows.select("user_id", "page", "side", k.alias("ord"), F.when(k % 2 == 0, "pdf").otherwise("ocr").alias("src"), *box, text.alias("text"))
+    rules = rows.where(F.col("event_type") == "signup").select("user_id", "page", "side", (k % 83 / 84.0).alias("y"))
+    return parts, rules
+
+
+@query(None)
+def band_tables(spark, folder):
+    """Tables printed in bands, each name with what every source reads; tested against a plain reader of pages."""
+    parts, rules = _printed(spark, folder)
+    found = tables.band_tables(parts, rules, ["user_id"], ["page", "side"], ["page", "side"], PRINTED)
+    texts = F.array_join(F.transform(F.array_sort(F.map_entries("texts")), lambda e: F.concat_ws("=", e["key"], e["value"])), "|")
+    return found.withColumn("texts", texts)
+
+
+@query("""
+    WITH p AS (SELECT *, event_id % 3 AS page FROM events), r AS (SELECT user_id, page, event_id % 83 AS y FROM p WHERE event_type = 'signup'),
+    pages AS (SELECT DISTINCT user_id, page FROM p), edges AS (SELECT user_id, page, y FROM r UNION ALL SELECT user_id, page, 0 FROM pages),
+    cut AS (SELECT user_id, page, row_number() OVER w - 1 AS band, y AS top, coalesce(lead(y) OVER w, 84) AS bottom FROM edges WINDOW w AS (PARTITION BY user_id, page ORDER BY y)),
+    grid AS (SELECT user_id, page, band, c FROM cut, unnest(range(top, bottom)) AS t(c)),
+    boxes AS (SELECT DISTINCT user_id, page, c FROM p, unnest(range(event_id * 7 % 80, event_id * 7 % 80 + event_id % 4 + 1)) AS t(c) WHERE event_type = 'view'),
+    free AS (SELECT g.* FROM grid g ANTI JOIN boxes b ON b.user_id = g.user_id AND b.page = g.page AND b.c = g.c),
+    steps AS (SELECT *, CASE WHEN c - lag(c) OVER w <= 2 THEN 0 ELSE 1 END AS begins FROM free WINDOW w AS (PARTITION BY user_id, page, band ORDER BY c)),
+    runs AS (SELECT *, sum(begins) OVER (PARTITION BY user_id, page, band ORDER BY c) AS run FROM steps)
+    SELECT user_id, CAST(page AS INT) AS page, CAST(band AS INT) AS band, min(c) AS y, max(c) + 1 - min(c) AS h FROM runs GROUP BY user_id, page, band, run HAVING max(c) + 1 - min(c) >= 2""")
+def uncovered_regions(spark, folder):
+    """Stretches of bands that no box covers, on a grid of 84 lines a page."""
+    k = F.col("event_id")
+    rows = _read(spark, folder, "events").withColumn("page", (k % 3).cast("int"))
+    rules = rows.where(F.col("event_type") == "signup").select("user_id", "page", (k % 83).alias("y"))
+    boxes = rows.where(F.col("event_type") == "view").select("user_id", "page", (k * 7 % 80).alias("y"), (k % 4 + 1).alias("h"))
+    found = tables.uncovered(rows, rules, ["user_id", "page"], boxes, least=2, gap=2, high=84)
+    return found.select("user_id", "page", "band", F.col("y").cast("long").alias("y"), F.col("h").cast("long").alias("h"))
+
+
 def _bitmaps(spark, folder):
     bits = F.bin(F.pmod(F.xxhash64("event_id", F.lit(1)), F.lit(1 << 48)))
     line = F.translate(F.lpad(bits, 48, "0"), "01", ".#")
@@ -610,18 +662,7 @@ def _table(rows, seat: str = "seat"):
     return listed.unionByName(rows.groupBy("province", "number").agg(F.min(seat).alias("id")).select("province", "number", F.lit("seat").alias("item"), _name(F.col("id")).alias("fr"), none.alias("ar")))
 
 
-_CHAINS: dict[tuple[str, str], events.Chain] = {}
-
-
 def _chain(spark, folder) -> events.Chain:
-    """The chain over the tables of a folder; its states are checkpoints, so the queries of a session share them."""
-    key = (spark.sparkContext.applicationId, folder)
-    if key not in _CHAINS:
-        _CHAINS[key] = _applied_chain(spark, folder)
-    return _CHAINS[key]
-
-
-def _applied_chain(spark, folder) -> events.Chain:
     """Five steps: districts reprinted, members moved away, an emptied district, a snapshot, a province rewritten as two."""
     customer, nation = _read(spark, folder, "customer", "nation")
     rows = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select(F.col("c_custkey").alias("id"), F.col("n_regionkey").alias("region"), F.col("n_regionkey").cast("string").alias("province"), (F.col("c_custkey") % 3 + 1).alias("n"))
