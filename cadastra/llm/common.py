@@ -21,6 +21,8 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import BinaryType, StructField, StructType
 
+from cadastra.session import guarded
+
 #: Bytes of text that a kernel holds in arrays at once; a longer single text is a slice of its own.
 SLICE_BYTES = 1 << 20
 #: Bytes that one pass of the word hash covers.
@@ -35,7 +37,7 @@ def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
     paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
     if root not in paths:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return guarded(spark).read.parquet(f"{folder}/{name}.parquet")
 
 
 def tokenizer_file() -> str:
