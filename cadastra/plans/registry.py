@@ -717,6 +717,27 @@ def fixpoint_pairing(spark, folder):
     return events.parents(_chain(spark, folder).origins["fourth"])
 
 
+_PAIRS = """
+    WITH n AS (SELECT 2 * greatest(2, count(*) // 80) AS p FROM customer), c AS (SELECT c_custkey AS id, c_custkey % p AS old, c_custkey // p AS k FROM customer, n)"""
+
+
+@query(_PAIRS + " SELECT id, 'p' || old AS old, CASE WHEN k % 2 = 1 THEN 'new' || old ELSE 'p' || old END AS province FROM c")
+def paired_members(spark, folder):
+    """Where the members of a text that splits every province come from. Half of the names are those of two members,
+    which only the origin of the others of a new province tells apart."""
+    customer = _read(spark, folder, "customer")
+    provinces = 2 * max(2, customer.count() // 80)
+    id_, none = F.col("c_custkey"), F.lit(None).cast("string")
+    old, k = F.concat(F.lit("p"), id_ % provinces), F.floor(id_ / provinces)
+    shared = F.concat(_name(F.floor(id_ / 2)), F.when(k % 4 == 1, F.concat(F.lit("own"), _name(id_))).otherwise(""))
+    new = F.when(k % 2 == 1, F.concat(F.lit("new"), id_ % provinces)).otherwise(old)
+    print_ = lambda province: customer.select(province.alias("province"), F.lit("1").alias("number"), id_.cast("string").alias("item"), shared.alias("fr"), none.alias("ar"))
+    state = events.base(print_(old), "first")
+    _, origin = events.rewritten(state, print_(new), "second", [f"p{i}" for i in range(provinces)])
+    ids = state.printed.select("uid", F.element_at(F.split("cite", "/"), -1).cast("long").alias("id"))
+    return origin.join(ids, "uid").select("id", "old", "province")
+
+
 @query(_FOLD + """
     , m AS (SELECT id, province, CAST(region AS VARCHAR) AS old FROM after WHERE province = 'new')
     SELECT '2026-01-01' AS date, 'province_created' AS type, 'new' AS subject, min(old) AS "from", 'new' AS "to" FROM m GROUP BY province
