@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import gc
 import os
-import tempfile
 import time
 import uuid
 from collections.abc import Iterator
@@ -21,6 +20,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import BinaryType, StructField, StructType
 
+from cadastra.operators.storage import shared_folder
 from cadastra.session import guarded
 
 #: Bytes of text that a kernel holds in arrays at once; a longer single text is a slice of its own.
@@ -48,11 +48,10 @@ def tokenizer_file() -> str:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share; where none is named (tests), one is made on this machine."""
-    named, context = spark.conf.get("spark.checkpoint.dir", None), spark.sparkContext
-    if not context._jsc.sc().getCheckpointDir().isDefined():
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="cadastra-"))
-    return named.rstrip("/") if named else context._jsc.sc().getCheckpointDir().get()
+    """The folder that all executors share, as spark.checkpoint.dir names it; unset, one of this machine (local masters only)."""
+    made = shared_folder(spark)
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    return named.rstrip("/") if named else made
 
 
 def checkpoint(frame: DataFrame) -> DataFrame:
