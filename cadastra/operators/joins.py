@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cadastra.functions.text import similarity
 from cadastra.operators.checks import require_none
+from cadastra.operators.similar import best_matches
 
 
 def last_wins(frame: DataFrame, keys: list[str], order: list[Column | str]) -> DataFrame:
@@ -177,17 +177,8 @@ def respelled(column: Column, spellings: dict[str, str]) -> Column:
 
 
 def most_similar(left: DataFrame, right: DataFrame, by: list[str], text_left: str, text_right: str, cutoff: float) -> DataFrame:
-    """``left`` with r_id and score of the most similar row of ``right`` in its group, if at least ``cutoff``.
-
-    A ratio can't exceed what the strings' lengths allow, so most pairs are dropped before they are compared. Of equal
-    scores the least r_id wins. Keep groups small: all that the lengths allow is compared.
-    """
-    r = right.select(*by, F.col("id").alias("r_id"), F.col(text_right).alias("_b"))
-    a, b = F.length(text_left), F.length("_b")
-    met = left.join(r, by).where((a + b > 0) & (2 * F.least(a, b) >= cutoff * (a + b)))
-    scored = met.withColumn("_score", similarity(F.col(text_left), F.col("_b"))).where(F.col("_score") >= cutoff)
-    best = scored.groupBy("id").agg(F.max_by(F.struct("r_id", "_score"), F.struct("_score", -F.col("r_id"))).alias("_best"))
-    return left.join(best, "id", "left").select(*left.columns, F.col("_best.r_id").alias("r_id"), F.col("_best._score").alias("score"))
+    """``left`` with r_id and score of the most similar row of ``right`` in its group, if at least ``cutoff``; see ``similar``."""
+    return best_matches(left, right, by, text_left, text_right, cutoff)
 
 
 def prefixed(codes: DataFrame, entries: DataFrame, code: str, entry: str) -> DataFrame:

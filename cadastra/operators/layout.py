@@ -2,44 +2,10 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-
-def _shapes(rows: list[str]) -> list[list[tuple[int, int]]]:
-    """The 8-connected components of a bitmap's '#' pixels, in the order of their first pixel."""
-    left = {(y, x) for y, line in enumerate(rows) for x, c in enumerate(line) if c == "#"}
-    out = []
-    for start in sorted(left):
-        if start not in left:
-            continue
-        left.remove(start)
-        shape, queue = [start], [start]
-        while queue:
-            y, x = queue.pop()
-            near = [(y + i, x + j) for i in (-1, 0, 1) for j in (-1, 0, 1) if (y + i, x + j) in left]
-            left.difference_update(near)
-            shape += near
-            queue += near
-        out.append(sorted(shape))
-    return out
-
-
-def components(bitmaps: DataFrame) -> DataFrame:
-    """(id, shape, pixels, x, y, width, height) of each shape of bitmaps (id, rows: array of lines)."""
-
-    def split(batches):
-        for pdf in batches:
-            out = []
-            for name, rows in zip(pdf["id"], pdf["rows"]):
-                for k, shape in enumerate(_shapes([] if rows is None else list(rows))):
-                    ys, xs = [p[0] for p in shape], [p[1] for p in shape]
-                    out.append((name, k, len(shape), min(xs), min(ys), max(xs) - min(xs) + 1, max(ys) - min(ys) + 1))
-            yield pd.DataFrame(out, columns=["id", "shape", "pixels", "x", "y", "width", "height"])
-
-    return bitmaps.select("id", "rows").mapInPandas(split, "id long, shape long, pixels long, x long, y long, width long, height long")
-
+from cadastra.operators.shapes import components  # noqa: F401  shapes are part of a page's layout
 
 def profile(bitmaps: DataFrame) -> DataFrame:
     """(id, y, width): from the first to the last pixel of each line that has any, without Python."""

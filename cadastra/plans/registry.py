@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cadastra.functions import text as T
-from cadastra.operators import checks, events, joins, layout, nest, schema, sequence, tables
+from cadastra.operators import checks, events, joins, layout, nest, schema, sequence, shapes, similar, tables
 from cadastra.session import guarded
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -309,12 +309,27 @@ def positional_pairs(spark, folder):
     return joins.positional(left, right, ["o_custkey"], ["ar"], ["o_totalprice", "fr"]).select("o_custkey", "position", "ar", "fr")
 
 
+def _misread(spark, folder):
+    """(misread, printed): every part's name as a reader might have it, and as it is."""
+    parts = _read(spark, folder, "part")
+    printed = parts.select(F.col("p_partkey").alias("id"), "p_brand", "p_size", F.concat_ws(" ", "p_name", "p_type").alias("name"))
+    k = F.col("id") % 5
+    read = F.when(k == 0, F.translate("name", "el", "c1")).when(k == 1, F.substring("name", 2, 99)).when(k == 2, F.upper("name")).when(k == 3, F.regexp_replace("name", " ", "")).otherwise(F.col("name"))
+    return printed.withColumn("name", read), printed.withColumnRenamed("name", "other")
+
+
 @query(None)
 def similar_names(spark, folder):
-    """The most similar part name of the same brand, of another size; similarity has no form in SQL."""
-    parts = _read(spark, folder, "part").select(F.col("p_partkey").alias("id"), "p_brand", "p_name")
-    right = parts.where("id % 2 = 0")
-    return joins.most_similar(parts.where("id % 2 = 1"), right.withColumnRenamed("p_name", "other"), ["p_brand"], "p_name", "other", 0.5)
+    """Of every misread name the most similar one of its brand; similarity has no form in SQL."""
+    misread, printed = _misread(spark, folder)
+    return joins.most_similar(misread.drop("p_size"), printed.drop("p_size"), ["p_brand"], "name", "other", 0.7)
+
+
+@query(None)
+def numbered_names(spark, folder):
+    """The same with numbers: a name of the same size needs less likeness than one of another."""
+    misread, printed = _misread(spark, folder)
+    return similar.best_matches(misread, printed, ["p_brand"], "name", "other", 0.7, number="p_size", other=0.9)
 
 
 @query("SELECT s_suppkey, min(p_name || ' ' || p_partkey) AS entry FROM supplier LEFT JOIN part ON p_size = s_suppkey GROUP BY 1")
@@ -579,16 +594,54 @@ def uncovered_regions(spark, folder):
 
 
 def _bitmaps(spark, folder):
-    bits = F.bin(F.pmod(F.xxhash64("event_id", F.lit(1)), F.lit(1 << 48)))
-    line = F.translate(F.lpad(bits, 48, "0"), "01", ".#")
-    rows = F.transform(F.sequence(F.lit(0), F.lit(5)), lambda k: F.substring(line, k * 8 + 1, F.lit(8)))
+    """Of each event's record a bitmap of eight lines of sixteen pixels, about a quarter of them set."""
+    record = F.concat_ws("|", F.col("event_id").cast("string"), "event_type", "props")
+    word = lambda h, k: F.conv(F.substring(h, 4 * k + 1, 4), 16, 10).cast("int")
+    a, b = F.md5(record), F.md5(F.concat(record, F.lit("|")))
+    rows = F.array(*(F.translate(F.lpad(F.bin(word(a, k).bitwiseAND(word(b, k))), 16, "0"), "01", ".#") for k in range(8)))
     return _read(spark, folder, "events").select(F.col("event_id").alias("id"), rows.alias("rows"))
 
 
-@query(None)
+@query("""
+    WITH RECURSIVE e AS (SELECT event_id AS id, event_id || '|' || event_type || '|' || props AS r FROM events),
+    w AS (SELECT id, y, CAST('0x' || substr(md5(r), CAST(4 * y + 1 AS INT), 4) AS INT) & CAST('0x' || substr(md5(r || '|'), CAST(4 * y + 1 AS INT), 4) AS INT) AS v FROM e, unnest(range(8)) AS t(y)),
+    p AS (SELECT id, y, x FROM w, unnest(range(16)) AS t(x) WHERE (v >> CAST(15 - x AS INT)) & 1 = 1),
+    reached AS (SELECT id, y, x, y * 16 + x AS label FROM p UNION SELECT p.id, p.y, p.x, label FROM reached r JOIN p ON p.id = r.id AND abs(p.y - r.y) <= 1 AND abs(p.x - r.x) <= 1 AND label < p.y * 16 + p.x),
+    least AS (SELECT id, y, x, min(label) AS label FROM reached GROUP BY 1, 2, 3),
+    s AS (SELECT id, label, count(*) AS pixels, min(x) AS x, min(y) AS y, max(x) - min(x) + 1 AS width, max(y) - min(y) + 1 AS height FROM least GROUP BY 1, 2)
+    SELECT id, row_number() OVER (PARTITION BY id ORDER BY label) - 1 AS shape, pixels, x, y, width, height FROM s""")
 def bitmap_shapes(spark, folder):
-    """Connected shapes of bitmaps."""
-    return layout.components(_bitmaps(spark, folder))
+    """Connected shapes of bitmaps, by runs."""
+    return shapes.components(_bitmaps(spark, folder))
+
+
+def _glyphs() -> dict[str, list[str]]:
+    """Four alifs of twenty pixels, a name in lines: bare, with a hamza above, with one below, with a madda."""
+    blank, stem, cap = "." * 20, "........####........", ".....##########....."
+    above, foot = ["......######........"] * 5, [".....##########....."] * 10
+    tall = [stem] * 28
+    rows = {"ا": [blank] * 14 + tall + [blank] * 18, "أ": [blank] * 6 + above + [blank] * 3 + tall + [blank] * 18, "إ": [blank] * 14 + tall + [blank] * 4 + foot + [blank] * 4}
+    return rows | {"آ": [blank] * 14 + [cap] * 2 + tall + [blank] * 16}
+
+
+@query("""
+    WITH k AS (SELECT event_id AS id, [event_id % 4, event_id // 4 % 4, event_id // 16 % 4] AS drawn, [event_id % 4, length(event_type) % 4, CASE WHEN value > 20 THEN event_id // 16 % 4 ELSE 0 END] AS said, event_id % 11 = 0 AS longer FROM events),
+    j AS (SELECT id, longer, t.i, drawn[t.i] AS d, said[t.i] AS s FROM k, unnest([1, 2, 3]) AS t(i)),
+    v AS (SELECT id, longer, i, CASE WHEN (s = 2) <> (d = 2) THEN 'below ' || i WHEN d IN (0, 2) AND s IN (1, 3) THEN 'head ' || i || ' bare' WHEN d = 1 AND s <> 1 THEN 'head ' || i || ' hamza' WHEN d = 3 AND s <> 3 THEN 'head ' || i || ' madda' END AS verdict FROM j)
+    SELECT id, CASE WHEN longer THEN 4 ELSE 3 END AS alifs, 3 AS found, CASE WHEN longer THEN 'count' ELSE first(verdict ORDER BY i) FILTER (verdict IS NOT NULL) END AS verdict FROM v GROUP BY id, longer""")
+def alif_verdicts(spark, folder):
+    """Names with three alifs, drawn after an event's number and written after its record: where scan and text differ."""
+    drawn = _glyphs()
+    table = F.array(*(F.array(*map(F.lit, rows)) for rows in drawn.values()))
+    letters = F.array(*map(F.lit, drawn))
+    k, value = F.col("event_id"), F.col("value")
+    kinds = [(k % 4).cast("int"), (F.floor(k / 4) % 4).cast("int"), (F.floor(k / 16) % 4).cast("int")]
+    said = [kinds[0], F.length("event_type") % 4, F.when(value > 20, kinds[2]).otherwise(0)]
+    glyph = lambda kind, y: F.get(F.get(table, kind), y)
+    rows = F.transform(F.sequence(F.lit(0), F.lit(59)), lambda y: F.concat(F.lit("...."), *(glyph(kind, y) for kind in reversed(kinds)), F.lit("....")))
+    text = F.concat_ws(" ", *(F.get(letters, s) for s in said), F.when(k % 11 == 0, "ا"))
+    names = _read(spark, folder, "events").select(k.alias("id"), rows.alias("rows"), text.alias("text"))
+    return shapes.verdicts(names)
 
 
 def publication(members: DataFrame) -> dict[str, DataFrame]:
