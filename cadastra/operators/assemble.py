@@ -1,4 +1,5 @@
-"""The five result tables, assembled from a state that the source texts have built."""
+"""The five result tables (provinces, districts, municipalities, changes, aliases), assembled from the state that the
+source texts have built. Columns are those that publishing reads, see ``plans/publish.py``."""
 
 from __future__ import annotations
 
@@ -7,8 +8,9 @@ from pyspark.sql import functions as F
 
 from cadastra.functions.text import arabic_key, latin_key
 from cadastra.operators.checks import require_none, require_unique
-from cadastra.operators.events import State, latest_names
-from cadastra.operators.joins import either_key, last_wins, match_counts
+from cadastra.operators.events import State, aliases, latest_names
+from cadastra.operators.joins import either_key, exactly_one, last_wins, match_counts, respelled
+from cadastra.operators.storage import kept
 
 _KEYS = [("fr_key", "fr_key"), ("ar_key", "ar_key")]
 
@@ -114,3 +116,80 @@ def districts(state: State, codes: DataFrame, names: DataFrame) -> DataFrame:
     sizes = state.members.groupBy("district").agg(F.count(F.lit(1)).alias("municipalities"))
     rows = found.join(state.districts, "district").join(sizes, "district").join(names, "code").withColumn("c", F.split("cite", "/"))
     return rows.select("code", "province", F.col("fr").alias("name_fr"), F.col("ar").alias("name_ar"), F.col("c")[0].alias("listed_by"), F.col("c")[1].alias("listed_article"), F.col("c")[2].alias("listed_item"), "municipalities")
+
+
+def provinces(
+    state: State, codes: DataFrame, namings: DataFrame, parents: DataFrame, articles: DataFrame, writings: DataFrame, dates: DataFrame, districts_: DataFrame, base_law: str,
+    *, without_seat: list[str] = (), spellings: dict[str, str] | None = None,
+) -> DataFrame:
+    """The table of provinces, one row for each that has members.
+
+    The last of its ``namings`` (province, seq, fr, ar, seat_fr, seat_ar, by, article, item) names it; its seat is the one member
+    printed under the seat's names, after ``spellings``, but for provinces ``without_seat``. Of the ``writings`` (article, seq, text,
+    via) of its article (``articles``: province, article) the last lists it, ``base_law`` where there is none. A province with one of
+    ``parents`` (province, parent) was created by the first, on that text's date (``dates``: text, date). A province
+    without a naming, and a seat that fits no member or several, are errors.
+    """
+    held = state.members.groupBy("province").agg(F.count(F.lit(1)).alias("municipalities"))
+    named = kept(held.join(named_provinces(namings), "province", "left"))
+    require_none(named.where("by IS NULL").select("province"), "a province that no text names")
+    wanted = named.where(~F.col("province").isin(list(without_seat))).select("province", respelled(F.col("seat_fr"), spellings or {}).alias("fr"), F.col("seat_ar").alias("ar"))
+    printed = _keyed(state.printed.join(state.members.select("uid", "province"), "uid"), "province").select("uid", "fr_key", "ar_key")
+    seat = exactly_one(_keyed(wanted, "province").select("province", "fr_key", "ar_key"), printed, "province", "uid", _KEYS, "the seat of a province")
+    seat = seat.join(codes, "uid").select("province", F.col("code").alias("seat"))
+    sizes = districts_.groupBy("province").agg(F.count(F.lit(1)).alias("districts"))
+    history = article_history(writings)
+    rows = named.join(seat, "province", "left").join(parents, "province", "left").join(articles.withColumnRenamed("article", "written"), "province", "left")
+    rows = rows.join(history.withColumnRenamed("article", "written"), "written", "left").join(sizes, "province", "left")
+    first, via = F.coalesce(F.col("first.text"), F.lit(base_law)), F.coalesce(F.col("first.via"), F.lit(""))
+    rows = rows.withColumn("created_by", F.when(F.col("parent").isNotNull(), first)).withColumn("created_article", F.when(F.col("parent").isNotNull(), via))
+    rows = rows.join(dates.select(F.col("text").alias("created_by"), F.col("date").alias("created")), "created_by", "left")
+    return rows.select(
+        F.col("province").alias("code"), F.col("fr").alias("name_fr"), F.col("ar").alias("name_ar"), F.col("by").alias("named_by"), F.col("article").alias("named_article"), F.col("item").alias("named_item"),
+        "seat", "parent", "created", "created_by", "created_article", F.coalesce("last_text", F.lit(base_law)).alias("listed_by"), F.col("written").alias("listed_article"),
+        F.coalesce("districts", F.lit(0)).alias("districts"), "municipalities",
+    )
+
+
+def changes(provinces_: DataFrame, municipalities_: DataFrame, state: State, codes: DataFrame, law: DataFrame, text: str, date: str) -> DataFrame:
+    """The table of changes that the law ``text`` makes: the provinces it creates, then the municipalities that are elsewhere
+    than before, each with the one row of ``law`` (province, article, item, fr, ar) that lists it under any of its names."""
+    created = provinces_.where(F.col("created_by") == text).select(
+        F.lit(date).alias("date"), F.lit("province_created").alias("type"), F.col("code").alias("subject"), F.col("parent").alias("from"), F.col("code").alias("to"),
+        F.lit(text).alias("by"), F.col("created_article").alias("article"), F.lit(None).cast("string").alias("item"),
+    )
+    moved = municipalities_.where("province_before IS NOT NULL").join(codes, "code").select("uid", "code", F.col("province_before").alias("from"), F.col("province").alias("to"))
+    cited = cited_moves(kept(moved), law, state.printed.select("uid", "fr", "ar"))
+    rows = cited.select(F.lit(date).alias("date"), F.lit("member_moved").alias("type"), F.col("code").alias("subject"), "from", "to", F.lit(text).alias("by"), "article", "item")
+    return created.unionByName(rows)
+
+
+def all_aliases(state: State, codes: DataFrame, municipalities_: DataFrame, districts_: DataFrame, lists: DataFrame, dates: DataFrame) -> DataFrame:
+    """The table of aliases: every other spelling of a municipality's names in the texts and law ``lists`` (text, province, fr,
+    ar), and of a district's in its seat's print, each with the texts that have it, oldest first (``dates``: text, date)."""
+    printed = state.printed.join(codes, "uid").select("code", "seq", "text", "fr", "ar")
+    lawful = law_names(state, lists).join(codes, "uid").select("code", F.lit(1 << 30).alias("seq"), "text", "fr", "ar")
+    names = lambda table: table.select("code", F.col("name_fr").alias("fr"), F.col("name_ar").alias("ar"))
+    found = aliases(printed.unionByName(lawful), names(municipalities_), dates, ["code"])
+    seated = seats(state, codes).join(state.districts, "district").select("code", F.lit(0).alias("seq"), F.split("cite", "/")[0].alias("text"), F.col("seat_fr").alias("fr"), F.col("seat_ar").alias("ar"))
+    own = aliases(seated, names(districts_), dates, ["code"])
+    return found.select(F.lit("municipality").alias("kind"), "*").unionByName(own.select(F.lit("district").alias("kind"), "*"))
+
+
+def tables(
+    state: State, codes: DataFrame, before: DataFrame, listed: DataFrame, namings: DataFrame, parents: DataFrame, articles: DataFrame, writings: DataFrame, law: DataFrame, dates: DataFrame,
+    *, base_law: str, law_text: str, renamed: list[str] = (), arabic_listed: list[str] = (), without_seat: list[str] = (), spellings: dict[str, str] | None = None,
+) -> dict[str, DataFrame]:
+    """The five tables of a state. ``codes``: uid, code; ``before``: code, province in the snapshot ahead of ``law_text``; ``law``: the
+    rows of its lists (text, province, article, item, fr, ar), of which those of ``law_text`` are cited. The other parameters are those of
+    the functions above. Each table is computed once, so that those built on it don't repeat it."""
+    names = resolved_names(state, codes, listed, renamed, arabic_listed)
+    members = kept(municipalities(state, codes, names, before))
+    places = kept(districts(state, codes, names))
+    units = kept(provinces(state, codes, namings, parents, articles, writings, dates, places, base_law, without_seat=without_seat, spellings=spellings))
+    date = dates.where(F.col("text") == law_text).first()["date"]
+    cited = law.where(F.col("text") == law_text).select("province", "article", "item", "fr", "ar")
+    return {
+        "provinces": units, "districts": places, "municipalities": members, "changes": changes(units, members, state, codes, cited, law_text, date),
+        "aliases": all_aliases(state, codes, members, places, law.select("text", "province", "fr", "ar"), dates),
+    }

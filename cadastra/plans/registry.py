@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cadastra.functions import text as T
-from cadastra.operators import checks, events, joins, layout, nest, schema, sequence, shapes, similar, tables
+from cadastra.operators import assemble, checks, events, joins, layout, nest, schema, sequence, shapes, similar, tables
+from cadastra.operators.storage import kept
 from cadastra.session import guarded
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -708,30 +709,35 @@ def _number(name) -> F.Column:
     return F.translate(name, "abcdefghij", "0123456789").cast("long")
 
 
-def _table(rows, seat: str = "seat"):
-    """A printed table of rows (id, province, number, seat)."""
-    none = F.lit(None).cast("string")
-    listed = rows.select("province", "number", F.col("id").cast("string").alias("item"), _name(F.col("id")).alias("fr"), none.alias("ar"))
-    return listed.unionByName(rows.groupBy("province", "number").agg(F.min(seat).alias("id")).select("province", "number", F.lit("seat").alias("item"), _name(F.col("id")).alias("fr"), none.alias("ar")))
+def _arabic(key) -> F.Column:
+    return F.translate(F.lpad(key.cast("string"), 9, "0"), "0123456789", "بتثجحخدذرز")
+
+
+def _table(rows, seat: str = "seat", *, both: bool = False, hyphen: bool = False):
+    """A printed table of rows (id, province, number, seat), in one language or in both, or with a hyphen in each name."""
+    fr = lambda key: F.regexp_replace(_name(key), "^(...)", "$1-") if hyphen else _name(key)
+    ar = lambda key: (_arabic(key) if both else F.lit(None).cast("string")).alias("ar")
+    listed = rows.select("province", "number", F.col("id").cast("string").alias("item"), fr(F.col("id")).alias("fr"), ar(F.col("id")))
+    return listed.unionByName(rows.groupBy("province", "number").agg(F.min(seat).alias("id")).select("province", "number", F.lit("seat").alias("item"), fr(F.col("id")).alias("fr"), ar(F.col("id"))))
 
 
-def _chain(spark, folder) -> events.Chain:
+def _chain(spark, folder, both: bool = False) -> events.Chain:
     """Five steps: districts reprinted, members moved away, an emptied district, a snapshot, a province rewritten as two."""
     customer, nation = _read(spark, folder, "customer", "nation")
     rows = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select(F.col("c_custkey").alias("id"), F.col("n_regionkey").alias("region"), F.col("n_regionkey").cast("string").alias("province"), (F.col("c_custkey") % 3 + 1).alias("n"))
     rows = rows.withColumn("seat", F.min("id").over(Window.partitionBy("region", "n"))).withColumn("number", F.col("n").cast("string"))
-    first = events.base(_table(rows), "first")
+    first = events.base(_table(rows, both=both), "first")
     turned = (F.col("id") % 7 == 0) & (F.col("id") != F.col("seat"))
     again = rows.where("region <= 1").withColumn("number", F.when(turned, F.col("n") % 3 + 1).otherwise(F.col("n")).cast("string"))
     seats = rows.where("region <= 1").select("province", F.col("n").cast("string").alias("number"), "seat").distinct()
-    reprinted = _table(again.drop("seat").join(seats, ["province", "number"]))
+    reprinted = _table(again.drop("seat").join(seats, ["province", "number"]), both=both, hyphen=both)
     leaves = ((F.col("region") == 2) & (F.col("id") % 11 == 0) & (F.col("id") != F.col("seat"))) | ((F.col("region") == 4) & (F.col("n") == 3))
-    moving = rows.where(leaves).select("province", F.col("id").cast("string").alias("item"), _name(F.col("id")).alias("fr"), F.lit(None).cast("string").alias("ar"))
+    moving = rows.where(leaves).select("province", F.col("id").cast("string").alias("item"), _name(F.col("id")).alias("fr"), (_arabic(F.col("id")) if both else F.lit(None).cast("string")).alias("ar"))
     emptied = {("4", r.fr) for r in rows.where("region = 4 AND n = 3").groupBy("province").agg(_name(F.min("id")).alias("fr")).collect()}
     two = rows.where("region = 3").withColumn("province", F.when(F.col("id") % 2 == 1, "new").otherwise(F.col("province")))
     steps = [
         events.Step("amend", "second", reprinted), events.Step("move", "third", moving, to="centre"), events.Step("drop", "third", expected=emptied),
-        events.Step("snapshot", "before"), events.Step("rewrite", "fourth", _table(two, "id"), pool=["3"]),
+        events.Step("snapshot", "before"), events.Step("rewrite", "fourth", _table(two, "id", both=both), pool=["3"]),
     ]
     return events.applied(first, steps)
 
@@ -803,6 +809,56 @@ def chain_changes(spark, folder):
     return events.changes(side(chain.snapshots["before"]), side(chain.state), F.lit("2026-01-01"))
 
 
+@query(_FOLD + r"""
+    , n AS (SELECT id, region, province, number, seat, gone, translate(lpad(CAST(id AS VARCHAR), 9, '0'), '0123456789', 'abcdefghij') AS fr, translate(lpad(CAST(id AS VARCHAR), 9, '0'), '0123456789', 'بتثجحخدذرز') AS ar,
+                   CASE WHEN gone THEN 'third' WHEN region <= 1 THEN 'second' WHEN region = 3 THEN 'fourth' ELSE 'first' END AS src, lpad(CAST(id AS VARCHAR), 6, '0') AS code, lpad(CAST(seat AS VARCHAR), 6, '0') AS district FROM after),
+    m AS (SELECT *, CASE WHEN src = 'second' THEN substr(fr, 1, 3) || '-' || substr(fr, 4) ELSE fr END AS name,
+                 CASE WHEN src = 'first' THEN CAST((id % 3) + 1 AS VARCHAR) || '/' || id WHEN src = 'third' THEN CAST(id AS VARCHAR) ELSE number || '/' || id END AS item,
+                 CASE WHEN src = 'third' OR src = 'first' THEN CAST(region AS VARCHAR) ELSE province END AS article FROM n),
+    p AS (SELECT province, min(code) AS seat, min(id) AS id, count(DISTINCT district) AS districts, count(*) AS members FROM m GROUP BY 1)
+    SELECT 'municipalities' AS kind, code, concat_ws('|', province, coalesce(district, '-'), name, ar, src, src, src, article, item, CASE WHEN province = 'new' THEN '3' ELSE '-' END) AS data FROM m
+    UNION ALL SELECT 'districts', district, concat_ws('|', province, max(name) FILTER (id = seat), max(ar) FILTER (id = seat), CASE WHEN region <= 1 THEN 'second' WHEN region = 3 THEN 'fourth' ELSE 'first' END, province, max(CAST(number AS VARCHAR)), count(*))
+        FROM m WHERE number IS NOT NULL GROUP BY region, province, district
+    UNION ALL SELECT 'provinces', province, concat_ws('|', 'P' || province, 'ع' || province, 'decree', '1', province, seat, CASE WHEN province = 'new' THEN '3' ELSE '-' END,
+        CASE WHEN province = 'new' THEN '2026-01-01|law-b|9 bis' ELSE '-|-|-' END, CASE WHEN province IN ('new', '3') THEN 'law-b' WHEN province = 'centre' THEN 'old-law' ELSE 'law-a' END, CASE WHEN province = 'centre' THEN '-' ELSE 'art ' || province END, districts, members) FROM p
+    UNION ALL SELECT 'changes', 'new', '2026-01-01|province_created|3|new|law-b|9 bis|-' FROM p WHERE province = 'new'
+    UNION ALL SELECT 'changes', code, concat_ws('|', '2026-01-01', 'member_moved', '3', 'new', 'law-b', 'art new', id) FROM m WHERE province = 'new'
+    UNION ALL SELECT 'aliases', code, 'municipality|fr|' || fr || '|first' FROM m WHERE src = 'second'
+    UNION ALL SELECT 'aliases', code, 'municipality|fr|' || substr(fr, 1, 5) || '-' || substr(fr, 6) || '|law-b' FROM m WHERE province = 'new'
+    UNION ALL SELECT 'aliases', code, 'municipality|fr|' || substr(fr, 1, 3) || '-' || substr(fr, 4) || '|second' FROM m WHERE src = 'third' AND region <= 1""")
+def assembled_tables(spark, folder):
+    """The five result tables of the chain, a row of each as one text: names by the latest text, seats, counts, history of
+    articles, changes with the items of the law, aliases."""
+    chain = _chain(spark, folder, both=True)
+    state = chain.state
+    item = F.element_at(F.split("cite", "/"), -1).cast("long")
+    ids = kept(state.printed.where("text = 'first'").select("uid", item.alias("id")))
+    codes = kept(ids.select("uid", F.lpad(F.col("id").cast("string"), 6, "0").alias("code")))
+    listed = codes.select("code", F.lit("").alias("fr"), F.lit("").alias("ar"), F.lit("list").alias("by"))
+    before = chain.snapshots["before"].members.join(codes, "uid").select("code", "province")
+    held = kept(state.members.join(ids, "uid").select("id", "province"))
+    first = held.groupBy("province").agg(F.min("id").alias("id"))
+    namings = first.select("province", F.lit(1).alias("seq"), F.concat(F.lit("P"), "province").alias("fr"), F.concat(F.lit("ع"), "province").alias("ar"), _name(F.col("id")).alias("seat_fr"), _arabic(F.col("id")).alias("seat_ar"), F.lit("decree").alias("by"), F.lit("1").alias("article"), F.col("province").alias("item"))
+    namings = namings.unionByName(namings.select(*(F.lit(0).alias(c) if c == "seq" else F.lit("x").alias(c) if c == "fr" else F.col(c) for c in namings.columns)))  # an older one
+    articles = first.where("province <> 'centre'").select("province", F.concat(F.lit("art "), "province").alias("article"))
+    writings = articles.where("province <> 'new'").select("article", F.lit(1).alias("seq"), F.lit("law-a").alias("text"), F.lit("1").alias("via"))
+    writings = writings.unionByName(articles.where("province IN ('3', 'new')").select("article", F.lit(2).alias("seq"), F.lit("law-b").alias("text"), F.lit("9 bis").alias("via")))
+    hyphen = F.regexp_replace(_name(F.col("id")), "^(.....)", "$1-")
+    law = held.where("province = 'new'").select(F.lit("law-b").alias("text"), "province", F.lit("art new").alias("article"), F.col("id").cast("string").alias("item"), hyphen.alias("fr"), _arabic(F.col("id")).alias("ar"))
+    dates = spark.createDataFrame([("first", "1984"), ("second", "1991"), ("third", "1997"), ("fourth", "2021"), ("law-a", "2019"), ("law-b", "2026-01-01")], "text string, date string")
+    built = assemble.tables(state, codes, before, listed, namings, events.parents(chain.origins["fourth"]), articles, writings, law, dates, base_law="old-law", law_text="law-b")
+    out = None
+    for kind, key, columns in (
+        ("municipalities", "code", "province district name_fr name_ar name_fr_by name_ar_by listed_by listed_article listed_item province_before"), ("districts", "code", "province name_fr name_ar listed_by listed_article listed_item municipalities"),
+        ("provinces", "code", "name_fr name_ar named_by named_article named_item seat parent created created_by created_article listed_by listed_article districts municipalities"),
+        ("changes", "subject", "date type from to by article item"), ("aliases", "code", "kind lang name texts"),
+    ):
+        data = F.concat_ws("|", *(F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in columns.split()))
+        rows = built[kind].select(F.lit(kind).alias("kind"), F.col(key).alias("code"), data.alias("data"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 @query("""
     WITH s AS (SELECT o_custkey AS uid, o_orderdate, o_orderkey, o_orderpriority AS fr FROM orders)
     SELECT uid, arg_max(fr, (o_orderdate, o_orderkey)) AS fr, count(*) AS printed FROM s GROUP BY 1""")
