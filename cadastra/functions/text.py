@@ -92,6 +92,11 @@ def squeezed(s: Column) -> Column:
     return F.regexp_replace(s, r"\s+", "")
 
 
+def arabic_only(s: Column) -> Column:
+    """A line without the Latin letters, digits and marks that a reader has run into it."""
+    return F.trim(F.regexp_replace(F.translate(s, "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz'’.()|-", " " * 70), r"\s+", " "))
+
+
 def words(s: Column) -> Column:
     return F.filter(F.split(s, r"\s+"), lambda w: w != "")
 
@@ -109,7 +114,7 @@ def in_capitals(s: Column, share: float = 0.8) -> Column:
 
 def split_list(s: Column) -> Column:
     """Names of a running list: commas, semicolons and the two conjunctions part them."""
-    return F.filter(F.transform(F.split(s, r",\s*|;\s*|\s+et\s+|\s+و(?=\S)"), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(s, r",\s*|;\s*|\s+et\s+|\s+و(?=\S)"), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def zero_padded(s: Column, width: int = 2) -> Column:

@@ -55,20 +55,32 @@ def code_rows(characters: DataFrame, by: list[str], *, furniture: str, foot: flo
     return joined.select(*where, "province", F.col("digits").alias("code"), F.coalesce("fr", F.lit("")).alias("fr"), F.coalesce("ar", F.lit("")).alias("ar"))
 
 
-def numbered_items(frame: DataFrame, body: str) -> DataFrame:
+def _closes(word: Column, following: Column) -> Column:
+    """Whether a list ends with this word: it has a full stop at its end, or a guillemet or an article behind one. The stop
+    of a number ends nothing, unless a guillemet, an article or nothing follows."""
+    number = word.rlike("[0-9][.]$")
+    outside = following.isNull() | following.rlike("^(?:[«»]|Art\\b)")
+    return word.rlike("[.](?:[«»]|Art\\b)") | (word.endswith(".") & (~number | outside))
+
+
+def numbered_items(frame: DataFrame, body: Column) -> DataFrame:
     """``frame`` with a row for each item of ``body`` ("1. A ; 2 B ; 3. C."): number and name; other parts are left out.
 
-    As printed, semicolons part the items, an item is a number of one or two digits, with or without a full stop, and a
-    name, and the list ends with a full stop: one that no digit precedes and a blank follows, or one ahead of a
-    guillemet, of the next article or of the end, or one after a guillemet. What follows the list is left out.
+    The words of the list are looked at one by one up to the one that closes it; what follows is left out. Semicolons part the
+    items. An item is a number of one or two digits, with or without a full stop, and a name. A null body has none.
     """
-    stop = r"(?<=»)\s*\.|\.(?=\s*(?:[«»]|Art\b|\z))|(?<![0-9])\.(?=\s)"
-    listed = F.regexp_extract(F.trim(body), rf"(?s)\A(.*?)(?:{stop}|\z)", 1)
-    parts = F.transform(F.split(listed, ";"), lambda p: F.trim(F.regexp_replace(p, r"\s+", " ")))
-    rows = frame.withColumn("_part", F.explode(parts))
-    number, name = F.regexp_extract("_part", "^[0-9]+", 0), F.regexp_replace("_part", r"^[0-9]+ ?\.? ", "")
-    rows = rows.withColumn("number", F.when(F.length(number).between(1, 2), number).cast("int")).withColumn("name", F.when(name != F.col("_part"), name))
-    return rows.where("number IS NOT NULL AND name <> ''").drop("_part")
+    words = F.filter(F.split(F.replace(body, F.lit(";"), F.lit(" ; ")), r"\s+"), lambda w: w != "")
+    rows = frame.withColumn("_words", words)
+    rows = rows.withColumn("_ends", F.transform("_words", lambda w, i: _closes(w, F.get("_words", i + 1))))
+    rows = rows.withColumn("_end", F.array_position("_ends", True).cast("int"))
+    last = F.regexp_replace(F.get("_words", F.col("_end") - 1), "[.](?:(?:[«»]|Art\\b).*)?$", "")
+    listed = F.when(F.col("_end") > 0, F.concat(F.slice("_words", 1, F.greatest(F.col("_end") - 1, F.lit(0))), F.array(last))).otherwise(F.col("_words"))
+    parts = F.transform(F.split(F.array_join(listed, " "), ";"), lambda x: F.trim(x))
+    rows = rows.withColumn("_item", F.explode(parts)).drop("_words", "_ends", "_end")
+    first, name = F.substring_index("_item", " ", 1), F.regexp_replace("_item", "^[^ ]+ ?", "")
+    digits = F.rtrim(first, F.lit("."))
+    rows = rows.withColumn("number", F.when(digits.rlike("^[0-9]{1,2}$") & (F.length(first) - F.length(digits) <= 1), digits).cast("int")).withColumn("name", F.regexp_replace(name, "^[.] ", ""))
+    return rows.where("number IS NOT NULL AND name <> ''").drop("_item")
 
 
 def incomplete(items: DataFrame, lists: DataFrame, by: list[str]) -> DataFrame:
