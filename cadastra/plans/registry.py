@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cadastra.functions import text as T
-from cadastra.operators import assemble, checks, events, joins, layout, nest, schema, sequence, shapes, similar, tables
+from cadastra.operators import assemble, checks, events, joins, layout, lists, nest, rows, schema, sequence, shapes, similar, tables
 from cadastra.operators.storage import kept
 from cadastra.session import guarded
 
@@ -594,6 +594,128 @@ def uncovered_regions(spark, folder):
     return found.select("user_id", "page", "band", F.col("y").cast("long").alias("y"), F.col("h").cast("long").alias("h"))
 
 
+def _district_lines(spark, folder):
+    """(lines, rules): a user's events as the lines of a column, one in four in capitals, with the numbers of others in letters."""
+    k = F.col("event_id")
+    seat = k % 4 == 0
+    name = F.concat("event_type", F.lit(" "), F.translate((k % 7).cast("string"), "0123456", "abcdefg"))
+    lines = _read(spark, folder, "events").where("event_type <> 'signup'").select(
+        "user_id", k.alias("id"), F.when(seat, k % 10 / 100.0).otherwise(0.3 + k % 10 / 100.0).alias("x"), (k * 7 % 997 / 1000.0).alias("y"), F.lit(0.1).alias("w"), F.lit(0.008).alias("h"),
+        F.when(seat, F.upper(name)).otherwise(name).alias("text"), seat.alias("seat"),
+    )
+    rules = _read(spark, folder, "events").where("event_type = 'signup'").select("user_id", (k % 83 / 84.0).alias("y"))
+    return lines, rules
+
+
+@query(None)
+def printed_districts(spark, folder):
+    """Seats and their members, zipped, with what makes a row doubtful; tested against a plain reader of columns."""
+    lines, rules = _district_lines(spark, folder)
+    found = kept(rows.district_rows(lines, rules, ["user_id"], latin=True, line=0.0061, level=0.0121))
+    return rows.zipped(found, ["user_id"]).join(found.select("user_id", "row", "doubt"), ["user_id", "row"])
+
+
+_GROUPS = """
+    WITH r AS (SELECT c_nationkey AS doc, c_custkey AS id, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) - 1 AS rn FROM customer),
+    g AS (SELECT doc, id, CAST(rn // 20 AS BIGINT) AS g, CAST(rn % 20 + 1 AS INT) AS number, translate(lpad(CAST(id AS VARCHAR), 9, '0'), '0123456789', '{letters}') AS name FROM r),
+    n AS (SELECT *, CAST(count(*) OVER (PARTITION BY doc, g) AS INT) AS announced FROM g)"""
+
+
+def _listed_groups(spark, folder):
+    """A nation's customers in lists of twenty: (doc, g, number, announced, id)."""
+    order = Window.partitionBy("c_nationkey").orderBy("c_custkey")
+    found = _read(spark, folder, "customer").select(F.col("c_nationkey").alias("doc"), F.col("c_custkey").alias("id"), (F.row_number().over(order) - 1).alias("rn"))
+    found = found.select("doc", "id", F.floor(F.col("rn") / 20).alias("g"), (F.col("rn") % 20 + 1).cast("int").alias("number"))
+    return found.withColumn("announced", F.count(F.lit(1)).over(Window.partitionBy("doc", "g")).cast("string"))
+
+
+def _in_lines(found, head, item, before=None):
+    """Lines of a text: of each list its head (an array), of each member its line, and before some heads another."""
+    first = found.where("number = 1")
+    lines = [found.select("doc", (F.col("g") * 100 + 10 + F.col("number") * 2).alias("place"), item.alias("text"))]
+    lines += [first.select("doc", (F.col("g") * 100 + F.col("k") + 2).alias("place"), "text") for first in [first.select("doc", "g", F.posexplode(head).alias("k", "text"))]]
+    if before is not None:
+        lines.append(first.select("doc", (F.col("g") * 100).alias("place"), before.alias("text")))
+    out = lines[0]
+    for more in lines[1:]:
+        out = out.unionByName(more)
+    return out
+
+
+@query(_GROUPS.format(letters="abcdefghij") + """
+    SELECT doc, CASE WHEN g % 5 = 4 THEN (g + 1) || ' bis ' || (g + 2) ELSE CAST(g + 1 AS VARCHAR) END AS article, CASE WHEN g >= 3 THEN CAST(1000 + g // 3 * 3 AS VARCHAR) ELSE '' END AS via, announced, number, name FROM n""")
+def law_lists(spark, folder):
+    """Lists of a law read back from its lines, with the article that writes each; a text is a nation's."""
+    found, g = _listed_groups(spark, folder), F.col("g")
+    article = F.when(g % 5 == 4, F.concat((g + 1).cast("string"), F.lit(" bis "), (g + 2).cast("string"))).otherwise((g + 1).cast("string"))
+    head = F.array(F.concat(F.lit("Art. "), article, F.lit(". — Les quelques")), F.concat(F.lit("("), "announced", F.lit(") communes suivantes constituent une wilaya :")))
+    ends = F.when(F.col("number") == F.col("announced"), ". »").otherwise(" ;")
+    item = F.concat(F.col("number").cast("string"), F.when(F.col("number") % 3 == 0, " ").otherwise(". "), _name(F.col("id")), ends)
+    before = F.when((g > 0) & (g % 3 == 0), F.concat(F.lit("Art. "), (g + 1000).cast("string"), F.lit(". — Les dispositions qui suivent : 9. nothing.")))
+    heads, items = lists.latin_lists(_in_lines(found, head, item, before), ["doc"])
+    return heads.join(items, ["doc", "list"]).select("doc", "article", "via", "announced", "number", "name")
+
+
+@query(_GROUPS.format(letters="بتثجحخدذرز") + " SELECT doc, CAST(g + 1 AS VARCHAR) AS article, announced, number, name FROM n")
+def read_law_lists(spark, folder):
+    """The same lists in a read Arabic edition: heads over two lines, items that don't rise or are out of bounds left out."""
+    found, g = _listed_groups(spark, folder), F.col("g")
+    head = F.array(F.concat(F.lit("المادة "), (g + 1).cast("string"), F.lit(" : تتشكل ولاية من")), F.concat(F.lit("عدة ("), "announced", F.lit(") بلدية الآتية:")))
+    item = F.concat(F.col("number").cast("string"), F.when(F.col("number") % 2 == 0, "- ").otherwise(". "), _arabic(F.col("id")), F.lit("،"))
+    lines = _in_lines(found, head, item)
+    ghosts = found.where("number % 6 = 5").select("doc", (F.col("g") * 100 + 11 + F.col("number") * 2).alias("place"), F.when(F.col("number") == 5, "3. شبح").otherwise("77. شبح").alias("text"))
+    heads, items, _ = lists.arabic_lists(lines.unionByName(ghosts), ["doc"])
+    return heads.join(items, ["doc", "list"]).select("doc", "article", "announced", "number", "name")
+
+
+@query("""
+    WITH e AS (SELECT user_id, event_id AS id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS entry, event_type || ' ' || event_id AS name, 'chef ' || (event_id % 9) AS seat FROM events)
+    SELECT user_id, CAST(entry AS BIGINT) AS entry, CASE WHEN id % 5 = 2 THEN replace(name, ' ', '  ') ELSE name END AS name, seat,
+           CASE WHEN id % 5 = 1 THEN '2' WHEN id % 5 IN (2, 3) THEN '1' ELSE 'both' END AS source, CASE id % 5 WHEN 1 THEN 'differs' WHEN 2 THEN 'spaces' WHEN 3 THEN 'differs' ELSE '' END AS "check"
+    FROM (SELECT user_id, id, entry, CASE WHEN id % 5 = 2 THEN replace(name, ' ', '') ELSE name END AS name, seat FROM e)""")
+def read_twice(spark, folder):
+    """Entries of a list in two readings: what both have, what differs in blanks or otherwise, and what one couldn't take apart."""
+    k = F.col("event_id")
+    name = F.concat("event_type", F.when(k % 5 == 2, "").otherwise(" "), k.cast("string"))
+    other = F.when(k % 5 == 2, F.concat("event_type", F.lit(" "), k.cast("string"))).when(k % 5 == 3, F.concat("event_type", F.lit("x "), k.cast("string"))).otherwise(name)
+    seat = F.concat(F.lit("chef "), (k % 9).cast("string"))
+    events_ = _read(spark, folder, "events")
+
+    def lines(name, broken):
+        text = F.array(F.concat(k.cast("string"), F.lit(" - wilaya de "), name), F.when(broken, F.lit("of no seat")).otherwise(F.concat(F.lit("avec chef-lieu "), seat)))
+        rows = events_.select("user_id", k.alias("id"), F.posexplode(text).alias("part", "text"))
+        return rows.select("user_id", (F.col("id") * 2 + F.col("part")).alias("place"), "text")
+
+    read = lambda rows: lists.read_entries(rows, ["user_id"], starts=r"^[0-9]+ - wilaya", entry=r"wilaya de (.+?) avec chef-lieu (.+)$")
+    return lists.merged_readings(read(lines(name, k % 5 == 1)), read(lines(other, F.lit(False))), ["user_id"])
+
+
+@query("""
+    SELECT a.user_id, a.event_id AS id, string_agg('t' || b.event_id, ' ' ORDER BY b.event_id % 97 DESC, b.event_id) AS reading
+    FROM events a JOIN events b ON a.user_id = b.user_id AND abs(a.value - b.value) < 0.5 WHERE a.event_type = 'signup' AND b.event_type = 'click' GROUP BY 1, 2""")
+def readings_of_rows(spark, folder):
+    """Lines as high as a row, joined from right to left."""
+    rows = _read(spark, folder, "events").select("user_id", F.col("event_id").alias("id"), F.col("value").alias("at"), (F.col("event_id") % 97).cast("double").alias("x"), F.concat(F.lit("t"), F.col("event_id").cast("string")).alias("text"), "event_type")
+    return lists.row_readings(rows.where("event_type = 'signup'").select("user_id", "id", "at"), rows.where("event_type = 'click'").drop("event_type"), ["user_id"], 0.5)
+
+
+@query("""
+    WITH e AS (SELECT user_id, event_id AS id, CASE event_type WHEN 'signup' THEN 'missing' WHEN 'error' THEN 'ocr' WHEN 'click' THEN 'spaces' ELSE '' END AS c, CASE WHEN event_type <> 'signup' THEN (event_id * 7 % 997) / CAST(1000 AS DOUBLE) END AS a FROM events),
+    n AS (SELECT *, a + CAST(0.01 AS DOUBLE) AS b, lag(a) OVER w AS a0, lead(a) OVER w AS a1 FROM e WINDOW w AS (PARTITION BY user_id ORDER BY id)),
+    s AS (SELECT user_id, id, c, CASE WHEN a IS NOT NULL THEN least(a, CASE WHEN abs(a0 - a) < 3 * CAST(0.0121 AS DOUBLE) THEN a0 END, CASE WHEN abs(a1 - a) < 3 * CAST(0.0121 AS DOUBLE) THEN a1 END) WHEN a0 IS NOT NULL THEN a0 ELSE a1 - 2 * CAST(0.0121 AS DOUBLE) END AS t,
+          CASE WHEN a IS NOT NULL THEN greatest(b, CASE WHEN abs(a0 - a) < 3 * CAST(0.0121 AS DOUBLE) THEN a0 + CAST(0.01 AS DOUBLE) END, CASE WHEN abs(a1 - a) < 3 * CAST(0.0121 AS DOUBLE) THEN a1 + CAST(0.01 AS DOUBLE) END) WHEN a1 > a0 THEN a1 + CAST(0.01 AS DOUBLE)
+               WHEN a0 IS NOT NULL THEN a0 + CAST(0.01 AS DOUBLE) + 2 * CAST(0.0121 AS DOUBLE) ELSE a1 + CAST(0.01 AS DOUBLE) END + CASE WHEN a1 IS NULL THEN CAST(0.0121 AS DOUBLE) ELSE 0 END AS u FROM n WHERE c <> ''),
+    r AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY CASE c WHEN 'missing' THEN 0 WHEN 'ocr' THEN 2 ELSE 7 END, id) AS rank FROM s)
+    SELECT user_id, id, c AS "check", CAST(rank AS INT) AS rank, CAST(round(greatest(0, t - CAST(0.01 AS DOUBLE)) * 1000000) AS BIGINT) AS top, CAST(round(least(1, u + CAST(0.01 AS DOUBLE)) * 1000000) AS BIGINT) AS bottom FROM r""")
+def review_worklist(spark, folder):
+    """What to read by eye first, and where on the page it is; a document is a user's."""
+    k = F.col("event_id")
+    check = F.when(F.col("event_type") == "signup", "missing").when(F.col("event_type") == "error", "ocr").when(F.col("event_type") == "click", "spaces").otherwise("")
+    rows = _read(spark, folder, "events").select("user_id", k.alias("id"), check.alias("check"), F.when(F.col("event_type") != "signup", k * 7 % 997 / 1000.0).alias("y"), F.lit(0.01).alias("h"))
+    micro = lambda c: F.round(F.col(c) * 1_000_000).cast("long").alias(c)
+    return lists.worklist(rows, ["user_id"], "id", line=0.0121).select("user_id", "id", "check", "rank", micro("top"), micro("bottom"))
+
+
 def _bitmaps(spark, folder):
     """Of each event's record a bitmap of eight lines of sixteen pixels, about a quarter of them set."""
     record = F.concat_ws("|", F.col("event_id").cast("string"), "event_type", "props")
