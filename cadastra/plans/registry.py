@@ -778,7 +778,7 @@ def publication(members: DataFrame) -> dict[str, DataFrame]:
     districts = districts.select("code", "province", *names(F.col("name")), *listed(F.col("province")), F.lit("1").alias("listed_item"), "municipalities")
     provinces = members.groupBy(F.col("province").alias("code")).agg(F.min("name").alias("name"), F.min("code").alias("seat"), F.countDistinct("district").cast("string").alias("districts"), count)
     provinces = provinces.select("code", *names(F.col("name")), text.alias("named_by"), F.lit("1").alias("named_article"), F.lit("1").alias("named_item"), "seat", *(none.alias(c) for c in ("parent", "created", "created_by", "created_article")), *listed(F.col("code")), "districts", "municipalities")
-    moved = members.where(F.crc32("code") % 14 == 0)
+    moved = members.where(F.col("code").cast("long") % 14 == 0)
     changes = moved.select(F.lit("2026-01-01").alias("date"), F.lit("member_moved").alias("type"), F.col("code").alias("subject"), F.lit("01").alias("from"), F.col("province").alias("to"), text.alias("by"), F.lit("1").alias("article"), none.alias("item"))
     aliases = moved.select(F.lit("municipality").alias("kind"), "code", F.lit("fr").alias("lang"), F.upper("name").alias("name"), text.alias("texts"))
     texts = members.sparkSession.createDataFrame([("base", "law", "1")], "id string, kind string, jo_number string")
@@ -801,10 +801,55 @@ def published(members: DataFrame) -> DataFrame:
         ('divisions/2019/municipalities.json', 'division_municipalities'), ('divisions/2019/provinces.json', 'division_provinces'), ('provinces.csv', 'csv'), ('districts.csv', 'csv'), ('municipalities.csv', 'csv'), ('changes.csv', 'csv'), ('index.json', 'index')) AS t(path, kind)""")
 def published_documents(spark, folder):
     """All documents of a publication: a path, a kind, and the code that a municipality's document holds."""
-    customer = _read(spark, folder, "customer")
+    return published(_customers_as_members(spark, folder)).select("path", "kind", F.get_json_object("body", "$.municipality.code").alias("code"))
+
+
+def _customers_as_members(spark, folder):
     province = F.lpad((F.col("c_nationkey") + 1).cast("string"), 2, "0")
-    members = customer.select(F.lpad(F.col("c_custkey").cast("string"), 6, "0").alias("code"), province.alias("province"), F.concat(province, F.substring("c_mktsegment", 1, 1)).alias("district"), F.col("c_name").alias("name"))
-    return published(members).select("path", "kind", F.get_json_object("body", "$.municipality.code").alias("code"))
+    return _read(spark, folder, "customer").select(F.lpad(F.col("c_custkey").cast("string"), 6, "0").alias("code"), province.alias("province"), F.concat(province, F.substring("c_mktsegment", 1, 1)).alias("district"), F.col("c_name").alias("name"))
+
+
+_NAMED = """'"name":{"ar":"ا","fr":"' || name || '"},"slug":"' || replace(lower(name), '#', '-') || '"'"""
+_BODIES = f"""
+    WITH m AS (SELECT lpad(CAST(c_custkey AS VARCHAR), 6, '0') AS code, lpad(CAST(c_nationkey + 1 AS VARCHAR), 2, '0') AS province, c_name AS name, c_custkey % 14 = 0 AS moved, lpad(CAST(c_nationkey + 1 AS VARCHAR), 2, '0') || substr(c_mktsegment, 1, 1) AS district FROM customer),
+    mr AS (SELECT *, '{{"code":"' || code || '",' || {_NAMED} || ',"province":"' || province || '","district":"' || district || '","province_before":null,"listed_by":{{"text":"base","article":"' || province || '","item":"1"}},"names_from":{{"ar":"base","fr":"base"}},"previous_codes":[],"aliases":[' ||
+                      CASE WHEN moved THEN '{{"lang":"fr","name":"' || upper(name) || '","texts":["base"]}}' ELSE '' END || ']}}' AS record, '{{"code":"' || code || '",' || {_NAMED} || ',"district":"' || district || '"}}' AS summary,
+                  '{{"code":"' || code || '",' || {_NAMED} || ',"province":"' || province || '"}}' AS early, concat_ws(',', code, province, district, name, 'ا', 'base', 'base', 'base', province, '1') || ',' || chr(10) AS line FROM m),
+    d AS (SELECT district AS code, province, min(name) AS name, count(*) AS n FROM m GROUP BY 1, 2),
+    dr AS (SELECT *, '{{"code":"' || code || '",' || {_NAMED} || ',"province":"' || province || '","listed_by":{{"text":"base","article":"' || province || '","item":"1"}},"counts":{{"municipalities":' || n || '}},"aliases":[]' AS record,
+                  '{{"code":"' || code || '",' || {_NAMED} || ',"municipalities":' || n || '}}' AS summary, concat_ws(',', code, province, name, 'ا', 'base', province, '1', n) || chr(10) AS line FROM d),
+    p AS (SELECT province AS code, min(name) AS name, min(code) AS seat, count(DISTINCT district) AS d, count(*) AS n FROM m GROUP BY 1),
+    pr AS (SELECT *, '{{"code":"' || code || '","iso_3166_2":"XX-' || code || '",' || {_NAMED} || ',"seat":"' || seat || '","named_by":{{"text":"base","article":"1","item":"1"}},"defined_by":{{"text":"base","article":"' || code || '","amended_by":null}},"created":null,"parent":null,"administered_by":null,"counts":{{"districts":' || d ||
+                      ',"municipalities":' || n || '}},"aliases":[]' AS record, '{{"code":"' || code || '",' || {_NAMED} || ',"municipalities":' || n || '}}' AS early, concat_ws(',', code, name, 'ا', 'base', '1', '1', seat, '', '', '', '', 'base', code, d, n) || chr(10) AS line FROM p),
+    c AS (SELECT code, '{{"date":"2026-01-01","type":"member_moved","subject":"' || code || '","from":"01","to":"' || province || '","by":{{"text":"base","article":"1"}}}}' AS record, concat_ws(',', '2026-01-01', 'member_moved', code, '01', province, 'base', '1', '') || chr(10) AS line FROM m WHERE moved),
+    pm AS (SELECT province AS code, '[' || string_agg(summary, ',' ORDER BY code) || ']' AS list, string_agg(line, '' ORDER BY code) AS lines FROM mr GROUP BY 1), pd AS (SELECT province AS code, '[' || string_agg(summary, ',' ORDER BY code) || ']' AS list FROM dr GROUP BY 1),
+    dm AS (SELECT district AS code, '[' || string_agg(summary, ',' ORDER BY code) || ']' AS list FROM mr GROUP BY 1),
+    bodies AS (
+        SELECT 'municipalities/' || code || '.json' AS path, 'municipality' AS kind, '"municipality":' || record || '}}' AS body FROM mr
+        UNION ALL SELECT 'districts/' || code || '.json', 'district', '"district":' || record || ',"municipalities":' || list || '}}}}' FROM dr JOIN dm USING (code)
+        UNION ALL SELECT 'provinces/' || code || '.json', 'province', '"province":' || record || ',"districts":' || pd.list || ',"municipalities":' || pm.list || '}}}}' FROM pr JOIN pd USING (code) JOIN pm USING (code)
+        UNION ALL SELECT 'provinces/' || code || '/municipalities.json', 'municipality_list', '"municipalities":' || list || '}}' FROM pm UNION ALL SELECT 'provinces/' || code || '/districts.json', 'district_list', '"districts":' || list || '}}' FROM pd
+        UNION ALL SELECT 'municipalities.json', 'municipalities', '"municipalities":[' || string_agg(record, ',' ORDER BY code) || ']}}' FROM mr UNION ALL SELECT 'districts.json', 'districts', '"districts":[' || string_agg(record || '}}', ',' ORDER BY code) || ']}}' FROM dr
+        UNION ALL SELECT 'provinces.json', 'provinces', '"provinces":[' || string_agg(record || '}}', ',' ORDER BY code) || ']}}' FROM pr UNION ALL SELECT 'changes.json', 'changes', '"changes":[' || coalesce(string_agg(record, ',' ORDER BY code), '') || ']}}' FROM c
+        UNION ALL SELECT 'texts.json', 'texts', '"texts":[{{"id":"base","kind":"law","jo_number":1}}]}}'
+        UNION ALL SELECT 'divisions/2019/municipalities.json', 'division_municipalities', '"municipalities":[' || string_agg(early, ',' ORDER BY code) || ']}}' FROM mr
+        UNION ALL SELECT 'divisions/2019/provinces.json', 'division_provinces', '"provinces":[' || string_agg(early, ',' ORDER BY code) || ']}}' FROM pr
+        UNION ALL SELECT 'index.json', 'index', '"counts":{{"provinces":' || (SELECT count(*) FROM p) || ',"districts":' || (SELECT count(*) FROM d) || ',"municipalities":' || (SELECT count(*) FROM m) || ',"changes":' || (SELECT count(*) FROM c) ||
+            '}},"files":{{"provinces_json":"provinces.json","districts_json":"districts.json","municipalities_json":"municipalities.json","changes_json":"changes.json","texts_json":"texts.json","provinces_code_json":"provinces/{{code}}.json","districts_code_json":"districts/{{code}}.json","municipalities_code_json":"municipalities/{{code}}.json"}}}}'),
+    csv AS (
+        SELECT 'municipalities.csv' AS path, 'code,province,district,name_fr,name_ar,name_fr_by,name_ar_by,listed_by,listed_article,listed_item,province_before' || chr(10) || string_agg(line, '' ORDER BY code) AS body FROM mr
+        UNION ALL SELECT 'provinces/' || code || '/municipalities.csv', 'code,province,district,name_fr,name_ar,name_fr_by,name_ar_by,listed_by,listed_article,listed_item,province_before' || chr(10) || lines FROM pm
+        UNION ALL SELECT 'districts.csv', 'code,province,name_fr,name_ar,listed_by,listed_article,listed_item,municipalities' || chr(10) || string_agg(line, '' ORDER BY code) FROM dr
+        UNION ALL SELECT 'provinces.csv', 'code,name_fr,name_ar,named_by,named_article,named_item,seat,parent,created,created_by,created_article,listed_by,listed_article,districts,municipalities' || chr(10) || string_agg(line, '' ORDER BY code) FROM pr
+        UNION ALL SELECT 'changes.csv', 'date,type,subject,from,to,by,article,item' || chr(10) || coalesce(string_agg(line, '' ORDER BY code), '') FROM c)
+    SELECT path, kind, sha256('{{"data_version":"2026-01-01",' || body || chr(10)) AS digest, strlen(body) + 30 AS bytes FROM bodies UNION ALL SELECT path, 'csv', sha256(body), strlen(body) FROM csv"""
+
+
+@query(_BODIES)
+def published_bodies(spark, folder):
+    """All documents of a publication by the digests of their bodies."""
+    found = published(_customers_as_members(spark, folder))
+    return found.select("path", "kind", F.sha2("body", 256).alias("digest"), F.octet_length("body").cast("long").alias("bytes"))
 
 
 # -- texts applied to a hierarchy ----------------------------------------------------------------------------------
