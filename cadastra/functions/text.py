@@ -88,6 +88,16 @@ def cleaned(s: Column) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(F.replace(s, F.lit("'"), F.lit("’")), TATWEEL, ""), r"\s+", " "))
 
 
+def cleaned_item(s: Column) -> Column:
+    """A name of a table without the dash ahead of it and without tatweel, one space between words."""
+    return F.trim(F.regexp_replace(F.replace(F.regexp_replace(s, r"^\s*[-–—]\s*", ""), F.lit("ـ"), F.lit("")), r"\s+", " "))
+
+
+def cleaned_tail(s: Column) -> Column:
+    """A name as it was read, without the marks that a scan leaves behind it."""
+    return cleaned(F.regexp_replace(s, r"[\s»«*؛؟()]+$", ""))
+
+
 def squeezed(s: Column) -> Column:
     return F.regexp_replace(s, r"\s+", "")
 
@@ -132,6 +142,11 @@ def mirrored(s: Column) -> Column:
     return F.array_join(F.transform(runs, lambda r: F.when(r.rlike("^[0-9]"), F.reverse(r)).otherwise(r)), "")
 
 
+def mirrored_exact(s: Column) -> Column:
+    """``mirrored`` with the letters' own forms in place of those that print chooses (NFKC), and single spaces."""
+    return F.trim(F.regexp_replace(F.replace(nfkc(mirrored(s)), F.lit("ـ"), F.lit("")), r"\s+", " "))
+
+
 def check_code(read: Column, expected: Column, known_gap: Column) -> Column:
     """How two readings of a name compare: '' equal, 'spaces', 'order' of letters, 'gap' allowed, or 'differs'."""
     bare = lambda c: squeezed(without_harakat(c))

@@ -36,6 +36,14 @@ def require_same(a: DataFrame, b: DataFrame, rule: str) -> None:
     require_none(multiset_difference(a, b), rule)
 
 
+def united(frames: list[DataFrame]) -> DataFrame:
+    """The rows of any of ``frames``, each once; null equals null."""
+    out = frames[0]
+    for more in frames[1:]:
+        out = out.unionByName(more)
+    return out.distinct()
+
+
 def dataset_difference(old: DataFrame, new: DataFrame, keys: list[str], body: str) -> DataFrame:
     """keys and ``change`` added, removed or changed, by the SHA-256 of ``body``; equal rows have none."""
     digest = lambda f, name: f.select(*keys, F.sha2(F.coalesce(F.col(body), F.lit("")), 256).alias(name), F.lit(True).alias(f"has_{name}"))

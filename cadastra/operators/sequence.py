@@ -19,10 +19,12 @@ def filled_forward(frame: DataFrame, by: list[str], order: list, column: str, cl
     return F.last(value, ignorenulls=True).over(Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))["v"]
 
 
-def until_marker(frame: DataFrame, by: list[str], order: str, marker: Column) -> DataFrame:
-    """Rows ahead of a group's first marker; all rows where there is none."""
-    first = frame.where(marker).groupBy(*by).agg(F.min(order).alias("_end"))
-    return frame.join(first, by, "left").where(F.col("_end").isNull() | (F.col(order) < F.col("_end"))).drop("_end")
+def until_marker(frame: DataFrame, by: list[str], order: str | list[str], marker: Column) -> DataFrame:
+    """Rows ahead of a group's first marker; all rows where there is none. ``order`` may be several columns: the first is the
+    least row of them. Rows without a place are left out where there is a marker."""
+    place = F.struct(*([order] if isinstance(order, str) else order))
+    first = frame.where(marker).groupBy(*by).agg(F.min(place).alias("_end"))
+    return frame.join(first, by, "left").where(F.col("_end").isNull() | (place < F.col("_end"))).drop("_end")
 
 
 def sessions(by: list[str], order: str, gap) -> Column:
@@ -117,6 +119,12 @@ def first_of_each(frame: DataFrame, keys: list[str], order: list) -> DataFrame:
     return best.select(*keys, *(F.col(f"_row.`{c}`").alias(c) for c in rest))
 
 
+def kinds_in_order(frame: DataFrame, kind: str, kinds: list[str], order: list[str]) -> DataFrame:
+    """``frame`` sorted by the place of its kind in ``kinds``, unknown kinds last, then by ``order``."""
+    rank = F.coalesce(*(F.when(F.col(kind) == k, F.lit(i)) for i, k in enumerate(kinds)), F.lit(len(kinds)))
+    return frame.orderBy(rank, kind, *order)
+
+
 def unanimous(frame: DataFrame, by: list[str], value: Column, known: DataFrame | None = None) -> DataFrame:
     """by and ``agreed``: the value on which all rows of a group agree, if ``known`` (one column) has it."""
     votes = frame.groupBy(*by).agg(F.min(value).alias("agreed"), F.max(value).alias("_max"), F.count(F.lit(1)).alias("_rows"), F.count(value).alias("_votes"))

@@ -151,6 +151,15 @@ def enriched_codes(spark, folder):
     return _read(spark, folder, "nation").select(code.alias("code"), schema.article_of(n).alias("article"), F.when(n <= 20, F.concat(F.lit("XX-"), code)).alias("iso"), F.when(n > 20, "transition").alias("administered_by"))
 
 
+@query("""
+    WITH e AS (SELECT user_id, min((event_id % 5, ts)) AS stop FROM events WHERE event_type = 'error' GROUP BY 1)
+    SELECT user_id, count(*) AS n FROM events LEFT JOIN e USING (user_id) WHERE stop IS NULL OR (event_id % 5, ts) < stop GROUP BY 1""")
+def ahead_of_end_by_place(spark, folder):
+    """Lines ahead of the first end mark in the order of page and height."""
+    rows = _read(spark, folder, "events").withColumn("page", F.col("event_id") % 5)
+    return sequence.until_marker(rows, ["user_id"], ["page", "ts"], F.col("event_type") == "error").groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("SELECT n_nationkey, n_name, CASE n_regionkey WHEN 3 THEN 0 WHEN 0 THEN 1 ELSE 2 END AS kind_rank, row_number() OVER (ORDER BY CASE n_regionkey WHEN 3 THEN 0 WHEN 0 THEN 1 ELSE 2 END, n_name) AS place FROM nation")
 def custom_order(spark, folder):
     """Rows in an order of their own kinds, then by name."""
@@ -278,24 +287,24 @@ def anti_join(spark, folder):
 
 
 @query("""
-    WITH a AS (SELECT o_orderpriority AS p, o_orderstatus AS s FROM orders WHERE o_orderkey % 2 = 0), b AS (SELECT o_orderpriority AS p, o_orderstatus AS s FROM orders WHERE o_orderkey % 3 = 0),
+    WITH a AS (SELECT o_orderpriority AS p, o_orderstatus AS s FROM orders), b AS (SELECT o_orderpriority AS p, CASE WHEN o_totalprice > 200000 THEN 'X' ELSE o_orderstatus END AS s FROM orders),
     c AS (SELECT p, s, CAST(sum(n) AS BIGINT) AS n FROM (SELECT p, s, 1 AS n FROM a UNION ALL SELECT p, s, -1 FROM b) GROUP BY 1, 2)
     SELECT p, s, CASE WHEN n > 0 THEN 'left' ELSE 'right' END AS side, abs(n) AS n FROM c WHERE n <> 0""")
 def multiset_differences(spark, folder):
-    """What either side has more often."""
-    rows = _read(spark, folder, "orders").select("o_orderkey", F.col("o_orderpriority").alias("p"), F.col("o_orderstatus").alias("s"))
-    return checks.multiset_difference(rows.where("o_orderkey % 2 = 0").select("p", "s"), rows.where("o_orderkey % 3 = 0").select("p", "s"))
+    """What either side has more often; on the right, dear orders have a status of their own."""
+    rows = _read(spark, folder, "orders").select(F.col("o_orderpriority").alias("p"), F.col("o_orderstatus").alias("s"), "o_totalprice")
+    return checks.multiset_difference(rows.select("p", "s"), rows.select("p", F.when(F.col("o_totalprice") > 200000, "X").otherwise(F.col("s")).alias("s")))
 
 
 @query("""
-    WITH a AS (SELECT doc_id, text FROM documents WHERE doc_id % 5 <> 0), b AS (SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN text || '.' ELSE text END AS text FROM documents WHERE doc_id % 7 <> 0)
+    WITH a AS (SELECT doc_id, text FROM documents), b AS (SELECT CASE WHEN source = 'src5' THEN -doc_id - 1 ELSE doc_id END AS doc_id, CASE WHEN lang = 'fr' THEN text || '.' ELSE text END AS text FROM documents)
     SELECT coalesce(a.doc_id, b.doc_id) AS doc_id, CASE WHEN a.doc_id IS NULL THEN 'added' WHEN b.doc_id IS NULL THEN 'removed' ELSE 'changed' END AS change
     FROM a FULL JOIN b ON a.doc_id = b.doc_id WHERE a.text IS DISTINCT FROM b.text""")
 def dataset_differences(spark, folder):
-    """Documents added, removed and changed between two builds."""
-    docs = _read(spark, folder, "documents").select("doc_id", "text")
-    new = docs.where("doc_id % 7 <> 0").withColumn("text", F.when(F.col("doc_id") % 4 == 0, F.concat("text", F.lit("."))).otherwise(F.col("text")))
-    return checks.dataset_difference(docs.where("doc_id % 5 <> 0"), new, ["doc_id"], "text")
+    """Documents added, removed and changed between two builds: one source has other ids in the new one, one language ends in a stop."""
+    docs = _read(spark, folder, "documents")
+    new = docs.select(F.when(F.col("source") == "src5", -F.col("doc_id") - 1).otherwise(F.col("doc_id")).alias("doc_id"), F.when(F.col("lang") == "fr", F.concat("text", F.lit("."))).otherwise(F.col("text")).alias("text"))
+    return checks.dataset_difference(docs.select("doc_id", "text"), new, ["doc_id"], "text")
 
 
 @query("""

@@ -29,6 +29,26 @@ def json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).json(path)
 
 
+def grouped_json(spark: SparkSession, path: str, schema: str, key: str) -> DataFrame:
+    """key and ``rows``: the records of a file of JSON lines, those of each key in the order of the file."""
+    names = [f.name for f in spark.read.schema(schema).json(path).schema.fields]
+    whole = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", "\r?\n")).alias("_o", "line")).where("trim(line) <> ''")
+    rows = whole.select("_o", F.from_json("line", schema).alias("r")).select("_o", "r.*")
+    return rows.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("_o", *(n for n in names if n != key)))).alias("rows"))
+
+
+def rules_by_column(spark: SparkSession, path: str) -> DataFrame:
+    """(page, side, ys): the heights of the rules of each column of a page, from the top."""
+    rows = json_lines(spark, path, "page int, side string, y double").where("y IS NOT NULL")
+    return rows.groupBy("page", "side").agg(F.array_sort(F.collect_list("y")).alias("ys"))
+
+
+def new_and_old(rows: DataFrame, article: str, prefix: str = "52 bis") -> tuple[DataFrame, DataFrame]:
+    """Lists of articles that a text has added, whose numbers begin with ``prefix``, and the others; a null article is old."""
+    added = F.coalesce(F.col(article).startswith(prefix), F.lit(False))
+    return rows.where(added), rows.where(~added)
+
+
 def readings(spark: SparkSession, path: str, columns: list[str], text: str) -> DataFrame:
     """The names read by eye of one text; a missing file is an empty table."""
     jvm = spark.sparkContext._jvm
@@ -81,6 +101,11 @@ def changelog(text: DataFrame, column: str = "value") -> DataFrame:
     return rows.select("e.version", "e.date", F.trim(F.regexp_replace("e.entry", r"^\s+|\s+$", "")).alias("entry"), "place")
 
 
+def newest_entry(entries: DataFrame) -> DataFrame:
+    """The first entry of a changelog, one row or none."""
+    return entries.orderBy("place").limit(1)
+
+
 def version_key(version) -> F.Column:
     """Versions as three numbers, which order as such."""
     part = lambda k: F.split(version, r"\.")[k].cast("int")
