@@ -15,9 +15,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def op1_warc(spark: SparkSession, folder: str) -> DataFrame:
-    """Pages written as WARC records and read back; ``urlkey`` is what the merged index is sorted by, before time and id."""
-    found = warc.archived(read(spark, folder, "pages"))
-    return found.select(F.col("id").alias("page_id"), "payload_bytes", F.col("digest").alias("payload_digest"), "record_type", "refers_to", "urlkey")
+    """Pages written as WARC records and read back, with their place in the merged index, by URL key, time and id."""
+    found = warc.in_order(warc.archived(read(spark, folder, "pages")))
+    return found.select(F.col("id").alias("page_id"), "payload_bytes", F.col("digest").alias("payload_digest"), "record_type", "refers_to", "urlkey", "position")
 
 
 def op2_minhash(spark: SparkSession, folder: str) -> DataFrame:
@@ -110,13 +110,14 @@ ORACLES = {
     "op1_warc": """
         WITH p AS (SELECT page_id, coalesce(url, '') AS u, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS d FROM pages),
              w AS (SELECT *, CASE WHEN n >= 1000 THEN max(page_id) OVER (PARTITION BY d) END AS best FROM p)
+        SELECT *, row_number() OVER (ORDER BY urlkey, page_id % 1073741824, page_id) - 1 AS position FROM (
         SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, d AS payload_digest,
                CASE WHEN best <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
                CASE WHEN best <> page_id THEN best END AS refers_to,
                CASE WHEN NOT regexp_matches(u, '(?s)^[^:/?#]*://') THEN lower(u)
                     ELSE array_to_string(list_reverse(string_split(regexp_replace(regexp_replace(lower(regexp_extract(u, '(?s)^[^:/?#]*://([^/?#]*)', 1)), '(?s)^.*@', ''), '^www[0-9]*\\.', ''), '.')), ',') || ')' ||
                          CASE WHEN regexp_extract(u, '(?s)^[^:/?#]*://[^/?#]*([^#]*)', 1) = '' THEN '/' ELSE lower(regexp_extract(u, '(?s)^[^:/?#]*://[^/?#]*([^#]*)', 1)) END END AS urlkey
-        FROM w""",
+        FROM w)""",
     "op2_minhash": f"""
         WITH RECURSIVE words AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^ \\x09-\\x0D]+') AS w FROM documents),
         sets AS (SELECT DISTINCT doc_id, CASE WHEN len(w) < 3 THEN array_to_string(w, ' ') ELSE array_to_string(w[i : i + 2], ' ') END AS s

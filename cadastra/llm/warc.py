@@ -15,7 +15,7 @@ import zlib
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cadastra.llm.common import shared_dir, written
@@ -221,6 +221,17 @@ def capture_history(spark, path: str) -> DataFrame:
     return dealt.mapInArrow(_merged, f"{shape}, range long")
 
 
+def in_order(history: DataFrame) -> DataFrame:
+    """``history`` with ``position``, its rows' numbers in the global order from 0: those of the ranges ahead, and ``seq``.
+
+    The merged index is a table in the shared folder; what is summed over ranges is a row for each.
+    """
+    held = written(history)
+    sizes = held.groupBy("range").agg(F.count(F.lit(1)).alias("n"))
+    ahead = sizes.select("range", (F.sum("n").over(Window.orderBy("range")) - F.col("n")).alias("ahead"))
+    return held.join(ahead, "range").withColumn("position", F.col("ahead") + F.col("seq")).drop("ahead")
+
+
 def archived(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html") -> DataFrame:
     """Writes ``pages`` to archives in the shared folder and returns their ``capture_history``.
 

@@ -1,8 +1,11 @@
 from __future__ import annotations
 
+import math
 import zlib
 from collections import Counter, defaultdict
 
+import xxhash
+
 from cadastra.llm import sharding
 
 TREE = sharding.balanced(8)
@@ -47,6 +50,38 @@ def test_movement_stays_in_changed_subtrees(spark):
                 assert r.b == 2
 
 
+def descended(key: str, node, path="") -> int:
+    """The shard of a key, child by child, with the hash of (key, path) that Spark's xxhash64 gives."""
+    draws = []
+    for child, below in node.items():
+        weight = total(below)
+        if weight > 0:
+            where = f"{path}/{child}"
+            bits = xxhash.xxh64_intdigest(where.encode(), xxhash.xxh64_intdigest(key.encode(), 42)) >> 12
+            draws.append((-math.log((bits + 0.5) / (1 << 52)) / weight, len(draws), child, below, where))
+    _, _, child, below, where = min(draws, key=lambda d: d[:2])
+    return descended(key, below, where) if isinstance(below, dict) else child
+
+
+def total(node) -> float:
+    return sum(map(total, node.values())) if isinstance(node, dict) else node
+
+
+def test_descent_against_plain_hashes(spark):
+    lopsided = {"a": {"x": {0: 1.0, 1: 0.0, 2: 2.5}, "y": {3: 0.5}}, "b": {"z": {4: 7.0, 5: 1.0}}, "c": {"w": {6: 0.0}}}
+    ids = spark.range(-500, 2500)
+    for tree in (TREE, sharding.grown(TREE, 8), lopsided):
+        found = {r[0]: r[1] for r in ids.select("id", sharding.shard_of(ids.id, tree)).collect()}
+        assert found == {i: descended(str(i), tree) for i in range(-500, 2500)}
+
+
+def test_the_query_against_plain_hashes(spark):
+    from cadastra.llm.queries import op4_hash_tree
+
+    rows = op4_hash_tree(spark, "/root/testdata/sf0.001").collect()
+    assert len(rows) == 200 and all((r.shard, r.grown_shard) == (descended(str(r.doc_id), TREE), descended(str(r.doc_id), sharding.grown(TREE, 8))) for r in rows)
+
+
 def test_weights_and_empty(spark):
     ids = spark.range(20_000)
     tree = {"a": {"x": {0: 1.0, 1: 0.0}, "y": {2: 2.0}}, "b": {"x": {3: 1.0}}}

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 import random
 import zlib
 
@@ -77,3 +78,58 @@ def test_trees_fit():
     x = rng.normal(size=(600, 4))
     y = ((x[:, 0] > 0) ^ (x[:, 1] > 0.5)).astype(float)
     assert (((toxicity.Trees(x, y)(x) > 0) == y).mean()) > 0.97
+
+
+@given(st.lists(st.integers(0, 1), min_size=1, max_size=25), st.integers(0, 10**6))
+def test_isotonic_against_its_definition(y, seed):
+    """The best rising fit at a place is the largest, over starts before it, of the least mean to an end behind it."""
+    x = np.sort(np.random.default_rng(seed).choice(1000, len(y), replace=False)).astype(float)
+    n = len(y)
+    best = [max(min(np.mean(y[a : b + 1]) for b in range(i, n)) for a in range(i + 1)) for i in range(n)]
+    fit = toxicity.Isotonic(x, np.array(y, float))
+    places = {}
+    for at, value in zip(x, best):
+        places.setdefault(round(value, 9), []).append(at)
+    assert np.allclose(sorted(places), fit.y) and np.allclose([np.mean(places[v]) for v in sorted(places)], fit.x)
+
+
+def plain_boosting(x, y, rounds, depth, rate, ridge):
+    """Boosting row by row: every split between neighbouring values tried by its sums, leaves by their rows."""
+    score = [math.log((sum(y) + 1) / (len(y) + 2) / (1 - (sum(y) + 1) / (len(y) + 2)))] * len(y)
+
+    def grow(rows, level):
+        if level == depth:
+            value = rate * sum(g[i] for i in rows) / (sum(h[i] for i in rows) + ridge)
+            for i in rows:
+                step[i] = value
+            return
+        G, H, best = sum(g[i] for i in rows), sum(h[i] for i in rows), (1e-6, None)
+        for f in range(len(x[0])):
+            values = sorted({r[f] for r in x})
+            for cut in values[:-1]:
+                low = [i for i in rows if x[i][f] <= cut]
+                a, b = sum(g[i] for i in low), sum(h[i] for i in low)
+                if b >= 0.5 and H - b >= 0.5:
+                    gain = a * a / (b + ridge) + (G - a) ** 2 / (H - b + ridge) - G * G / (H + ridge)
+                    if gain > best[0] + 1e-12:
+                        best = (gain, (f, cut))
+        inside = (lambda i: x[i][best[1][0]] <= best[1][1]) if best[1] else (lambda i: True)
+        grow([i for i in rows if inside(i)], level + 1)
+        grow([i for i in rows if not inside(i)], level + 1)
+
+    for _ in range(rounds):
+        p = [1 / (1 + math.exp(-s)) for s in score]
+        g, h = [a - b for a, b in zip(y, p)], [q * (1 - q) for q in p]
+        step = [0.0] * len(y)
+        grow(range(len(y)), 0)
+        score = [a + b for a, b in zip(score, step)]
+    return score
+
+
+def test_trees_against_plain_boosting():
+    rng = np.random.default_rng(3)
+    x = rng.permutation(np.arange(40.0))[:, None] * [[1.0, 0.0]] + rng.permutation(np.arange(40.0))[:, None] * [[0.0, 1.0]]
+    y = ((x[:, 0] > 18) ^ (x[:, 1] > 25) ^ (rng.random(40) < 0.1)).astype(float)
+    # as many cuts as there are values: quantiles of 40 values in 39 parts are the values
+    found = toxicity.Trees(x, y, rounds=6, depth=2, rate=0.3, bins=39, ridge=1.0, least=0.5)(x)
+    assert np.allclose(found, plain_boosting(x.tolist(), y.tolist(), 6, 2, 0.3, 1.0))
