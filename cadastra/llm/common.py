@@ -65,7 +65,17 @@ def written(frame: DataFrame) -> DataFrame:
     spark = frame.sparkSession
     path = f"{shared_dir(spark)}/table-{uuid.uuid4().hex}"
     frame.write.parquet(path)
-    return spark.read.schema(frame.schema).parquet(path)
+    table = spark.read.schema(frame.schema).parquet(path)
+    table.table_path = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables that ``written`` has made, once all that reads them is a table itself."""
+    for table in tables:
+        context = table.sparkSession.sparkContext
+        place = context._jvm.org.apache.hadoop.fs.Path(table.table_path)
+        place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def release(spark: SparkSession) -> None:

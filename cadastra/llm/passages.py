@@ -5,7 +5,7 @@ for each position c, whose range [l, r] is where c holds the least hash: all sub
 l <= i <= c <= j <= r share that min-hash. Nodes with a range of at least a passage's tokens are compact windows;
 they are found without building the tree's other nodes, from sliding minima and nearest smaller values.
 
-Windows of equal hash nominate pairs of texts in two phases:
+Windows of equal hash nominate pairs of texts in two phases, and their ends in a third:
 
 1. Within a hash's group each text meets the one of the least id. A pair's windows are joined as intervals over
    all hash functions and give the ranges to look at, if ``ENOUGH`` functions agree; there, the texts' tokens are
@@ -17,6 +17,10 @@ Windows of equal hash nominate pairs of texts in two phases:
    blocks first lose members that share too few tokens with the rest, as partial quotes do, which changes nothing but
    their cost. No group is cut.
 
+3. Where a verified passage of a text ends, others may go on with it: texts that have the same token across the end of
+   theirs are sorted by what follows there (or precedes), and neighbours in that order are aligned. A text's longest
+   common continuation is with a neighbour, so a passage that two texts share beyond what a third has is found whole.
+
 Two passages with the same tokens have the same windows, so they meet for certain in phase 2 at the latest. One of
 fifty words with a changed word is missed if no function has its window and the token aside within what is alike, in
 under one of a hundred cases; longer ones hold more windows.
@@ -30,10 +34,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cadastra.llm.common import SLICE_BYTES, SPACED, Words, checkpoint, fresh, grams, mix32, mix64, release, squeezed, text_slices, unsqueezed, words_of, written
+from cadastra.llm.common import SLICE_BYTES, SPACED, Words, checkpoint, discard, fresh, grams, mix32, mix64, release, squeezed, text_slices, unsqueezed, words_of, written
 from cadastra.llm.graph import components
 
 #: Hash functions, and how many must nominate a pair in the first phase.
@@ -397,6 +401,7 @@ def passages(documents: DataFrame, *, n: int = 5, words: int = 50, percent: int
     keys = written(_several(docs.mapInArrow(*_keys(n, least))))
     release(spark)
     rows = written(docs.mapInArrow(*_windows(n, least)).join(keys, "key"))
+    discard(keys)
     release(spark)
     # the least id of a key is its hub
     heads = rows.groupBy("key").agg(F.min(F.struct("id", "l")).alias("low"), F.min(F.struct("id", -F.col("r"))).alias("high"))
@@ -408,19 +413,84 @@ def passages(documents: DataFrame, *, n: int = 5, words: int = 50, percent: int
         F.bit_count(F.bit_or(F.call_function("shiftleft", F.lit(1), function))).alias("hashes"), F.min("l").alias("from"), F.max("r").alias("to"), F.min("hub_l").alias("hub_from"), F.max("hub_r").alias("hub_to")
     )
     pairs = checkpoint(pairs.where(F.col("hashes") >= ENOUGH))
+    held = written(squeezed(docs.withColumn("text_hash", F.xxhash64("text")), "text"))
+    spans = _paired(pairs, held, n, least, percent)
+    more = _second_phase(held, rows, heads, spans, n, least, percent)
+    found = spans.unionByName(more)
+    return found.unionByName(_extended(held, found, n, least, percent)).distinct()
+
+
+def _paired(pairs: DataFrame, held: DataFrame, n: int, least: int, percent: int) -> DataFrame:
+    """Spans of ``pairs`` (hub, id, from, to, hub_from, hub_to: tokens to look at), some members of a hub to a task."""
     parts = pairs.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / TASK_MEMBERS).alias("parts"))
     tasks = checkpoint(pairs.join(parts, "hub").withColumn("task", F.xxhash64("hub", F.pmod(F.xxhash64("id", F.lit(5)), F.col("parts")))))
     ids = written(tasks.select("id").unionByName(tasks.select(F.col("hub").alias("id"))).distinct())
-    held = written(squeezed(docs.withColumn("text_hash", F.xxhash64("text")), "text"))
     texts = written(held.join(ids, "id", "left_semi"))
-    release(spark)
+    release(held.sparkSession)
     members = tasks.join(texts, "id").select("task", F.lit(1).alias("role"), "hub", "id", "text_hash", "from", "to", "text")
     ahead = tasks.groupBy("task", "hub").agg(F.min("hub_from").alias("from"), F.max("hub_to").alias("to")).join(texts.withColumnRenamed("id", "hub"), "hub")
     ahead = ahead.select("task", F.lit(0).alias("role"), "hub", F.col("hub").alias("id"), "text_hash", "from", "to", "text")
     dealt = members.unionByName(ahead).mapInArrow(*_cut(n)).repartition("task").sortWithinPartitions("task", "role", "hub", "id")
     spans = written(dealt.mapInArrow(*_verified(n, least, percent)))
-    release(spark)
-    return spans.unionByName(_second_phase(held, rows, heads, spans, n, least, percent)).distinct()
+    discard(ids, texts)
+    release(held.sparkSession)
+    return spans
+
+
+def _extended(held: DataFrame, found: DataFrame, n: int, least: int, percent: int) -> DataFrame:
+    """Spans of texts that go on alike where spans in ``found`` end, in pairs that it has not.
+
+    Ends with the same token across them are sorted by the tokens that follow, away from the span, and each is paired
+    with the one before it. A pair is aligned from two passages' lengths ahead of the end on.
+    """
+    lists = found.groupBy("id", "text_hash").agg(F.array_sort(F.collect_set(F.struct("begin", "end"))).alias("spans"))
+    ends = held.join(lists, ["id", "text_hash"]).select("id", "text", "spans").mapInArrow(*_ends(n, least))
+    ends = written(ends)
+    shared = ends.groupBy("edge").agg(F.min("id").alias("least"), F.max("id").alias("last")).where("least <> last").select("edge")
+    rows = ends.join(shared, "edge")
+    order = Window.partitionBy("edge").orderBy("onward", "id", "from", "to")
+    before = F.lag(F.struct("id", "from", "to")).over(order)
+    near = rows.select("id", "from", "to", before.alias("before")).where("before IS NOT NULL AND before.id <> id")
+    first, second = F.struct("id", "from", "to"), F.col("before")
+    low, high = F.when(F.col("before.id") < F.col("id"), second).otherwise(first), F.when(F.col("before.id") < F.col("id"), first).otherwise(second)
+    near = near.select(low.alias("a"), high.alias("b"))
+    pairs = near.groupBy(F.col("a.id").alias("hub"), F.col("b.id").alias("id")).agg(F.min("b.from").alias("from"), F.max("b.to").alias("to"), F.min("a.from").alias("hub_from"), F.max("a.to").alias("hub_to"))
+    known = found.where("NOT first").select("hub", "id").distinct()
+    pairs = checkpoint(pairs.join(known, ["hub", "id"], "left_anti"))
+    spans = _paired(pairs, held, n, least, percent)
+    discard(ends)
+    return spans
+
+
+def _ends(n: int, least: int):
+    """(id, squeezed text, spans) -> edge, id, from, to, onward: for each end of a span inside the text the token across it
+    with its side, the tokens to look at, and the ``least`` tokens from the end on, away from the span."""
+
+    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, spans = batch.column(0).to_pylist(), batch.column(2).to_pylist()
+            out = []
+            for i, tokens in enumerate(_batched(unsqueezed(batch.column(1)), n)):
+                last = len(tokens) - 1
+                short = _folded(tokens).view(np.int32)
+                left = {s["begin"] - 1 for s in spans[i] if s["begin"] > 0}
+                right = {s["end"] - n + 1 for s in spans[i] if s["end"] - n + 1 <= last}
+                for at in left:
+                    out.append((_edge(tokens[at], 0), ids[i], 0, min(last, at + 2 * least), short[max(0, at - least + 1) : at + 1][::-1].tolist()))
+                for at in right:
+                    out.append((_edge(tokens[at], 1), ids[i], max(0, at - 2 * least), last, short[at : at + least].tolist()))
+            for low in range(0, len(out), 8192):
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out[low : low + 8192]), _END)], schema=_END)
+
+    return kernel, "edge long, id long, from int, to int, onward array<int>"
+
+
+_END = pa.schema([("edge", pa.int64()), ("id", pa.int64()), ("from", pa.int32()), ("to", pa.int32()), ("onward", pa.list_(pa.int32()))])
+
+
+def _edge(token: np.uint64, side: int) -> int:
+    """A token and the side of a span that it lies on, as a signed number."""
+    return int((np.uint64(token) & ~np.uint64(1) | np.uint64(side)).view(np.int64))
 
 
 def _second_phase(held: DataFrame, rows: DataFrame, heads: DataFrame, spans: DataFrame, n: int, least: int, percent: int) -> DataFrame:
@@ -434,7 +504,7 @@ def _second_phase(held: DataFrame, rows: DataFrame, heads: DataFrame, spans: Dat
         texts = checkpoint(texts.join(up, "root", "left").select("id", F.coalesce("above", "root").alias("root"), "spans"))
     inside = F.coalesce(F.exists("spans", lambda s: (F.col("c") >= s["begin"]) & (F.col("c") < s["end"])), F.lit(False))
     flagged = rows.join(heads.select("key", "hub"), "key").join(texts, "id", "left")
-    flagged = written(flagged.select("key", "id", "c", "left", "right", (inside | (F.col("id") == F.col("hub"))).alias("known"), F.coalesce("root", "id").alias("root")))
+    flagged = first = written(flagged.select("key", "id", "c", "left", "right", (inside | (F.col("id") == F.col("hub"))).alias("known"), F.coalesce("root", "id").alias("root")))
 
     def open_(by: str, frame: DataFrame) -> DataFrame:
         groups = frame.groupBy(by).agg(F.count(F.lit(1)).alias("size"), F.bool_and("known").alias("all_known"), *(f(x).alias(f"{x}_{k}") for x in ("id", "root") for k, f in enumerate((F.min, F.max))))
@@ -444,8 +514,10 @@ def _second_phase(held: DataFrame, rows: DataFrame, heads: DataFrame, spans: Dat
     sides = F.array(*(F.when(F.col(s) != 0, F.struct(F.xxhash64("key", F.lit(s), s).alias("sub"), F.lit(s == "right").alias("after"))) for s in ("left", "right")))
     flagged = flagged.select("key", "id", "c", "known", "root", F.explode(F.array_compact(sides)).alias("side"))
     flagged = written(flagged.select("side.sub", "side.after", "key", "id", "c", "known", "root"))
+    discard(first, rows, heads)
     groups = open_("sub", flagged).select("sub", F.ceil(F.col("size") / BLOCK).alias("parts"))
     live = written(flagged.join(groups, "sub"))
+    discard(flagged)
     texts = written(held.join(live.select("id").distinct(), "id", "left_semi"))
     release(spark)
 
@@ -458,6 +530,7 @@ def _second_phase(held: DataFrame, rows: DataFrame, heads: DataFrame, spans: Dat
         dealt = dealt.unionByName(_blocks(_able(written(contexts(large)), percent)))
     dealt = dealt.select("task", "sub", "id", "text_hash", "at", "known", "root", "tokens").repartition("task").sortWithinPartitions("task", "sub", "id", "at")
     found = written(dealt.mapInArrow(*_resolved(n, least, percent)))
+    discard(live, texts)
     release(spark)
     return found
 

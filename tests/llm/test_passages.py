@@ -199,3 +199,46 @@ def test_blocks_and_large_groups_give_the_same(spark, monkeypatch):
         found = sorted((r.doc_id, r.class_id) for r in passages.repeated(frame).collect())
         assert found == (wanted or found) and {c for _, c in found} == {1000} and len(found) == 14
         wanted = found
+
+
+def words_by_all_pairs(texts: list[list[str]], least: int = 50) -> dict[int, int]:
+    """Of each text the words in stretches of ``least`` words that another text has as they are."""
+    holders: dict[tuple, set[int]] = {}
+    for i, t in enumerate(texts):
+        for k in range(len(t) - least + 1):
+            holders.setdefault(tuple(t[k : k + least]), set()).add(i)
+    return {i: len({w for k in range(len(t) - least + 1) if len(holders[tuple(t[k : k + least])]) > 1 for w in range(k, k + least)}) for i, t in enumerate(texts)}
+
+
+def test_words_beyond_the_first_copy(spark):
+    """Three texts with a passage, of which the last two have more of it, ahead or behind: all of it is found and removed once."""
+    rng = random.Random(13)
+    word = lambda: "w%d" % rng.randrange(10**15)
+    texts = []
+    for k in range(150):
+        source, more = [word() for _ in range(120)], rng.choice((3, 10, 20, 30))
+        begin = 0 if k % 2 else more
+        for size in (60, 60 + more, 60 + more):
+            piece = source[begin : begin + size] if k % 2 else source[begin - (size - 60) : begin + 60]
+            texts.append([word() for _ in range(rng.randrange(5, 40))] + piece + [word() for _ in range(rng.randrange(5, 40))])
+    frame = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    found = {r.doc_id: r for r in passages.repeated(frame).collect()}
+    exact = words_by_all_pairs(texts)
+    # a stretch that is alike as a whole may have a few words of its own at an end; none is too short
+    over = [found[i].n_repeated - n for i, n in exact.items()]
+    assert all(exact.values()) and min(over) == 0 and max(over) < 10 and sum(x > 0 for x in over) <= 5
+    assert all(found[3 * k + j].n_links == 2 for k in range(150) for j in range(3))
+    left = {r.doc_id: r.text.split() for r in passages.remove_repeats(frame).collect()}
+    kept = [w for i in range(len(texts)) for w in left[i]]
+    assert len(kept) == len(set(kept))  # no word of a passage is left twice
+
+
+def test_continuations_in_many_lengths(spark):
+    """Twenty texts, each with three words more of a passage than the one before: each one's longest match is another's."""
+    rng = random.Random(14)
+    word = lambda: "w%d" % rng.randrange(10**15)
+    source = [word() for _ in range(140)]
+    texts = [[word() for _ in range(20)] + source[: 52 + 3 * k] + [word() for _ in range(20)] for k in range(20)]
+    frame = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    found = {r.doc_id: r.n_repeated for r in passages.repeated(frame).collect()}
+    assert found == words_by_all_pairs(texts)
