@@ -6,26 +6,30 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cadastra.operators.checks import require_none
+from cadastra.operators.names import fresh
 from cadastra.operators.similar import best_matches
 
 
 def last_wins(frame: DataFrame, keys: list[str], order: list[Column | str]) -> DataFrame:
-    """The last row of each key. One aggregation, combined before the shuffle; equal order is broken by the row itself."""
-    rest = [c for c in frame.columns if c not in keys]
-    best = frame.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*order, *rest)).alias("_row"))
-    return best.select(*keys, *(F.col(f"_row.`{c}`").alias(c) for c in rest))
+    """The last row of each key. One aggregation, combined before the shuffle; equal order is broken by the row itself.
+    Null keys are one key, a null order is the first; an empty table gives no rows."""
+    rest, (row,) = [c for c in frame.columns if c not in keys], fresh(frame, "_row")
+    best = frame.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*order, *rest)).alias(row))
+    return best.select(*keys, *(F.col(f"{row}.`{c}`").alias(c) for c in rest))
 
 
 def either_key(left: DataFrame, right: DataFrame, id_left: str, id_right: str, keys: list[tuple[str, str]]) -> DataFrame:
-    """(id_left, id_right): pairs in which at least one of ``keys`` is equal. Null keys match nothing.
+    """(id_left, id_right): pairs in which at least one of ``keys`` is equal, each once. Null keys match nothing; other columns
+    are not looked at. The two ids have names of their own.
 
     A join with OR would compare every row with every row; this is one equality join for each key.
     """
+    (key,) = fresh([id_left, id_right], "_key")
     found = None
     for a, b in keys:
-        x = left.where(F.col(a).isNotNull()).select(id_left, F.col(a).alias("_key"))
-        y = right.where(F.col(b).isNotNull()).select(id_right, F.col(b).alias("_key"))
-        pairs = x.join(y, "_key").select(id_left, id_right)
+        x = left.where(F.col(a).isNotNull()).select(id_left, F.col(a).alias(key))
+        y = right.where(F.col(b).isNotNull()).select(id_right, F.col(b).alias(key))
+        pairs = x.join(y, key).select(id_left, id_right)
         found = pairs if found is None else found.unionByName(pairs)
     return found.distinct()
 
@@ -57,14 +61,17 @@ def as_of(left: DataFrame, right: DataFrame, on: str, by: list[str], values: lis
     """``left`` with ``values`` of the last row of ``right`` whose ``on`` is not after; null where there is none.
 
     One shuffle by ``by``: both sides in a union, the last seen value carried along. Of equal ``on`` in ``right`` the
-    largest values count.
+    largest values count. Null keys are a group like others, unlike in a join; a row of ``left`` without a place has
+    no values, and one of ``right`` is none. Rows that repeat each other stay; the new columns are named ``<value>_as_of``.
     """
+    at, side, row, value, last = fresh(by, "_at", "_side", "_row", "_value", "_last")
     taken = F.struct(*(F.col(v).alias(v) for v in values))
-    rows = left.select(*by, F.col(on).alias("_at"), F.lit(1).alias("_side"), F.struct(*left.columns).alias("_row"), F.lit(None).cast(right.select(taken.alias("s")).schema["s"].dataType).alias("_value"))
-    marks = right.select(*by, F.col(on).alias("_at"), F.lit(0).alias("_side"), F.lit(None).cast(rows.schema["_row"].dataType).alias("_row"), taken.alias("_value"))
-    order = Window.partitionBy(*by).orderBy("_at", "_side", "_value").rowsBetween(Window.unboundedPreceding, 0)
-    carried = rows.unionByName(marks).withColumn("_last", F.last("_value", ignorenulls=True).over(order)).where("_side = 1")
-    return carried.select(*(F.col(f"_row.`{c}`").alias(c) for c in left.columns), *(F.col(f"_last.`{v}`").alias(f"{v}_as_of") for v in values))
+    shape = right.select(taken.alias("s")).schema["s"].dataType
+    rows = left.select(*by, F.col(on).alias(at), F.lit(1).alias(side), F.struct(*left.columns).alias(row), F.lit(None).cast(shape).alias(value))
+    marks = right.where(F.col(on).isNotNull()).select(*by, F.col(on).alias(at), F.lit(0).alias(side), F.lit(None).cast(rows.schema[row].dataType).alias(row), taken.alias(value))
+    order = Window.partitionBy(*by).orderBy(at, side, value).rowsBetween(Window.unboundedPreceding, 0)
+    carried = rows.unionByName(marks).withColumn(last, F.last(value, ignorenulls=True).over(order)).where(F.col(side) == 1)
+    return carried.select(*(F.col(f"{row}.`{c}`").alias(c) for c in left.columns), *(F.col(f"{last}.`{v}`").alias(f"{v}_as_of") for v in values))
 
 
 def bands(rules: DataFrame, by: list[str], at: str, *, low: float, high: float, least: float) -> DataFrame:
@@ -161,11 +168,13 @@ def between_neighbours(rows: DataFrame, by: list[str], order: str, partner: str)
 
 
 def overridden(frame: DataFrame, readings: DataFrame, keys: list[str], column: str, reading: str, *, blank_counts: bool = False) -> DataFrame:
-    """``column`` replaced by a reading where there is one, with ``check`` 'eye' there. Blank readings count if asked."""
-    given = last_wins(readings.select(*keys, F.col(reading).alias("_reading")), keys, ["_reading"])
-    usable = F.col("_reading").isNotNull() if blank_counts else F.coalesce(F.col("_reading") != "", F.lit(False))
+    """``column`` replaced by a reading where there is one, with ``check`` 'eye' there. Blank readings count if asked. Of several
+    readings the largest holds; null keys have none; a null reading is none."""
+    (seen,) = fresh([*frame.columns, *keys], "_reading")
+    given = last_wins(readings.select(*keys, F.col(reading).alias(seen)), keys, [seen])
+    usable = F.col(seen).isNotNull() if blank_counts else F.coalesce(F.col(seen) != "", F.lit(False))
     joined = frame.join(given, keys, "left")
-    return joined.withColumn(column, F.when(usable, F.col("_reading")).otherwise(F.col(column))).withColumn("check", F.when(usable, "eye").otherwise("")).drop("_reading")
+    return joined.withColumn(column, F.when(usable, F.col(seen)).otherwise(F.col(column))).withColumn("check", F.when(usable, "eye").otherwise("")).drop(seen)
 
 
 def respelled(column: Column, spellings: dict[str, str]) -> Column:

@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cadastra.operators.names import fresh
+
 
 def filled_forward(frame: DataFrame, by: list[str], order: list, column: str, closed: Column | None = None) -> Column:
     """The last value seen; rows where ``closed`` holds end its reach."""
@@ -21,10 +23,16 @@ def filled_forward(frame: DataFrame, by: list[str], order: list, column: str, cl
 
 def until_marker(frame: DataFrame, by: list[str], order: str | list[str], marker: Column) -> DataFrame:
     """Rows ahead of a group's first marker; all rows where there is none. ``order`` may be several columns: the first is the
-    least row of them. Rows without a place are left out where there is a marker."""
-    place = F.struct(*([order] if isinstance(order, str) else order))
-    first = frame.where(marker).groupBy(*by).agg(F.min(place).alias("_end"))
-    return frame.join(first, by, "left").where(F.col("_end").isNull() | (place < F.col("_end"))).drop("_end")
+    least row of them. A null marker is none; a marker without a place is none either. Where there is one, rows without a place
+    are left out. Null keys are a group whose markers end nothing, as null equals no null in a join."""
+    (end,) = fresh(frame, "_end")
+    columns = [order] if isinstance(order, str) else order
+    place = F.struct(*columns)
+    known = F.lit(True)
+    for c in columns:
+        known = known & F.col(c).isNotNull()
+    first = frame.where(marker & known).groupBy(*by).agg(F.min(place).alias(end))
+    return frame.join(first, by, "left").where(F.col(end).isNull() | (known & (place < F.col(end)))).drop(end)
 
 
 def sessions(by: list[str], order: str, gap) -> Column:
@@ -78,33 +86,39 @@ def _comparable(value):
 
 
 def rising(frame: DataFrame, by: list[str], order: str, number: str, announced: Column | None = None) -> DataFrame:
-    """Rows whose number exceeds every kept one before; numbers above ``announced`` are dropped first."""
-    rows = frame if announced is None else frame.where(F.col(number) <= announced)
-    before = F.max(number).over(Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1))
-    return rows.withColumn("_before", before).where(F.col("_before").isNull() | (F.col(number) > F.col("_before"))).drop("_before")
+    """Rows whose number exceeds every kept one before; numbers above ``announced`` are dropped first. Rows without a number are
+    dropped; null keys are a group like others."""
+    (before,) = fresh(frame, "_before")
+    rows = frame.where(F.col(number).isNotNull()) if announced is None else frame.where(F.col(number) <= announced)
+    most = F.max(number).over(Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1))
+    return rows.withColumn(before, most).where(F.col(before).isNull() | (F.col(number) > F.col(before))).drop(before)
 
 
 def islands(frame: DataFrame, by: list[str], at: str) -> DataFrame:
-    """Runs of consecutive whole numbers: by, first, last, size."""
-    rows = frame.select(*by, at).distinct()
-    run = rows.withColumn("_run", F.col(at) - F.row_number().over(Window.partitionBy(*by).orderBy(at)))
-    return run.groupBy(*by, "_run").agg(F.min(at).alias("first"), F.max(at).alias("last"), F.count(F.lit(1)).alias("size")).drop("_run")
+    """Runs of consecutive whole numbers: by, first, last, size. Numbers that repeat count once, nulls are in no run."""
+    (run,) = fresh([*by, at], "_run")
+    rows = frame.where(F.col(at).isNotNull()).select(*by, at).distinct()
+    runs = rows.withColumn(run, F.col(at) - F.row_number().over(Window.partitionBy(*by).orderBy(at)))
+    return runs.groupBy(*by, run).agg(F.min(at).alias("first"), F.max(at).alias("last"), F.count(F.lit(1)).alias("size")).drop(run)
 
 
 def continued(frame: DataFrame, by: list[str], order: str, text: str, begins: Column, glue: str = " ") -> DataFrame:
-    """Lines that don't begin an entry are added to the entry before: by, entry, text."""
+    """Lines that don't begin an entry are added to the entry before: by, entry, text. Lines ahead of the first entry are entry 0;
+    a null ``begins`` begins none, a null text adds nothing."""
     w = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    rows = frame.withColumn("entry", F.sum(begins.cast("int")).over(w))
+    rows = frame.withColumn("entry", F.sum(F.coalesce(begins, F.lit(False)).cast("int")).over(w))
     joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order, text))), lambda x: x[text]), glue)
     return rows.groupBy(*by, "entry").agg(joined.alias(text))
 
 
 def spaced(frame: DataFrame, by: list[str], x: str, w: str, character: str, gap: float) -> DataFrame:
-    """Characters of a line joined along ``x``, a space where they lie more than ``gap`` apart: by, text."""
+    """Characters of a line joined along ``x``, a space where they lie more than ``gap`` apart: by, text. Characters without a
+    place come first; a null character adds nothing."""
+    (piece,) = fresh(frame, "_c")
     order = Window.partitionBy(*by).orderBy(x)
     apart = F.coalesce(F.col(x) - F.lag(F.col(x) + F.col(w)).over(order) > gap, F.lit(False))
-    rows = frame.withColumn("_c", F.concat(F.when(apart, " ").otherwise(""), F.col(character)))
-    return rows.groupBy(*by).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(x, "_c"))), lambda r: r["_c"]), "").alias("text"))
+    rows = frame.withColumn(piece, F.concat(F.when(apart, " ").otherwise(""), F.col(character)))
+    return rows.groupBy(*by).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(x, piece))), lambda r: r[piece]), "").alias("text"))
 
 
 def sections(headers: DataFrame, by: list[str], at: str) -> DataFrame:
@@ -113,10 +127,10 @@ def sections(headers: DataFrame, by: list[str], at: str) -> DataFrame:
 
 
 def first_of_each(frame: DataFrame, keys: list[str], order: list) -> DataFrame:
-    """The first row of each key, in the order of first occurrence."""
-    rest = [c for c in frame.columns if c not in keys]
-    best = frame.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct(*order, *rest)).alias("_row"))
-    return best.select(*keys, *(F.col(f"_row.`{c}`").alias(c) for c in rest))
+    """The first row of each key, in the order of first occurrence. Null keys are one key; a null order is first."""
+    rest, (row,) = [c for c in frame.columns if c not in keys], fresh(frame, "_row")
+    best = frame.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct(*order, *rest)).alias(row))
+    return best.select(*keys, *(F.col(f"{row}.`{c}`").alias(c) for c in rest))
 
 
 def kinds_in_order(frame: DataFrame, kind: str, kinds: list[str], order: list[str]) -> DataFrame:
@@ -126,9 +140,11 @@ def kinds_in_order(frame: DataFrame, kind: str, kinds: list[str], order: list[st
 
 
 def unanimous(frame: DataFrame, by: list[str], value: Column, known: DataFrame | None = None) -> DataFrame:
-    """by and ``agreed``: the value on which all rows of a group agree, if ``known`` (one column) has it."""
-    votes = frame.groupBy(*by).agg(F.min(value).alias("agreed"), F.max(value).alias("_max"), F.count(F.lit(1)).alias("_rows"), F.count(value).alias("_votes"))
-    agreed = votes.where("agreed = _max AND _rows = _votes").select(*by, "agreed")
+    """by and ``agreed``: the value on which all rows of a group agree, if ``known`` (one column) has it. A null vote agrees with
+    nothing."""
+    most, rows, votes = fresh(by, "_max", "_rows", "_votes")
+    counted = frame.groupBy(*by).agg(F.min(value).alias("agreed"), F.max(value).alias(most), F.count(F.lit(1)).alias(rows), F.count(value).alias(votes))
+    agreed = counted.where((F.col("agreed") == F.col(most)) & (F.col(rows) == F.col(votes))).select(*by, "agreed")
     return agreed if known is None else agreed.join(known.select(F.col(known.columns[0]).alias("agreed")), "agreed", "left_semi").select(*by, "agreed")
 
 
