@@ -115,6 +115,21 @@ def _spread(frame: DataFrame, pieces: list[Column]) -> DataFrame:
     return frame.select(F.explode(F.array(*pieces)).alias("p")).where(F.col("p.path").isNotNull()).select("p.*")
 
 
+def _flattened(country: str, transition: dict[str, str]) -> dict[str, dict[str, Column]]:
+    """Of each table the columns of its CSV files: what its records nest, side by side, empty where a record has null."""
+    plain = lambda *names: {n: F.col(n) for n in names}
+    names, listed = plain("name_fr", "name_ar") | {"slug": slug(F.col("name_fr"))}, plain("listed_by", "listed_article", "listed_item")
+    n = F.col("code").cast("int")
+    iso, later = F.when(n <= ISO_PROVINCES, F.concat(F.lit(f"{country}-"), "code")), n > ISO_PROVINCES
+    administered = {"administered_by": F.when(later, F.col("parent")), "administered_until": F.when(later, F.lit(transition["until"]))}
+    return {
+        "provinces": plain("code") | {"iso_3166_2": iso} | names | plain("seat", "parent", "created") | administered | plain("districts", "municipalities"),
+        "districts": plain("code", "province") | names | plain("municipalities") | listed,
+        "municipalities": plain("code", "province", "district") | names | plain("province_before") | listed,
+        "changes": plain("date", "type", "subject", "from", "to", "by", "article", "item"),
+    }
+
+
 def _open(record: Column) -> Column:
     """A JSON object without its last brace."""
     return record.substr(F.lit(1), F.length(record) - 1)
@@ -130,7 +145,8 @@ def documents(tables: dict[str, DataFrame], *, version: str, base_text: str, cou
     t = tables
     path = lambda *parts: F.concat(*(p if isinstance(p, Column) else F.lit(p) for p in parts))
     code, none = F.col("code"), F.lit(None).cast("string")
-    line = lambda name: csv_line([F.col(c) for c in t[name].columns])
+    flat = _flattened(country, transition)
+    line = lambda name: csv_line(list(flat[name].values()))
     province, district = F.col("province"), _given("district")
 
     municipalities = municipality_records(t["municipalities"], t["changes"], t["aliases"])
@@ -205,7 +221,7 @@ def documents(tables: dict[str, DataFrame], *, version: str, base_text: str, cou
     inner = inner.when(kind == "index", F.concat(F.lit('"counts":'), totals, F.lit(',"files":'), index))
     head = None
     for name in ("provinces", "districts", "municipalities", "changes"):
-        names = F.lit(",".join(t[name].columns) + "\n")
+        names = F.lit(",".join(flat[name]) + "\n")
         here = F.element_at(F.split("path", "/"), -1) == f"{name}.csv"
         head = F.when(here, names) if head is None else head.when(here, names)
     csv = F.concat(head, F.array_join(F.transform("items", lambda i: F.concat(i["text"], F.lit("\n"))), ""))

@@ -823,13 +823,13 @@ _BODIES = f"""
     WITH m AS (SELECT lpad(CAST(c_custkey AS VARCHAR), 6, '0') AS code, lpad(CAST(c_nationkey + 1 AS VARCHAR), 2, '0') AS province, c_name AS name, c_custkey % 14 = 0 AS moved, lpad(CAST(c_nationkey + 1 AS VARCHAR), 2, '0') || substr(c_mktsegment, 1, 1) AS district FROM customer),
     mr AS (SELECT *, '{{"code":"' || code || '",' || {_NAMED} || ',"province":"' || province || '","district":"' || district || '","province_before":null,"listed_by":{{"text":"base","article":"' || province || '","item":"1"}},"names_from":{{"ar":"base","fr":"base"}},"previous_codes":[],"aliases":[' ||
                       CASE WHEN moved THEN '{{"lang":"fr","name":"' || upper(name) || '","texts":["base"]}}' ELSE '' END || ']}}' AS record, '{{"code":"' || code || '",' || {_NAMED} || ',"district":"' || district || '"}}' AS summary,
-                  '{{"code":"' || code || '",' || {_NAMED} || ',"province":"' || province || '"}}' AS early, concat_ws(',', code, province, district, name, 'ا', 'base', 'base', 'base', province, '1') || ',' || chr(10) AS line FROM m),
+                  '{{"code":"' || code || '",' || {_NAMED} || ',"province":"' || province || '"}}' AS early, concat_ws(',', code, province, district, name, 'ا', replace(lower(name), '#', '-'), '', 'base', province, '1') || chr(10) AS line FROM m),
     d AS (SELECT district AS code, province, min(name) AS name, count(*) AS n FROM m GROUP BY 1, 2),
     dr AS (SELECT *, '{{"code":"' || code || '",' || {_NAMED} || ',"province":"' || province || '","listed_by":{{"text":"base","article":"' || province || '","item":"1"}},"counts":{{"municipalities":' || n || '}},"aliases":[]' AS record,
-                  '{{"code":"' || code || '",' || {_NAMED} || ',"municipalities":' || n || '}}' AS summary, concat_ws(',', code, province, name, 'ا', 'base', province, '1', n) || chr(10) AS line FROM d),
+                  '{{"code":"' || code || '",' || {_NAMED} || ',"municipalities":' || n || '}}' AS summary, concat_ws(',', code, province, name, 'ا', replace(lower(name), '#', '-'), n, 'base', province, '1') || chr(10) AS line FROM d),
     p AS (SELECT province AS code, min(name) AS name, min(code) AS seat, count(DISTINCT district) AS d, count(*) AS n FROM m GROUP BY 1),
     pr AS (SELECT *, '{{"code":"' || code || '","iso_3166_2":"XX-' || code || '",' || {_NAMED} || ',"seat":"' || seat || '","named_by":{{"text":"base","article":"1","item":"1"}},"defined_by":{{"text":"base","article":"' || code || '","amended_by":null}},"created":null,"parent":null,"administered_by":null,"counts":{{"districts":' || d ||
-                      ',"municipalities":' || n || '}},"aliases":[]' AS record, '{{"code":"' || code || '",' || {_NAMED} || ',"municipalities":' || n || '}}' AS early, concat_ws(',', code, name, 'ا', 'base', '1', '1', seat, '', '', '', '', 'base', code, d, n) || chr(10) AS line FROM p),
+                      ',"municipalities":' || n || '}},"aliases":[]' AS record, '{{"code":"' || code || '",' || {_NAMED} || ',"municipalities":' || n || '}}' AS early, concat_ws(',', code, 'XX-' || code, name, 'ا', replace(lower(name), '#', '-'), seat, '', '', '', '', d, n) || chr(10) AS line FROM p),
     c AS (SELECT code, '{{"date":"2026-01-01","type":"member_moved","subject":"' || code || '","from":"01","to":"' || province || '","by":{{"text":"base","article":"1"}}}}' AS record, concat_ws(',', '2026-01-01', 'member_moved', code, '01', province, 'base', '1', '') || chr(10) AS line FROM m WHERE moved),
     pm AS (SELECT province AS code, '[' || string_agg(summary, ',' ORDER BY code) || ']' AS list, string_agg(line, '' ORDER BY code) AS lines FROM mr GROUP BY 1), pd AS (SELECT province AS code, '[' || string_agg(summary, ',' ORDER BY code) || ']' AS list FROM dr GROUP BY 1),
     dm AS (SELECT district AS code, '[' || string_agg(summary, ',' ORDER BY code) || ']' AS list FROM mr GROUP BY 1),
@@ -846,10 +846,10 @@ _BODIES = f"""
         UNION ALL SELECT 'index.json', 'index', '"counts":{{"provinces":' || (SELECT count(*) FROM p) || ',"districts":' || (SELECT count(*) FROM d) || ',"municipalities":' || (SELECT count(*) FROM m) || ',"changes":' || (SELECT count(*) FROM c) ||
             '}},"files":{{"provinces_json":"provinces.json","districts_json":"districts.json","municipalities_json":"municipalities.json","changes_json":"changes.json","texts_json":"texts.json","provinces_code_json":"provinces/{{code}}.json","districts_code_json":"districts/{{code}}.json","municipalities_code_json":"municipalities/{{code}}.json"}}}}'),
     csv AS (
-        SELECT 'municipalities.csv' AS path, 'code,province,district,name_fr,name_ar,name_fr_by,name_ar_by,listed_by,listed_article,listed_item,province_before' || chr(10) || string_agg(line, '' ORDER BY code) AS body FROM mr
-        UNION ALL SELECT 'provinces/' || code || '/municipalities.csv', 'code,province,district,name_fr,name_ar,name_fr_by,name_ar_by,listed_by,listed_article,listed_item,province_before' || chr(10) || lines FROM pm
-        UNION ALL SELECT 'districts.csv', 'code,province,name_fr,name_ar,listed_by,listed_article,listed_item,municipalities' || chr(10) || string_agg(line, '' ORDER BY code) FROM dr
-        UNION ALL SELECT 'provinces.csv', 'code,name_fr,name_ar,named_by,named_article,named_item,seat,parent,created,created_by,created_article,listed_by,listed_article,districts,municipalities' || chr(10) || string_agg(line, '' ORDER BY code) FROM pr
+        SELECT 'municipalities.csv' AS path, 'code,province,district,name_fr,name_ar,slug,province_before,listed_by,listed_article,listed_item' || chr(10) || string_agg(line, '' ORDER BY code) AS body FROM mr
+        UNION ALL SELECT 'provinces/' || code || '/municipalities.csv', 'code,province,district,name_fr,name_ar,slug,province_before,listed_by,listed_article,listed_item' || chr(10) || lines FROM pm
+        UNION ALL SELECT 'districts.csv', 'code,province,name_fr,name_ar,slug,municipalities,listed_by,listed_article,listed_item' || chr(10) || string_agg(line, '' ORDER BY code) FROM dr
+        UNION ALL SELECT 'provinces.csv', 'code,iso_3166_2,name_fr,name_ar,slug,seat,parent,created,administered_by,administered_until,districts,municipalities' || chr(10) || string_agg(line, '' ORDER BY code) FROM pr
         UNION ALL SELECT 'changes.csv', 'date,type,subject,from,to,by,article,item' || chr(10) || coalesce(string_agg(line, '' ORDER BY code), '') FROM c)
     SELECT path, kind, sha256('{{"data_version":"2026-01-01",' || body || chr(10)) AS digest, strlen(body) + 30 AS bytes FROM bodies UNION ALL SELECT path, 'csv', sha256(body), strlen(body) FROM csv"""
 
