@@ -6,10 +6,12 @@ import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cadastra.session import guarded
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder that spark.checkpoint.dir names; where it is unset, one of this machine, which only a local master may use."""
-    context = spark.sparkContext
+    context = guarded(spark).sparkContext  # what is kept here is planned later
     if not context._jsc.sc().getCheckpointDir().isDefined():
         named = spark.conf.get("spark.checkpoint.dir", None)
         if not named and not context.master.startswith("local[") and context.master != "local":
