@@ -29,10 +29,12 @@ under one of a hundred cases; longer ones hold more windows.
 from __future__ import annotations
 
 import itertools
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -463,24 +465,25 @@ def _extended(held: DataFrame, found: DataFrame, n: int, least: int, percent: in
 
 
 def _ends(n: int, least: int):
-    """(id, squeezed text, spans) -> edge, id, from, to, onward: for each end of a span inside the text the token across it
-    with its side, the tokens to look at, and the ``least`` tokens from the end on, away from the span."""
+    """(id, squeezed text, spans) -> edge, id, from, to, onward: for each end of a span inside the text the n words across it
+    with its side, the tokens to look at, and the words from there on, away from the span, as many as a passage has tokens."""
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, spans = batch.column(0).to_pylist(), batch.column(2).to_pylist()
             out = []
-            for i, tokens in enumerate(_batched(unsqueezed(batch.column(1)), n)):
-                last = len(tokens) - 1
-                short = _folded(tokens).view(np.int32)
-                left = {s["begin"] - 1 for s in spans[i] if s["begin"] > 0}
-                right = {s["end"] - n + 1 for s in spans[i] if s["end"] - n + 1 <= last}
-                for at in left:
-                    out.append((_edge(tokens[at], 0), ids[i], 0, min(last, at + 2 * least), short[max(0, at - least + 1) : at + 1][::-1].tolist()))
-                for at in right:
-                    out.append((_edge(tokens[at], 1), ids[i], max(0, at - 2 * least), last, short[at : at + least].tolist()))
+            for i, raw in enumerate(unsqueezed(batch.column(1))):
+                words = raw.translate(SPACED).split()
+                last = len(words) - n  # the last token
+                for at in {s["begin"] - 1 for s in spans[i] if 0 < s["begin"] <= last + 1}:
+                    onward = words[max(0, at - least + 1) : at + 1]
+                    out.append((_edge(words[at : at + n], 0), ids[i], 0, min(last, at + 2 * least), onward[::-1]))
+                for at in {s["end"] - n + 1 for s in spans[i] if n <= s["end"] <= last + n - 1}:
+                    out.append((_edge(words[at : at + n], 1), ids[i], max(0, at - 2 * least), last, words[at + n : at + n + least]))
             for low in range(0, len(out), 8192):
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out[low : low + 8192]), _END)], schema=_END)
+                *columns, onward = zip(*out[low : low + 8192])
+                lists = pa.ListArray.from_arrays(np.cumsum([0, *map(len, onward)], dtype=np.int32), pa.array([zlib.crc32(w) for ws in onward for w in ws], pa.int64()).cast(pa.int32(), safe=False))
+                yield pa.RecordBatch.from_arrays([*(pa.array(c, f.type) for c, f in zip(columns, _END)), lists], schema=_END)
 
     return kernel, "edge long, id long, from int, to int, onward array<int>"
 
@@ -488,9 +491,9 @@ def _ends(n: int, least: int):
 _END = pa.schema([("edge", pa.int64()), ("id", pa.int64()), ("from", pa.int32()), ("to", pa.int32()), ("onward", pa.list_(pa.int32()))])
 
 
-def _edge(token: np.uint64, side: int) -> int:
-    """A token and the side of a span that it lies on, as a signed number."""
-    return int((np.uint64(token) & ~np.uint64(1) | np.uint64(side)).view(np.int64))
+def _edge(words: list[bytes], side: int) -> int:
+    """The words across an end and the side of the span that it is, as a signed number."""
+    return int(np.uint64(xxhash.xxh64_intdigest(b" ".join(words), side)).view(np.int64))
 
 
 def _second_phase(held: DataFrame, rows: DataFrame, heads: DataFrame, spans: DataFrame, n: int, least: int, percent: int) -> DataFrame:
