@@ -28,6 +28,7 @@ under one of a hundred cases; longer ones hold more windows.
 
 from __future__ import annotations
 
+import bisect
 import itertools
 import zlib
 from collections.abc import Iterator
@@ -465,8 +466,8 @@ def _extended(held: DataFrame, found: DataFrame, n: int, least: int, percent: in
 
 
 def _ends(n: int, least: int):
-    """(id, squeezed text, spans) -> edge, id, from, to, onward: for each end of a span inside the text the n words across it
-    with its side, the tokens to look at, and the words from there on, away from the span, as many as a passage has tokens."""
+    """(id, squeezed text, spans) -> edge, id, from, to, onward: for each end of a span, unless another one covers it and a passage
+    beyond, the n words across it with its side, the tokens to look at, and the words from there on, away from the span, as many as a passage has tokens."""
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -475,10 +476,17 @@ def _ends(n: int, least: int):
             for i, raw in enumerate(unsqueezed(batch.column(1))):
                 words = raw.translate(SPACED).split()
                 last = len(words) - n  # the last token
-                for at in {s["begin"] - 1 for s in spans[i] if 0 < s["begin"] <= last + 1}:
+                begins = [s["begin"] for s in spans[i]]
+                reach = list(itertools.accumulate((s["end"] for s in spans[i]), max))  # of the spans up to each, they go by begin
+
+                def open_(begin: int, end: int, begins=begins, reach=reach) -> bool:
+                    k = bisect.bisect_right(begins, begin)
+                    return not k or reach[k - 1] < end
+
+                for at in {s["begin"] - 1 for s in spans[i] if 0 < s["begin"] <= last + 1 and open_(s["begin"] - 1 - least, s["begin"] - 1 + n)}:
                     onward = words[max(0, at - least + 1) : at + 1]
                     out.append((_edge(words[at : at + n], 0), ids[i], 0, min(last, at + 2 * least), onward[::-1]))
-                for at in {s["end"] - n + 1 for s in spans[i] if n <= s["end"] <= last + n - 1}:
+                for at in {s["end"] - n + 1 for s in spans[i] if n <= s["end"] <= last + n - 1 and open_(s["end"] - n + 1, s["end"] + 1 + least)}:
                     out.append((_edge(words[at : at + n], 1), ids[i], max(0, at - 2 * least), last, words[at + n : at + n + least]))
             for low in range(0, len(out), 8192):
                 *columns, onward = zip(*out[low : low + 8192])
