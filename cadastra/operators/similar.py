@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cadastra.functions.text import similarity
+from cadastra.operators.storage import kept
 
 #: From this cutoff on, texts share pairs of neighbours in any case; below they meet by single characters.
 PAIRS_FROM = 0.85
@@ -35,31 +36,32 @@ def _shared(total: Column, cutoff: float, q: int) -> Column:
     return F.greatest(F.ceil(total * (1.5 * cutoff - 1) - 1 - _EPS), F.lit(1))
 
 
-def _prefixes(texts: DataFrame, by: list[str], frequency: DataFrame, cutoff: float, q: int) -> DataFrame:
-    """``texts`` (by, text, length, grams) with ``gram``: the rarest so many that texts that are alike share one."""
+def _prefixes(texts: DataFrame, by: list[str], cutoff: float, q: int) -> DataFrame:
+    """``texts`` (by, text, in_left, in_right) with length, ``grams`` from the rarest on, and ``gram``: the rarest so many that
+    texts that are alike share one. Of grams that are equally rare, the order is that of the grams."""
+    texts = texts.where(F.length("text") > 0).withColumn("length", F.length("text"))
     other = F.ceil(F.col("length") * (cutoff / (2 - cutoff)) - _EPS)  # the least length of a text that is alike
+    spread = texts.withColumn("gram", F.explode(grams(F.col("text"), q)))
+    frequency = spread.groupBy(*by, "gram").agg(F.count(F.lit(1)).alias("often"))
+    ranked = spread.join(frequency, [*by, "gram"]).groupBy(*by, "text", "length", "in_left", "in_right").agg(F.array_sort(F.collect_list(F.struct("often", "gram"))).alias("ranked"))
+    ranked = ranked.withColumn("grams", F.transform("ranked", lambda r: r["gram"])).drop("ranked")
     take = F.greatest(F.size("grams") - _shared(F.col("length") + other, cutoff, q) + 1, F.lit(1)).cast("int")
-    spread = texts.select(*by, "text", "length", "grams", take.alias("take"), F.explode("grams").alias("gram")).join(frequency, [*by, "gram"])
-    ranked = spread.groupBy(*by, "text", "length", "grams", "take").agg(F.array_sort(F.collect_list(F.struct("often", "gram"))).alias("ranked"))
-    return ranked.select(*by, "text", "length", "grams", F.explode(F.transform(F.slice("ranked", 1, F.col("take")), lambda r: r["gram"])).alias("gram"))
+    return ranked.withColumn("gram", F.explode(F.slice("grams", 1, take)))
 
 
 def candidates(left: DataFrame, right: DataFrame, by: list[str], cutoff: float) -> DataFrame:
     """(by, a, b): pairs of texts of ``left`` and ``right`` (by, text; distinct) that may have a ratio of ``cutoff``.
 
     None that has is left out: filters by rarest grams, by length and by the number of shared grams only drop what
-    can't reach it. Empty texts meet nothing.
+    can't reach it. Empty texts meet nothing. A text of both sides is cut once, and the cut texts are kept in a table
+    that both sides of the join read.
     """
     q = 2 if cutoff >= PAIRS_FROM else 1
-
-    def side(frame: DataFrame) -> DataFrame:
-        return frame.where(F.length("text") > 0).select(*by, "text", F.length("text").alias("length"), grams(F.col("text"), q).alias("grams"))
-
-    x, y = side(left), side(right)
-    every = x.select(*by, F.explode("grams").alias("gram")).unionByName(y.select(*by, F.explode("grams").alias("gram")))
-    frequency = every.groupBy(*by, "gram").agg(F.count(F.lit(1)).alias("often"))
-    a = _prefixes(x, by, frequency, cutoff, q).select(*by, "gram", F.col("text").alias("a"), F.col("length").alias("la"), F.col("grams").alias("ga"))
-    b = _prefixes(y, by, frequency, cutoff, q).select(*by, "gram", F.col("text").alias("b"), F.col("length").alias("lb"), F.col("grams").alias("gb"))
+    side = lambda frame, in_left: frame.select(*by, "text", F.lit(in_left).alias("in_left"), F.lit(not in_left).alias("in_right"))
+    texts = side(left, True).unionByName(side(right, False)).groupBy(*by, "text").agg(*(F.max(c).alias(c) for c in ("in_left", "in_right")))
+    cut = kept(_prefixes(texts, by, cutoff, q))
+    a = cut.where("in_left").select(*by, "gram", F.col("text").alias("a"), F.col("length").alias("la"), F.col("grams").alias("ga"))
+    b = cut.where("in_right").select(*by, "gram", F.col("text").alias("b"), F.col("length").alias("lb"), F.col("grams").alias("gb"))
     total = F.col("la") + F.col("lb")
     met = a.join(b, [*by, "gram"]).where(2 * F.least("la", "lb") >= cutoff * total - _EPS)
     if q == 2:  # a single character is like itself alone, and has no pair to share with a longer text
@@ -83,16 +85,14 @@ def best_matches(left: DataFrame, right: DataFrame, by: list[str], text_left: st
     """
     rows = left.withColumn("_text", F.col(text_left))
     tiers = [(cutoff, [*by, number])] + ([(other, by)] if other is not None else []) if number is not None else [(cutoff, by)]
-    own = [*by, *([number] if number else []), "_text"]
-    found = None
-    for least, keys in tiers:
+    best = []
+    for i, (least, keys) in enumerate(tiers):
         x = rows.select(*keys, F.col("_text").alias("text")).distinct()
         r = right.where(F.col(text_right) != "").groupBy(*keys, F.col(text_right).alias("text")).agg(F.min("id").alias("r_id"))
         pairs = similar_pairs(x, r.select(*keys, "text"), keys, least)
         pairs = pairs.join(r.withColumnRenamed("text", "b"), [*keys, "b"]).select(*keys, F.col("a").alias("_text"), "r_id", "score")
-        best = pairs.groupBy(*keys, "_text").agg(F.max(F.struct("score", (-F.col("r_id")).alias("less"))).alias("best"))
-        best = rows.select(*own).distinct().join(best, [*keys, "_text"]).select(*own, "best")
-        found = best if found is None else found.unionByName(best)
-    top = found.groupBy(*own).agg(F.max("best").alias("best")).select(F.struct(*own).alias("_key"), "best")
-    joined = rows.join(top, F.struct(*own).eqNullSafe(F.col("_key")), "left")  # a null number has matches by text
-    return joined.select(*left.columns, (-F.col("best.less")).alias("r_id"), F.col("best.score").alias("score"))
+        found = kept(pairs.groupBy(*keys, "_text").agg(F.max(F.struct("score", (-F.col("r_id")).alias("less"))).alias(f"_best{i}")))
+        rows = rows.join(found, [*keys, "_text"], "left")  # a null number has matches by text alone
+        best.append(f"_best{i}")
+    top = F.greatest(*best) if len(best) > 1 else F.col(best[0])
+    return rows.select(*left.columns, (-top["less"]).alias("r_id"), top["score"].alias("score"))

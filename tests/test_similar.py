@@ -83,3 +83,9 @@ def test_queries_against_all(spark, name):
     wanted = plain_best(left, right, enough)
     found = {r.id: (r.r_id, r.score) for r in registry.QUERIES[name](spark, FOLDER).collect()}
     assert found == wanted and len({v for v, _ in wanted.values()}) > 10
+
+
+def test_the_plan_is_small(spark):
+    """Cut texts and best partners are kept between the steps: a single plan of both tiers took more memory than a driver has."""
+    frame = registry.QUERIES["numbered_names"](spark, FOLDER)
+    assert frame._jdf.queryExecution().optimizedPlan().toString().count("Join ") <= 2
