@@ -1,7 +1,7 @@
 """Shapes on bitmaps: runs of pixels united to shapes, their profiles, and the alifs among them with their marks.
 
-A bitmap is an array of lines of '#' and other characters. Nothing here looks at single pixels: a line is cut into runs,
-runs of neighbouring lines that touch are the edges of a graph, and its components are the shapes.
+A bitmap is an array of lines of '#' and other characters. Nothing here looks at single pixels: a line is cut into runs, which
+take the labels of the runs that they touch on the line above; labels that meet are one shape.
 """
 
 from __future__ import annotations
@@ -11,7 +11,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cadastra.operators.graph import components as united
 from cadastra.operators.storage import kept
 from cadastra.operators.transcribe import standing_alifs
 
@@ -29,29 +28,76 @@ def _runs_of(line: Column) -> Column:
     return F.aggregate(F.filter(pieces, lambda p: p != ""), start, add)["runs"]
 
 
+_RUN, _STACK = "struct<x0:int,x1:int,label:int>", "struct<top:int,bottom:int,x0:int,x1:int,label:int>"
+_STATE = f"struct<last:array<{_RUN}>,next:int,stacks:array<{_STACK}>,merged:array<struct<label:int,into:int>>>"
+
+
+def _blocks(rows: Column) -> Column:
+    """Equal lines that follow each other, as (line, top, bottom): their runs are the same and touch only themselves."""
+    text = F.transform(rows, lambda line: F.coalesce(line, F.lit("")))
+    starts = lambda t: F.filter(F.transform(t, lambda line, i: F.when((i == 0) | (line != F.get(t, i - 1)), i)), lambda i: i.isNotNull())
+    cut = lambda t, at: F.transform(at, lambda i, k: F.struct(F.get(t, i).alias("line"), i.alias("top"), (F.coalesce(F.get(at, k + 1), F.size(t)) - 1).alias("bottom")))
+    return F.flatten(F.transform(F.array(text), lambda t: F.flatten(F.transform(F.array(starts(t)), lambda at: cut(t, at)))))
+
+
+def _labelled(state: Column, run: Column) -> Column:
+    """``state`` (above, here, next, merged) with a run of the present line: the least label above that it touches, or a new
+    one. Of labels that meet in it the greater ones are renamed and noted; none of them is seen again."""
+    touching = F.array_distinct(F.transform(F.filter(state["above"], lambda p: (p["x0"] <= run["x1"] + 1) & (p["x1"] >= run["x0"] - 1)), lambda p: p["label"]))
+
+    def placed(met: Column) -> Column:
+        label = F.coalesce(F.array_min(met), state["next"])
+        own = F.struct(run["x0"].alias("x0"), run["x1"].alias("x1"), label.alias("label"))
+        renamed = lambda runs: F.when(F.size(met) < 2, runs).otherwise(F.transform(runs, lambda p: F.struct(p["x0"].alias("x0"), p["x1"].alias("x1"), F.when(F.array_contains(met, p["label"]), label).otherwise(p["label"]).alias("label"))))
+        gone = F.transform(F.filter(met, lambda m: m != label), lambda m: F.struct(m.alias("label"), label.alias("into")))
+        merged = F.when(F.size(met) < 2, state["merged"]).otherwise(F.concat(state["merged"], gone))
+        return F.struct(renamed(state["above"]).alias("above"), F.array_append(renamed(state["here"]), own).alias("here"), (state["next"] + F.when(F.size(met) == 0, 1).otherwise(0)).alias("next"), merged.alias("merged"))
+
+    return F.transform(F.array(touching), placed)[0]
+
+
+def _stacks(rows: Column) -> Column:
+    """The runs of a bitmap's blocks of lines, as (top, bottom, x0, x1, label): runs of a shape share its label, and labels
+    rise with the shapes' first pixels, line by line."""
+    line_state = f"struct<above:array<{_RUN}>,here:array<{_RUN}>,next:int,merged:array<struct<label:int,into:int>>>"
+
+    def add(state: Column, block: Column) -> Column:
+        start = F.struct(state["last"].alias("above"), F.array().cast(f"array<{_RUN}>").alias("here"), state["next"].alias("next"), state["merged"].alias("merged")).cast(line_state)
+        line = lambda seen: F.struct(seen["here"].alias("last"), seen["next"].alias("next"), F.concat(state["stacks"], F.transform(seen["here"], lambda r: F.struct(block["top"].alias("top"), block["bottom"].alias("bottom"), r["x0"].alias("x0"), r["x1"].alias("x1"), r["label"].alias("label")))).alias("stacks"), seen["merged"].alias("merged")).cast(_STATE)
+        return F.aggregate(_runs_of(block["line"]), start, lambda s, r: _labelled(s, r).cast(line_state), line)
+
+    empty = F.struct(F.array().alias("last"), F.lit(0).alias("next"), F.array().alias("stacks"), F.array().alias("merged")).cast(_STATE)
+
+    def settled(state: Column) -> Column:
+        # each label with what it was merged into, or itself; then twice as far with each round
+        own = F.transform(F.sequence(F.lit(0), state["next"]), lambda i: F.struct(i.alias("label"), i.alias("into")))
+        both = lambda e: F.transform(F.filter(F.transform(e, lambda x, i: F.when((i == 0) | (x["label"] != F.get(e, i - 1)["label"]), x)), lambda x: x.isNotNull()), lambda x: x["into"])
+        into = F.transform(F.array(F.array_sort(F.concat(state["merged"], own))), both)[0]
+        rounds = F.when(F.size(state["merged"]) > 0, F.sequence(F.lit(0), F.ceil(F.log2(F.size(state["merged"]) + 1)).cast("int"))).otherwise(F.array().cast("array<int>"))
+        ends = F.aggregate(rounds, into, lambda p, _: F.transform(p, lambda i: F.get(p, i)))
+        return F.transform(F.array(ends), lambda p: F.transform(state["stacks"], lambda r: F.struct(r["top"].alias("top"), r["bottom"].alias("bottom"), r["x0"].alias("x0"), r["x1"].alias("x1"), F.get(p, r["label"]).alias("label"))))[0]
+
+    return F.aggregate(_blocks(rows), empty, add, settled)
+
+
 def labelled_runs(bitmaps: DataFrame) -> DataFrame:
-    """(bitmap, id, y, x0, x1, shape, lines, wide) of every run of bitmaps (id, rows).
+    """(bitmap, id, top, bottom, x0, x1, shape, lines, wide) of every run of bitmaps (id, rows).
 
-    ``bitmap`` numbers the rows of the table, so rows that share an id are bitmaps of their own; ``shape`` numbers a bitmap's
-    8-connected shapes from 0 by their first pixels, line by line; ``lines`` and ``wide`` are the bitmap's size.
-    Null rows and empty bitmaps have no runs.
+    A run that equal lines repeat is one row, from ``top`` to ``bottom``. ``bitmap`` numbers the rows of the table, so rows
+    that share an id are bitmaps of their own; ``shape`` numbers a bitmap's 8-connected shapes from 0 by their first pixels,
+    line by line; ``lines`` and ``wide`` are the bitmap's size. Null rows and empty bitmaps have no runs. A bitmap is labelled where
+    its row is, line after line; its runs are shuffled once.
     """
     numbered = bitmaps.select(F.monotonically_increasing_id().alias("bitmap"), "id", "rows").where(F.size("rows") > 0)
-    lines = numbered.select("bitmap", "id", F.size("rows").alias("lines"), F.length(F.get("rows", F.lit(0))).alias("wide"), F.posexplode("rows").alias("y", "line"))
-    cut = lines.select("bitmap", "id", "lines", "wide", "y", F.explode(_runs_of(F.col("line"))).alias("r"))
-    runs = kept(cut.select("bitmap", "id", "lines", "wide", "y", "r.x0", "r.x1", F.monotonically_increasing_id().alias("run")))
-    above = runs.select("bitmap", (F.col("y") + 1).alias("y"), F.col("x0").alias("a0"), F.col("x1").alias("a1"), F.col("run").alias("a"))
-    touching = runs.select("bitmap", "y", "x0", "x1", F.col("run").alias("b")).join(above, ["bitmap", "y"]).where("a0 <= x1 + 1 AND a1 >= x0 - 1")
-    roots = united(touching.select("a", "b")).withColumnRenamed("node", "run")
-    rows = runs.join(roots, "run", "left").withColumn("root", F.coalesce("root", "run"))
-    first = rows.groupBy("bitmap", "root").agg(F.min(F.struct("y", "x0")).alias("first"))
-    shape = (F.row_number().over(Window.partitionBy("bitmap").orderBy("first")) - 1).cast("long")
-    return rows.join(first.select("bitmap", "root", shape.alias("shape")), ["bitmap", "root"]).select("bitmap", "id", "y", "x0", "x1", "shape", "lines", "wide")
+    stacks = numbered.select("bitmap", "id", F.size("rows").alias("lines"), F.length(F.get("rows", F.lit(0))).alias("wide"), F.explode(_stacks(F.col("rows"))).alias("r"))
+    shape = (F.dense_rank().over(Window.partitionBy("bitmap").orderBy("label")) - 1).cast("long")
+    return stacks.select("bitmap", "id", "lines", "wide", "r.*").select("bitmap", "id", "top", "bottom", "x0", "x1", shape.alias("shape"), "lines", "wide")
 
 
 def _boxes(runs: DataFrame) -> DataFrame:
     """(bitmap, id, shape, pixels, left, right, top, bottom, lines, wide)."""
-    size = [F.sum(F.col("x1") - F.col("x0") + 1).cast("long").alias("pixels"), F.min("x0").alias("left"), F.max("x1").alias("right"), F.min("y").alias("top"), F.max("y").alias("bottom")]
+    pixels = (F.col("x1") - F.col("x0") + 1).cast("long") * (F.col("bottom") - F.col("top") + 1)
+    size = [F.sum(pixels).alias("pixels"), F.min("x0").alias("left"), F.max("x1").alias("right"), F.min("top").alias("top"), F.max("bottom").alias("bottom")]
     return runs.groupBy("bitmap", "id", "shape", "lines", "wide").agg(*size)
 
 
@@ -64,8 +110,9 @@ def components(bitmaps: DataFrame) -> DataFrame:
 
 def profiles(runs: DataFrame) -> DataFrame:
     """(bitmap, shape, widths): of each line of a shape, from its top, how far its first and last pixel lie apart."""
-    lines = runs.groupBy("bitmap", "shape", "y").agg((F.max("x1") - F.min("x0") + 1).alias("width"))
-    return lines.groupBy("bitmap", "shape").agg(F.transform(F.array_sort(F.collect_list(F.struct("y", "width"))), lambda p: p["width"]).alias("widths"))
+    blocks = runs.groupBy("bitmap", "shape", "top", "bottom").agg((F.max("x1") - F.min("x0") + 1).alias("width"))
+    ordered = F.array_sort(F.collect_list(F.struct("top", "bottom", "width")))
+    return blocks.groupBy("bitmap", "shape").agg(F.flatten(F.transform(ordered, lambda b: F.array_repeat(b["width"], b["bottom"] - b["top"] + 1))).alias("widths"))
 
 
 @dataclass(frozen=True)
