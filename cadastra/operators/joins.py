@@ -34,12 +34,51 @@ def either_key(left: DataFrame, right: DataFrame, id_left: str, id_right: str, k
     return found.distinct()
 
 
+def either_key_counts(left: DataFrame, right: DataFrame, id_left: str, id_right: str, keys: list[tuple[str, str]], *, apart: bool = False) -> DataFrame:
+    """(id_left, ``matches``, ``least``): of each id of ``left`` how many ids of ``right`` agree with it in one of two ``keys``, and the
+    least of them; ids that none agrees with are left out. ``apart``: an id's match with itself doesn't count.
+
+    No pairs are made, whose number grows with the square of a key's rows: an id matches as many as have the first key, and the
+    second, less those that have both. Ids may repeat: an id of ``right`` has all its rows' keys. Ids of ``left`` that have
+    several keys of a kind, which repeated ids alone can have, meet their partners in pairs. Null keys match nothing, null ids are no rows.
+    """
+    (a, b), (c, d) = keys
+    both = right.where(F.col(id_right).isNotNull()).groupBy(F.col(id_right).alias("_r")).agg(F.collect_set(b).alias("_b"), F.collect_set(d).alias("_d"))
+    first, second = both.select("_r", F.explode("_b").alias("_x")), both.select("_r", F.explode("_d").alias("_y"))
+    crossed = both.select("_r", F.explode("_b").alias("_x"), "_d").select("_x", F.explode("_d").alias("_y"))
+
+    def summed(rows: DataFrame, key: str) -> DataFrame:
+        groups = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.min("_r").alias("one"))
+        if apart:  # the least but for the first, for the row that is the first itself
+            others = rows.join(groups.select(key, "one"), key).where("_r > one").groupBy(key).agg(F.min("_r").alias("two"))
+            groups = groups.join(others, key, "left")
+        return groups.select(key, *(F.col(x).alias(f"{x}{key}") for x in ("n", "one", *(["two"] if apart else []))))
+
+    ids = left.where(F.col(id_left).isNotNull()).groupBy(F.col(id_left).alias("_l")).agg(F.collect_set(a).alias("_a"), F.collect_set(c).alias("_c"))
+    plain = (F.size("_a") < 2) & (F.size("_c") < 2)
+    rows = ids.where(plain).select("_l", F.get("_a", F.lit(0)).alias("_x"), F.get("_c", F.lit(0)).alias("_y"))
+    rows = rows.join(summed(first, "_x"), "_x", "left").join(summed(second, "_y"), "_y", "left")
+    rows = rows.join(crossed.groupBy("_x", "_y").agg(F.count(F.lit(1)).alias("_both")), ["_x", "_y"], "left")
+    number = lambda n: F.coalesce(n, F.lit(0))
+    matches, least = number("n_x") + number("n_y") - number("_both"), F.least("one_x", "one_y")
+    if apart:
+        rows = rows.join(both.withColumnRenamed("_r", "_own"), F.col("_own") == F.col("_l"), "left")
+        own = F.coalesce(F.array_contains("_b", F.col("_x")), F.lit(False)) | F.coalesce(F.array_contains("_d", F.col("_y")), F.lit(False))
+        other = lambda k: F.when(F.col(f"one{k}") == F.col("_l"), F.col(f"two{k}")).otherwise(F.col(f"one{k}"))
+        matches, least = matches - own.cast("long"), F.least(other("_x"), other("_y"))
+    counted = rows.select(F.col("_l").alias(id_left), matches.alias("matches"), least.alias("least")).where("matches > 0")
+
+    several = ids.where(~plain)
+    sides = [several.select("_l", F.explode(x).alias("_k")).join(f.withColumnRenamed(k, "_k"), "_k").select("_l", "_r") for x, f, k in (("_a", first, "_x"), ("_c", second, "_y"))]
+    pairs = sides[0].unionByName(sides[1]).where(F.col("_l") != F.col("_r") if apart else F.lit(True)).distinct()
+    return counted.unionByName(pairs.groupBy(F.col("_l").alias(id_left)).agg(F.count(F.lit(1)).alias("matches"), F.min("_r").alias("least")))
+
+
 def match_counts(left: DataFrame, right: DataFrame, id_left: str, id_right: str, keys: list[tuple[str, str]]) -> DataFrame:
     """id_left, ``matches`` and ``match`` (the one partner, null if there are none or several)."""
-    pairs = either_key(left, right, id_left, id_right, keys)
-    counted = pairs.groupBy(id_left).agg(F.count(F.lit(1)).alias("matches"), F.min(id_right).alias("match"))
+    counted = either_key_counts(left, right, id_left, id_right, keys)
     joined = left.select(id_left).join(counted, id_left, "left")
-    return joined.select(id_left, F.coalesce("matches", F.lit(0)).alias("matches"), F.when(F.col("matches") == 1, F.col("match")).alias("match"))
+    return joined.select(id_left, F.coalesce("matches", F.lit(0)).alias("matches"), F.when(F.col("matches") == 1, F.col("least")).alias("match"))
 
 
 def exactly_one(left: DataFrame, right: DataFrame, id_left: str, id_right: str, keys: list[tuple[str, str]], what: str) -> DataFrame:

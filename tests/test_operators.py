@@ -229,3 +229,26 @@ def test_schemas(spark):
     assert schema.edges_of(names) == [("list", "name")]
     frame = spark.createDataFrame([(n,) for n in (1, 48, 49, 50)], "n int")
     assert [r[0] for r in frame.select(schema.article_of(F.col("n"))).collect()] == ["5", "52", "52 bis", "52 bis 1"]
+
+
+@pytest.mark.parametrize("apart", [True, False])
+def test_either_key_counts_against_all_pairs(spark, apart):
+    rng = random.Random(9)
+    rows = lambda n: [(rng.randrange(60) if rng.random() < 0.3 else 100 + i, rng.choice([None, "p", "q", "r"]), rng.choice([None, 1, 2, 3, 4])) for i in range(n)]
+    left, right = rows(60), rows(60)
+    right += left[:20]
+    pairs = {(i, j) for i, a, c in left for j, b, d in right if (a is not None and a == b) or (c is not None and c == d)}
+    wanted = {}
+    for i, j in pairs:
+        if not (apart and i == j):
+            wanted.setdefault(i, set()).add(j)
+    frame = lambda r, name: spark.createDataFrame(r, f"{name} long, fr string, ar int")
+    out = joins.either_key_counts(frame(left, "a_id"), frame(right, "b_id"), "a_id", "b_id", [("fr", "fr"), ("ar", "ar")], apart=apart).collect()
+    assert len(out) == len(wanted) and {r.a_id: (r.matches, r.least) for r in out} == {i: (len(v), min(v)) for i, v in wanted.items()}
+
+
+def test_large_groups_make_no_pairs(spark):
+    """30,000 rows of one key have 900 million pairs."""
+    side = lambda name: spark.range(30_000).select(F.col("id").alias(name), F.lit("k").alias("fr"), (F.col("id") % 2).alias("ar"))
+    out = joins.either_key_counts(side("a_id"), side("b_id"), "a_id", "b_id", [("fr", "fr"), ("ar", "ar")], apart=True)
+    assert [tuple(r) for r in out.groupBy("matches", "least").count().orderBy("least").collect()] == [(29_999, 0, 29_999), (29_999, 1, 1)]
