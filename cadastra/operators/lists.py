@@ -53,13 +53,14 @@ def latin_lists(lines: DataFrame, by: list[str], *, printed: Printed = LATIN, no
     joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", "text"))), lambda r: F.trim(r["text"])), " ")
     texts = shown.groupBy(*by).agg(F.regexp_replace(joined, r"\s+", " ").alias("whole"))
     heads = F.regexp_extract_all("whole", F.lit(printed.header), F.lit(0))
-    pieces = texts.withColumn("heads", heads).where(F.size("heads") > 0).select(*by, "heads", F.posexplode(F.split("whole", printed.header)).alias("list", "piece"))
-    # piece k lies ahead of header k, piece 0 ahead of all
+    # piece k lies ahead of header k, piece 0 ahead of all; each has the header before it alone, as a text has as many of both
+    cut = lambda found: F.transform(F.split("whole", printed.header), lambda piece, k: F.struct(F.get(found, k - 1).alias("head"), piece.alias("piece")))
+    pieces = texts.withColumn("heads", heads).where(F.size("heads") > 0).select(*by, F.posexplode(F.transform(F.array("heads"), cut)[0]).alias("list", "cut")).select(*by, "list", "cut.head", "cut.piece")
     named = F.regexp_extract_all("piece", F.lit(printed.amending), F.lit(1))
     pieces = pieces.withColumn("wrote", F.when(F.size(named) > 0, F.element_at(named, -1)))
     order = Window.partitionBy(*by).orderBy("list")
     pieces = pieces.withColumn("via", F.last("wrote", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, -1))).where("list > 0")
-    head = F.get("heads", F.col("list") - 1)
+    head = F.col("head")
     body = F.get(F.split("piece", printed.amending), F.lit(0))
     rows = pieces.select(
         *by, (F.col("list") - 1).alias("list"), article_key(F.replace(F.regexp_extract(head, printed.header, 1), F.lit("."), F.lit(" "))).alias("article"),

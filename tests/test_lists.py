@@ -104,3 +104,12 @@ def test_small_texts(spark):
     frame = spark.createDataFrame([("12 أدرار-Adrar (x) تامست",), ("A, B ; C et D",), (None,)], "s string")
     assert [r[0] for r in frame.select(T.arabic_only(F.col("s"))).collect()][0] == "أدرار تامست"
     assert [r[0] for r in frame.select(T.split_list(F.col("s"))).collect()][1] == ["A", "B", "C", "D"]
+
+
+def test_a_piece_has_its_own_header_alone(spark):
+    """All headers of a text beside each of its pieces grew with the square of the text."""
+    lines = spark.createDataFrame([("d", i, f"Art. {i + 1}. — Les quelques ({i % 3 + 1}) communes suivantes constituent une wilaya : 1. name ;") for i in range(40)], "doc string, place int, text string")
+    heads, items = lists.latin_lists(lines, ["doc"])
+    assert [(r.list, r.article, r.announced) for r in heads.orderBy("list").collect()] == [(i, str(i + 1), i % 3 + 1) for i in range(40)]
+    above = heads._jdf.queryExecution().optimizedPlan().toString().split("Generate posexplode")[0]
+    assert "heads#" not in above and items.count() == 40
