@@ -74,11 +74,16 @@ def either_key_counts(left: DataFrame, right: DataFrame, id_left: str, id_right:
     return counted.unionByName(pairs.groupBy(F.col("_l").alias(id_left)).agg(F.count(F.lit(1)).alias("matches"), F.min("_r").alias("least")))
 
 
-def match_counts(left: DataFrame, right: DataFrame, id_left: str, id_right: str, keys: list[tuple[str, str]]) -> DataFrame:
-    """id_left, ``matches`` and ``match`` (the one partner, null if there are none or several)."""
-    counted = either_key_counts(left, right, id_left, id_right, keys)
+def match_counts(left: DataFrame, right: DataFrame, id_left: str, id_right: str, keys: list[tuple[str, str]], *, grouped: bool = False) -> DataFrame:
+    """id_left, ``matches`` and ``match`` (the one partner, null if there are none or several). ``grouped``: by ``either_key_counts``, for
+    keys that many rows may share; where nearly all rows have keys of their own, pairs take fewer shuffles."""
+    if grouped:
+        counted = either_key_counts(left, right, id_left, id_right, keys).withColumnRenamed("least", "match")
+    else:
+        pairs = either_key(left, right, id_left, id_right, keys)
+        counted = pairs.groupBy(id_left).agg(F.count(F.lit(1)).alias("matches"), F.min(id_right).alias("match"))
     joined = left.select(id_left).join(counted, id_left, "left")
-    return joined.select(id_left, F.coalesce("matches", F.lit(0)).alias("matches"), F.when(F.col("matches") == 1, F.col("least")).alias("match"))
+    return joined.select(id_left, F.coalesce("matches", F.lit(0)).alias("matches"), F.when(F.col("matches") == 1, F.col("match")).alias("match"))
 
 
 def exactly_one(left: DataFrame, right: DataFrame, id_left: str, id_right: str, keys: list[tuple[str, str]], what: str) -> DataFrame:
