@@ -22,7 +22,8 @@ SMOOTHING = 8.0
 FOLDS, KEPT_BACK = 4, 0
 #: The threshold lies so many times the distance from the median to the lower decile below the median.
 DECILES_BELOW = 6.0
-#: With fewer kept-back texts a language has no threshold, and the ratio rejects none of its texts.
+#: A language with fewer kept-back texts takes the threshold of all languages' kept-back texts together. If these are fewer
+#: as well, it has none, and the ratio rejects none of its texts.
 LEAST_TEXTS = 20
 #: Scores are told apart down to a thousandth of a nat.
 BIN = 1000
@@ -133,23 +134,30 @@ def scored(docs: DataFrame, table: DataFrame, *, id_col: str = "doc_id", lang_co
 
 
 def thresholds(rows: DataFrame, trusted: DataFrame, *, id_col: str = "doc_id") -> DataFrame:
-    """(lang, least) from the kept-back trusted texts among ``rows`` of ``scored``; languages with too few have no row.
+    """(lang, least) from the kept-back trusted texts among ``rows`` of ``scored``.
 
     The median and the lower decile of binned scores are exact and set the least score: ``DECILES_BELOW`` times their
-    distance, at least a bin, below the median, so that a few odd trusted texts can't move it.
+    distance, at least a bin, below the median, so that a few odd trusted texts can't move it. A language with fewer than
+    ``LEAST_TEXTS`` of them, but with trusted texts that were counted, is judged by those of all such languages together, as scores
+    are normalised by language. A language without counted texts has no weights of its own: others say nothing of it.
     """
     known = trusted.select(F.col(id_col).alias("id")).where("id IS NOT NULL").distinct()
-    mine = rows.where((_fold(F.col("id")) == KEPT_BACK) & F.col("score").isNotNull()).select("id", "lang", F.floor(F.col("score") * BIN).alias("bin"))
-    found = mine.join(known, "id", "left_semi").groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.percentile("bin", F.array(F.lit(0.5), F.lit(0.1))).alias("q"))
-    middle, low = F.col("q")[0], F.col("q")[1]
-    return found.where(F.col("n") >= LEAST_TEXTS).select("lang", ((middle - DECILES_BELOW * F.greatest(middle - low, F.lit(1.0))) / BIN).alias("least"))
+    mine = rows.where("score IS NOT NULL").select("id", "lang", F.floor(F.col("score") * BIN).alias("bin"), (_fold(F.col("id")) == KEPT_BACK).alias("back"))
+    bins = checkpoint(mine.join(known, "id", "left_semi").groupBy("lang", "bin").agg(F.count_if("back").alias("n"), F.count_if(~F.col("back")).alias("counted")))
+    spread = lambda name: F.percentile("bin", F.array(F.lit(0.5), F.lit(0.1)), F.col("n")).alias(name)
+    own = bins.groupBy("lang").agg(F.sum("n").alias("n"), F.sum("counted").alias("counted"), spread("q"))
+    every = bins.join(own.where("counted > 0").select("lang"), "lang", "left_semi").agg(F.sum("n").alias("n"), spread("q"))
+    apart = F.greatest(F.col("q")[0] - F.col("q")[1], F.lit(1.0))
+    least = F.when(F.col("n") >= LEAST_TEXTS, (F.col("q")[0] - DECILES_BELOW * apart) / BIN)
+    together = every.select(least).scalar()
+    return own.select("lang", F.coalesce(least, F.when(F.col("counted") > 0, together)).alias("least")).where("least IS NOT NULL")
 
 
 def judged(docs: DataFrame, trusted: DataFrame, *, id_col: str = "doc_id", lang_col: str = "lang", text_col: str = "text") -> DataFrame:
     """(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, score, least), a row for each row of ``docs``.
 
     ``base_failed``: fewer than 20 words, or over 30 % of the words in repeated windows of eight. ``kept``: the base has not
-    failed and the score is not below the least of its language (null: ''). A null or empty text has no words and fails
+    failed and the score is not below the least of its language (null: '') by ``thresholds``. A null or empty text has no words and fails
     the base. Rows that repeat an id are judged each by their text; a null id is never trusted. Without trusted texts
     only the base decides. An empty table gives no rows; further columns of ``docs`` and ``trusted`` are not looked at.
     """

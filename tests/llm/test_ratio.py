@@ -155,3 +155,52 @@ def test_the_query(spark):
     docs = [(r.doc_id, r.lang, r.text) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
     trusted = {r.doc_id for r in spark.read.parquet(f"{folder}/labels.parquet").where("quality = 1").collect()}
     same(rows_of(queries.op12_ratio(spark, folder)), plain_judged(docs, trusted))
+
+
+def plain_least(rows, trusted):
+    """{lang: least} of (id, lang, score): by a language's own kept-back texts, or else by those of all languages with counted ones."""
+    fold = lambda i: zlib.crc32(str(i).encode()) % 4
+    rows = [r for r in rows if r[0] in trusted and r[2] is not None]
+    counted = {lang for i, lang, _ in rows if fold(i)}
+    back = [(lang, math.floor(s * 1000)) for i, lang, s in rows if not fold(i)]
+    least = {}
+    for lang in {r[1] for r in rows}:
+        bins = [b for of, b in back if of == lang]
+        if len(bins) < ratio.LEAST_TEXTS:
+            bins = [b for of, b in back if of in counted] if lang in counted else []
+        if len(bins) >= ratio.LEAST_TEXTS:
+            middle, low = np.quantile(bins, [0.5, 0.1])
+            least[lang] = (middle - ratio.DECILES_BELOW * max(1, middle - low)) / 1000
+    return least
+
+
+def test_thresholds_of_languages_with_few_texts(spark):
+    rng = random.Random(11)
+    kept_back, counted = [[i for i in range(4000) if (zlib.crc32(str(i).encode()) % 4 == 0) == k] for k in (True, False)]
+
+    def held(langs, wanted):
+        rows = [(i, lang, None if rng.random() < 0.1 else rng.gauss(0.01, 0.03)) for lang, b, c in langs for i in rng.sample(kept_back, b) + rng.sample(counted, c)]
+        trusted = {r[0] for r in rows}
+        rows += [(5000 + i, "none", -0.5) for i in range(30)]
+        frame = spark.createDataFrame(rows, "id long, lang string, score double")
+        known = spark.createDataFrame([(i,) for i in trusted], "doc_id long")
+        found = {r.lang: r.least for r in ratio.thresholds(frame, known).collect()}
+        assert set(found) == wanted
+        plain = plain_least(rows, trusted)
+        assert set(found) == set(plain) and all(abs(found[k] - plain[k]) < 1e-9 for k in plain)
+
+    held([("many", 60, 90), ("few", 9, 20), ("one", 1, 2), ("no", 0, 15), ("uncounted", 9, 0), ("alone", 60, 0)], {"many", "few", "one", "no", "alone"})
+    held([("a", 12, 30), ("b", 14, 30), ("c", 11, 1)], {"a", "b", "c"})
+    held([("a", 5, 30), ("b", 4, 30)], set())
+
+
+def test_few_texts_of_a_language_are_judged(spark):
+    docs = corpus(random.Random(5))
+    few = [(1000 + i, "de", " ".join(f"Q{j % 31}!!" for j in range(i, i + 25)) if junk else text, junk) for i, (_, _, text, junk) in enumerate(docs[:60])]
+    trusted = [i for i, _, _, junk in docs + few if not junk and i % 3]
+    back = sum(i >= 1000 and zlib.crc32(str(i).encode()) % 4 == 0 for i in trusted)
+    assert 0 < back < ratio.LEAST_TEXTS
+    frame = spark.createDataFrame([d[:3] for d in docs + few], "doc_id long, lang string, text string")
+    found = {r.doc_id: r for r in ratio.judged(frame, spark.createDataFrame([(i,) for i in trusted], "doc_id long")).collect()}
+    assert not any(found[i].kept for i, _, _, junk in few if junk)
+    assert all(found[i].kept for i in trusted if not found[i].base_failed)
