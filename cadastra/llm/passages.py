@@ -228,9 +228,10 @@ def _aligned(a: np.ndarray, b: np.ndarray, at: np.ndarray, place: np.ndarray, le
     """``shared_passages`` where the tokens of ``b`` at ``at`` are those of ``a`` at ``place``."""
     diagonal = place - at
     if len(at) > 2:  # a token by itself on a far diagonal is no part of what is around it
-        jump = np.abs(np.diff(diagonal)) > GAP
-        stray = np.append(jump, True) & np.insert(jump, 0, True)
-        at, place = at[~stray], place[~stray]
+        jump = np.ones(len(at) + 1, bool)
+        jump[1:-1] = np.abs(diagonal[1:] - diagonal[:-1]) > GAP
+        near = ~(jump[1:] & jump[:-1])
+        at, place = at[near], place[near]
     cut = np.flatnonzero(np.diff(place) < 0) + 1
     out: list[tuple[int, int, int, int]] = []
     parts = list(zip([0, *cut.tolist()], [*cut.tolist(), len(at)]))
@@ -318,11 +319,21 @@ def _widened(begin: int, end: int, least: int, size: int) -> tuple[int, int]:
 
 
 def _alike(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
-    a, b = np.unique(a), np.unique(b)
-    common = len(np.intersect1d(a, b, assume_unique=True))
+    a, b = _distinct(a), _distinct(b)
+    both = np.concatenate([a, b])
+    both.sort()
+    common = np.count_nonzero(both[1:] == both[:-1])
     return 100 * common >= percent * (len(a) + len(b) - common)
 
 
+def _distinct(tokens: np.ndarray) -> np.ndarray:
+    """The distinct tokens of a stretch, sorted: for a few hundred, ``np.unique`` takes longer."""
+    ordered = np.sort(tokens)
+    new = np.ones(len(ordered), bool)
+    np.not_equal(ordered[1:], ordered[:-1], out=new[1:])
+    return ordered[new]
+
+
 _SPAN = pa.schema([("hub", pa.int64()), ("id", pa.int64()), ("text_hash", pa.int64()), ("begin", pa.int64()), ("end", pa.int64()), ("first", pa.bool_())])
 
 
@@ -568,14 +579,28 @@ def _folded(tokens: np.ndarray) -> np.ndarray:
     return np.maximum((tokens ^ (tokens >> np.uint64(32))).astype(np.uint32), 1)
 
 
-def _fewest(contexts: np.ndarray, least: int) -> np.ndarray:
-    """Of each row: the least number of distinct tokens in ``least`` tokens in a row that lie in the text."""
+def _repeating(contexts: np.ndarray) -> np.ndarray:
+    """The rows that have a token twice."""
     ordered = np.sort(contexts, axis=1)
-    simple = ~((ordered[:, 1:] == ordered[:, :-1]) & (ordered[:, 1:] != 0)).any(axis=1)
+    return np.flatnonzero(((ordered[:, 1:] == ordered[:, :-1]) & (ordered[:, 1:] != 0)).any(axis=1))
+
+
+def _fewest(contexts: np.ndarray, least: int, some: np.ndarray) -> np.ndarray:
+    """Of each row: the least number of distinct tokens in ``least`` tokens in a row that lie in the text. ``some`` are
+    the rows that have a token twice; they are counted all at once, as templates make many of them."""
     out = np.full(len(contexts), least, np.int32)
-    for i in np.flatnonzero(~simple):
-        row = contexts[i][contexts[i] != 0]
-        out[i] = min((len(np.unique(row[k : k + least])) for k in range(len(row) - least + 1)), default=len(np.unique(row)))
+    for low in range(0, len(some), 1 << 11):
+        of = some[low : low + (1 << 11)]
+        tokens = contexts[of]
+        order = np.argsort(tokens, 1, kind="stable")
+        own = np.take_along_axis(tokens, order, 1)
+        before = np.full(tokens.shape, -1)  # the place of the same token ahead of each, which is new to a stretch that begins after it
+        np.put_along_axis(before, order[:, 1:], np.where(own[:, 1:] == own[:, :-1], order[:, :-1], -1), 1)
+        fewest = np.full(len(of), least + 1)
+        for k in range(tokens.shape[1] - least + 1):
+            within = (tokens[:, k] != 0) & (tokens[:, k + least - 1] != 0)
+            fewest = np.where(within, np.minimum(fewest, (before[:, k : k + least] < k).sum(1)), fewest)
+        out[of] = np.where(fewest > least, ((before < 0) & (tokens != 0)).sum(1), fewest)
     return out
 
 
@@ -614,7 +639,7 @@ def _contexts(n: int, least: int):
                 continue
             rows, contexts = np.concatenate(some), np.concatenate(tokens_)
             ids = np.repeat(batch.column(0).to_numpy(), np.diff(bounds))[rows - bounds[0]]
-            columns = [fields["sub"][rows], ids, np.concatenate(print_), np.concatenate(first).astype(np.int32), *(fields[f][rows] for f in ("known", "root", "parts")), _fewest(contexts, least)]
+            columns = [fields["sub"][rows], ids, np.concatenate(print_), np.concatenate(first).astype(np.int32), *(fields[f][rows] for f in ("known", "root", "parts")), _fewest(contexts, least, _repeating(contexts))]
             for low in range(0, len(rows), 8192):
                 part = contexts[low : low + 8192]
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(0, part.size + 1, width, dtype=np.int32)), pa.array(part.reshape(-1).view(np.int32)))
@@ -710,10 +735,13 @@ class _Contexts:
         self.base = np.cumsum(sizes) - sizes
         self.has = np.zeros(int(sizes.sum()), bool)
         self.has[(self.base[:, None] + self.codes)[contexts != 0]] = True
-        self.fewest = _fewest(contexts, least)
-        order = np.argsort(self.codes, 1, kind="stable")
+        some = _repeating(contexts)
+        self.fewest = _fewest(contexts, least, some)
         self.first = np.ones(contexts.shape, bool)  # of equal tokens of a member, one counts
-        np.put_along_axis(self.first, order[:, 1:], np.diff(np.take_along_axis(self.codes, order, 1), axis=1) != 0, 1)
+        codes, of = self.codes[some], np.ones((len(some), self.width), bool)
+        order = np.argsort(codes, 1, kind="stable")
+        np.put_along_axis(of, order[:, 1:], np.diff(np.take_along_axis(codes, order, 1), axis=1) != 0, 1)
+        self.first[some] = of
         self.starts, self.ends = np.array([(i, j) for i in range(self.width + 1) for j in range(i + least, self.width + 1)]).T
         self.enough = -(-2 * percent * (self.ends - self.starts) // (100 + percent))
 

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import cProfile
+import pstats
 import random
 
 import numpy as np
@@ -49,6 +51,26 @@ def test_shared_passages():
     assert passages.shared_passages(np.array(a, np.uint64), np.array(short, np.uint64), 46, 80) == []
 
 
+def test_members_with_repeated_tokens_are_counted_together():
+    rng = np.random.default_rng(3)
+    least, width = 8, 12
+
+    def counted(n):
+        contexts = rng.integers(1, 9, (n, width)).astype(np.uint32)
+        for row in contexts:  # a few lie at an end of their text
+            row[: rng.integers(0, 3) * 3] = 0
+        profile = cProfile.Profile()
+        found = profile.runcall(passages._Contexts, contexts, np.zeros(n, np.int64), 1, least, 80)
+        for row, fewest, first in zip(contexts, found.fewest, found.first):
+            own = row[row != 0].tolist()
+            least_sets = min((len(set(own[k : k + least])) for k in range(len(own) - least + 1)), default=len(set(own)))
+            assert fewest == (least if len(set(own)) == len(own) else least_sets)
+            assert first[row != 0].tolist() == [x not in own[:k] for k, x in enumerate(own)]
+        return pstats.Stats(profile).total_calls
+
+    assert counted(400) < counted(50) + 50  # no call for each member
+
+
 def corpus():
     rng = random.Random(9)
     word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(5))
