@@ -31,32 +31,42 @@ BIN = 1000
 MOST_BROADCAST_IDS = 2_000_000
 
 _SPACE = " \t\n\x0b\x0c\r"
-_SYMBOLS = "#*$%&|<>"
+_IN_WORDS = "[^ \\t-\\r]"
+_SYMBOL = "[#*$%&|<>]"
 
 
 def words_of(text: Column) -> Column:
     """The runs of characters other than space and \\t to \\r; none for an empty text."""
-    inner = F.btrim(text, F.lit(_SPACE))
-    return F.when(inner == "", F.array().cast("array<string>")).otherwise(F.split(inner, "[ \\t-\\r]+"))
+    for other in _SPACE[1:]:
+        text = F.replace(text, F.lit(other), F.lit(" "))
+    return F.array_remove(F.split(text, " "), "")
 
 
-def _pairs(hashes: Column, apart: int) -> Column:
+def _pairs(values: Column, apart: int) -> Column:
     """Of each element that has another ``apart`` places on: a hash of the two, in order."""
-    n = F.size(hashes) - apart
-    return F.when(n > 0, F.transform(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), lambda i: F.xxhash64(F.get(hashes, i), F.get(hashes, i + apart)))).otherwise(F.array().cast("array<bigint>"))
+    n = F.greatest(F.size(values) - apart, F.lit(0))
+    return F.zip_with(F.slice(values, F.lit(1), n), F.slice(values, F.lit(1 + apart), n), lambda a, b: F.xxhash64(a, b))
 
 
-def _hashed(docs: DataFrame, id_col: str, lang_col: str, text_col: str, *more: Column) -> DataFrame:
-    """(id, lang, text, words, one, two): hashes of words and of word pairs."""
+def _texts(docs: DataFrame, id_col: str, lang_col: str, text_col: str, *more: Column) -> DataFrame:
+    """(id, lang, text, words), and what ``more`` names."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias("lang"), text.alias("text"), *more)
-    rows = rows.withColumn("words", words_of(F.col("text")))
-    rows = rows.withColumn("one", F.transform("words", lambda w: F.xxhash64(w)))
-    return rows.withColumn("two", _pairs(F.col("one"), 1))
+    return rows.withColumn("words", words_of(F.col("text")))
 
 
-def _bucket() -> Column:
-    return F.pmod(F.xxhash64("lang", "gram"), F.lit(BUCKETS)).cast("long")
+def _grams(rows: DataFrame, *keep: str) -> DataFrame:
+    """(keep, bucket): two rows for each word, its cell and that of it and the next word, null for the last; without words nulls only.
+
+    Words are hashed as rows beside their next ones, which Spark compiles; a lambda over an array it interprets for each element.
+    """
+    beside = F.arrays_zip(F.col("words").alias("word"), F.slice("words", F.lit(2), F.size("words")).alias("next"))
+    rows = rows.select(*keep, F.explode_outer(beside).alias("w"))
+    rows = rows.select(*keep, F.when(F.col("w.word").isNotNull(), F.xxhash64("w.word")).alias("one"), F.when(F.col("w.next").isNotNull(), F.xxhash64("w.next")).alias("next"))
+    cell = lambda gram: F.pmod(F.xxhash64("lang", gram), F.lit(BUCKETS)).cast("long")
+    one = F.when(F.col("one").isNotNull(), cell("one"))
+    two = F.when(F.col("next").isNotNull(), cell(F.xxhash64("one", "next")))
+    return rows.select(*keep, F.explode(F.array(one, two)).alias("bucket"))
 
 
 def _fold(id_: Column) -> Column:
@@ -74,9 +84,9 @@ def weights(docs: DataFrame, trusted: DataFrame, *, id_col: str = "doc_id", lang
     if known.count() <= MOST_BROADCAST_IDS:
         known = F.broadcast(known)
     marked = docs.select(id_col, lang_col, text_col).join(known.withColumnRenamed("id", id_col), id_col, "left")
-    rows = _hashed(marked, id_col, lang_col, text_col, F.coalesce("trusted", F.lit(0)).alias("trusted"))
-    grams = rows.select("lang", "trusted", F.explode(F.concat("one", "two")).alias("gram"))
-    counts = grams.select("lang", "trusted", _bucket().alias("bucket")).groupBy("lang", "bucket").agg(F.count(F.lit(1)).alias("raw"), F.sum("trusted").alias("target"))
+    rows = _texts(marked, id_col, lang_col, text_col, F.coalesce("trusted", F.lit(0)).alias("trusted"))
+    grams = _grams(rows, "lang", "trusted").where("bucket IS NOT NULL")
+    counts = grams.groupBy("lang", "bucket").agg(F.count(F.lit(1)).alias("raw"), F.sum("trusted").alias("target"))
     counts = checkpoint(counts)
     totals = counts.groupBy("lang").agg((F.sum("target") / F.sum("raw")).alias("share"))
     scaled = counts.join(totals, "lang").where("share > 0")
@@ -91,9 +101,9 @@ def _measures() -> list[Column]:
     """The counts that the rules judge, over ``text``, ``words`` and ``eight``, the hashes of eight words in a row."""
     text, words = F.col("text"), F.col("words")
     n = lambda c: c.cast("long")
-    chars = F.length(F.translate(text, _SPACE, ""))
-    symbols = F.length(text) - F.length(F.translate(text, _SYMBOLS, ""))
-    lines = F.filter(F.split(text, "\n"), lambda x: F.translate(x, _SPACE, "") != "")
+    chars = F.length(F.array_join(words, ""))
+    symbols = F.regexp_count(text, F.lit(_SYMBOL))
+    lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(_IN_WORDS))
     repeats = F.transform(F.array(lines), lambda x: F.size(x) - F.size(F.array_distinct(x)))[0]
     return [n(F.size(words)).alias("n_words"), n(chars).alias("word_chars"), n(symbols).alias("n_symbols"), n(repeats).alias("n_dup_lines"), n(_repeated_words()).alias("n_repeat_words")]
 
@@ -101,8 +111,9 @@ def _measures() -> list[Column]:
 def _repeated_words() -> Column:
     """Words that lie in a window of eight words which the text has twice or more.
 
-    Most texts have none, which distinct hashes tell. In the others windows are sorted by hash; one is repeated if a
-    neighbour has its hash. Their places in order, the words each adds to those before are counted.
+    Most texts have none, which distinct hashes of their fours or eights tell (``eight`` is null where all fours differ).
+    In the others windows are sorted by hash; one is repeated if a neighbour has its hash. Their places in order, the
+    words each adds to those before are counted.
     """
     eight = F.col("eight")
     placed = F.array_sort(F.transform(eight, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
@@ -115,7 +126,7 @@ def _repeated_words() -> Column:
     start = F.struct(F.lit(0).alias("words"), F.lit(0).alias("end"))
     add = lambda acc, i: F.struct((acc["words"] + i + 8 - F.greatest(acc["end"], i)).alias("words"), (i + 8).alias("end"))
     covered = F.transform(F.array(placed), lambda s: F.aggregate(places(s), start, add)["words"])[0]
-    return F.when(F.size(eight) == F.size(F.array_distinct(eight)), 0).otherwise(covered)
+    return F.when(eight.isNull() | (F.size(eight) == F.size(F.array_distinct(eight))), 0).otherwise(covered)
 
 
 def scored(docs: DataFrame, table: DataFrame, *, id_col: str = "doc_id", lang_col: str = "lang", text_col: str = "text") -> DataFrame:
@@ -124,12 +135,12 @@ def scored(docs: DataFrame, table: DataFrame, *, id_col: str = "doc_id", lang_co
     ``table`` is that of ``weights``, bounded by ``BUCKETS`` rows, and is broadcast. Each text is read once: its n-grams
     are looked up and summed in the task that reads it, and one row for a text is shuffled.
     """
-    rows = _hashed(docs, id_col, lang_col, text_col).withColumn("four", _pairs(F.col("two"), 2)).withColumn("eight", _pairs(F.col("four"), 4))
-    rows = rows.select(F.monotonically_increasing_id().alias("at"), "id", "lang", *_measures(), F.concat("one", "two").alias("grams"))
+    rows = _texts(docs, id_col, lang_col, text_col).withColumn("two", _pairs(F.col("words"), 1)).withColumn("four", _pairs(F.col("two"), 2))
+    rows = rows.withColumn("eight", F.when(F.size("four") > F.size(F.array_distinct("four")), _pairs(F.col("four"), 4)))
+    rows = rows.select(F.monotonically_increasing_id().alias("at"), "id", "lang", *_measures(), "words")
     every = ["at", "id", "lang", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    grams = rows.select(*every, F.explode_outer("grams").alias("gram")).withColumn("bucket", F.when(F.col("gram").isNotNull(), _bucket()))
-    met = grams.join(F.broadcast(table), "bucket", "left")
-    summed = met.groupBy(*every).agg(F.sum(F.coalesce("weight", F.lit(0))).alias("total"), F.count("gram").alias("grams"))
+    met = _grams(rows, *every).join(F.broadcast(table), "bucket", "left")
+    summed = met.groupBy(*every).agg(F.sum(F.coalesce("weight", F.lit(0))).alias("total"), F.count("bucket").alias("grams"))
     return summed.select(*every[1:], (F.col("total") / F.when(F.col("grams") > 0, F.col("grams")) / 1_000_000).alias("score"))
 
 

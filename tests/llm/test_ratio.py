@@ -150,6 +150,33 @@ def test_empty_and_native(spark):
     assert "Python" not in plan and "Arrow" not in plan and "SortAggregate" not in plan
 
 
+def test_no_lambda_hashes_grams(spark):
+    """A lambda is interpreted for each element, and translate makes a string of each character: most of what the operator took."""
+    frame = spark.createDataFrame([(1, "en", "b c")], "doc_id long, lang string, text string")
+    rows = ratio.scored(frame, spark.createDataFrame([(1, 1)], "bucket long, weight long"))
+    assert "translate(" not in rows._jdf.queryExecution().optimizedPlan().toString()
+    grams = ratio._grams(ratio._texts(frame, "doc_id", "lang", "text"), "id", "lang")
+    plan = grams._jdf.queryExecution().optimizedPlan().toString()
+    assert "explode" in plan and "xxhash64" in plan and "lambda" not in plan
+
+
+def test_spaces_and_short_repeats(spark):
+    rng = random.Random(21)
+    gaps = [" ", "\t", "\n", "\x0b", "\x0c", "\r", "  ", "\r\n", " \n\n "]
+    # some of four to seven words twice, which no window of eight is, and some of eight and nine
+    texts = []
+    for n in [1, 2, 3, 4, 5, 6, 7, 8, 9] * 4:
+        some = [rng.choice(["é", "$x", "\x1c", "\u2003y", "😀", "a|b"]) + str(i) for i in range(n)]
+        words = [f"u{i}" for i in range(rng.randrange(3))] + some + [f"v{i}" for i in range(rng.randrange(1, 9))] + some + ["w"] * rng.randrange(2)
+        texts.append(rng.choice(["", *gaps]) + "".join(w + rng.choice(gaps) for w in words))
+    frame = spark.createDataFrame([(i, "en", t) for i, t in enumerate(texts)], "doc_id long, lang string, text string")
+    found = {r.doc_id: r for r in ratio.judged(frame, spark.createDataFrame([], "doc_id long")).collect()}
+    for i, t in enumerate(texts):
+        r = found[i]
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) == base(t), t
+    assert {bool(r.n_repeat_words) for r in found.values()} == {True, False}
+
+
 def test_the_query(spark):
     folder = "/root/testdata/sf0.001"
     docs = [(r.doc_id, r.lang, r.text) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
