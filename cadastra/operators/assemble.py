@@ -42,36 +42,46 @@ def coded(state: State, codes: DataFrame, extra: DataFrame | None = None) -> Dat
 
 
 def seats(state: State, codes: DataFrame) -> DataFrame:
-    """(district, code): the member that a district's seat names; districts whose seat is none of theirs have no row."""
+    """(district, code): the member that a district's seat names; districts whose seat is none of theirs have no row. Computed once."""
     within = state.printed.join(state.members.select("uid", "district"), "uid").where("district IS NOT NULL")
     printed = _keyed(within, "district").select("uid", "fr_key", "ar_key")
     named = _keyed(state.districts.where("seat_fr IS NOT NULL OR seat_ar IS NOT NULL"), "district", "seat_fr", "seat_ar").select("district", "fr_key", "ar_key")
-    counted = match_counts(named, printed, "district", "uid", _KEYS)
+    counted = kept(match_counts(named, printed, "district", "uid", _KEYS))
     require_none(counted.where("matches > 1"), "a seat names several members")
-    return counted.where("matches = 1").select("district", F.col("match").alias("uid")).join(codes, "uid").select("district", "code")
+    return kept(counted.where("matches = 1").select("district", F.col("match").alias("uid")).join(codes, "uid").select("district", "code"))
+
+
+def _in_both(names: DataFrame) -> None:
+    require_none(names.where("coalesce(fr, '') = '' OR coalesce(ar, '') = ''"), "a name is printed in one language only")
 
 
 def resolved_names(state: State, codes: DataFrame, listed: DataFrame, renamed: list[str] = (), arabic_listed: list[str] = (), until: list[str] | None = None) -> DataFrame:
     """(code, fr, fr_by, ar, ar_by): the latest text's names; of ``renamed`` codes both from the list (code, fr, ar, by),
     of ``arabic_listed`` the Arabic one. Such an exception must still be needed: the latest text is one of ``until``."""
+    out = _cited_names(state, codes, listed, renamed, arabic_listed, until).drop("cite")
+    _in_both(out)
+    return out
+
+
+def _cited_names(state: State, codes: DataFrame, listed: DataFrame, renamed: list[str], arabic_listed: list[str], until: list[str] | None = None) -> DataFrame:
+    """Names as above with the latest text's cite, and not yet held to be in both languages."""
     latest = latest_names(state.printed).join(codes, "uid").join(listed.select("code", F.col("fr").alias("l_fr"), F.col("ar").alias("l_ar"), F.col("by").alias("l_by")), "code", "left")
     both, arabic = F.col("code").isin(list(renamed)), F.col("code").isin([*renamed, *arabic_listed])
     if until is not None:
         require_none(latest.where(arabic & ~F.col("text").isin(until)).select("code", "text"), "a later text prints what an exception replaces")
-    out = latest.select(
-        "code",
+    return latest.select(
+        "code", "cite",
         F.when(both, F.col("l_fr")).otherwise(F.col("fr")).alias("fr"), F.when(both, F.col("l_by")).otherwise(F.col("text")).alias("fr_by"),
         F.when(arabic, F.col("l_ar")).otherwise(F.col("ar")).alias("ar"), F.when(arabic, F.col("l_by")).otherwise(F.col("text")).alias("ar_by"),
     )
-    require_none(out.where("coalesce(fr, '') = '' OR coalesce(ar, '') = ''"), "a name is printed in one language only")
-    return out
 
 
 def law_names(state: State, lists: DataFrame) -> DataFrame:
     """(uid, text, fr, ar): how law lists (text, province, fr, ar) print members, at most one row of each list."""
     rows = _keyed(lists.withColumn("row", F.xxhash64("text", "province", "fr", "ar")), "province")
     printed = _keyed(state.printed.join(state.members.select("uid", "province"), "uid"), "province").select("uid", "fr_key", "ar_key")
-    pairs = either_key(rows.select("row", "fr_key", "ar_key"), printed, "row", "uid", _KEYS).join(rows.select("row", "text", "fr", "ar"), "row")
+    pairs = either_key(rows.select("row", "fr_key", "ar_key"), printed, "row", "uid", _KEYS)
+    pairs = kept(pairs.join(rows.select("row", "text", "fr", "ar"), "row"))
     require_unique(pairs, ["uid", "text"], "a list prints a member twice")
     return pairs.select("uid", "text", "fr", "ar")
 
@@ -91,17 +101,21 @@ def cited_moves(moved: DataFrame, law: DataFrame, names: DataFrame) -> DataFrame
     lists the member under any of its ``names`` (uid, fr, ar)."""
     known = _keyed(names.join(moved.select("uid", "to"), "uid"), "to").select("uid", "fr_key", "ar_key").distinct()
     rows = _keyed(law.withColumn("row", F.xxhash64("province", "article", "item")), "province")
-    pairs = either_key(known.withColumnRenamed("uid", "m"), rows.select("row", "fr_key", "ar_key"), "m", "row", _KEYS).withColumnRenamed("m", "uid")
+    pairs = kept(either_key(known.withColumnRenamed("uid", "m"), rows.select("row", "fr_key", "ar_key"), "m", "row", _KEYS).withColumnRenamed("m", "uid"))
     require_unique(pairs, ["uid"], "several rows of the law list a member")
     require_none(moved.select("uid").join(pairs, "uid", "left_anti"), "no row of the law lists a member")
     return moved.join(pairs, "uid").join(rows.select("row", "article", "item"), "row").drop("row")
 
 
-def municipalities(state: State, codes: DataFrame, names: DataFrame, before: DataFrame) -> DataFrame:
-    """The table of municipalities; ``before`` (code, province) is an earlier snapshot."""
-    held = state.members.join(codes, "uid").join(seats(state, codes).select("district", F.col("code").alias("seat")), "district", "left")
-    cited = latest_names(state.printed).select("uid", F.split("cite", "/").alias("c"))
-    rows = held.join(names, "code").join(cited, "uid").join(before.select("code", F.col("province").alias("earlier")), "code", "left")
+def municipalities(state: State, codes: DataFrame, names: DataFrame, before: DataFrame, seated: DataFrame | None = None) -> DataFrame:
+    """The table of municipalities; ``before`` (code, province) is an earlier snapshot. ``names`` may have the latest text's cite, and
+    ``seated`` is what ``seats`` gives, where they are known."""
+    found = seats(state, codes) if seated is None else seated
+    held = state.members.join(codes, "uid").join(found.select("district", F.col("code").alias("seat")), "district", "left")
+    rows = held.join(names, "code")
+    if "cite" not in names.columns:
+        rows = rows.join(latest_names(state.printed).select("uid", "cite"), "uid")
+    rows = rows.withColumn("c", F.split("cite", "/")).join(before.select("code", F.col("province").alias("earlier")), "code", "left")
     item = F.array_join(F.slice("c", 3, 9), "/")
     return rows.select(
         "code", "province", F.col("seat").alias("district"), F.col("fr").alias("name_fr"), F.col("ar").alias("name_ar"), F.col("fr_by").alias("name_fr_by"), F.col("ar_by").alias("name_ar_by"),
@@ -109,9 +123,9 @@ def municipalities(state: State, codes: DataFrame, names: DataFrame, before: Dat
     )
 
 
-def districts(state: State, codes: DataFrame, names: DataFrame) -> DataFrame:
+def districts(state: State, codes: DataFrame, names: DataFrame, seated: DataFrame | None = None) -> DataFrame:
     """The table of districts: one for each whose seat is one of its members, under the seat's code and names."""
-    found = seats(state, codes)
+    found = seats(state, codes) if seated is None else seated
     require_unique(found, ["code"], "two districts share a seat")
     sizes = state.members.groupBy("district").agg(F.count(F.lit(1)).alias("municipalities"))
     rows = found.join(state.districts, "district").join(sizes, "district").join(names, "code").withColumn("c", F.split("cite", "/"))
@@ -164,14 +178,15 @@ def changes(provinces_: DataFrame, municipalities_: DataFrame, state: State, cod
     return created.unionByName(rows)
 
 
-def all_aliases(state: State, codes: DataFrame, municipalities_: DataFrame, districts_: DataFrame, lists: DataFrame, dates: DataFrame) -> DataFrame:
+def all_aliases(state: State, codes: DataFrame, municipalities_: DataFrame, districts_: DataFrame, lists: DataFrame, dates: DataFrame, seated: DataFrame | None = None) -> DataFrame:
     """The table of aliases: every other spelling of a municipality's names in the texts and law ``lists`` (text, province, fr,
     ar), and of a district's in its seat's print, each with the texts that have it, oldest first (``dates``: text, date)."""
     printed = state.printed.join(codes, "uid").select("code", "seq", "text", "fr", "ar")
     lawful = law_names(state, lists).join(codes, "uid").select("code", F.lit(1 << 30).alias("seq"), "text", "fr", "ar")
     names = lambda table: table.select("code", F.col("name_fr").alias("fr"), F.col("name_ar").alias("ar"))
     found = aliases(printed.unionByName(lawful), names(municipalities_), dates, ["code"])
-    seated = seats(state, codes).join(state.districts, "district").select("code", F.lit(0).alias("seq"), F.split("cite", "/")[0].alias("text"), F.col("seat_fr").alias("fr"), F.col("seat_ar").alias("ar"))
+    found_seats = seats(state, codes) if seated is None else seated
+    seated = found_seats.join(state.districts, "district").select("code", F.lit(0).alias("seq"), F.split("cite", "/")[0].alias("text"), F.col("seat_fr").alias("fr"), F.col("seat_ar").alias("ar"))
     own = aliases(seated, names(districts_), dates, ["code"])
     return found.select(F.lit("municipality").alias("kind"), "*").unionByName(own.select(F.lit("district").alias("kind"), "*"))
 
@@ -180,16 +195,19 @@ def tables(
     state: State, codes: DataFrame, before: DataFrame, listed: DataFrame, namings: DataFrame, parents: DataFrame, articles: DataFrame, writings: DataFrame, law: DataFrame, dates: DataFrame,
     *, base_law: str, law_text: str, renamed: list[str] = (), arabic_listed: list[str] = (), without_seat: list[str] = (), spellings: dict[str, str] | None = None,
 ) -> dict[str, DataFrame]:
-    """The five tables of a state. ``codes``: uid, code; ``before``: code, province in the snapshot ahead of ``law_text``; ``law``: the
+    """The five tables of a state. ``codes``: uid, code, one to one, as rows meet by either; ``before``: code, province in the snapshot ahead of ``law_text``; ``law``: the
     rows of its lists (text, province, article, item, fr, ar), of which those of ``law_text`` are cited. The other parameters are those of
     the functions above. Each table is computed once, so that those built on it don't repeat it."""
-    names = resolved_names(state, codes, listed, renamed, arabic_listed)
-    members = kept(municipalities(state, codes, names, before))
-    places = kept(districts(state, codes, names))
+    require_unique(codes, ["code"], "codes with several members")
+    seated = seats(state, codes)
+    members = kept(municipalities(state, codes, _cited_names(state, codes, listed, renamed, arabic_listed), before, seated))
+    names = members.select("code", F.col("name_fr").alias("fr"), F.col("name_ar").alias("ar"))
+    _in_both(names)
+    places = kept(districts(state, codes, names, seated))
     units = kept(provinces(state, codes, namings, parents, articles, writings, dates, places, base_law, without_seat=without_seat, spellings=spellings))
     date = dates.where(F.col("text") == law_text).first()["date"]
     cited = law.where(F.col("text") == law_text).select("province", "article", "item", "fr", "ar")
     return {
         "provinces": units, "districts": places, "municipalities": members, "changes": changes(units, members, state, codes, cited, law_text, date),
-        "aliases": all_aliases(state, codes, members, places, law.select("text", "province", "fr", "ar"), dates),
+        "aliases": all_aliases(state, codes, members, places, law.select("text", "province", "fr", "ar"), dates, seated),
     }

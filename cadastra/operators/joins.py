@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from cadastra.operators.checks import require_none
 from cadastra.operators.names import fresh
 from cadastra.operators.similar import best_matches
+from cadastra.operators.storage import kept
 
 
 def last_wins(frame: DataFrame, keys: list[str], order: list[Column | str]) -> DataFrame:
@@ -87,8 +88,9 @@ def match_counts(left: DataFrame, right: DataFrame, id_left: str, id_right: str,
 
 
 def exactly_one(left: DataFrame, right: DataFrame, id_left: str, id_right: str, keys: list[tuple[str, str]], what: str) -> DataFrame:
-    """(id_left, id_right) with one partner for each row of ``left``; else an IntegrityError."""
-    counted = match_counts(left, right, id_left, id_right, keys)
+    """(id_left, id_right) with one partner for each row of ``left``; else an IntegrityError. Partners are counted once, not anew
+    for the check and for each use of the pairs."""
+    counted = kept(match_counts(left, right, id_left, id_right, keys))
     require_none(counted.where("matches <> 1"), f"{what}: not exactly one match")
     return counted.select(id_left, F.col("match").alias(id_right))
 
